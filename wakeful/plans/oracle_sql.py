@@ -212,3 +212,104 @@ def q_inference_features() -> str:
     return with_(FEEDS, INFER_USERS, HR_CLEAN, hr_features_sql(False), SLEEP_FEAT, CONTINUOUS, GRID) + f"""
 SELECT user_id, make_timestamp(bin) AS HRTIME, {r6(INFER_COLS)} FROM bins
 WHERE mean_hr_5min IS NOT NULL AND hours_awake IS NOT NULL"""
+
+
+# ---------------------------------------------------------------- metrics
+SCORED = """
+scored AS (SELECT l_discount * 10 AS y_true, (l_quantity - 1) / 49 AS y_pred FROM lineitem)
+"""
+EVAL_T = 0.26  # evaluation / inference threshold of the original jobs
+
+
+def _conf(t: float, tt: float) -> str:
+    return f"""
+conf AS (SELECT count(*) FILTER (WHERE y_true >= {tt} AND y_pred >= {t}) AS tp,
+                count(*) FILTER (WHERE y_true < {tt} AND y_pred >= {t}) AS fp,
+                count(*) FILTER (WHERE y_true >= {tt} AND y_pred < {t}) AS fn,
+                count(*) FILTER (WHERE y_true < {tt} AND y_pred < {t}) AS tn FROM scored)
+"""
+
+
+def _div(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) > 0 THEN ({a}) * 1.0 / ({b}) ELSE 0.0 END"
+
+
+def q_regression_metrics() -> str:
+    return with_(SCORED, """
+a AS (SELECT avg(abs(y_pred - y_true)) AS mae, avg((y_pred - y_true) * (y_pred - y_true)) AS mse,
+             sum((y_pred - y_true) * (y_pred - y_true)) AS ss_res, var_pop(y_true) * count(y_true) AS ss_tot
+      FROM scored)""") + f"""
+SELECT metric, {rnd("value")} AS value FROM (
+  SELECT 'mae' AS metric, mae AS value FROM a UNION ALL SELECT 'mse', mse FROM a
+  UNION ALL SELECT 'rmse', sqrt(mse) FROM a
+  UNION ALL SELECT 'r2', CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot WHEN ss_res = 0 THEN 1.0 ELSE 0.0 END FROM a)"""
+
+
+def auc_sql(tt: float) -> str:
+    return f"""
+per AS (SELECT y_pred AS s, sum(CASE WHEN y_true >= {tt} THEN 1 ELSE 0 END) AS pos,
+               sum(CASE WHEN y_true >= {tt} THEN 0 ELSE 1 END) AS neg FROM scored GROUP BY y_pred),
+cumneg AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM per),
+auc AS (SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                    THEN sum(pos * (cn - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) ELSE 0.0 END AS roc_auc
+        FROM cumneg)
+"""
+
+
+def q_binary_metrics(t: float = 0.5, tt: float = 0.5) -> str:
+    return with_(SCORED, _conf(t, tt), auc_sql(tt)) + f"""
+SELECT metric, {rnd("value")} AS value FROM (
+  SELECT 'recall_at_{t}' AS metric, {_div("tp", "tp + fn")} AS value FROM conf
+  UNION ALL SELECT 'precision_at_{t}', {_div("tp", "tp + fp")} FROM conf
+  UNION ALL SELECT 'f1_at_{t}', {_div("2 * tp", "2 * tp + fp + fn")} FROM conf
+  UNION ALL SELECT 'accuracy', {_div("tp + tn", "tp + tn + fp + fn")} FROM conf
+  UNION ALL SELECT 'roc_auc', roc_auc FROM auc)"""
+
+
+def q_confusion_matrix(t: float = EVAL_T) -> str:
+    return with_(SCORED, _conf(t, t)) + """
+SELECT true_label, pred_label, CAST(count AS BIGINT) AS count FROM (
+  SELECT 1 AS true_label, 1 AS pred_label, tp AS count FROM conf UNION ALL SELECT 0, 1, fp FROM conf
+  UNION ALL SELECT 1, 0, fn FROM conf UNION ALL SELECT 0, 0, tn FROM conf)"""
+
+
+def q_classification_report(t: float = EVAL_T) -> str:
+    pf, rf, ff = _div("tp", "tp + fp"), _div("tp", "tp + fn"), _div("2 * tp", "2 * tp + fp + fn")
+    pa, ra, fa = _div("tn", "tn + fn"), _div("tn", "tn + fp"), _div("2 * tn", "2 * tn + fn + fp")
+    n = "(tp + fp + fn + tn)"
+    return with_(SCORED, _conf(t, t)) + f"""
+SELECT label, {rnd("precision")} AS precision, {rnd("recall")} AS recall, {rnd("f1_score")} AS f1_score,
+       {rnd("support")} AS support FROM (
+  SELECT 'Awake' AS label, {pa} AS precision, {ra} AS recall, {fa} AS f1_score, CAST(tn + fp AS DOUBLE) AS support FROM conf
+  UNION ALL SELECT 'Fatigued', {pf}, {rf}, {ff}, CAST(tp + fn AS DOUBLE) FROM conf
+  UNION ALL SELECT 'accuracy', NULL, NULL, {_div("tp + tn", n)}, CAST({n} AS DOUBLE) FROM conf
+  UNION ALL SELECT 'macro avg', ({pa} + {pf}) / 2, ({ra} + {rf}) / 2, ({fa} + {ff}) / 2, CAST({n} AS DOUBLE) FROM conf
+  UNION ALL SELECT 'weighted avg', {_div(f"({pa}) * (tn + fp) + ({pf}) * (tp + fn)", n)},
+         {_div(f"({ra}) * (tn + fp) + ({rf}) * (tp + fn)", n)}, {_div(f"({fa}) * (tn + fp) + ({ff}) * (tp + fn)", n)},
+         CAST({n} AS DOUBLE) FROM conf)"""
+
+
+def q_pr_curve(tt: float = EVAL_T) -> str:
+    return with_(SCORED, f"""
+per AS (SELECT CAST(y_pred AS DOUBLE) AS threshold, sum(CASE WHEN y_true >= {tt} THEN 1 ELSE 0 END) AS pos,
+               sum(CASE WHEN y_true >= {tt} THEN 0 ELSE 1 END) AS neg FROM scored GROUP BY y_pred),
+c AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS cp, sum(neg) OVER (ORDER BY threshold DESC) AS cn,
+             sum(pos) OVER () AS p FROM per)""") + f"""
+SELECT {rnd("threshold")} AS threshold, {rnd(_div("cp", "cp + cn"))} AS precision,
+       {rnd("CASE WHEN p > 0 THEN cp * 1.0 / p ELSE 1.0 END")} AS recall FROM c
+UNION ALL SELECT NULL, 1.0, 0.0"""
+
+
+def q_roc_auc(tt: float = 0.5) -> str:
+    return with_(SCORED, auc_sql(tt)) + f"""
+SELECT {rnd("roc_auc")} AS roc_auc FROM auc"""
+
+
+def q_inference_stats(t: float = EVAL_T) -> str:
+    return with_(SCORED) + f"""
+SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE y_pred >= {t}) AS BIGINT) AS fatigue_count,
+       CAST(count(*) FILTER (WHERE y_pred < {t}) AS BIGINT) AS awake_count,
+       {rnd(_div(f"count(*) FILTER (WHERE y_pred >= {t}) * 100.0", "count(*)"))} AS fatigue_pct,
+       {rnd(_div(f"count(*) FILTER (WHERE y_pred < {t}) * 100.0", "count(*)"))} AS awake_pct,
+       {rnd("avg(y_pred)")} AS mean_probability
+FROM scored"""

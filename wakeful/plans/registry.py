@@ -24,7 +24,8 @@ from wakeful.plans.features import (
 )
 from wakeful.session import configure
 from wakeful.settings import EVENTS_SCALE as S
-from wakeful.sources.feeds import events_feeds
+from wakeful.operators import metrics as M
+from wakeful.sources.feeds import events_feeds, scored_feed, table
 from wakeful.sources.files import users_with_all_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,7 +91,50 @@ def inference_features_q(spark, sf_dir):
     return round_doubles(inf.select("user_id", "HRTIME", *O.INFER_COLS))
 
 
+def _scored(spark, sf_dir):
+    configure(spark)
+    return scored_feed(table(spark, sf_dir, "lineitem"))
+
+
+EVAL_T = 0.26  # threshold of the evaluation and inference jobs
+
+
+def regression_metrics_q(spark, sf_dir):
+    return round_doubles(M.regression_metrics(_scored(spark, sf_dir)))
+
+
+def binary_metrics_q(spark, sf_dir):
+    return round_doubles(M.binary_metrics(_scored(spark, sf_dir), threshold=0.5, target_threshold=0.5))
+
+
+def roc_auc_q(spark, sf_dir):
+    return round_doubles(M.roc_auc(_scored(spark, sf_dir), "y_true", "y_pred", 0.5))
+
+
+def confusion_matrix_q(spark, sf_dir):
+    return M.confusion_matrix(_scored(spark, sf_dir), "y_true", "y_pred", EVAL_T)
+
+
+def classification_report_q(spark, sf_dir):
+    return round_doubles(M.classification_report(_scored(spark, sf_dir), "y_true", "y_pred", EVAL_T))
+
+
+def pr_curve_q(spark, sf_dir):
+    return round_doubles(M.pr_curve(_scored(spark, sf_dir), "y_true", "y_pred", EVAL_T))
+
+
+def inference_stats_q(spark, sf_dir):
+    return round_doubles(M.inference_stats(_scored(spark, sf_dir), "y_pred", EVAL_T))
+
+
 QUERIES: dict[str, Query] = {
+    "regression_metrics": regression_metrics_q,
+    "binary_metrics": binary_metrics_q,
+    "roc_auc": roc_auc_q,
+    "confusion_matrix": confusion_matrix_q,
+    "classification_report": classification_report_q,
+    "pr_curve": pr_curve_q,
+    "inference_stats": inference_stats_q,
     "hr_clean": hr_clean_q,
     "hr_features": hr_features_q,
     "sleep_features": sleep_features_q,
@@ -102,6 +146,13 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "regression_metrics": O.q_regression_metrics(),
+    "binary_metrics": O.q_binary_metrics(0.5, 0.5),
+    "roc_auc": O.q_roc_auc(0.5),
+    "confusion_matrix": O.q_confusion_matrix(),
+    "classification_report": O.q_classification_report(),
+    "pr_curve": O.q_pr_curve(),
+    "inference_stats": O.q_inference_stats(),
     "hr_clean": O.q_hr_clean(),
     "hr_features": O.q_hr_features(),
     "sleep_features": O.q_sleep_features(),
