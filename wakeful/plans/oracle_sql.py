@@ -313,3 +313,104 @@ SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE y_pred >=
        {rnd(_div(f"count(*) FILTER (WHERE y_pred < {t}) * 100.0", "count(*)"))} AS awake_pct,
        {rnd("avg(y_pred)")} AS mean_probability
 FROM scored"""
+
+
+# ---------------------------------------------------------------- drift
+MONITORED = ("mean_hr_5min", "hr_volatility_5min", "hours_awake", "stress_cv")
+DRIFT_SPLIT = "2024-01-16"
+PI2 = 9.869604401089358  # pi ** 2
+
+
+def _monitor_long() -> str:
+    cols = ", ".join(MONITORED)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in MONITORED)
+    return f"""
+mon AS (SELECT CASE WHEN bin < epoch_us(TIMESTAMP '{DRIFT_SPLIT}') THEN 0 ELSE 1 END AS side, {cols}
+        FROM bins WHERE mean_hr_5min IS NOT NULL AND hours_awake IS NOT NULL AND {nn}),
+lng AS (UNPIVOT mon ON {cols} INTO NAME feature VALUE value),
+rparams AS (SELECT feature, side, quantile_cont(value, 0.5) AS center,
+                   quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr
+            FROM lng GROUP BY feature, side),
+scaled AS (SELECT l.feature, l.side, (l.value - p.center) / CASE WHEN p.iqr = 0 THEN 1.0 ELSE p.iqr END AS value
+           FROM lng l JOIN rparams p ON l.feature = p.feature AND l.side = p.side)
+"""
+
+
+def _drift_base() -> str:
+    return with_(FEEDS, INFER_USERS, HR_CLEAN, hr_features_sql(False), SLEEP_FEAT, CONTINUOUS, GRID, _monitor_long())
+
+
+KS = f"""
+per AS (SELECT feature, value, count(*) FILTER (WHERE side = 0) AS c0, count(*) FILTER (WHERE side = 1) AS c1
+        FROM scaled GROUP BY feature, value),
+cum AS (SELECT *, sum(c0) OVER w AS k0, sum(c1) OVER w AS k1,
+               sum(c0) OVER (PARTITION BY feature) AS n0, sum(c1) OVER (PARTITION BY feature) AS n1
+        FROM per WINDOW w AS (PARTITION BY feature ORDER BY value)),
+ks0 AS (SELECT feature, max(abs(k0 / n0 - k1 / n1)) AS statistic, any_value(n0) AS n0, any_value(n1) AS n1
+        FROM cum GROUP BY feature),
+ks1 AS (SELECT *, sqrt(CAST(n0 AS DOUBLE) * n1 / (CAST(n0 AS DOUBLE) + n1)) * statistic AS lam FROM ks0),
+ks AS (SELECT feature, statistic, n0, n1, greatest(0.0, least(1.0,
+          CASE WHEN lam <= 0 THEN 1.0
+               WHEN lam < 1 THEN 1 - {2.5066282746310002} / lam * list_sum(list_transform(range(1, 21),
+                    lambda k: exp(-pow(2 * k - 1, 2) * {PI2} / (8 * lam * lam))))
+               ELSE 2 * list_sum(list_transform(range(1, 21),
+                    lambda k: pow(-1, k - 1) * exp(-2 * k * k * lam * lam))) END)) AS p_value
+       FROM ks1)
+"""
+
+
+def q_robust_scale() -> str:
+    return _drift_base() + f"""
+SELECT feature, side, {rnd("center")} AS center, {rnd("CASE WHEN iqr = 0 THEN 1.0 ELSE iqr END")} AS scale
+FROM rparams"""
+
+
+def q_ks_drift() -> str:
+    return _drift_base() + "," + KS + f"""
+SELECT feature, {rnd("statistic")} AS statistic, {rnd("p_value")} AS p_value, p_value < 0.05 AS drift_detected,
+       CAST(n0 AS BIGINT) AS n_reference, CAST(n1 AS BIGINT) AS n_current FROM ks"""
+
+
+def q_drift_summary() -> str:
+    n = len(MONITORED)
+    return _drift_base() + "," + KS + f"""
+SELECT CAST({n} AS BIGINT) AS n_features, CAST(count(*) FILTER (WHERE p_value < 0.05) AS BIGINT) AS n_drifted,
+       {rnd(f"count(*) FILTER (WHERE p_value < 0.05) / {float(n)}")} AS drift_share,
+       count(*) FILTER (WHERE p_value < 0.05) / {float(n)} < 0.3 AS drift_passed
+FROM ks"""
+
+
+def q_density_histogram(nbins: int = 20) -> str:
+    return _drift_base() + f""",
+ext AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM scaled GROUP BY feature),
+b AS (SELECT s.feature, s.side, e.lo, e.hi, (e.hi - e.lo) / {nbins} AS w,
+             CASE WHEN (e.hi - e.lo) / {nbins} > 0
+                  THEN least(CAST(floor((s.value - e.lo) / ((e.hi - e.lo) / {nbins})) AS INTEGER), {nbins - 1})
+                  ELSE 0 END AS bin
+      FROM scaled s JOIN ext e ON s.feature = e.feature),
+cnt AS (SELECT feature, side, bin, any_value(lo) AS lo, any_value(w) AS w, count(*) AS c FROM b GROUP BY ALL),
+n AS (SELECT feature, side, count(*) AS n FROM scaled GROUP BY ALL)
+SELECT c.feature, c.side, c.bin, {rnd("c.lo + c.bin * c.w")} AS bin_lo, {rnd("c.lo + (c.bin + 1) * c.w")} AS bin_hi,
+       {rnd("c.c / (n.n * CASE WHEN c.w > 0 THEN c.w ELSE 1.0 END)")} AS density
+FROM cnt c JOIN n ON c.feature = n.feature AND c.side = n.side"""
+
+
+MODEL_FEATURES = (
+    "mean_hr_5min hr_volatility_5min hr_mean_total hr_std_total hr_zscore hr_jumpiness_5min stress_cv "
+    "cum_sleep_debt hours_awake sleep_inertia_idx circadian_sin circadian_cos"
+).split()
+
+
+def q_impute_scale_fit() -> str:
+    cols = ", ".join(MODEL_FEATURES)
+    base = with_(FEEDS, TRAIN_USERS, HR_CLEAN, hr_features_sql(True), SLEEP_FEAT, CONTINUOUS, GRID, PVT_TARGETS, NEAREST)
+    return base + f""",
+feat_raw AS (SELECT {", ".join(f"b.{c}" for c in MODEL_FEATURES)}
+        FROM cand c JOIN bins b ON c.user_id = b.user_id AND c.g = b.bin
+        WHERE c.rk = 1 AND b.mean_hr_5min IS NOT NULL AND b.hours_awake IS NOT NULL AND c.fatigue_score IS NOT NULL),
+lng AS (SELECT * FROM feat_raw UNPIVOT INCLUDE NULLS (value FOR feature IN ({cols}))),
+fill AS (SELECT feature, quantile_cont(value, 0.5) AS fill FROM lng GROUP BY feature),
+st AS (SELECT l.feature, avg(coalesce(l.value, f.fill, 0.0)) AS center, stddev_pop(coalesce(l.value, f.fill, 0.0)) AS sd
+       FROM lng l JOIN fill f ON l.feature = f.feature GROUP BY l.feature)
+SELECT f.feature, {rnd("f.fill")} AS fill, {rnd("s.center")} AS center, {rnd("CASE WHEN s.sd = 0 THEN 1.0 ELSE s.sd END")} AS scale
+FROM fill f JOIN st s ON f.feature = s.feature"""

@@ -22,8 +22,9 @@ from wakeful.plans.features import (
     labelled_features,
     round_doubles,
 )
-from wakeful.session import configure
+from wakeful.session import configure, cut_lineage
 from wakeful.settings import EVENTS_SCALE as S
+from wakeful.operators import drift as D
 from wakeful.operators import metrics as M
 from wakeful.sources.feeds import events_feeds, scored_feed, table
 from wakeful.sources.files import users_with_all_feeds
@@ -127,7 +128,51 @@ def inference_stats_q(spark, sf_dir):
     return round_doubles(M.inference_stats(_scored(spark, sf_dir), "y_pred", EVAL_T))
 
 
+DRIFT_SPLIT = "2024-01-16"
+
+
+def _monitor_long(spark, sf_dir):
+    """Monitoring input: inference features before (reference) and from (current)
+    the split date, each side robust-scaled by itself (as in the original job)."""
+    f = _feeds(spark, sf_dir)
+    inf = inference_features(f["hr"], f["sleep"], S)
+    ref = inf.where(F.col("HRTIME") < F.lit(DRIFT_SPLIT).cast("timestamp_ntz"))
+    cur = inf.where(F.col("HRTIME") >= F.lit(DRIFT_SPLIT).cast("timestamp_ntz"))
+    return cut_lineage(D.monitoring_long(ref, cur, O.MONITORED))
+
+
+def robust_scale_q(spark, sf_dir):
+    return round_doubles(D.robust_params(_monitor_long(spark, sf_dir), ("feature", "side")))
+
+
+def _scaled_long(spark, sf_dir):
+    return cut_lineage(D.robust_scale_long(_monitor_long(spark, sf_dir), ("feature", "side")))
+
+
+def ks_drift_q(spark, sf_dir):
+    return round_doubles(D.ks_two_sample(_scaled_long(spark, sf_dir)))
+
+
+def drift_summary_q(spark, sf_dir):
+    return round_doubles(D.drift_summary(D.ks_two_sample(_scaled_long(spark, sf_dir)), len(O.MONITORED)))
+
+
+def density_histogram_q(spark, sf_dir):
+    return round_doubles(D.density_histogram(_scaled_long(spark, sf_dir), 20))
+
+
+def impute_scale_fit_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
+    return round_doubles(D.fit_impute_scale(cut_lineage(lab), O.MODEL_FEATURES))
+
+
 QUERIES: dict[str, Query] = {
+    "robust_scale": robust_scale_q,
+    "ks_drift": ks_drift_q,
+    "drift_summary": drift_summary_q,
+    "density_histogram": density_histogram_q,
+    "impute_scale_fit": impute_scale_fit_q,
     "regression_metrics": regression_metrics_q,
     "binary_metrics": binary_metrics_q,
     "roc_auc": roc_auc_q,
@@ -146,6 +191,11 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "robust_scale": O.q_robust_scale(),
+    "ks_drift": O.q_ks_drift(),
+    "drift_summary": O.q_drift_summary(),
+    "density_histogram": O.q_density_histogram(20),
+    "impute_scale_fit": O.q_impute_scale_fit(),
     "regression_metrics": O.q_regression_metrics(),
     "binary_metrics": O.q_binary_metrics(0.5, 0.5),
     "roc_auc": O.q_roc_auc(0.5),

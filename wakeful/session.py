@@ -22,7 +22,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = builder.config("spark.driver.memory", os.environ.get("WAKEFUL_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
