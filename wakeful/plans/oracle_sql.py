@@ -414,3 +414,23 @@ st AS (SELECT l.feature, avg(coalesce(l.value, f.fill, 0.0)) AS center, stddev_p
        FROM lng l JOIN fill f ON l.feature = f.feature GROUP BY l.feature)
 SELECT f.feature, {rnd("f.fill")} AS fill, {rnd("s.center")} AS center, {rnd("CASE WHEN s.sd = 0 THEN 1.0 ELSE s.sd END")} AS scale
 FROM fill f JOIN st s ON f.feature = s.feature"""
+
+
+# ---------------------------------------------------------------- splits
+def _train_users() -> str:
+    return with_(FEEDS, TRAIN_USERS, HR_CLEAN, hr_features_sql(True), SLEEP_FEAT, CONTINUOUS, GRID, PVT_TARGETS, NEAREST)
+
+
+def q_group_split(test_size: float = 0.2, seed: int = 42) -> str:
+    return _train_users() + f""",
+u AS (SELECT DISTINCT user_id FROM matched),
+r AS (SELECT user_id, row_number() OVER (ORDER BY md5(concat('{seed}:', CAST(user_id AS VARCHAR))), user_id) - 1 AS rk,
+             count(*) OVER () AS n FROM u)
+SELECT user_id, CASE WHEN rk < ceil({test_size} * n) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+
+def q_group_kfold(k: int = 5) -> str:
+    return _train_users() + f""",
+sz AS (SELECT user_id, count(*) AS cnt FROM matched GROUP BY user_id),
+r AS (SELECT user_id, row_number() OVER (ORDER BY cnt DESC, user_id) - 1 AS rk FROM sz)
+SELECT user_id, CAST(CASE WHEN (rk // {k}) % 2 = 0 THEN rk % {k} ELSE {k - 1} - rk % {k} END AS INTEGER) AS fold FROM r"""

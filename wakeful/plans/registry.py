@@ -26,6 +26,9 @@ from wakeful.session import configure, cut_lineage
 from wakeful.settings import EVENTS_SCALE as S
 from wakeful.operators import drift as D
 from wakeful.operators import metrics as M
+from wakeful.operators.forest import ForestParams
+from wakeful.operators.split import group_kfold, group_split
+from wakeful.plans import modeling as MD
 from wakeful.sources.feeds import events_feeds, scored_feed, table
 from wakeful.sources.files import users_with_all_feeds
 
@@ -167,7 +170,75 @@ def impute_scale_fit_q(spark, sf_dir):
     return round_doubles(D.fit_impute_scale(cut_lineage(lab), O.MODEL_FEATURES))
 
 
+def _labelled(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    return labelled_features(f["hr"], f["sleep"], f["pvt"], S)
+
+
+def group_split_q(spark, sf_dir):
+    return group_split(_labelled(spark, sf_dir), "user_id", S.test_size, S.split_seed)
+
+
+def group_kfold_q(spark, sf_dir):
+    return group_kfold(_labelled(spark, sf_dir), 5)
+
+
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf_dir):
+    """Samples with split + the forest trained on the train split (memoised per
+    session and folder: several queries share one model)."""
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        samples = cut_lineage(MD.split_samples(_labelled(spark, sf_dir), S.test_size, S.split_seed))
+        ff = MD.train(samples.where(F.col("split") == "train"), ForestParams())
+        _FITTED[key] = (samples, ff)
+    return _FITTED[key]
+
+
+def model_importance_q(spark, sf_dir):
+    return _fitted(spark, sf_dir)[1].importances()
+
+
+def batch_inference_q(spark, sf_dir):
+    _, ff = _fitted(spark, sf_dir)
+    f = _feeds(spark, sf_dir)
+    return MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T, limit=5000)
+
+
+def evaluate_model_q(spark, sf_dir):
+    samples, ff = _fitted(spark, sf_dir)
+    ev = MD.evaluate(ff, samples.where(F.col("split") == "test"), EVAL_T)
+    return ev["regression"].unionByName(
+        ev["report"].select(F.concat(F.lit("f1_"), "label").alias("metric"), F.col("f1_score").alias("value"))
+    )
+
+
+def explain_samples_q(spark, sf_dir):
+    samples, ff = _fitted(spark, sf_dir)
+    return MD.explain(ff, samples.where(F.col("split") == "test"), list(MD.SAMPLE_KEY), 200)
+
+
+def cross_validate_q(spark, sf_dir):
+    samples, _ = _fitted(spark, sf_dir)
+    return MD.cross_validate(samples.where(F.col("split") == "train"), ForestParams(), 3, EVAL_T)
+
+
+def search_params_q(spark, sf_dir):
+    samples, _ = _fitted(spark, sf_dir)
+    return MD.search_params(samples.where(F.col("split") == "train"), n_trials=2, n_splits=3, threshold=EVAL_T)
+
+
 QUERIES: dict[str, Query] = {
+    "group_split": group_split_q,
+    "group_kfold": group_kfold_q,
+    "model_importance": model_importance_q,
+    "batch_inference": batch_inference_q,
+    "evaluate_model": evaluate_model_q,
+    "explain_samples": explain_samples_q,
+    "cross_validate": cross_validate_q,
+    "search_params": search_params_q,
     "robust_scale": robust_scale_q,
     "ks_drift": ks_drift_q,
     "drift_summary": drift_summary_q,
@@ -191,6 +262,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "group_split": O.q_group_split(),
+    "group_kfold": O.q_group_kfold(5),
     "robust_scale": O.q_robust_scale(),
     "ks_drift": O.q_ks_drift(),
     "drift_summary": O.q_drift_summary(),
