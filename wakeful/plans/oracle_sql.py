@@ -434,3 +434,211 @@ def q_group_kfold(k: int = 5) -> str:
 sz AS (SELECT user_id, count(*) AS cnt FROM matched GROUP BY user_id),
 r AS (SELECT user_id, row_number() OVER (ORDER BY cnt DESC, user_id) - 1 AS rk FROM sz)
 SELECT user_id, CAST(CASE WHEN (rk // {k}) % 2 = 0 THEN rk % {k} ELSE {k - 1} - rk % {k} END AS INTEGER) AS fold FROM r"""
+
+
+# ---------------------------------------------------------------- requests / advice
+DAY_US = 86_400_000_000
+
+REQ_ROWS = f"""
+req_hr AS (SELECT user_id, CAST(floor(epoch_us(HRTIME) / {DAY_US}) AS BIGINT) AS day, HRTIME, HR FROM hr_raw),
+reqs AS (SELECT DISTINCT user_id, day FROM req_hr),
+req_sleep AS (SELECT r.user_id, r.day, s."START", s."END" FROM reqs r JOIN sleep_raw s
+              ON s.user_id = r.user_id AND CAST(floor(epoch_us(s."END") / {DAY_US}) AS BIGINT) BETWEEN r.day - 2 AND r.day)
+"""
+
+REQ_FEATURES = f"""
+rhc AS (SELECT user_id, day, HRTIME, avg(HR) AS HR, epoch_us(HRTIME) AS t FROM req_hr
+        WHERE HR > 1 AND HR < 180 GROUP BY user_id, day, HRTIME),
+rw AS (SELECT *, lag(t) OVER wo AS pt, lag(HR) OVER wo AS ph,
+              count(HR) OVER we AS ce, avg(HR) OVER we AS ae, stddev_samp(HR) OVER we AS se
+       FROM rhc WINDOW wo AS (PARTITION BY user_id, day ORDER BY t),
+                       we AS (PARTITION BY user_id, day ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rd AS (SELECT *, abs(HR - ph) AS hr_diff FROM rw),
+rr AS (SELECT user_id, day, t, HRTIME, HR,
+              CASE WHEN ce >= 3 THEN ae END AS hr_mean_total,
+              coalesce(CASE WHEN ce >= 3 THEN se END, 1.0) AS hr_std_total,
+              CASE WHEN count(HR) OVER wr >= 3 THEN avg(HR) OVER wr END AS mean_hr_5min,
+              CASE WHEN count(HR) OVER wr >= 3 THEN stddev_samp(HR) OVER wr END AS hr_volatility_5min,
+              CASE WHEN count(hr_diff) OVER wr >= 3 THEN sqrt(avg(hr_diff * hr_diff) OVER wr) END AS hr_jumpiness_5min
+       FROM rd WINDOW wr AS (PARTITION BY user_id, day ORDER BY t RANGE BETWEEN {W_US - 1} PRECEDING AND CURRENT ROW)),
+rf AS (SELECT *, (HR - hr_mean_total) / (hr_std_total + 0.1) AS hr_zscore,
+              hr_volatility_5min / (mean_hr_5min + 0.1) AS stress_cv FROM rr WHERE mean_hr_5min IS NOT NULL),
+rsc AS (SELECT user_id, day, "START", "END", (epoch_us("END") - epoch_us("START")) / 3600000000.0 AS duration
+        FROM req_sleep WHERE "START" IS NOT NULL AND "END" IS NOT NULL),
+rsf AS (SELECT user_id, day, epoch_us("END") AS end_us,
+               sum(8.0 - duration) OVER (PARTITION BY user_id, day ORDER BY "END", "START"
+                                         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS cum_sleep_debt
+        FROM rsc WHERE duration > 0.25 AND duration < 36),
+rj AS (SELECT h.*, s.cum_sleep_debt, coalesce((h.t - s.end_us) / 3600000000.0, 14.0) AS hours_awake
+       FROM rf h ASOF LEFT JOIN rsf s ON h.user_id = s.user_id AND h.day = s.day AND h.t >= s.end_us),
+rc AS (SELECT *, 1.0 / (hours_awake + 0.1) AS sleep_inertia_idx,
+              sin(2 * pi() * (hour(HRTIME) + minute(HRTIME) / 60.0) / 24.0) AS circadian_sin,
+              cos(2 * pi() * (hour(HRTIME) + minute(HRTIME) / 60.0) / 24.0) AS circadian_cos,
+              row_number() OVER (PARTITION BY user_id, day ORDER BY t DESC) AS rn FROM rj),
+rmean AS (SELECT user_id, day, avg(HR) AS m FROM rhc GROUP BY user_id, day),
+rvec AS (
+  SELECT r.user_id, r.day, l.rn IS NOT NULL AS has_features,
+         CASE WHEN l.rn IS NULL THEN coalesce(m.m, 75.0) ELSE coalesce(l.mean_hr_5min, 0.0) END AS mean_hr_5min,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.hr_volatility_5min, 0.0) END AS hr_volatility_5min,
+         CASE WHEN l.rn IS NULL THEN coalesce(m.m, 75.0) ELSE coalesce(l.hr_mean_total, 0.0) END AS hr_mean_total,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.hr_std_total, 0.0) END AS hr_std_total,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.hr_zscore, 0.0) END AS hr_zscore,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.hr_jumpiness_5min, 0.0) END AS hr_jumpiness_5min,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.stress_cv, 0.0) END AS stress_cv,
+         CASE WHEN l.rn IS NULL THEN 2.0 ELSE coalesce(l.cum_sleep_debt, 0.0) END AS cum_sleep_debt,
+         CASE WHEN l.rn IS NULL THEN 16.0 ELSE coalesce(l.hours_awake, 0.0) END AS hours_awake,
+         CASE WHEN l.rn IS NULL THEN 0.1 ELSE coalesce(l.sleep_inertia_idx, 0.0) END AS sleep_inertia_idx,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.circadian_sin, 0.0) END AS circadian_sin,
+         CASE WHEN l.rn IS NULL THEN 0.0 ELSE coalesce(l.circadian_cos, 0.0) END AS circadian_cos
+  FROM reqs r LEFT JOIN (SELECT * FROM rc WHERE rn = 1) l ON r.user_id = l.user_id AND r.day = l.day
+  LEFT JOIN rmean m ON r.user_id = m.user_id AND r.day = m.day)
+"""
+
+
+def q_request_features() -> str:
+    return with_(FEEDS, REQ_ROWS, REQ_FEATURES) + f"""
+SELECT concat_ws('-', user_id, day) AS request_id, {r6(MODEL_FEATURES)}, has_features FROM rvec"""
+
+
+def q_payload_parse() -> str:
+    return with_(FEEDS, REQ_ROWS) + """
+SELECT concat_ws('-', user_id, day) AS request_id, HRTIME, round((HR) + 2.5e-8, 6) AS HR FROM req_hr"""
+
+
+def q_safety_overrides() -> str:
+    return with_(FEEDS, REQ_ROWS) + """,
+s AS (SELECT user_id, day, sum((epoch_us("END") - epoch_us("START")) / 3.6e9) AS tot FROM req_sleep GROUP BY ALL),
+h AS (SELECT user_id, day, min(HR) AS min_hr, hour(max(HRTIME)) AS last_hour FROM req_hr GROUP BY ALL),
+x AS (SELECT h.*, coalesce(s.tot, 0.0) AS total_sleep_h FROM h LEFT JOIN s ON h.user_id = s.user_id AND h.day = s.day)
+SELECT concat_ws('-', user_id, day) AS request_id, round((total_sleep_h) + 2.5e-8, 6) AS total_sleep_h,
+       round((min_hr) + 2.5e-8, 6) AS min_hr, CAST(last_hour AS INTEGER) AS last_hour,
+       round((CASE WHEN total_sleep_h < 15 THEN 0.95 WHEN min_hr > 90 THEN 0.8142
+            WHEN last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18 THEN 0.8871 END) + 2.5e-8, 6) AS override_probability,
+       (total_sleep_h < 15 OR min_hr > 90 OR (last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18)) AS override_fatigued,
+       CASE WHEN total_sleep_h < 15 THEN 'CRIT' WHEN min_hr > 90 THEN 'WARN'
+            WHEN last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18 THEN 'NIGHT' END AS override_rule
+FROM x"""
+
+
+KB = """
+kb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER (ORDER BY vec_id) - 1 AS rk
+       FROM (SELECT * FROM embeddings ORDER BY vec_id LIMIT 5)),
+kbn AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS nk FROM kb)
+"""
+
+
+def _sim(q: str) -> str:
+    return (f"list_sum(list_transform(list_zip(CAST({q}.embedding AS DOUBLE[]), kbn.e), lambda p: p[1] * p[2])) / "
+            f"(sqrt(list_sum(list_transform(CAST({q}.embedding AS DOUBLE[]), lambda x: x * x))) * kbn.nk)")
+
+
+def q_kb_match() -> str:
+    return with_(KB) + f""",
+sims AS (SELECT q.vec_id, kbn.vec_id AS kb_id, kbn.rk, {_sim("q")} AS sim FROM embeddings q CROSS JOIN kbn),
+best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, rk) AS rn FROM sims)
+SELECT vec_id, kb_id, CAST(rk AS INTEGER) AS kb_rank, round((sim) + 2.5e-8, 6) AS similarity FROM best WHERE rn = 1"""
+
+
+FALLBACK = f"""
+qv AS (SELECT * FROM embeddings ORDER BY vec_id LIMIT 1 OFFSET 5),
+fb AS (SELECT kbn.rk FROM qv CROSS JOIN kbn ORDER BY {_sim("qv")} DESC, kbn.rk LIMIT 1)
+"""
+COURSE_IDS = ("acute_recovery", "sleep_debt", "stress_awareness", "circadian", "physiological")
+
+
+def q_advice() -> str:
+    ids = ", ".join(f"'{c}'" for c in COURSE_IDS)
+    base = with_(FEEDS, TRAIN_USERS, HR_CLEAN, hr_features_sql(True), SLEEP_FEAT, CONTINUOUS, GRID, PVT_TARGETS, NEAREST, KB, FALLBACK)
+    return base + f""",
+c AS (SELECT m.*, CASE WHEN coalesce(m.hours_awake, 0) > 14 THEN 0 WHEN coalesce(m.cum_sleep_debt, 0) > 3 THEN 1
+                       WHEN coalesce(m.stress_cv, 0) > 0.15 THEN 2 ELSE (SELECT rk FROM fb) END AS rank
+      FROM matched m)
+SELECT user_id, TESTSTART, TESTID, offset_us, ([{ids}])[rank + 1] AS course_id, fatigue_score > 0.3 AS gets_advice
+FROM c"""
+
+
+def q_asof_nearest_tests(tol_us: int = TOL_US) -> str:
+    return with_(FEEDS, "hr_src AS (SELECT * FROM hr_raw)", HR_CLEAN) + f""",
+p AS (SELECT DISTINCT user_id, TESTSTART, TESTID FROM pvt_raw),
+c AS (SELECT p.*, h.HRTIME AS nearest_hrtime, h.HR AS nearest_hr,
+             row_number() OVER (PARTITION BY p.user_id, p.TESTSTART, p.TESTID
+                                ORDER BY abs(h.t - epoch_us(p.TESTSTART)), h.t) AS rn
+      FROM p JOIN hr_clean h ON p.user_id = h.user_id AND abs(h.t - epoch_us(p.TESTSTART)) <= {tol_us})
+SELECT p.user_id, p.TESTSTART, p.TESTID, c.nearest_hrtime, round((c.nearest_hr) + 2.5e-8, 6) AS nearest_hr
+FROM p LEFT JOIN (SELECT * FROM c WHERE rn = 1) c
+  ON p.user_id = c.user_id AND p.TESTSTART = c.TESTSTART AND p.TESTID = c.TESTID"""
+
+
+def q_asof_backward_sleep() -> str:
+    return with_(FEEDS, "hr_src AS (SELECT * FROM hr_raw)", "sleep_src AS (SELECT * FROM sleep_raw)", HR_CLEAN, SLEEP_FEAT) + """
+SELECT h.user_id, h.HRTIME, s."END" AS last_sleep_end, round((s.cum_sleep_debt) + 2.5e-8, 6) AS cum_sleep_debt
+FROM hr_clean h ASOF LEFT JOIN sleep_feat s ON h.user_id = s.user_id AND h.t >= s.end_us"""
+
+
+# ---------------------------------------------------------------- sources
+def q_csv_roundtrip() -> str:
+    return with_(FEEDS) + """
+SELECT user_id, HRTIME, round((HR) + 2.5e-8, 6) AS HR FROM hr_raw"""
+
+
+def q_limit_rows(n: int = 1000) -> str:
+    return f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, round((o_totalprice) + 2.5e-8, 6) AS o_totalprice, o_orderdate,
+       o_orderpriority FROM orders ORDER BY o_orderkey LIMIT {n}"""
+
+
+def q_discover_users() -> str:
+    return with_(FEEDS) + """
+SELECT DISTINCT user_id FROM hr_raw"""
+
+
+def q_users_with_all_feeds() -> str:
+    return with_(FEEDS, TRAIN_USERS) + """
+SELECT user_id FROM users"""
+
+
+def q_dataset_profile() -> str:
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    return f"""
+SELECT 'orders' AS name, CAST(count(*) AS BIGINT) AS num_rows, CAST({len(cols)} AS BIGINT) AS num_columns,
+       CAST({nulls} AS BIGINT) AS null_cells FROM orders"""
+
+
+def q_split_outputs_test() -> str:
+    return _train_users() + f""",
+u AS (SELECT DISTINCT user_id FROM matched),
+r AS (SELECT user_id, row_number() OVER (ORDER BY md5(concat('42:', CAST(user_id AS VARCHAR))), user_id) - 1 AS rk,
+             count(*) OVER () AS n FROM u)
+SELECT m.user_id, m.TESTSTART, m.TESTID, m.offset_us, {", ".join("m." + c for c in MODEL_FEATURES)}
+FROM matched m JOIN r ON m.user_id = r.user_id WHERE r.rk < ceil(0.2 * r.n)"""
+
+
+def q_inference_ids() -> str:
+    return with_(FEEDS, INFER_USERS, HR_CLEAN, hr_features_sql(False), SLEEP_FEAT, CONTINUOUS, GRID) + """
+SELECT user_id, make_timestamp(bin) AS HRTIME FROM bins WHERE mean_hr_5min IS NOT NULL AND hours_awake IS NOT NULL"""
+
+
+def q_stream_minute_grid(delay_us: int = 15 * 60_000_000) -> str:
+    return with_(FEEDS) + f""",
+h AS (SELECT user_id, HRTIME, HR FROM hr_raw WHERE HR > 1 AND HR < 180),
+g AS (SELECT user_id, time_bucket(INTERVAL 1 MINUTE, HRTIME) AS HRTIME, avg(HR) AS HR, count(*) AS n FROM h GROUP BY ALL)
+SELECT user_id, HRTIME, round((HR) + 2.5e-8, 6) AS HR, CAST(n AS BIGINT) AS n_readings FROM g
+WHERE epoch_us(HRTIME) + 60000000 <= (SELECT epoch_us(max(HRTIME)) FROM h) - {delay_us}"""
+
+
+def q_validate_inputs() -> str:
+    """Same rules as ``schemas.MODEL_INPUTS`` on the inference features."""
+    base = with_(FEEDS, INFER_USERS, HR_CLEAN, hr_features_sql(False), SLEEP_FEAT, CONTINUOUS, GRID) + """,
+inf AS (SELECT * FROM bins WHERE mean_hr_5min IS NOT NULL AND hours_awake IS NOT NULL)"""
+    parts = []
+    for f in MODEL_FEATURES:
+        parts.append(f"SELECT 'coerce:{f}' AS rule, 0 AS n_bad")
+        if f != "hr_jumpiness_5min":
+            parts.append(f"SELECT 'null:{f}', count(*) FILTER (WHERE {f} IS NULL) FROM inf")
+        if f in ("circadian_sin", "circadian_cos"):
+            parts.append(f"SELECT 'ge:{f}', count(*) FILTER (WHERE {f} < -1.0) FROM inf")
+            parts.append(f"SELECT 'le:{f}', count(*) FILTER (WHERE {f} > 1.0) FROM inf")
+    parts.append("SELECT 'coerce:user_id', 0")
+    parts.append("SELECT 'unexpected:HRTIME', 1")
+    return base + "\nSELECT 'ModelInputs' AS schema, rule, CAST(n_bad AS BIGINT) AS n_bad FROM (" + "\nUNION ALL ".join(parts) + ")"

@@ -29,6 +29,16 @@ from wakeful.operators import metrics as M
 from wakeful.operators.forest import ForestParams
 from wakeful.operators.split import group_kfold, group_split
 from wakeful.plans import modeling as MD
+from wakeful.plans import scoring as SC
+from wakeful.operators import advise as AD
+from wakeful.operators import schemas as SCH
+from wakeful.operators.asof import asof_backward, asof_nearest
+from wakeful.sources import files as FS
+from wakeful.sources.feeds import kb_feed
+from wakeful.sources.payload import build_requests, parse_payload, payload_hr, request_rows
+from wakeful.streaming import telemetry as ST
+from wakeful.session import scratch_path
+from wakeful.settings import MICROS_PER_DAY, MODEL_FEATURES
 from wakeful.sources.feeds import events_feeds, scored_feed, table
 from wakeful.sources.files import users_with_all_feeds
 
@@ -230,7 +240,164 @@ def search_params_q(spark, sf_dir):
     return MD.search_params(samples.where(F.col("split") == "train"), n_trials=2, n_splits=3, threshold=EVAL_T)
 
 
+def _requests(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    return build_requests(f["hr"], f["sleep"], MICROS_PER_DAY, 3)
+
+
+def request_features_q(spark, sf_dir):
+    return round_doubles(SC.request_features(_requests(spark, sf_dir), S))
+
+
+def payload_parse_q(spark, sf_dir):
+    hr = payload_hr(parse_payload(_requests(spark, sf_dir)))
+    from wakeful.functions.scalar import parse_time
+
+    return round_doubles(hr.select("request_id", parse_time("HRTIME").alias("HRTIME"), "HR"))
+
+
+def safety_overrides_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    h, sl = request_rows(f["hr"], f["sleep"], MICROS_PER_DAY, 3)
+    return round_doubles(AD.safety_overrides(h, sl).drop("override_advice"))
+
+
+def _kb(spark, sf_dir):
+    return AD.kb_vectors(kb_feed(table(spark, sf_dir, "embeddings")))
+
+
+def kb_match_q(spark, sf_dir):
+    configure(spark)
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return round_doubles(AD.kb_match(emb, _kb(spark, sf_dir)).drop("embedding"))
+
+
+def _fallback_rank(spark, sf_dir) -> int:
+    """Semantic fallback course: the KB course nearest to the query vector (the
+    embedding ranked right after the KB, standing in for the encoded query text)."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    q = emb.orderBy("vec_id").limit(6).orderBy(F.col("vec_id").desc()).limit(1)
+    return int(AD.kb_match(q, _kb(spark, sf_dir)).select("kb_rank").first()[0])
+
+
+def advice_q(spark, sf_dir):
+    lab = _labelled(spark, sf_dir)
+    c = AD.select_course(lab, _fallback_rank(spark, sf_dir))
+    c = AD.advice_text(c, "fatigue_score", 0.3)
+    return c.select("user_id", "TESTSTART", "TESTID", "offset_us", "course_id", F.col("advice").isNotNull().alias("gets_advice"))
+
+
+def score_requests_q(spark, sf_dir):
+    _, ff = _fitted(spark, sf_dir)
+    return SC.score_requests(_requests(spark, sf_dir), S, ff, _fallback_rank(spark, sf_dir))
+
+
+def validate_inputs_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    inf = inference_features(f["hr"], f["sleep"], S)
+    return SCH.validate(inf.select("user_id", *MODEL_FEATURES, "HRTIME"), SCH.MODEL_INPUTS)
+
+
+def asof_nearest_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    hr = clean_hr(f["hr"], S)
+    p = f["pvt"].select("user_id", "TESTSTART", "TESTID").distinct().withColumn("_tus", ts_us("TESTSTART"))
+    m = asof_nearest(p, hr.select("user_id", "t", "HRTIME", "HR"), ["user_id"], "_tus", "t", ["HRTIME", "HR"], S.tolerance_us, S.bucket_us, "nearest_")
+    return round_doubles(m.select("user_id", "TESTSTART", "TESTID", F.col("nearest_HRTIME").alias("nearest_hrtime"), F.col("nearest_HR").alias("nearest_hr")))
+
+
+def asof_backward_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    hr = clean_hr(f["hr"], S)
+    sl = sleep_features(clean_sleep(f["sleep"], S), S).withColumn("_e", ts_us("END")).withColumn("_s", ts_us("START"))
+    j = asof_backward(hr, sl, ["user_id"], "t", "_e", ["END", "cum_sleep_debt"], S.bucket_us, right_order=["_s"])
+    return round_doubles(j.select("user_id", "HRTIME", F.col("END").alias("last_sleep_end"), "cum_sleep_debt"))
+
+
+def csv_roundtrip_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    path = scratch_path(spark, "hr-csv")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    f["hr"].write.option("header", True).option("timestampNTZFormat", fmt).csv(path)
+    back = spark.read.option("timestampNTZFormat", fmt).csv(path, header=True, schema="user_id long, HRTIME timestamp_ntz, HR double")
+    return round_doubles(back)
+
+
+def limit_rows_q(spark, sf_dir):
+    configure(spark)
+    return round_doubles(FS.read_parquet(spark, f"{sf_dir}/orders.parquet", limit=1000, order_by=["o_orderkey"]))
+
+
+def discover_users_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    path = scratch_path(spark, "hr-by-user")
+    f["hr"].write.partitionBy("user_id").csv(path)
+    users = FS.discover_users(spark, path, pattern=None)
+    return users.select(F.col("user_id").cast("long"))
+
+
+def users_with_all_feeds_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    return users_with_all_feeds([f["hr"], f["sleep"], f["pvt"]])
+
+
+def dataset_profile_q(spark, sf_dir):
+    configure(spark)
+    prof = FS.dataset_profile(table(spark, sf_dir, "orders"), "orders")
+    nulls = F.aggregate(F.map_values(F.from_json("null_counts", "map<string,long>")), F.lit(0).cast("long"), lambda a, b: a + b)
+    return prof.select("name", "num_rows", "num_columns", nulls.alias("null_cells"))
+
+
+def split_outputs_test_q(spark, sf_dir):
+    lab = _labelled(spark, sf_dir)
+    samples = lab.join(group_split(lab, "user_id", S.test_size, S.split_seed), "user_id")
+    base = scratch_path(spark, "split")
+    info = FS.write_split_outputs(samples, base, MODEL_FEATURES, "fatigue_score", MD.SAMPLE_KEY)
+    return round_doubles(FS.read_split(spark, info["samples"], "test", info["inputs"]))
+
+
+def inference_ids_q(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    inf = inference_features(f["hr"], f["sleep"], S)
+    info = FS.write_inference_outputs(inf, scratch_path(spark, "inference"))
+    return spark.read.parquet(info["ids"])
+
+
+def stream_minute_grid_q(spark, sf_dir):
+    configure(spark)
+    schema = table(spark, sf_dir, "events").schema
+    out = ST.run_to_table(ST.minute_grid_stream(ST.hr_stream(spark, sf_dir, schema), S), "minute-grid")
+    return round_doubles(spark.read.parquet(out))
+
+
+def stream_request_features_q(spark, sf_dir):
+    req = _requests(spark, sf_dir)
+    src = scratch_path(spark, "requests-in")
+    req.repartition(4, "request_id").write.parquet(src)
+    stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
+    out = ST.score_stream(stream, lambda b: SC.request_features(b, S), "request-features")
+    return round_doubles(spark.read.parquet(out).drop("batch"))
+
+
 QUERIES: dict[str, Query] = {
+    "request_features": request_features_q,
+    "payload_parse": payload_parse_q,
+    "safety_overrides": safety_overrides_q,
+    "kb_match": kb_match_q,
+    "advice": advice_q,
+    "score_requests": score_requests_q,
+    "validate_inputs": validate_inputs_q,
+    "asof_nearest": asof_nearest_q,
+    "asof_backward": asof_backward_q,
+    "csv_roundtrip": csv_roundtrip_q,
+    "limit_rows": limit_rows_q,
+    "discover_users": discover_users_q,
+    "users_with_all_feeds": users_with_all_feeds_q,
+    "dataset_profile": dataset_profile_q,
+    "split_outputs_test": split_outputs_test_q,
+    "inference_ids": inference_ids_q,
+    "stream_minute_grid": stream_minute_grid_q,
+    "stream_request_features": stream_request_features_q,
     "group_split": group_split_q,
     "group_kfold": group_kfold_q,
     "model_importance": model_importance_q,
@@ -262,6 +429,23 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "request_features": O.q_request_features(),
+    "payload_parse": O.q_payload_parse(),
+    "safety_overrides": O.q_safety_overrides(),
+    "kb_match": O.q_kb_match(),
+    "advice": O.q_advice(),
+    "validate_inputs": O.q_validate_inputs(),
+    "asof_nearest": O.q_asof_nearest_tests(),
+    "asof_backward": O.q_asof_backward_sleep(),
+    "csv_roundtrip": O.q_csv_roundtrip(),
+    "limit_rows": O.q_limit_rows(1000),
+    "discover_users": O.q_discover_users(),
+    "users_with_all_feeds": O.q_users_with_all_feeds(),
+    "dataset_profile": O.q_dataset_profile(),
+    "split_outputs_test": O.q_split_outputs_test(),
+    "inference_ids": O.q_inference_ids(),
+    "stream_minute_grid": O.q_stream_minute_grid(),
+    "stream_request_features": O.q_request_features(),
     "group_split": O.q_group_split(),
     "group_kfold": O.q_group_kfold(5),
     "robust_scale": O.q_robust_scale(),

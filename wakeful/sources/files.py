@@ -38,13 +38,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     return path
 
 
-def discover_users(spark: SparkSession, paths: str | Sequence[str], pattern: str = "HR_*.csv") -> DataFrame:
-    """S4 + U3: distinct user ids taken from file names (``HR_<digits>.csv``).
+def discover_users(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = "HR_*.csv") -> DataFrame:
+    """S4 + U3: distinct user ids taken from file names (``HR_<digits>.csv``), or,
+    with ``pattern=None``, from ``user_id=<digits>`` folders of a partitioned table.
 
-    Reads only file metadata columns of a text scan, never the driver's file list."""
+    Reads only file metadata of a text scan (the distinct runs in Spark)."""
     df = spark.read.format("text").load(paths if isinstance(paths, str) else list(paths))
-    name = F.col("_metadata.file_name")
-    ids = df.select(extract_id(name, pattern).alias("user_id")).where(F.col("user_id") != "")
+    if pattern is None:
+        uid = F.regexp_extract(F.col("_metadata.file_path"), r"user_id=(\d+)", 1)
+    else:
+        uid = extract_id(F.col("_metadata.file_name"), pattern)
+    ids = df.select(uid.alias("user_id")).where(F.col("user_id") != "")
     return ids.distinct()
 
 

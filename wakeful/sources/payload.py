@@ -36,6 +36,18 @@ def payload_sleep(parsed: DataFrame, key: str = "request_id") -> DataFrame:
     )
 
 
+def request_rows(hr: DataFrame, sleep: DataFrame, day_us: int, lookback_days: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Feed rows keyed by request (user, day): the day's readings and the sleeps that
+    ended in the day or the ``lookback_days - 1`` days before."""
+    day = F.floor(F.unix_micros(F.col("HRTIME").cast("timestamp")) / day_us).cast("long")
+    h = hr.withColumn("day", day).withColumn("request_id", F.concat_ws("-", F.col("user_id").cast("string"), F.col("day").cast("string")))
+    sday = F.floor(F.unix_micros(F.col("END").cast("timestamp")) / day_us).cast("long")
+    s = sleep.withColumn("_d", sday).withColumn("day", F.explode(F.sequence(F.col("_d"), F.col("_d") + lookback_days - 1)))
+    s = s.drop("_d").withColumn("request_id", F.concat_ws("-", F.col("user_id").cast("string"), F.col("day").cast("string")))
+    s = s.join(h.select("request_id").distinct(), "request_id", "left_semi")
+    return h, s
+
+
 def build_requests(hr: DataFrame, sleep: DataFrame, day_us: int, lookback_days: int = 3) -> DataFrame:
     """Requests from feed tables: one per (user, day) with that day's HR readings and
     the sleeps that ended in the day or the ``lookback_days - 1`` days before.
