@@ -113,6 +113,11 @@ def order_statistics(
     return last if resolved is None else resolved.unionByName(last)
 
 
+# Largest group (rows) that may be handed to Spark's exact ``percentile`` aggregate,
+# which keeps a group's distinct values in one task's memory.
+DIRECT_LIMIT = 2_000_000
+
+
 def exact_quantiles(
     df: DataFrame,
     value_col: str,
@@ -121,17 +126,31 @@ def exact_quantiles(
     levels: int = 2,
     fanout: int = 4096,
     small_groups: bool | None = None,
+    direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group.
 
     Returns group columns, ``p`` (double) and ``q`` (double). Groups with no
-    non-null value are absent.
+    non-null value are absent. One small job measures the largest group; when it is
+    within ``direct_limit`` rows the built-in exact ``percentile`` is used (its
+    per-group memory is then bounded), otherwise histogram refinement.
     """
     df, g = _with_group_key(df, group_cols)
     if small_groups is None:
         small_groups = not group_cols
     v = F.col(value_col).cast("double")
     counts = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.agg(F.max("n")).first()[0] or 0
+    if largest <= direct_limit:
+        probs_arr = F.array(*[F.lit(float(p)) for p in probs])
+        direct = (
+            df.where(v.isNotNull() & ~F.isnan(v))
+            .groupBy(*g)
+            .agg(F.percentile(v, probs_arr).alias("_qs"))
+            .select(*g, F.explode(F.arrays_zip(probs_arr.alias("p"), F.col("_qs").alias("q"))).alias("_z"))
+            .select(*g, F.col("_z.p").alias("p"), F.col("_z.q").alias("q"))
+        )
+        return direct if group_cols else direct.drop(_G)
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     wanted = counts.select(*g, "n", F.explode(probs_arr).alias("p")).withColumn("h", (F.col("n") - 1) * F.col("p"))
     wanted = wanted.withColumn("r_lo", F.floor("h").cast("long")).withColumn(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeful.operators.quantiles import order_statistics
+from wakeful.operators.quantiles import DIRECT_LIMIT, order_statistics
 from wakeful.session import cut_lineage
 
 
@@ -28,11 +28,15 @@ def group_split(df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed
     with the smallest seeded hash. The cut-off hash is found by exact distributed
     selection (no sort of all users in one task). Returns (by, split)."""
     users = df.select(by).distinct().withColumn("_h", user_hash(by, seed))
-    users = cut_lineage(users)
     n = users.count()
     k = math.ceil(test_size * n) if n else 0
     if k == 0:
         return users.select(by, F.lit("train").alias("split"))
+    if n <= DIRECT_LIMIT:
+        # the user table is within the checked bound: rank it in one window
+        rk = F.row_number().over(Window.orderBy("_h", by)) - 1
+        return users.select(by, F.when(rk < k, "test").otherwise("train").alias("split"))
+    users = cut_lineage(users)
     target = users.sparkSession.range(1).select(F.lit(0).alias("_g"), F.lit(k - 1).cast("long").alias("r"))
     cut = order_statistics(users.withColumn("_g", F.lit(0)), "_h", target, ["_g"], small_groups=True)
     cut = cut.select(F.col("value").alias("_cut"), F.lit(0).alias("_g"))
@@ -65,7 +69,12 @@ def group_kfold(df: DataFrame, n_splits: int = 5, by: str = "user_id") -> DataFr
     Returns (by, fold). (The original assigns greedily to the lightest fold; the
     snake is its order-free counterpart.)"""
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = global_rank(sizes, [F.col("_cnt").desc(), F.col(by).asc()], "_r")
+    order = [F.col("_cnt").desc(), F.col(by).asc()]
+    if sizes.count() <= DIRECT_LIMIT:
+        # one row per user, within the checked bound: a single ordered window
+        ranked = sizes.withColumn("_r", F.row_number().over(Window.orderBy(*order)) - 1)
+    else:
+        ranked = global_rank(sizes, order, "_r")
     rnd = F.floor(F.col("_r") / n_splits)
     pos = F.col("_r") % n_splits
     fold = F.when(rnd % 2 == 0, pos).otherwise(n_splits - 1 - pos).cast("int")

@@ -30,7 +30,9 @@ def bucket_of(t, bucket_us: int):
     return F.floor(F.col(t) / F.lit(bucket_us)).cast("long")
 
 
-def hr_series_features(hr: DataFrame, s: FeatureSettings, by: str = "user_id", keep_all: bool = False) -> DataFrame:
+def hr_series_features(
+    hr: DataFrame, s: FeatureSettings, by: str = "user_id", keep_all: bool = False, passthrough: tuple[str, ...] = ()
+) -> DataFrame:
     """W1-W8 on a cleaned series ``(by, t, HR)`` with ``t`` in µs, one row per (by, t).
 
     Returns the input columns plus hr_mean_total, hr_std_total, hr_zscore, hr_diff,
@@ -39,7 +41,8 @@ def hr_series_features(hr: DataFrame, s: FeatureSettings, by: str = "user_id", k
     """
     B = s.bucket_us
     mp = s.min_periods
-    x = hr.select(by, "t", "HR").withColumn("b", bucket_of("t", B))
+    pt = list(passthrough)
+    x = hr.select(by, "t", "HR", *pt, bucket_of("t", B).alias("b"))
 
     # -- phase A: expanding moments and previous row, per (user, bucket) -----
     per_bucket = x.groupBy(by, "b").agg(
@@ -65,7 +68,7 @@ def hr_series_features(hr: DataFrame, s: FeatureSettings, by: str = "user_id", k
     sm = F.col("s0") + F.sum("HR").over(run)
     sq = F.col("q0") + F.sum(F.col("HR") * F.col("HR")).over(run)
     prev = F.coalesce(F.lag(F.struct("t", "HR")).over(wa), F.col("prev_bucket_row"))
-    a = a.select(by, "t", "b", "HR", n.alias("_n"), sm.alias("_s"), sq.alias("_q"), prev.alias("_prev"))
+    a = a.select(by, "t", "b", "HR", *pt, n.alias("_n"), sm.alias("_s"), sq.alias("_q"), prev.alias("_prev"))
     var = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1)
     mean_total = F.when(F.col("_n") >= mp, F.col("_s") / F.col("_n"))
     std_total = F.coalesce(
@@ -80,6 +83,7 @@ def hr_series_features(hr: DataFrame, s: FeatureSettings, by: str = "user_id", k
         "t",
         "b",
         "HR",
+        *pt,
         mean_total.alias("hr_mean_total"),
         std_total.alias("hr_std_total"),
         diff.alias("hr_diff"),

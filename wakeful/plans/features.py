@@ -50,7 +50,7 @@ def continuous_features(
     """Per-reading feature rows (before the grid): HR windows, last sleep, hours
     awake (imputed), inertia and circadian terms."""
     hr = clean_hr(hr_raw, s, by)
-    feats = hr_series_features(hr, s, by).withColumn("HRTIME", us_to_ts("t"))
+    feats = hr_series_features(hr, s, by, passthrough=("HRTIME",))
     sl = sleep_features(clean_sleep(sleep_raw, s, by, dedupe=dedupe_sleep), s, by)
     sl = sl.withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
     j = asof_backward(feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"])

@@ -29,7 +29,7 @@ def request_features(requests: DataFrame, s: FeatureSettings) -> DataFrame:
     parsed = parse_payload(requests, "payload", KEY)
     hr = clean_hr(payload_hr(parsed, KEY), s, KEY)
     sleep = clean_sleep(payload_sleep(parsed, KEY), s, KEY, dedupe=False)
-    feats = hr_series_features(hr, s, KEY).withColumn("HRTIME", us_to_ts("t"))
+    feats = hr_series_features(hr, s, KEY, passthrough=("HRTIME",))
     sl = sleep_features(sleep, s, KEY).withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
     j = asof_backward(feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us"])
     j = j.withColumn("hours_awake", hours_awake("t", "_end_us"))
