@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeful.functions.scalar import nan_to_null
 from wakeful.operators.clean import coerce_numeric
 from wakeful.operators.metrics import attach_row
 from wakeful.operators.prefix import running_totals
@@ -21,7 +22,7 @@ from wakeful.operators.quantiles import column_quantiles, exact_quantiles
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value) rows, one per input row and column."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), nan_to_null(F.col(c).cast("double")).alias("value")) for c in columns])
     return df.select(*keep, F.explode(pairs).alias("kv")).select(*keep, "kv.feature", "kv.value")
 
 
@@ -167,7 +168,7 @@ def apply_impute_scale(df: DataFrame, params: DataFrame, columns: Sequence[str])
     out = x.select(
         *[c for c in df.columns if c not in columns],
         *[
-            ((F.coalesce(F.col(c), F.col(f"{c}_fill"), F.lit(0.0)) - F.col(f"{c}_center")) / F.col(f"{c}_scale")).alias(c)
+            ((F.coalesce(nan_to_null(F.col(c).cast("double")), F.col(f"{c}_fill"), F.lit(0.0)) - F.col(f"{c}_center")) / F.col(f"{c}_scale")).alias(c)
             for c in columns
         ],
     )
