@@ -642,3 +642,12 @@ inf AS (SELECT * FROM bins WHERE mean_hr_5min IS NOT NULL AND hours_awake IS NOT
     parts.append("SELECT 'coerce:user_id', 0")
     parts.append("SELECT 'unexpected:HRTIME', 1")
     return base + "\nSELECT 'ModelInputs' AS schema, rule, CAST(n_bad AS BIGINT) AS n_bad FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+def q_metric_thresholds() -> str:
+    limits = "(VALUES ('rmse', 0.5, false), ('mae', 0.45, false), ('r2', 0.0, true)) t(metric, threshold, greater_is_better)"
+    return f"""
+WITH m AS ({q_regression_metrics()})
+SELECT m.metric, m.value, round((t.threshold) + 2.5e-8, 6) AS threshold, t.greater_is_better,
+       CASE WHEN t.greater_is_better THEN m.value >= t.threshold ELSE m.value <= t.threshold END AS passed
+FROM m JOIN {limits} ON m.metric = t.metric"""

@@ -379,7 +379,15 @@ def stream_request_features_q(spark, sf_dir):
     return round_doubles(spark.read.parquet(out).drop("batch"))
 
 
+METRIC_LIMITS = {"rmse": (0.5, False), "mae": (0.45, False), "r2": (0.0, True)}  # example pass/fail gates
+
+
+def metric_thresholds_q(spark, sf_dir):
+    return round_doubles(M.metric_thresholds(M.regression_metrics(_scored(spark, sf_dir)), METRIC_LIMITS))
+
+
 QUERIES: dict[str, Query] = {
+    "metric_thresholds": metric_thresholds_q,
     "request_features": request_features_q,
     "payload_parse": payload_parse_q,
     "safety_overrides": safety_overrides_q,
@@ -429,6 +437,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "metric_thresholds": O.q_metric_thresholds(),
     "request_features": O.q_request_features(),
     "payload_parse": O.q_payload_parse(),
     "safety_overrides": O.q_safety_overrides(),
