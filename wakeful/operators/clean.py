@@ -33,12 +33,20 @@ def _as_timestamp(df: DataFrame, c: str) -> DataFrame:
     return df.withColumn(c, F.col(c).cast("timestamp_ntz"))
 
 
-def clean_hr(raw: DataFrame, s: FeatureSettings, by: str = "user_id") -> DataFrame:
+def clean_hr(raw: DataFrame, s: FeatureSettings, by: str = "user_id", bucketed: bool = False) -> DataFrame:
     """P3 + A1: parse time, drop null HR, keep HR strictly inside the bounds, average
-    duplicate timestamps. Returns (by, HRTIME, HR, t) with t in µs."""
+    duplicate timestamps. Returns (by, HRTIME, HR, t) with t in µs.
+
+    ``bucketed``: also return the time bucket ``b`` and leave the rows hash-partitioned
+    by (by, b), the layout the series windows need, so the de-duplication and the
+    windows share one shuffle."""
     df = _as_timestamp(raw, "HRTIME").withColumn("HR", nan_to_null(F.col("HR").cast("double")))
     lo, hi = s.hr_limits
     df = df.where(F.col("HRTIME").isNotNull() & (F.col("HR") > lo) & (F.col("HR") < hi))
+    if bucketed:
+        df = df.withColumn("b", F.floor(ts_us("HRTIME") / F.lit(s.bucket_us)).cast("long")).repartition(by, "b")
+        out = df.groupBy(by, "b", "HRTIME").agg(F.avg("HR").alias("HR"))
+        return out.withColumn("t", ts_us("HRTIME"))
     out = df.groupBy(by, "HRTIME").agg(F.avg("HR").alias("HR"))
     return out.withColumn("t", ts_us("HRTIME"))
 

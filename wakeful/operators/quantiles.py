@@ -62,7 +62,7 @@ def order_statistics(
     hint = F.broadcast if small_groups else (lambda x: x)
     stats = base.groupBy(*g).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     # current search state per target: value range [lo, hi] and rows below it
-    state = cut_lineage(targets.join(hint(stats), g).withColumn("below", F.lit(0).cast("long")))
+    state = cut_lineage(targets.join(hint(stats), g).withColumn("below", F.lit(0).cast("long")), "qstate")
     resolved = None
     for _ in range(levels):
         ranges = state.select(*g, "lo", "hi").distinct()
@@ -92,7 +92,7 @@ def order_statistics(
         )
         # the search state is tiny (#groups x #ranks rows); cutting its lineage keeps
         # the plan linear in the number of levels instead of nesting every level
-        state = cut_lineage(state)
+        state = cut_lineage(state, "qstate")
         done = state.where(F.col("lo") == F.col("hi")).select(*g, "r", F.col("lo").alias("value"))
         resolved = done if resolved is None else resolved.unionByName(done)
         state = state.where(F.col("lo") < F.col("hi"))
@@ -161,7 +161,7 @@ def exact_quantiles(
         .unionByName(wanted.select(*g, F.col("r_hi").alias("r")))
         .distinct()
     )
-    stats = cut_lineage(order_statistics(df, value_col, targets, g, levels, fanout, small_groups))
+    stats = cut_lineage(order_statistics(df, value_col, targets, g, levels, fanout, small_groups), "qstats")
     lo = stats.select(*g, F.col("r").alias("r_lo"), F.col("value").alias("x_lo"))
     hi = stats.select(*g, F.col("r").alias("r_hi"), F.col("value").alias("x_hi"))
     out = (

@@ -42,7 +42,9 @@ def hr_series_features(
     B = s.bucket_us
     mp = s.min_periods
     pt = list(passthrough)
-    x = hr.select(by, "t", "HR", *pt, bucket_of("t", B).alias("b"))
+    # rows from clean_hr(bucketed=True) already carry b and its partitioning
+    bcol = F.col("b") if "b" in hr.columns else bucket_of("t", B).alias("b")
+    x = hr.select(by, "t", "HR", *pt, bcol)
 
     # -- phase A: expanding moments and previous row, per (user, bucket) -----
     per_bucket = x.groupBy(by, "b").agg(

@@ -49,7 +49,7 @@ def continuous_features(
 ) -> DataFrame:
     """Per-reading feature rows (before the grid): HR windows, last sleep, hours
     awake (imputed), inertia and circadian terms."""
-    hr = clean_hr(hr_raw, s, by)
+    hr = clean_hr(hr_raw, s, by, bucketed=True)
     feats = hr_series_features(hr, s, by, passthrough=("HRTIME",))
     sl = sleep_features(clean_sleep(sleep_raw, s, by, dedupe=dedupe_sleep), s, by)
     sl = sl.withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
@@ -57,7 +57,7 @@ def continuous_features(
     j = j.withColumnRenamed("END", "last_sleep_end").withColumn("hours_awake", hours_awake("t", "_end_us"))
     if materialize:
         # stage boundary: the median imputation scans this table several times
-        j = cut_lineage(j)
+        j = cut_lineage(j, "continuous")
     j = impute_awake(j, s, "user_median" if impute == "user_median" else "constant", by)
     return add_time_features(j, "HRTIME")
 

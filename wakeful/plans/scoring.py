@@ -27,7 +27,7 @@ def request_features(requests: DataFrame, s: FeatureSettings) -> DataFrame:
     """Feature vector of the latest moment of every request (or the fallback)."""
     s = s.with_(max_gap_us=None)
     parsed = parse_payload(requests, "payload", KEY)
-    hr = clean_hr(payload_hr(parsed, KEY), s, KEY)
+    hr = clean_hr(payload_hr(parsed, KEY), s, KEY, bucketed=True)
     sleep = clean_sleep(payload_sleep(parsed, KEY), s, KEY, dedupe=False)
     feats = hr_series_features(hr, s, KEY, passthrough=("HRTIME",))
     sl = sleep_features(sleep, s, KEY).withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))

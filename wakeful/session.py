@@ -69,10 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wakeful-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage", small: bool = False) -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back: the lineage is cut, the table survives executor loss, and it is
+    computed once (an eager ``checkpoint()`` computes the plan twice unless cached).
+    ``small`` marks tables that are tiny by construction (written by one task)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    (df.coalesce(1) if small else df).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_sf_dir() -> str:
