@@ -64,3 +64,18 @@ def test_bucket_size_does_not_change_results(spark):
     b = hr_series_features(df, DEFAULTS.with_(bucket_us=10**12)).toPandas().sort_values("t")
     for c in COLS:
         np.testing.assert_allclose(a[c].to_numpy(float), b[c].to_numpy(float), rtol=1e-9, atol=1e-9, err_msg=c)
+
+
+def test_rolling_sleep_debt_across_buckets(spark):
+    from wakeful.operators.windows import sleep_features
+
+    rng = np.random.default_rng(4)
+    ends = np.sort(rng.choice(np.arange(0, 60 * 24 * 40), 60, replace=False)) * MICROS_PER_MINUTE + 1_700_000_000_000_000
+    dur = np.round(rng.uniform(1, 10, 60), 3)
+    pdf = pd.DataFrame({"user_id": 1, "END": pd.to_datetime(ends, unit="us"), "duration": dur})
+    pdf["START"] = pdf["END"] - pd.to_timedelta(np.round(dur * 3600e6).astype("int64"), unit="us")
+    want = (8.0 - pdf["duration"]).rolling(3, min_periods=1).sum().to_numpy()
+    df = spark.createDataFrame(pdf).selectExpr("user_id", "CAST(START AS timestamp_ntz) START", "CAST(END AS timestamp_ntz) `END`", "duration")
+    for bucket in (86_400_000_000, 3 * 86_400_000_000, 10**13):
+        got = sleep_features(df, DEFAULTS.with_(bucket_us=bucket)).orderBy("END").toPandas()["cum_sleep_debt"].to_numpy()
+        np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)

@@ -117,20 +117,42 @@ def hr_series_features(
 
 
 def sleep_features(sleep: DataFrame, s: FeatureSettings, by: str = "user_id") -> DataFrame:
-    """F4 + W9: debt = need - duration; cum_sleep_debt = sum over the last ``debt_rows``
-    sleeps in (END, START) order.
+    """F4 + W9: debt = need - duration; cum_sleep_debt = sum of the debts of the last
+    three sleeps (this one included) in (END, START) order.
 
-    Sleep is a daily series (one row per night), so a per-user window is small even
-    for the heaviest user.
+    Computed per (user, time bucket of END): the two debts that precede a bucket
+    come from a per-bucket table (last and second-to-last debt of every non-empty
+    bucket, looked up with ``lag`` over the user's buckets), so no window runs over
+    all of one user's rows.
     """
-    w = Window.partitionBy(by).orderBy("END", "START").rowsBetween(-(s.debt_rows - 1), 0)
-    return sleep.select(
+    if s.debt_rows != 3:
+        raise ValueError("the bucketed rolling debt is written for the 3-sleep window")
+    x = sleep.select(by, "START", "END", "duration").withColumn("_debt", sleep_debt("duration", s.sleep_need_hours))
+    x = x.withColumn("_b", bucket_of_ts("END", s.bucket_us))
+    w = Window.partitionBy(by, "_b").orderBy("END", "START")
+    x = x.withColumn("_rn", F.row_number().over(w)).withColumn("_d1", F.lag("_debt", 1).over(w)).withColumn(
+        "_d2", F.lag("_debt", 2).over(w)
+    )
+    per_bucket = x.groupBy(by, "_b").agg(
+        F.max_by("_debt", "_rn").alias("_last"),
+        F.max_by("_d1", "_rn").alias("_second"),
+    )
+    wu = Window.partitionBy(by).orderBy("_b")
+    carry = per_bucket.select(
         by,
-        "START",
-        "END",
-        "duration",
-        F.sum(sleep_debt("duration", s.sleep_need_hours)).over(w).alias("cum_sleep_debt"),
+        "_b",
+        F.lag("_last", 1).over(wu).alias("_c1"),
+        F.coalesce(F.lag("_second", 1).over(wu), F.lag("_last", 2).over(wu)).alias("_c2"),
     )
+    x = x.join(carry, [by, "_b"])
+    older = F.when(F.col("_rn") == 1, F.col("_c2")).when(F.col("_rn") == 2, F.col("_c1")).otherwise(F.col("_d2"))
+    prev = F.when(F.col("_rn") == 1, F.col("_c1")).otherwise(F.col("_d1"))
+    total = F.coalesce(older, F.lit(0.0)) + F.coalesce(prev, F.lit(0.0)) + F.col("_debt")
+    return x.select(by, "START", "END", "duration", total.alias("cum_sleep_debt"))
+
+
+def bucket_of_ts(ts: str, bucket_us: int):
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_us)).cast("long")
 
 
 def add_time_features(df: DataFrame, ts: str = "HRTIME") -> DataFrame:
