@@ -214,7 +214,7 @@ def model_importance_q(spark, sf_dir):
 def batch_inference_q(spark, sf_dir):
     _, ff = _fitted(spark, sf_dir)
     f = _feeds(spark, sf_dir)
-    return MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T, limit=5000)
+    return MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T, limit=None)
 
 
 def evaluate_model_q(spark, sf_dir):
