@@ -30,19 +30,29 @@ def asof_backward(
     bucket_us: int,
     right_order: Sequence[str] = (),
     prefix: str = "",
+    bucket_col: str | None = None,
 ) -> DataFrame:
     """Left as-of join: for each left row the right row with the largest
     (right_t, *right_order) such that right_t <= left_t (exact matches allowed).
 
     Times are µs longs. Right columns (and ``right_t``) are appended, renamed with
     ``prefix``; unmatched left rows get NULLs (J6: left rows are never lost).
+    ``bucket_col``: the left side already carries floor(left_t / bucket_us) under this
+    name and is hash-partitioned by (by, bucket_col); the right side is then
+    partitioned the same way, so the union keeps that partitioning and the left
+    side is not shuffled again.
     """
     by = list(by)
     payload = [right_t, *[c for c in right_cols if c != right_t]]
     order_key = F.struct(F.col(right_t), *[F.col(c) for c in right_order])
     rstruct = F.struct(*[F.col(c).alias(c) for c in payload])
-    L = left.withColumn("_b", bucket_of(left_t, bucket_us))
+    if bucket_col is None:
+        L = left.withColumn("_b", bucket_of(left_t, bucket_us))
+    else:
+        L = left.withColumnRenamed(bucket_col, "_b")
     R = right.select(*by, *set(payload) | set(right_order)).withColumn("_b", bucket_of(right_t, bucket_us))
+    if bucket_col is not None:
+        R = R.repartition(*by, "_b")
 
     # carry: last right row of every earlier bucket
     rb = R.groupBy(*by, "_b").agg(F.max_by(rstruct, order_key).alias("_last"))
@@ -64,8 +74,9 @@ def asof_backward(
     u = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w.rowsBetween(UNB, 0)))
     u = u.where(F.col("_side") == 1).join(carry, [*by, "_b"], "left")
     m = F.coalesce(F.col("_m"), F.col("_carry"))
-    out = u.select(*left.columns, *[m.getField(c).alias(prefix + c) for c in payload])
-    return out
+    keep = [c if c != bucket_col else "_b" for c in left.columns]
+    out = u.select(*keep, *[m.getField(c).alias(prefix + c) for c in payload])
+    return out.withColumnRenamed("_b", bucket_col) if bucket_col else out
 
 
 def asof_nearest(

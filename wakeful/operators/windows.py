@@ -108,9 +108,11 @@ def hr_series_features(
             "hr_jumpiness_5min"
         ),
     ).where(F.col("_shift") == 0)
+    # keep the bucket (as ``b``): the rows stay hash-partitioned by (by, b) for the
+    # next bucketed operator (the as-of join to sleep)
     out = out.withColumn("stress_cv", F.col("hr_volatility_5min") / (F.col("mean_hr_5min") + 0.1)).drop(
-        "_shift", "bb", "b"
-    )
+        "_shift", "b"
+    ).withColumnRenamed("bb", "b")
     if not keep_all:
         out = out.where(F.col("mean_hr_5min").isNotNull())
     return out

@@ -53,8 +53,8 @@ def continuous_features(
     feats = hr_series_features(hr, s, by, passthrough=("HRTIME",))
     sl = sleep_features(clean_sleep(sleep_raw, s, by, dedupe=dedupe_sleep), s, by)
     sl = sl.withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
-    j = asof_backward(feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"])
-    j = j.withColumnRenamed("END", "last_sleep_end").withColumn("hours_awake", hours_awake("t", "_end_us"))
+    j = asof_backward(feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"], bucket_col="b")
+    j = j.withColumnRenamed("END", "last_sleep_end").withColumn("hours_awake", hours_awake("t", "_end_us")).drop("b")
     if materialize:
         # stage boundary: the median imputation scans this table several times
         j = cut_lineage(j, "continuous")

@@ -58,7 +58,7 @@ def hr_clean_q(spark, sf_dir):
 def hr_features_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     hr = clean_hr(f["hr"], S, bucketed=True)
-    out = hr_series_features(hr, S, passthrough=("HRTIME",))
+    out = hr_series_features(hr, S, passthrough=("HRTIME",)).drop("b")
     cols = "HR hr_diff hr_mean_total hr_std_total hr_zscore mean_hr_5min hr_volatility_5min hr_jumpiness_5min stress_cv"
     return round_doubles(out.select("user_id", "HRTIME", *cols.split()))
 

@@ -31,8 +31,8 @@ def request_features(requests: DataFrame, s: FeatureSettings) -> DataFrame:
     sleep = clean_sleep(payload_sleep(parsed, KEY), s, KEY, dedupe=False)
     feats = hr_series_features(hr, s, KEY, passthrough=("HRTIME",))
     sl = sleep_features(sleep, s, KEY).withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
-    j = asof_backward(feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us"])
-    j = j.withColumn("hours_awake", hours_awake("t", "_end_us"))
+    j = asof_backward(feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us"], bucket_col="b")
+    j = j.withColumn("hours_awake", hours_awake("t", "_end_us")).drop("b")
     j = add_time_features(impute_awake(j, s, "constant", KEY), "HRTIME")
     last = latest_row(j.select(KEY, "t", *[c for c in MODEL_FEATURES if c in j.columns]), KEY, "t")
     vec = feature_vector(last, MODEL_FEATURES, keep=[KEY])
