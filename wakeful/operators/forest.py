@@ -14,8 +14,7 @@ property tests, not value equality.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -141,10 +140,3 @@ def tree_nodes(ff: FittedForest) -> list[dict]:
     ).collect()
     return [r.asDict() for r in rows]
 
-
-def evaluate_params(p: ForestParams) -> dict:
-    return asdict(p)
-
-
-def feature_list(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> list[str]:
-    return [f for f in features if f in df.columns]

@@ -95,15 +95,6 @@ def inference_features(hr_raw: DataFrame, sleep_raw: DataFrame, s: FeatureSettin
     return bins.drop("grid_us", *INFERENCE_LEAKAGE)
 
 
-def split_outputs(samples: DataFrame, split: DataFrame, by: str = "user_id") -> DataFrame:
-    """S6 source table: samples with their split label (train/test)."""
-    return samples.join(split, by)
-
-
-def with_keys(df: DataFrame, cols) -> DataFrame:
-    return df.select(*cols, *[c for c in df.columns if c not in cols])
-
-
 ROUND_NUDGE = 2.5e-8  # fixed value, shared with the oracle SQL
 
 
