@@ -50,3 +50,13 @@ def test_forest_importances_and_shap_additivity(spark):
     recon = shap["expected_value"] + shap[[f"shap_{f}" for f in MODEL_FEATURES]].astype(float).sum(axis=1)
     raw = ff.model.transform(prepared).select("k", "prediction").toPandas().set_index("k")["prediction"]
     assert np.max(np.abs(recon - raw.loc[recon.index])) < 1e-5
+
+
+def test_large_scale_branches_agree(spark):
+    df = _samples(spark, n=600, users=57)
+    a = {r.user_id: r.split for r in group_split(df, "user_id", 0.2, 42).collect()}
+    b = {r.user_id: r.split for r in group_split(df, "user_id", 0.2, 42, direct_limit=0).collect()}
+    assert a == b
+    fa = {r.user_id: r.fold for r in group_kfold(df, 5).collect()}
+    fb = {r.user_id: r.fold for r in group_kfold(df, 5, direct_limit=0).collect()}
+    assert fa == fb

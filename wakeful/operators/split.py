@@ -23,7 +23,9 @@ def user_hash(by: str, seed: int):
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
-def group_split(df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
+def group_split(
+    df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed: int = 42, direct_limit: int = DIRECT_LIMIT
+) -> DataFrame:
     """M1: users (not rows) to train/test; test = the ceil(test_size * users) users
     with the smallest seeded hash. The cut-off hash is found by exact distributed
     selection (no sort of all users in one task). Returns (by, split)."""
@@ -32,7 +34,7 @@ def group_split(df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed
     k = math.ceil(test_size * n) if n else 0
     if k == 0:
         return users.select(by, F.lit("train").alias("split"))
-    if n <= DIRECT_LIMIT:
+    if n <= direct_limit:
         # the user table is within the checked bound: rank it in one window
         rk = F.row_number().over(Window.orderBy("_h", by)) - 1
         return users.select(by, F.when(rk < k, "test").otherwise("train").alias("split"))
@@ -63,14 +65,14 @@ def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank") -> Data
     )
 
 
-def group_kfold(df: DataFrame, n_splits: int = 5, by: str = "user_id") -> DataFrame:
+def group_kfold(df: DataFrame, n_splits: int = 5, by: str = "user_id", direct_limit: int = DIRECT_LIMIT) -> DataFrame:
     """M2: no user in two folds; users ordered by size (desc, then id) are dealt
     to folds in a snake (0..k-1, k-1..0, ...), which keeps folds balanced by rows.
     Returns (by, fold). (The original assigns greedily to the lightest fold; the
     snake is its order-free counterpart.)"""
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_cnt"))
     order = [F.col("_cnt").desc(), F.col(by).asc()]
-    if sizes.count() <= DIRECT_LIMIT:
+    if sizes.count() <= direct_limit:
         # one row per user, within the checked bound: a single ordered window
         ranked = sizes.withColumn("_r", F.row_number().over(Window.orderBy(*order)) - 1)
     else:
