@@ -42,3 +42,18 @@ def test_grid_key_ties_go_backward(spark):
     df = spark.createDataFrame([(30_000_000, 0, 10 * g), (90_000_000, 0, 10 * g), (-5, 0, 10 * g), (11 * g, 0, 10 * g)], "m long, f long, l long")
     got = [r[0] for r in df.select(nearest_grid_key("m", "f", "l", g)).collect()]
     assert got == [0, g, 0, 10 * g]
+
+
+def test_grid_match_tolerance_is_inclusive(spark):
+    from wakeful.operators.asof import nearest_grid_match
+
+    g = MICROS_PER_MINUTE
+    tol = 15 * g
+    bins = spark.createDataFrame([(1, 0, 1.0), (1, 10 * g, 2.0)], "user_id long, grid_us long, mean_hr_5min double")
+    extent = spark.createDataFrame([(1, 0, 10 * g)], "user_id long, first_bin long, last_bin long")
+    tests = spark.createDataFrame(
+        [(1, "exact", 25 * g), (1, "over", 25 * g + 1), (1, "tie", 30_000_000), (1, "gap", 5 * g + 30_000_000), (2, "nouser", 0)],
+        "user_id long, name string, match_us long",
+    )
+    got = {r.name: r.mean_hr_5min for r in nearest_grid_match(tests, bins, extent, "match_us", g, tol).collect()}
+    assert got == {"exact": 2.0, "over": None, "tie": 1.0, "gap": None, "nouser": None}

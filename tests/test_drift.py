@@ -46,3 +46,23 @@ def test_fit_impute_scale(spark):
     assert p.fill == 2.0 and abs(p.center - filled.mean()) < 1e-12 and abs(p.scale - filled.std()) < 1e-12
     out = [r.x for r in D.apply_impute_scale(df, D.fit_impute_scale(df, ["x"]), ["x"]).collect()]
     assert abs(np.mean(out)) < 1e-12
+
+
+def _long(spark, a, b):
+    return spark.createDataFrame(
+        pd.DataFrame({"side": [0] * len(a) + [1] * len(b), "feature": "x", "value": np.concatenate([a, b]).astype(float)})
+    )
+
+
+def test_drift_pairs(spark):
+    rng = np.random.default_rng(9)
+    a = np.round(rng.normal(0, 1, 500), 3)
+    same = D.ks_two_sample(D.robust_scale_long(_long(spark, a, a), ("feature", "side"))).first()
+    assert same.statistic == 0.0 and same.p_value == 1.0 and not same.drift_detected
+    shifted = _long(spark, a, a + 5.0)
+    own = D.ks_two_sample(D.robust_scale_long(shifted, ("feature", "side"))).first()
+    ref = D.ks_two_sample(D.robust_scale_long(shifted, ("feature", "side"), fit_on_side=0)).first()
+    assert own.statistic < 0.02 and not own.drift_detected  # invisible by design when each side scales itself
+    assert ref.statistic > 0.9 and ref.drift_detected
+    reshaped = D.ks_two_sample(D.robust_scale_long(_long(spark, a, np.round(rng.exponential(1, 500), 3)), ("feature", "side"))).first()
+    assert reshaped.drift_detected

@@ -39,10 +39,19 @@ def robust_params(long: DataFrame, group_cols: Sequence[str] = ("feature",)) ->
     return p.select(*group_cols, "center", F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
 
 
-def robust_scale_long(long: DataFrame, group_cols: Sequence[str] = ("feature",)) -> DataFrame:
-    """A5 fit + transform on the long table: (value - median) / IQR per group."""
-    params = robust_params(long, group_cols)
-    return long.join(F.broadcast(params), list(group_cols)).withColumn(
+def robust_scale_long(long: DataFrame, group_cols: Sequence[str] = ("feature",), fit_on_side: int | None = None) -> DataFrame:
+    """A5 fit + transform on the long table: (value - median) / IQR per group.
+
+    ``fit_on_side``: fit on one side only (e.g. 0 = reference) and apply those
+    parameters to both, so pure shifts or scale changes stay visible to the KS test
+    (the default, each side scaled by itself, hides them as the original does)."""
+    if fit_on_side is None:
+        params = robust_params(long, group_cols)
+        keys = list(group_cols)
+    else:
+        keys = [c for c in group_cols if c != "side"]
+        params = robust_params(long.where(F.col("side") == fit_on_side), keys)
+    return long.join(F.broadcast(params), keys).withColumn(
         "value", (F.col("value") - F.col("center")) / F.col("scale")
     ).drop("center", "scale")
 
