@@ -22,12 +22,34 @@ def _windows(df):
     return [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
 
 
-def _partition_specs(df):
+def _groups(text):
+    """Top-level [...] groups of a plan line."""
+    out, depth, start = [], 0, None
+    for i, ch in enumerate(text):
+        if ch == "[":
+            if depth == 0:
+                start = i + 1
+            depth += 1
+        elif ch == "]":
+            depth -= 1
+            if depth == 0:
+                out.append(text[start:i])
+    return out
+
+
+def _partition_specs(df, bounded_prefix: str = "sum(_t_"):
+    """Partition keys of every Window operator over data. Spark prints
+    ``Window [functions], [partition keys], [order keys]`` and drops the middle list
+    when there is no partition key. Windows over the bucket-totals table of
+    ``running_totals`` (at most ``buckets`` rows, functions over ``_t_*``) are bounded
+    by construction and reported as "bounded"."""
     specs = []
     for line in _windows(df):
-        # Window [functions], [partition keys], [order keys]
-        m = re.search(r"\], \[([^\]]*)\], \[", line)
-        specs.append(m.group(1) if m else "?")
+        g = _groups(line[line.index("Window [") + len("Window "):])
+        spec = g[1] if len(g) >= 3 else ""
+        if not spec and bounded_prefix in g[0]:
+            spec = "bounded"
+        specs.append(spec)
     return specs
 
 
