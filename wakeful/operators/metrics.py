@@ -55,9 +55,14 @@ def confusion_counts(df: DataFrame, y_true: str, y_pred: str, threshold: float,
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate to every row (broadcast hash join
-    on a constant key; the right side is a single row by construction)."""
-    return df.withColumn("_one", F.lit(0)).join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one").drop("_one")
+    """Append the columns of a one-row aggregate to every row as literals.
+
+    The aggregate is a single row of scalars by construction; reading it is one
+    small job and keeps the plan free of joins (no cross product with a 1-row side)."""
+    row = one_row.first()
+    fields = {f.name: f.dataType for f in one_row.schema.fields}
+    vals = row.asDict() if row is not None else {k: None for k in fields}
+    return df.select("*", *[F.lit(vals[k]).cast(fields[k]).alias(k) for k in fields])
 
 
 def _div(a, b):

@@ -28,7 +28,9 @@ def running_totals(
     prefix: str = "cum_",
 ) -> DataFrame:
     g = list(group_cols) or [_G]
-    x = df if group_cols else df.withColumn(_G, F.lit(0))
+    # global case: a data-derived key (0 for every non-null key) instead of a literal,
+    # so the optimizer cannot fold the join below into a cross product
+    x = df if group_cols else df.withColumn(_G, F.col(order_col).isNull().cast("int"))
     key = -F.col(order_col) if descending else F.col(order_col)
     x = x.withColumn("_key", key.cast("double"))
     stats = x.groupBy(*g).agg(F.min("_key").alias("_lo"), F.max("_key").alias("_hi"))

@@ -34,10 +34,13 @@ from wakeful.session import cut_lineage
 _G = "__g"
 
 
-def _with_group_key(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def _with_group_key(df: DataFrame, group_cols: Sequence[str], value_col: str | None = None) -> tuple[DataFrame, list[str]]:
+    """Global case: one group whose key is derived from the data (0 for every
+    non-null value) rather than a literal, so joins on it stay equi-joins."""
     if group_cols:
         return df, list(group_cols)
-    return df.withColumn(_G, F.lit(0)), [_G]
+    key = F.col(value_col).isNull().cast("int") if value_col else F.lit(0)
+    return df.withColumn(_G, key), [_G]
 
 
 def order_statistics(
@@ -135,7 +138,7 @@ def exact_quantiles(
     within ``direct_limit`` rows the built-in exact ``percentile`` is used (its
     per-group memory is then bounded), otherwise histogram refinement.
     """
-    df, g = _with_group_key(df, group_cols)
+    df, g = _with_group_key(df, group_cols, value_col)
     if small_groups is None:
         small_groups = not group_cols
     v = F.col(value_col).cast("double")

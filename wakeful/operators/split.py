@@ -38,12 +38,11 @@ def group_split(
         # the user table is within the checked bound: rank it in one window
         rk = F.row_number().over(Window.orderBy("_h", by)) - 1
         return users.select(by, F.when(rk < k, "test").otherwise("train").alias("split"))
-    users = cut_lineage(users)
-    target = users.sparkSession.range(1).select(F.lit(0).alias("_g"), F.lit(k - 1).cast("long").alias("r"))
-    cut = order_statistics(users.withColumn("_g", F.lit(0)), "_h", target, ["_g"], small_groups=True)
-    cut = cut.select(F.col("value").alias("_cut"), F.lit(0).alias("_g"))
-    x = users.withColumn("_g", F.lit(0)).join(F.broadcast(cut), "_g")
-    return x.select(by, F.when(F.col("_h") <= F.col("_cut"), "test").otherwise("train").alias("split"))
+    users = cut_lineage(users, "users")
+    keyed = users.withColumn("_g", F.col("_h").isNull().cast("int"))  # one data-derived group
+    target = keyed.select("_g").distinct().withColumn("r", F.lit(k - 1).cast("long"))
+    cut_value = order_statistics(keyed, "_h", target, ["_g"], small_groups=True).first()["value"]
+    return users.select(by, F.when(F.col("_h") <= F.lit(cut_value), "test").otherwise("train").alias("split"))
 
 
 def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank") -> DataFrame:
