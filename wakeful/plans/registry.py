@@ -386,7 +386,20 @@ def metric_thresholds_q(spark, sf_dir):
     return round_doubles(M.metric_thresholds(M.regression_metrics(_scored(spark, sf_dir)), METRIC_LIMITS))
 
 
+def stream_score_requests_q(spark, sf_dir):
+    """T2 with the model: every micro-batch of requests is scored by the forest."""
+    _, ff = _fitted(spark, sf_dir)
+    rank = _fallback_rank(spark, sf_dir)
+    req = _requests(spark, sf_dir)
+    src = scratch_path(spark, "score-in")
+    req.repartition(4, "request_id").write.parquet(src)
+    stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
+    out = ST.score_stream(stream, lambda b: SC.score_requests(b, S, ff, rank), "request-scores")
+    return spark.read.parquet(out).drop("batch")
+
+
 QUERIES: dict[str, Query] = {
+    "stream_score_requests": stream_score_requests_q,
     "metric_thresholds": metric_thresholds_q,
     "request_features": request_features_q,
     "payload_parse": payload_parse_q,
