@@ -57,3 +57,25 @@ def test_grid_match_tolerance_is_inclusive(spark):
     )
     got = {r.name: r.mean_hr_5min for r in nearest_grid_match(tests, bins, extent, "match_us", g, tol).collect()}
     assert got == {"exact": 2.0, "over": None, "tie": 1.0, "gap": None, "nouser": None}
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    lt=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200)), min_size=1, max_size=40, unique=True),
+    rt=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200), st.integers(0, 9)), max_size=30),
+    bucket=st.sampled_from([7, 50, 10_000]),
+)
+def test_backward_property(spark, lt, rt, bucket):
+    """Last right row at or before each left row, ties on time broken by the order
+    column (largest wins), for any bucket size."""
+    left = spark.createDataFrame(lt, "user_id long, t long")
+    right = spark.createDataFrame(rt, "user_id long, rt long, o long") if rt else spark.createDataFrame([], "user_id long, rt long, o long")
+    got = {(r.user_id, r.t): r.o for r in asof_backward(left, right, ["user_id"], "t", "rt", ["o"], bucket, right_order=["o"]).collect()}
+    for u, t in lt:
+        cands = [(rtime, o) for uu, rtime, o in rt if uu == u and rtime <= t]
+        want = max(cands)[1] if cands else None
+        assert got[(u, t)] == want
