@@ -17,6 +17,39 @@ SESSION_CONF = {
 }
 
 
+# Sizing for large inputs: ~256 MB per scan split and per shuffle partition keeps
+# each task's sort/window buffers well inside executor memory (they spill beyond);
+# AQE coalesces small partitions and splits skewed ones at run time; a join side is
+# broadcast only when AQE measures it below the threshold.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(TARGET_PARTITION_BYTES),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
+def shuffle_partitions_for(input_bytes: int, expansion: float = 1.5, cores: int | None = None) -> int:
+    """Initial shuffle partitions for an input size: enough partitions of the target
+    size for the shuffled bytes (window halos and unions add ``expansion``), at least
+    the number of cores. AQE coalesces them when they come out smaller."""
+    n = max(1, int(input_bytes * expansion // TARGET_PARTITION_BYTES) + 1)
+    return max(n, cores or 1)
+
+
+def configure_for_scale(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Apply :data:`CLUSTER_CONF` and size ``spark.sql.shuffle.partitions`` for the
+    input (e.g. 100 TB of readings -> ~600k initial partitions, coalesced by AQE)."""
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes, cores=cores)))
+    return configure(spark)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "wakeful") -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     for k, v in SESSION_CONF.items():
