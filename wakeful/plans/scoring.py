@@ -41,11 +41,16 @@ def request_features(requests: DataFrame, s: FeatureSettings) -> DataFrame:
 
 
 def score_requests(requests: DataFrame, s: FeatureSettings, ff: FittedForest, fallback_rank: int) -> DataFrame:
-    """Features -> forest -> flag (> 0.3) -> course -> advice text."""
+    """Features -> forest -> flag (> 0.3) -> course -> advice text; ``timestamp``
+    is the HRTIME text of the last reading in the payload (as the response echoes it)."""
     feats = request_features(requests, s)
+    last_ts = payload_hr(parse_payload(requests, "payload", KEY), KEY).groupBy(KEY).agg(
+        F.max_by("HRTIME", "pos").alias("timestamp")
+    )
+    feats = feats.join(last_ts, KEY, "left")
     scored = ff.transform(feats, "fatigue_probability")
     scored = scored.withColumn("is_fatigued", F.col("fatigue_probability") > API_THRESHOLD)
     with_course = select_course(scored, fallback_rank)
     return advice_text(with_course, "fatigue_probability", API_THRESHOLD).select(
-        KEY, "fatigue_probability", "is_fatigued", "course_id", "advice", "has_features"
+        KEY, "fatigue_probability", "is_fatigued", "timestamp", "course_id", "advice", "has_features"
     )
