@@ -43,12 +43,17 @@ def test_forest_importances_and_shap_additivity(spark):
     ff = fit_forest(df, "fatigue_score", ForestParams(n_estimators=8, max_depth=4))
     imp = ff.importances().toPandas()
     assert abs(imp["importance"].sum() - 1) < 1e-9 and imp.iloc[0]["feature"] in ("hours_awake", "stress_cv")
-    pred = ff.transform(df).select("k", "prediction").toPandas().set_index("k")
+    scored = ff.transform(df)
+    pred = scored.select("k", "prediction").toPandas().set_index("k")
     assert pred["prediction"].between(0, 1).all()
+    # the original feature columns come back unchanged (rules read raw values)
+    same = scored.join(df.select("k", F.col("hours_awake").alias("_raw")), "k")
+    assert same.where(~F.col("hours_awake").eqNullSafe(F.col("_raw"))).count() == 0
     prepared = ff.prepare(df.select("k", *MODEL_FEATURES))
-    shap = explain_samples(prepared, tree_nodes(ff), list(MODEL_FEATURES), ["k"]).toPandas().set_index("k")
-    recon = shap["expected_value"] + shap[[f"shap_{f}" for f in MODEL_FEATURES]].astype(float).sum(axis=1)
     raw = ff.model.transform(prepared).select("k", "prediction").toPandas().set_index("k")["prediction"]
+    named = prepared.select("k", *[F.col(i).alias(f) for i, f in zip(ff.model_inputs, MODEL_FEATURES)])
+    shap = explain_samples(named, tree_nodes(ff), list(MODEL_FEATURES), ["k"]).toPandas().set_index("k")
+    recon = shap["expected_value"] + shap[[f"shap_{f}" for f in MODEL_FEATURES]].astype(float).sum(axis=1)
     assert np.max(np.abs(recon - raw.loc[recon.index])) < 1e-5
 
 

@@ -165,19 +165,21 @@ def fit_impute_scale(df: DataFrame, columns: Sequence[str], impute: str = "media
     return fill.join(st, "feature", "outer")
 
 
-def apply_impute_scale(df: DataFrame, params: DataFrame, columns: Sequence[str]) -> DataFrame:
+def apply_impute_scale(df: DataFrame, params: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
     """Transform with fitted parameters: fill then (x - center) / scale.
 
     The parameter table has one row per feature (bounded by the feature count), so
-    it is pivoted to one row and attached by a broadcast join."""
+    it is pivoted to one row and attached as literals. With ``prefix`` the results are
+    added as ``<prefix><column>`` and the original columns are kept."""
     wide = params.groupBy().pivot("feature", list(columns)).agg(
         F.first("fill").alias("fill"), F.first("center").alias("center"), F.first("scale").alias("scale")
     )
     x = attach_row(df, wide)
+    kept = [c for c in df.columns if prefix or c not in columns]
     out = x.select(
-        *[c for c in df.columns if c not in columns],
+        *kept,
         *[
-            ((F.coalesce(nan_to_null(F.col(c).cast("double")), F.col(f"{c}_fill"), F.lit(0.0)) - F.col(f"{c}_center")) / F.col(f"{c}_scale")).alias(c)
+            ((F.coalesce(nan_to_null(F.col(c).cast("double")), F.col(f"{c}_fill"), F.lit(0.0)) - F.col(f"{c}_center")) / F.col(f"{c}_scale")).alias(prefix + c)
             for c in columns
         ],
     )

@@ -55,6 +55,9 @@ def subset_strategy(max_features, n_features: int) -> str:
     return str(max_features)
 
 
+PREP = "_in_"  # prefix of the prepared model inputs
+
+
 @dataclass
 class FittedForest:
     params: ForestParams
@@ -65,12 +68,18 @@ class FittedForest:
     def features(self) -> list[str]:
         return list(self.params.features)
 
+    @property
+    def model_inputs(self) -> list[str]:
+        return [PREP + f for f in self.features]
+
     def prepare(self, df: DataFrame) -> DataFrame:
-        return apply_impute_scale(df, self.prep, self.features)
+        """Adds the filled and scaled model inputs as ``_in_<feature>``; the original
+        feature columns stay untouched (rules downstream read raw values)."""
+        return apply_impute_scale(df, self.prep, self.features, prefix=PREP)
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """M4: score; prediction clipped to [0, 1] (targets live there)."""
-        scored = self.model.transform(self.prepare(df)).drop("features")
+        scored = self.model.transform(self.prepare(df)).drop("features", *self.model_inputs)
         return scored.withColumn(out, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction")))).drop(
             *(["prediction"] if out != "prediction" else [])
         )
@@ -91,9 +100,9 @@ def fit_forest(samples: DataFrame, target: str, params: ForestParams = ForestPar
     """M3: fill + scale learned on ``samples``, then the forest. ``user_id`` and keys
     are never features."""
     feats = list(params.features)
-    base = cut_lineage(samples.select(*feats, F.col(target).cast("double").alias("label")))
-    prep = cut_lineage(fit_impute_scale(base, feats, params.impute, params.scale))
-    x = apply_impute_scale(base, prep, feats)
+    base = cut_lineage(samples.select(*feats, F.col(target).cast("double").alias("label")), "train")
+    prep = cut_lineage(fit_impute_scale(base, feats, params.impute, params.scale), "prep", small=True)
+    x = apply_impute_scale(base, prep, feats, prefix=PREP)
     rf = RandomForestRegressor(
         featuresCol="features",
         labelCol="label",
@@ -105,7 +114,8 @@ def fit_forest(samples: DataFrame, target: str, params: ForestParams = ForestPar
         seed=params.seed,
         maxBins=params.max_bins,
     )
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), rf])
+    inputs = [PREP + f for f in feats]
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"), rf])
     model = pipe.fit(x)
     return FittedForest(params, prep, model)
 

@@ -145,5 +145,7 @@ def search_params(samples: DataFrame, n_trials: int = 50, n_splits: int = 5, thr
 def explain(ff: FittedForest, rows: DataFrame, keys: Sequence[str], limit: int | None = 200) -> DataFrame:
     """M9: SHAP values for the first ``limit`` rows by key (the explanation sample)."""
     x = rows.orderBy(*keys).limit(limit) if limit else rows
-    prepared = ff.prepare(x.select(*keys, *[c for c in MODEL_FEATURES if c in x.columns]))
+    prepared = ff.prepare(x.select(*keys, *ff.features))
+    # explain on the values the trees see, named after the features
+    prepared = prepared.select(*keys, *[F.col(i).alias(f) for i, f in zip(ff.model_inputs, ff.features)])
     return explain_samples(prepared, tree_nodes(ff), list(ff.features), keys)
