@@ -24,16 +24,24 @@ def running_totals(
     value_cols: Sequence[str],
     group_cols: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = 1024,
+    buckets: int | None = None,
     prefix: str = "cum_",
+    rows_per_bucket: int = 2_000_000,
 ) -> DataFrame:
+    """``buckets=None`` sizes the bucket count from the data (one small count job):
+    about ``rows_per_bucket`` rows per bucket, between 64 and 2^20, so both the
+    within-bucket windows and the bucket-offset table stay bounded."""
     g = list(group_cols) or [_G]
     # global case: a data-derived key (0 for every non-null key) instead of a literal,
     # so the optimizer cannot fold the join below into a cross product
     x = df if group_cols else df.withColumn(_G, F.col(order_col).isNull().cast("int"))
     key = -F.col(order_col) if descending else F.col(order_col)
     x = x.withColumn("_key", key.cast("double"))
-    stats = x.groupBy(*g).agg(F.min("_key").alias("_lo"), F.max("_key").alias("_hi"))
+    stats = x.groupBy(*g).agg(F.min("_key").alias("_lo"), F.max("_key").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    if buckets is None:
+        largest = stats.agg(F.max("_n")).first()[0] or 0
+        buckets = int(min(1 << 20, max(64, -(-largest // rows_per_bucket))))
+    stats = stats.drop("_n")
     if not group_cols:
         stats = F.broadcast(stats)  # one row
     x = x.join(stats, g)

@@ -199,7 +199,7 @@ _FITTED: dict = {}
 def _fitted(spark, sf_dir):
     """Samples with split + the forest trained on the train split (memoised per
     session and folder: several queries share one model)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _FITTED:
         samples = cut_lineage(MD.split_samples(_labelled(spark, sf_dir), S.test_size, S.split_seed))
         ff = MD.train(samples.where(F.col("split") == "train"), ForestParams())
