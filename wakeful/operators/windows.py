@@ -97,17 +97,37 @@ def hr_series_features(
     copies = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     bx = a.withColumn("_shift", F.explode(copies)).withColumn("bb", F.col("b") + F.col("_shift"))
     wb = Window.partitionBy(by, "bb").orderBy("t")
-    r1 = wb.rangeBetween(-(s.window_us - 1), 0)
-    r2 = wb.rangeBetween(-(s.jumpiness_window_us - 1), 0)
-    d2 = F.col("hr_diff") * F.col("hr_diff")
+    # A moving RANGE frame is re-aggregated row by row (O(rows x frame)); a running
+    # frame is incremental. Sums over (t - w, t] are therefore taken as the running
+    # sum up to t minus the running sum up to t - w (both O(rows)).
+    upto_now = wb.rangeBetween(Window.unboundedPreceding, 0)
+
+    def in_window(expr, w_us):
+        before = wb.rangeBetween(Window.unboundedPreceding, -w_us)
+        return F.sum(expr).over(upto_now) - F.coalesce(F.sum(expr).over(before), F.lit(0))
+
+    hr_ok = F.col("HR").isNotNull().cast("long")
+    n1 = in_window(hr_ok, s.window_us)
+    s1 = in_window(F.col("HR"), s.window_us)
+    q1 = in_window(F.col("HR") * F.col("HR"), s.window_us)
+    d_ok = F.col("hr_diff").isNotNull().cast("long")
+    n2 = in_window(d_ok, s.jumpiness_window_us)
+    q2 = in_window(F.col("hr_diff") * F.col("hr_diff"), s.jumpiness_window_us)
+    bx = bx.select("*", n1.alias("_n1"), s1.alias("_s1"), q1.alias("_q1"), n2.alias("_n2"), q2.alias("_q2")).where(
+        F.col("_shift") == 0
+    )
+    var1 = (F.col("_q1") - F.col("_s1") * F.col("_s1") / F.col("_n1")) / (F.col("_n1") - 1)
     out = bx.select(
-        "*",
-        F.when(F.count("HR").over(r1) >= mp, F.avg("HR").over(r1)).alias("mean_hr_5min"),
-        F.when(F.count("HR").over(r1) >= mp, F.stddev_samp("HR").over(r1)).alias("hr_volatility_5min"),
-        F.when(F.count("hr_diff").over(r2) >= s.jumpiness_min_periods, F.sqrt(F.avg(d2).over(r2))).alias(
+        *[c for c in bx.columns if not c.startswith("_n") and not c.startswith("_s") and not c.startswith("_q")],
+        "_shift",
+        F.when(F.col("_n1") >= mp, F.col("_s1") / F.col("_n1")).alias("mean_hr_5min"),
+        F.when((F.col("_n1") >= mp) & (F.col("_n1") >= 2), F.sqrt(F.greatest(var1, F.lit(0.0)))).alias(
+            "hr_volatility_5min"
+        ),
+        F.when(F.col("_n2") >= s.jumpiness_min_periods, F.sqrt(F.greatest(F.col("_q2") / F.col("_n2"), F.lit(0.0)))).alias(
             "hr_jumpiness_5min"
         ),
-    ).where(F.col("_shift") == 0)
+    )
     # keep the bucket (as ``b``): the rows stay hash-partitioned by (by, b) for the
     # next bucketed operator (the as-of join to sleep)
     out = out.withColumn("stress_cv", F.col("hr_volatility_5min") / (F.col("mean_hr_5min") + 0.1)).drop(
