@@ -91,8 +91,8 @@ def ks_two_sample(long: DataFrame, alpha: float = 0.05) -> DataFrame:
         F.count_if(F.col("side") == 0).alias("c0"), F.count_if(F.col("side") == 1).alias("c1")
     )
     cum = running_totals(per, "value", ["c0", "c1"], group_cols=["feature"])
-    n = per.groupBy("feature").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"))
-    d = cum.join(F.broadcast(n), "feature").groupBy("feature", "n0", "n1").agg(
+    cum = cum.withColumnRenamed("tot_c0", "n0").withColumnRenamed("tot_c1", "n1")
+    d = cum.groupBy("feature", "n0", "n1").agg(
         F.max(F.abs(F.col("cum_c0") / F.col("n0") - F.col("cum_c1") / F.col("n1"))).alias("statistic")
     )
     n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")

@@ -101,15 +101,15 @@ def binary_metrics(
     c = confusion_counts(df, y_true, y_pred, threshold, target_threshold)
     tp, fp, fn, tn = (F.col(k) for k in ("tp", "fp", "fn", "tn"))
     sfx = _fmt(threshold)
-    names = [f"recall_at_{sfx}", f"precision_at_{sfx}", f"f1_at_{sfx}", "accuracy", "roc_auc"]
-    m = attach_row(c, roc_auc(df, y_true, y_pred, target_threshold)).select(
+    names = [f"recall_at_{sfx}", f"precision_at_{sfx}", f"f1_at_{sfx}", "accuracy"]
+    m = c.select(
         _div(tp, tp + fn).alias(names[0]),
         _div(tp, tp + fp).alias(names[1]),
         _div(2 * tp, 2 * tp + fp + fn).alias(names[2]),
         _div(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-        "roc_auc",
     )
-    return _long(m, names)
+    # two independent one-row aggregates, stacked as metric rows (no join)
+    return _long(m, names).unionByName(_long(roc_auc(df, y_true, y_pred, target_threshold), ["roc_auc"]))
 
 
 def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, threshold: float, target_threshold: float | None = None) -> DataFrame:
@@ -160,11 +160,10 @@ def pr_curve(df: DataFrame, y_true: str, y_score: str, target_threshold: float)
         F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")
     )
     cum = running_totals(per, "threshold", ["pos", "neg"], descending=True)
-    total_pos = per.agg(F.sum("pos").alias("_P"))
-    cur = attach_row(cum, total_pos).select(
+    cur = cum.select(
         "threshold",
         _div(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-        F.when(F.col("_P") > 0, F.col("cum_pos") / F.col("_P")).otherwise(F.lit(1.0)).alias("recall"),
+        F.when(F.col("tot_pos") > 0, F.col("cum_pos") / F.col("tot_pos")).otherwise(F.lit(1.0)).alias("recall"),
     )
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")

@@ -28,30 +28,36 @@ def running_totals(
     prefix: str = "cum_",
     rows_per_bucket: int = 2_000_000,
 ) -> DataFrame:
-    """``buckets=None`` sizes the bucket count from the data (one small count job):
-    about ``rows_per_bucket`` rows per bucket, between 64 and 2^20, so both the
-    within-bucket windows and the bucket-offset table stay bounded."""
+    """``buckets=None`` sizes the bucket count of every group from its own row count
+    (about ``rows_per_bucket`` rows per bucket, between 64 and 2^20), as a column,
+    so no driver action is needed. Group totals are returned as ``tot_<col>``."""
     g = list(group_cols) or [_G]
     # global case: a data-derived key (0 for every non-null key) instead of a literal,
     # so the optimizer cannot fold the join below into a cross product
     x = df if group_cols else df.withColumn(_G, F.col(order_col).isNull().cast("int"))
     key = -F.col(order_col) if descending else F.col(order_col)
     x = x.withColumn("_key", key.cast("double"))
-    stats = x.groupBy(*g).agg(F.min("_key").alias("_lo"), F.max("_key").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    stats = x.groupBy(*g).agg(
+        F.min("_key").alias("_lo"),
+        F.max("_key").alias("_hi"),
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(v).alias(f"tot_{v}") for v in value_cols],
+    )
     if buckets is None:
-        largest = stats.agg(F.max("_n")).first()[0] or 0
-        buckets = int(min(1 << 20, max(64, -(-largest // rows_per_bucket))))
-    stats = stats.drop("_n")
+        nb = F.least(F.lit(1 << 20), F.greatest(F.lit(64), F.ceil(F.col("_n") / F.lit(rows_per_bucket))))
+    else:
+        nb = F.lit(int(buckets))
+    stats = stats.withColumn("_nb", nb.cast("long")).drop("_n")
     if not group_cols:
-        stats = F.broadcast(stats)  # one row
+        stats = F.broadcast(stats)  # one row (two with null keys)
     x = x.join(stats, g)
     width = F.col("_hi") - F.col("_lo")
     x = x.withColumn(
         "_k",
-        F.when(width > 0, F.least(F.floor((F.col("_key") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)))
+        F.when(width > 0, F.least(F.floor((F.col("_key") - F.col("_lo")) / width * F.col("_nb")), F.col("_nb") - 1))
         .otherwise(F.lit(0))
-        .cast("int"),
-    ).drop("_lo", "_hi")
+        .cast("long"),
+    ).drop("_lo", "_hi", "_nb")
     totals = x.groupBy(*g, "_k").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     wk = Window.partitionBy(*g).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -62,5 +68,6 @@ def running_totals(
     out = x.select(
         *df.columns,
         *[(F.col(f"_o_{v}") + F.sum(v).over(win)).alias(f"{prefix}{v}") for v in value_cols],
+        *[F.col(f"tot_{v}") for v in value_cols],
     )
     return out
