@@ -19,7 +19,6 @@ from wakeful.operators.forest import FittedForest, ForestParams, fit_forest, tre
 from wakeful.operators.split import group_kfold, group_split
 from wakeful.operators.treeshap import explain_samples
 from wakeful.session import cut_lineage
-from wakeful.settings import MODEL_FEATURES
 
 SAMPLE_KEY = ("user_id", "TESTSTART", "TESTID", "offset_us")
 INFERENCE_KEY = ("user_id", "HRTIME")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.functions.scalar import ts_us
+from wakeful.functions.scalar import parse_time, ts_us
 from wakeful.operators.clean import clean_hr, clean_pvt, clean_sleep
 from wakeful.operators.windows import hr_series_features, sleep_features
 from wakeful.plans import oracle_sql as O
@@ -251,8 +251,6 @@ def request_features_q(spark, sf_dir):
 
 def payload_parse_q(spark, sf_dir):
     hr = payload_hr(parse_payload(_requests(spark, sf_dir)))
-    from wakeful.functions.scalar import parse_time
-
     return round_doubles(hr.select("request_id", parse_time("HRTIME").alias("HRTIME"), "HR"))
 
 
