@@ -1,8 +1,10 @@
 """Structured Streaming versions of the grid and of request scoring.
 
 T1: tumbling per-user means with a watermark; windows are emitted in append mode
-once the watermark passes their end; readings later than the watermark are
-dropped (a rule of ours: the batch original has no late data).
+once the watermark (max event time - delay) passes their end, so state is bounded
+by the delay. Readings within the delay are never lost; readings older than the
+watermark may still be counted (Spark guarantees only the first direction). The
+batch original has no late data, so this rule is ours.
 T2: each request carries its own history, so scoring needs no state: every
 micro-batch goes through the batch function in ``foreachBatch`` and is appended
 to a Parquet sink (idempotent per batch id through the checkpoint).
