@@ -59,3 +59,16 @@ def test_matches_oracle(spark, con, name):
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)
     assert _digest(rows, cols) == _digest(orows, ocols)
+
+
+def test_release_scratch(spark):
+    import os
+
+    from wakeful.session import cut_lineage, release_scratch, scratch_path
+
+    t = cut_lineage(spark.range(10), "release-test")
+    assert t.count() == 10
+    kept = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    n = release_scratch(spark, keep=(kept,))
+    assert n >= 1 and os.path.exists(kept.replace("file:", ""))

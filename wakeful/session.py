@@ -96,10 +96,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for a written table."""
+    """A fresh sub-folder of the shared checkpoint folder for a written table
+    (recorded per application so :func:`release_scratch` can remove it)."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/wakeful-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/wakeful-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the intermediate tables this application wrote (call at the end of a
+    job: DataFrames read from them become invalid). Uses the Hadoop FileSystem of
+    each path, so it works on any shared file system. Returns the count removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    removed = 0
+    for p in paths:
+        if p in keep:
+            _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(p)
+            continue
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            fs.delete(hp, True)
+            removed += 1
+    return removed
 
 
 def cut_lineage(df: DataFrame, name: str = "stage", small: bool = False) -> DataFrame:
