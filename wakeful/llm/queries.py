@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, quality, simhash
+from wakeful.llm import exact, mixing, quality, simhash
 from wakeful.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(table(spark, sf_dir, "documents"), F.array("source"))
+    return mixing.per_source(taken).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -29,10 +34,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_source_mixing": op2_source_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
 }
 
 ORACLE = {
+    "op2_source_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
 }
