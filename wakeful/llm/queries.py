@@ -3,10 +3,11 @@ table, with the columns that the query's contract names."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, mixing, quality, simhash
+from wakeful.llm import exact, grammar, mixing, pieces, quality, simhash
 from wakeful.llm.common import table
 
 
@@ -32,11 +33,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("word_bpe_49k.json")
+    return grammar.read_ids(grammar.write_ids(table(spark, sf_dir, "documents"), model, end_id=2), digest=True)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op9_sentencepiece": op9_sentencepiece,
+    "op10_token_ids": op10_token_ids,
 }
 
 ORACLE = {
