@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, grammar, mixing, pieces, quality, simhash
+from wakeful.llm import exact, grammar, mixing, pieces, quality, ring, simhash, warc
 from wakeful.llm.common import table
 
 
@@ -27,12 +27,26 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.write_warc(table(spark, sf_dir, "pages"), least_bytes=0)
+    return warc.read_warc(packages, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", *quality.BASE, "base_failed", "kept", "rule"
     )
 
 
+def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ring.assign_shards(table(spark, sf_dir, "documents"), shards=24)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -46,7 +60,9 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_warc_packages": op4_warc_packages,
     "op6_quality_rules": op6_quality_rules,
+    "op7_ring_shards": op7_ring_shards,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_ids": op10_token_ids,
 }
@@ -54,4 +70,5 @@ QUERIES = {
 ORACLE = {
     "op2_source_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
+    "op4_warc_packages": warc.ORACLE,
 }
