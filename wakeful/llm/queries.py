@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, grammar, mixing, pieces, quality, ring, simhash, warc
-from wakeful.llm.common import table
+from wakeful.llm import exact, grammar, language, mixing, pieces, quality, ring, simhash, warc
+from wakeful.llm.common import table, text_of
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,24 @@ def op4_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LANGUAGES = ["de", "en", "es", "fr"]
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (host: their source; declared: their lang column) and pages (host,
+    suffix and markup as they are) in one result: ``doc_id`` or ``page_id`` is set."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("long")
+    rows = docs.select("doc_id", none.alias("page_id"), "text", F.col("source").alias("host"), F.col("lang").alias("declared")).union(
+        pages.select(
+            none.alias("doc_id"), "page_id", language.visible_text(text_of("html")), language.host_of(F.col("url")), language.declared_in(F.col("html"))
+        )
+    )
+    return language.identify(rows, docs, LANGUAGES).select(
+        "doc_id", "page_id", F.col("lang_found").alias("lang"), "confidence", "text_lang", "n_words"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", *quality.BASE, "base_failed", "kept", "rule"
@@ -61,6 +79,7 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_warc_packages": op4_warc_packages,
+    "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_ring_shards": op7_ring_shards,
     "op9_sentencepiece": op9_sentencepiece,

@@ -264,7 +264,7 @@ WITH p AS (
   SELECT html, min(page_id) AS first FROM p GROUP BY html
 )
 SELECT p.page_id, strlen(p.html)::BIGINT AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     ((('0x' || substr(p.hex, (i // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
   CASE WHEN p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
