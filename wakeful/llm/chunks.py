@@ -6,71 +6,104 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 Encode = Callable[[list[str]], list[list[int]]]
 
 
-class ChunkTable:
-    """chunk -> row of a flat array of ids. It is emptied when it holds ``most``
-    chunks, which bounds memory and only costs encoding some chunks anew."""
-
-    def __init__(self, encode: Encode, most: int = 1 << 18):
-        self.encode, self.most = encode, most
-        self.clear()
+class Ragged:
+    """Rows of ids of any length, in one flat array that grows."""
 
-    def clear(self) -> None:
-        self.rows: dict[str, int] = {}
+    def __init__(self):
         self.ids = np.empty(1 << 16, np.int32)
         self.starts = np.empty(1 << 12, np.int64)
         self.lengths = np.empty(1 << 12, np.int64)
-        self.used = 0
+        self.used = self.n = 0
 
-    def _add(self, chunks: list[str]) -> None:
-        found = self.encode(chunks)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-        n, m = len(self.rows), len(self.rows) + len(chunks)
+    def append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        m = self.n + len(lengths)
         while len(self.ids) < self.used + len(flat):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         while len(self.starts) < m:
             self.starts = np.concatenate((self.starts, np.empty_like(self.starts)))
             self.lengths = np.concatenate((self.lengths, np.empty_like(self.lengths)))
         self.ids[self.used : self.used + len(flat)] = flat
-        self.lengths[n:m] = lengths
-        self.starts[n:m] = self.used + np.cumsum(lengths) - lengths
-        self.used += len(flat)
-        self.rows.update(zip(chunks, range(n, m)))
+        self.lengths[self.n : m] = lengths
+        self.starts[self.n : m] = self.used + np.cumsum(lengths) - lengths
+        self.used, self.n = self.used + len(flat), m
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the rows one after another, length of each row)"""
+        lengths = self.lengths[rows]
+        ends = np.cumsum(lengths)
+        kind = np.int32 if self.used < 1 << 31 and not (len(ends) and ends[-1] >> 31) else np.int64
+        at = np.arange(ends[-1] if len(ends) else 0, dtype=kind)
+        at += np.repeat((self.starts[rows] - (ends - lengths)).astype(kind), lengths)
+        return self.ids[at], lengths
 
-    def join(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Chunks of several texts -> (all ids in order, number of ids of each text)."""
+
+class ChunkTable:
+    """chunk -> row of ids. It is emptied when it holds ``most`` chunks, which bounds
+    memory and only costs encoding some chunks anew."""
+
+    def __init__(self, encode: Encode, most: int = 1 << 19):
+        self.encode, self.most = encode, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ragged = Ragged()
+
+    def rows_of(self, distinct: pa.Array) -> np.ndarray:
+        """Rows of distinct chunks, valid until the next call."""
         if len(self.rows) > self.most:
             self.clear()
-        distinct: set[str] = set()
-        for chunks in texts:
-            distinct.update(chunks)
-        missing = [c for c in distinct if c not in self.rows]
+        chunks = distinct.to_pylist()
+        row = self.rows.get
+        found = [row(c, -1) for c in chunks]
+        missing = [c for c, r in zip(chunks, found) if r < 0]
         if missing:
-            self._add(missing)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        row = self.rows.__getitem__
-        rows = np.fromiter((row(c) for chunks in texts for c in chunks), np.int64, int(sizes.sum()))
-        lengths = self.lengths[rows]
-        ends = np.cumsum(lengths)
-        flat = np.repeat(self.starts[rows] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
-        return self.ids[flat], np.diff(upto)
-
-
-def portions(texts: list[str], most: int = 1 << 21) -> Iterator[list[str]]:
-    """Consecutive texts of about ``most`` characters together (a longer one alone),
-    which bounds what is held at once."""
-    part: list[str] = []
-    held = 0
-    for text in texts:
-        if part and held + len(text) > most:
-            yield part
-            part, held = [], 0
-        part.append(text)
-        held += len(text)
-    if part:
-        yield part
+            lists = self.encode(missing)
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum()))
+            n = self.ragged.n
+            self.ragged.append(flat, lengths)
+            self.rows.update(zip(missing, range(n, n + len(missing))))
+            found = [self.rows[c] if r < 0 else r for c, r in zip(chunks, found)]
+        return np.array(found, np.int64)
+
+    def join(self, chunks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Lists of chunks -> (all ids in order, number of ids of each list)."""
+        coded = chunks.flatten().dictionary_encode()
+        rows = self.rows_of(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        ids, lengths = self.ragged.take(rows)
+        return ids, per_list(chunks, lengths)
+
+
+def per_list(chunks: pa.ListArray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of the chunks' lengths by list."""
+    upto = np.concatenate(([0], np.cumsum(lengths)))
+    sizes = pc.list_value_length(chunks).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.diff(upto[np.concatenate(([0], np.cumsum(sizes)))])
+
+
+def portions(texts: pa.Array, most: int = 16 << 20) -> Iterator[pa.Array]:
+    """Consecutive texts of about ``most`` bytes together (a longer one alone), which
+    bounds what is held at once."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    first = held = 0
+    for k, n in enumerate(sizes.tolist()):
+        if held and held + n > most:
+            yield texts.slice(first, k - first)
+            first, held = k, 0
+        held += n
+    if first < len(texts):
+        yield texts.slice(first)
+
+
+def cut(ids: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
+    at = 0
+    for n in counts.tolist():
+        yield ids[at : at + n]
+        at += n

@@ -172,9 +172,9 @@ def mix(
     of its own; a null or empty array belongs to none and is never taken). ``quotas``
     maps the sources' sizes to targets. ``size`` defaults to the number of words of
     ``text`` (null: 0). Of a pattern's rest, documents are taken in the order of the
-    seeded hash while they fit; then, twice, the largest document that still fits, so
-    a source misses its target by less than its smallest open document. Rows of equal
-    id are taken together. Empty tables give no rows. More than ``max_patterns``
+    seeded hash while they fit; then, twice, the document whose size is nearest to
+    what is still open, where that brings the source nearer to its target. Rows of
+    equal id are taken together. Empty tables give no rows. More than ``max_patterns``
     patterns is an error, as the network is held on the driver.
     """
     key = pattern_key(F.coalesce(sources, F.array().cast("array<string>")))
@@ -248,16 +248,16 @@ def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]])
         best = (
             rows.where("size > 0")
             .join(state, "pattern")
-            .where("u > bound and size <= open and not array_contains(picks, u)")
+            .where("u > bound and size < 2 * open and not array_contains(picks, u)")
             .groupBy("pattern", "u", "open")
             .agg(F.sum("size").alias("size"))
-            .where("size <= open")
+            .where("size < 2 * open")
             .groupBy("pattern")
-            .agg(F.max(F.struct("size", (-F.col("u")).alias("u"))).alias("pick"))
+            .agg(F.min(F.struct(F.abs(F.col("open") - F.col("size")).alias("off"), "size", "u")).alias("pick"))
             .collect()
         )
         for r in best:
-            picks[r["pattern"]].append(-r["pick"]["u"])
+            picks[r["pattern"]].append(r["pick"]["u"])
             left[r["pattern"]] -= r["pick"]["size"]
     state = _small(
         rows, [(p, full, bound[p], picks[p]) for p, (full, _) in plan.items()], "pattern string, full int, bound long, picks array<long>"
@@ -277,7 +277,7 @@ def apply_mix(docs: DataFrame, taken: Mix, sources: Column, id_col: str = "doc_i
     wanted = wanted.distinct().select("_id", "_pattern", F.explode("_copies").alias("_copy"))
     key = pattern_key(F.coalesce(sources, F.array().cast("array<string>")))
     same = docs[id_col].eqNullSafe(wanted["_id"]) & (key == wanted["_pattern"])
-    return docs.join(wanted, same).select(*[docs[c] for c in docs.columns])
+    return docs.join(wanted, same).select(*[docs[f"`{c}`"] for c in docs.columns])
 
 
 def per_source(taken: Mix) -> DataFrame:
@@ -329,13 +329,13 @@ WITH RECURSIVE d AS (
 ), r1 AS (
   SELECT *, rest - coalesce(sum(size) FILTER (WHERE prefix) OVER (PARTITION BY source), 0) AS open1 FROM r0
 ), r2 AS (
-  SELECT *, NOT prefix AND size > 0 AND size <= open1 AND row_number() OVER (
-    PARTITION BY source, NOT prefix AND size > 0 AND size <= open1 ORDER BY size DESC, u) = 1 AS pick1 FROM r1
+  SELECT *, NOT prefix AND size > 0 AND size < 2 * open1 AND row_number() OVER (
+    PARTITION BY source, NOT prefix AND size > 0 AND size < 2 * open1 ORDER BY abs(open1 - size), size, u) = 1 AS pick1 FROM r1
 ), r3 AS (
   SELECT *, open1 - coalesce(sum(size) FILTER (WHERE pick1) OVER (PARTITION BY source), 0) AS open2 FROM r2
 ), r4 AS (
-  SELECT *, NOT prefix AND NOT pick1 AND size > 0 AND size <= open2 AND row_number() OVER (
-    PARTITION BY source, NOT prefix AND NOT pick1 AND size > 0 AND size <= open2 ORDER BY size DESC, u) = 1 AS pick2 FROM r3
+  SELECT *, NOT prefix AND NOT pick1 AND size > 0 AND size < 2 * open2 AND row_number() OVER (
+    PARTITION BY source, NOT prefix AND NOT pick1 AND size > 0 AND size < 2 * open2 ORDER BY abs(open2 - size), size, u) = 1 AS pick2 FROM r3
 )
 SELECT doc_id, size, source_size, target,
   (size * (whole + CASE WHEN prefix OR pick1 OR pick2 THEN 1 ELSE 0 END))::BIGINT AS taken

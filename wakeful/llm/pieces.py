@@ -20,11 +20,13 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeful.llm.chunks import ChunkTable, portions
+from wakeful.llm.chunks import ChunkTable, cut, portions
 from wakeful.llm.common import text_of
 
 MARK = "▁"
@@ -67,17 +69,19 @@ class PieceCodec:
             return []
         if not self.by_word or MARK in text:  # a text that holds the marker itself goes whole
             return [text]
-        if text[0] != " " and text[-1] != " " and "  " not in text:
-            return text.split(" ")
         return [run[1:] for run in RUNS.findall(" " + text)]
 
-    def encode(self, texts: list[str]) -> Iterator:
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         for part in portions(texts):
-            ids, counts = self.table.join([self.chunks(t) for t in part])
-            at = 0
-            for n in counts:
-                yield ids[at : at + n]
-                at += n
+            # single blanks between words are cut by Arrow, other texts one by one
+            plain = pc.invert(pc.match_substring_regex(part, f"^$|^ |  | $|{MARK}")) if self.by_word else pa.array([False] * len(part))
+            odd = pa.array([self.chunks(t) for t in part.filter(pc.invert(plain)).to_pylist()], pa.list_(pa.string()))
+            lists = pa.concat_arrays([pc.split_pattern(part.filter(plain), " "), odd])
+            found = list(cut(*self.table.join(lists)))
+            mask = plain.to_numpy(zero_copy_only=False)
+            order = np.argsort(np.concatenate((np.flatnonzero(mask), np.flatnonzero(~mask))), kind="stable")
+            for k in order.tolist():
+                yield found[k]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids)
@@ -100,7 +104,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            ids = pa.array(list(own.encode(batch.column(1).to_pylist())), pa.list_(pa.int32()))
+            ids = pa.array(list(own.encode(batch.column(1))), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -123,25 +127,29 @@ def decode_pieces(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_co
     return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip_digest(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``): digests of the
     ids (decimal, joined by commas) and of their decoding, made where the ids are, so
-    that only digests leave a task."""
+    that only digests leave a task; ``with_ids`` adds the ``ids`` themselves."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            counts, of_ids, of_text = [], [], []
-            texts = batch.column(1).to_pylist()
-            for part in portions(texts):
+            at = 0
+            for part in portions(batch.column(1), 4 << 20):
                 listed = [ids.tolist() for ids in own.encode(part)]
-                counts += map(len, listed)
-                of_ids += [hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in listed]
-                of_text += [hashlib.sha256(t.encode()).hexdigest() for t in own.decode(listed)]
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                columns = [
+                    batch.column(0).slice(at, len(part)),
+                    pa.array(list(map(len, listed)), pa.int64()),
+                    pa.array([hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in listed], pa.string()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in own.decode(listed)], pa.string()),
+                    *[pa.array(listed, pa.list_(pa.int32()))] * with_ids,
+                ]
+                at += len(part)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     )

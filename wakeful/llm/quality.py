@@ -187,12 +187,11 @@ class Covering:
 
     ``held`` rows (a third, by hash of the id) prune and accept rules, the rest grow
     them. ``cuts`` thresholds per feature are quantiles of all labelled rows. A rule
-    stays while at least ``precision`` of the held-out documents that it rejects are
-    bad (with one good document added to the count, so that small rules need more
-    evidence) and it rejects ``least`` of them.
+    stays while it rejects ``least`` bad held-out documents and at least ``precision``
+    of the held-out documents that it rejects are bad.
     """
 
-    def __init__(self, rows: DataFrame, cuts: int = 40, precision: float = 0.9, least: int = 5, max_rules: int = 12, max_conditions: int = 4):
+    def __init__(self, rows: DataFrame, cuts: int = 40, precision: float = 0.9, least: int = 4, max_rules: int = 12, max_conditions: int = 4):
         self.rows, self.precision, self.least = rows, precision, least
         self.max_rules, self.max_conditions = max_rules, max_conditions
         points = [k / (cuts + 1) for k in range(1, cuts + 1)]
@@ -264,7 +263,7 @@ class Covering:
             if not conditions:
                 break
             length, good, bad = self._prune(conditions, open_)
-            if bad < self.least or bad < self.precision * (bad + good + 1):
+            if bad < self.least or bad < self.precision * (bad + good):
                 break
             rules.append(Rule(tuple(conditions[:length])))
             open_ = open_ & ~rules[-1].column()

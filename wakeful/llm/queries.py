@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, grammar, language, mixing, pieces, quality, ring, simhash, warc
+from wakeful.llm import exact, grammar, language, mixing, pieces, quality, ring, simhash, toxicity, warc
 from wakeful.llm.common import table, text_of
 
 
@@ -65,8 +65,18 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels' two categories in a chain: low quality, then toxic."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = toxicity.train_chain(docs, labels, ["low_quality", "toxic"])
+    return toxicity.classify(docs, chain).select(
+        "doc_id", "p_low_quality", F.col("p_toxic").alias("toxicity"), (F.col("p_toxic") >= 0.5).alias("toxic")
+    )
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +92,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_ring_shards": op7_ring_shards,
+    "op8_toxicity_chain": op8_toxicity_chain,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_ids": op10_token_ids,
 }
