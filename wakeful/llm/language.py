@@ -148,8 +148,8 @@ def text_evidence(rows: DataFrame, model: dict[str, np.ndarray], languages: list
         scorer = TextScorer(shared.value, len(languages))
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            texts = [markup.unescape(t) if "&" in t else t for t in batch.column(at).to_pylist()]
-            found = [scorer.score(p) for p in portions(texts)]
+            parts = (part.to_pylist() for part in portions(batch.column(at), 4 << 20))
+            found = [scorer.score([markup.unescape(t) if "&" in t else t for t in part]) for part in parts]
             sums = np.concatenate([s for s, _ in found]) if found else np.zeros((0, len(languages)))
             sums = sums - sums.max(axis=1, keepdims=True)
             sizes = np.concatenate([n for _, n in found]) if found else np.zeros(0, np.int64)
@@ -158,8 +158,8 @@ def text_evidence(rows: DataFrame, model: dict[str, np.ndarray], languages: list
                 [*columns, pa.array(list(sums), pa.list_(pa.float64())), pa.array(sizes, pa.int64())], [*other, "ll", "n_words"]
             )
 
-    kept = ", ".join(f"{c} {t}" for c, t in rows.dtypes if c != "text")
-    return rows.mapInArrow(run, f"{kept}, ll array<double>, n_words long")
+    kept = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "text")
+    return rows.withColumn("text", text_of("text")).mapInArrow(run, f"{kept}, ll array<double>, n_words long")
 
 
 # -- fusion -----------------------------------------------------------------------
