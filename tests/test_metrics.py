@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 
 from wakeful.operators import metrics as M
 from wakeful.operators.quantiles import exact_quantiles
@@ -54,12 +55,18 @@ def test_report_and_confusion(spark):
     assert stats.total == 5 and stats.fatigue_count == 3 and stats.awake_count == 2
 
 
-def test_exact_quantiles_both_paths(spark):
+@pytest.mark.parametrize("kind", ["cauchy", "ties", "tiny"])
+def test_exact_quantiles(spark, kind):
     rng = np.random.default_rng(5)
-    pdf = pd.DataFrame({"g": rng.integers(0, 4, 3000), "v": rng.standard_cauchy(3000)})  # heavy tails
-    df = spark.createDataFrame(pdf)
-    want = pdf.groupby("g")["v"].quantile([0.1, 0.5, 0.9])
-    for limit in (0, 10**9):
-        got = exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"], direct_limit=limit).collect()
-        for r in got:
-            assert abs(r.q - want[r.g][r.p]) <= 1e-9 * max(1.0, abs(r.q))
+    n = 9 if kind == "tiny" else 60_000
+    v = {"cauchy": rng.standard_cauchy(n), "ties": rng.integers(0, 3, n).astype(float), "tiny": rng.normal(size=n)}[kind]
+    pdf = pd.DataFrame({"g": (rng.random(n) < 0.3).astype(int), "v": v})
+    pdf.loc[0, "v"] = 1e9  # one value far from all others
+    want = pdf.groupby("g")["v"].quantile([0.0, 0.1, 0.5, 0.9, 1.0])
+    got = exact_quantiles(spark.createDataFrame(pdf), "v", [0.0, 0.1, 0.5, 0.9, 1.0], ["g"]).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert abs(r.q - want[r.g][r.p]) <= 1e-9 * max(1.0, abs(r.q))
+    alone = exact_quantiles(spark.createDataFrame(pdf), "v", [0.5]).first()
+    assert abs(alone.q - pdf["v"].median()) < 1e-9
+

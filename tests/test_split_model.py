@@ -57,11 +57,20 @@ def test_forest_importances_and_shap_additivity(spark):
     assert np.max(np.abs(recon - raw.loc[recon.index])) < 1e-5
 
 
-def test_large_scale_branches_agree(spark):
-    df = _samples(spark, n=600, users=57)
-    a = {r.user_id: r.split for r in group_split(df, "user_id", 0.2, 42).collect()}
-    b = {r.user_id: r.split for r in group_split(df, "user_id", 0.2, 42, direct_limit=0).collect()}
-    assert a == b
-    fa = {r.user_id: r.fold for r in group_kfold(df, 5).collect()}
-    fb = {r.user_id: r.fold for r in group_kfold(df, 5, direct_limit=0).collect()}
-    assert fa == fb
+def test_split_breaks_hash_ties_by_id(spark, monkeypatch):
+    """Exactly k users whatever the hashes, in (hash, id) order."""
+    from wakeful.operators import split
+
+    df = spark.range(10).withColumnRenamed("id", "user_id")
+    third = F.shiftleft((F.col("user_id") % 3).cast("long"), 50)
+    for hash_, want in ((F.lit(7).cast("long"), [0, 1, 2]), (third, [0, 3, 6])):
+        monkeypatch.setattr(split, "user_hash", lambda by, seed, h=hash_: h)
+        got = split.group_split(df, "user_id", 0.25, 1).where("split = 'test'").collect()
+        assert sorted(r.user_id for r in got) == want
+
+
+def test_split_edges(spark):
+    df = spark.range(7).withColumnRenamed("id", "user_id")
+    assert group_split(df, "user_id", 0.0).where("split = 'test'").count() == 0
+    assert group_split(df, "user_id", 1.0).where("split = 'train'").count() == 0
+    assert group_split(df.limit(0), "user_id").count() == 0

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from wakeful.operators.windows import hr_series_features
+from wakeful.operators.windows import hr_series_features, sleep_features
 from wakeful.settings import DEFAULTS, MICROS_PER_MINUTE, MICROS_PER_SECOND
 
 
@@ -79,3 +79,31 @@ def test_rolling_sleep_debt_across_buckets(spark):
     for bucket in (86_400_000_000, 3 * 86_400_000_000, 10**13):
         got = sleep_features(df, DEFAULTS.with_(bucket_us=bucket)).orderBy("END").toPandas()["cum_sleep_debt"].to_numpy()
         np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+def test_flat_stretches_have_no_spread(spark):
+    """Constant fractional heart rate, also after noise, at the default settings."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    t = 1_700_000_000 * MICROS_PER_SECOND + np.arange(n) * MICROS_PER_SECOND
+    noisy = np.where(np.arange(n) < n // 2, np.round(rng.uniform(45, 150, n), 2), 72.3)
+    pdf = pd.DataFrame({"user_id": np.repeat([0, 1], n), "t": np.tile(t, 2), "HR": np.concatenate((np.full(n, 72.3), noisy))})
+    got = hr_series_features(spark.createDataFrame(pdf), DEFAULTS).toPandas().sort_values(["user_id", "t"])
+    flat = got[(got.user_id == 0) | (got.t > t[n // 2] + DEFAULTS.window_us)]
+    assert flat["hr_volatility_5min"].max() < 1e-6 and flat["stress_cv"].max() < 1e-6
+    assert got[got.user_id == 0]["hr_std_total"].max() < 1e-6
+    want = pandas_reference(pdf, DEFAULTS).sort_values(["user_id", "t"])
+    want = want[want["mean_hr_5min"].notna()]
+    rising = (want.user_id == 1).to_numpy()
+    for c in ("hr_std_total", "hr_mean_total", "mean_hr_5min"):
+        assert np.allclose(got[c].to_numpy()[rising], want[c].to_numpy()[rising], rtol=1e-9)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 5])
+def test_rolling_sleep_debt_of_any_length(spark, rows):
+    rng = np.random.default_rng(rows)
+    end = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.cumsum(rng.integers(2, 60, 60)), unit="h")
+    pdf = pd.DataFrame({"user_id": 1, "START": end - pd.Timedelta(hours=1), "END": end, "duration": rng.uniform(3, 10, 60)})
+    got = sleep_features(spark.createDataFrame(pdf), DEFAULTS.with_(debt_rows=rows)).toPandas().sort_values("END")
+    want = (DEFAULTS.sleep_need_hours - pdf["duration"]).rolling(rows, min_periods=1).sum()
+    assert np.allclose(got["cum_sleep_debt"].to_numpy(), want.to_numpy())

@@ -2,23 +2,19 @@
 
 ``percentile``/``median`` keep every distinct value of a group in one hash map on
 one task, which breaks when a single user (or the whole table, for a global
-median) holds billions of rows. Here the exact order statistics are found by
-histogram refinement instead:
-
-1. per group: count, min, max (partial aggregation);
-2. each level splits the current value range into ``fanout`` linear buckets and
-   counts rows per bucket (partial aggregation again, so only bucket counts are
-   shuffled); a running count over the buckets of a group (<= fanout rows) tells
-   which bucket holds each wanted rank; the range shrinks to that bucket's
-   exact [min, max];
-3. the last level counts the distinct values inside the final bucket only.
-
-Linear bucketing ``floor((v - lo) / (hi - lo) * K)`` is monotone in floating
-point, so ranks are exact. Interpolation is the "linear" rule shared by pandas,
-numpy and DuckDB's ``quantile_cont``: ``x[lo] + (h - lo) * (x[lo+1] - x[lo])``,
-``h = (n - 1) * p``.
-
-The input is scanned ``levels + 2`` times, so pass a materialised table
+median) holds billions of rows. Here, at every size:
+
+1. one aggregate per group gives the count and, from a quantile sketch of fixed
+   size, a value range around each wanted probability;
+2. one pass counts the rows below and above the range and the distinct values
+   inside it (partial aggregation; about ``2 * MARGIN`` of a group lies inside);
+3. a running count over those values tells the wanted ranks exactly. The largest
+   value below and the smallest above are known too, so a range may be off by one
+   rank; a rank farther off raises an error instead of giving a wrong value.
+
+Interpolation is the "linear" rule shared by pandas, numpy and DuckDB's
+``quantile_cont``: ``x[lo] + (h - lo) * (x[lo+1] - x[lo])``, ``h = (n - 1) * p``.
+The input is scanned twice, so pass a materialised table
 (``session.cut_lineage``) when it is expensive to recompute.
 """
 
@@ -29,96 +25,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeful.session import cut_lineage
-
 _G = "__g"
+ACCURACY = 10_000  # of the sketch: ranks are off by at most n / ACCURACY
+MARGIN = 5 / ACCURACY
 
 
-def _with_group_key(df: DataFrame, group_cols: Sequence[str], value_col: str | None = None) -> tuple[DataFrame, list[str]]:
+def _with_group_key(df: DataFrame, group_cols: Sequence[str], value_col: str) -> tuple[DataFrame, list[str]]:
     """Global case: one group whose key is derived from the data (0 for every
     non-null value) rather than a literal, so joins on it stay equi-joins."""
     if group_cols:
         return df, list(group_cols)
-    key = F.col(value_col).isNull().cast("int") if value_col else F.lit(0)
-    return df.withColumn(_G, key), [_G]
-
-
-def order_statistics(
-    df: DataFrame,
-    value_col: str,
-    targets: DataFrame,
-    group_cols: Sequence[str],
-    levels: int = 2,
-    fanout: int = 4096,
-    small_groups: bool = False,
-) -> DataFrame:
-    """Exact value of rank ``r`` (0-based, ascending) per group.
-
-    ``targets`` has the group columns and ``r``; returns group columns, ``r``, ``value``.
-    ``small_groups`` marks the per-level target tables as broadcastable (their size is
-    ``#groups * #ranks`` rows; only set it when the number of groups is bounded).
-    """
-    g = list(group_cols)
-    base = df.select(*g, F.col(value_col).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
-    hint = F.broadcast if small_groups else (lambda x: x)
-    stats = base.groupBy(*g).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # current search state per target: value range [lo, hi] and rows below it
-    state = cut_lineage(targets.join(hint(stats), g).withColumn("below", F.lit(0).cast("long")), "qstate")
-    resolved = None
-    for _ in range(levels):
-        ranges = state.select(*g, "lo", "hi").distinct()
-        rows = base.join(hint(ranges), g).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        width = F.col("hi") - F.col("lo")
-        k = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * fanout), F.lit(fanout - 1))).otherwise(
-            F.lit(0)
-        )
-        hist = rows.groupBy(*g, "lo", "hi", k.cast("int").alias("k")).agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("v").alias("bmin"), F.max("v").alias("bmax")
-        )
-        w = Window.partitionBy(*g, "lo", "hi").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-        state = (
-            state.join(hist, [*g, "lo", "hi"])
-            .where(
-                (F.col("r") >= F.col("below") + F.col("before"))
-                & (F.col("r") < F.col("below") + F.col("before") + F.col("cnt"))
-            )
-            .select(
-                *g,
-                "r",
-                F.col("bmin").alias("lo"),
-                F.col("bmax").alias("hi"),
-                (F.col("below") + F.col("before")).alias("below"),
-            )
-        )
-        # the search state is tiny (#groups x #ranks rows); cutting its lineage keeps
-        # the plan linear in the number of levels instead of nesting every level
-        state = cut_lineage(state, "qstate")
-        done = state.where(F.col("lo") == F.col("hi")).select(*g, "r", F.col("lo").alias("value"))
-        resolved = done if resolved is None else resolved.unionByName(done)
-        state = state.where(F.col("lo") < F.col("hi"))
-    # final level: distinct values inside the remaining (narrow) ranges
-    ranges = state.select(*g, "lo", "hi").distinct()
-    rows = base.join(hint(ranges), g).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-    counts = rows.groupBy(*g, "lo", "hi", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(*g, "lo", "hi").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    last = (
-        state.join(counts, [*g, "lo", "hi"])
-        .where(
-            (F.col("r") >= F.col("below") + F.col("before"))
-            & (F.col("r") < F.col("below") + F.col("before") + F.col("cnt"))
-        )
-        .select(*g, "r", F.col("v").alias("value"))
-    )
-    return last if resolved is None else resolved.unionByName(last)
-
-
-# Largest group (rows) that may be handed to Spark's exact ``percentile`` aggregate,
-# which keeps a group's distinct values in one task's memory.
-DIRECT_LIMIT = 2_000_000
+    return df.withColumn(_G, F.col(value_col).isNull().cast("int")), [_G]
 
 
 def exact_quantiles(
@@ -126,56 +43,55 @@ def exact_quantiles(
     value_col: str,
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
-    levels: int = 2,
-    fanout: int = 4096,
     small_groups: bool | None = None,
-    direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group.
 
     Returns group columns, ``p`` (double) and ``q`` (double). Groups with no
-    non-null value are absent. One small job measures the largest group; when it is
-    within ``direct_limit`` rows the built-in exact ``percentile`` is used (its
-    per-group memory is then bounded), otherwise histogram refinement.
+    non-null value are absent. ``small_groups`` marks the table of value ranges (a row
+    per group) as broadcastable; only set it when the number of groups is bounded.
     """
     df, g = _with_group_key(df, group_cols, value_col)
-    if small_groups is None:
-        small_groups = not group_cols
     v = F.col(value_col).cast("double")
-    counts = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.max("n")).first()[0] or 0
-    if largest <= direct_limit:
-        probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-        direct = (
-            df.where(v.isNotNull() & ~F.isnan(v))
-            .groupBy(*g)
-            .agg(F.percentile(v, probs_arr).alias("_qs"))
-            .select(*g, F.explode(F.arrays_zip(probs_arr.alias("p"), F.col("_qs").alias("q"))).alias("_z"))
-            .select(*g, F.col("_z.p").alias("p"), F.col("_z.q").alias("q"))
-        )
-        return direct if group_cols else direct.drop(_G)
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = counts.select(*g, "n", F.explode(probs_arr).alias("p")).withColumn("h", (F.col("n") - 1) * F.col("p"))
-    wanted = wanted.withColumn("r_lo", F.floor("h").cast("long")).withColumn(
-        "r_hi", F.least(F.col("r_lo") + 1, F.col("n") - 1)
+    base = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    low = [max(0.0, float(p) - MARGIN) for p in probs]
+    high = [min(1.0, float(p) + MARGIN) for p in probs]
+    sketch = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", [*low, *high], ACCURACY).alias("_at"))
+    ranges = F.array(
+        *[
+            F.struct(F.lit(float(p)).alias("p"), F.col("_at")[i].alias("_lo"), F.col("_at")[len(low) + i].alias("_hi"))
+            for i, p in enumerate(probs)
+        ]
     )
-    targets = (
-        wanted.select(*g, F.col("r_lo").alias("r"))
-        .unionByName(wanted.select(*g, F.col("r_hi").alias("r")))
-        .distinct()
+    sketch = sketch.select(*g, "_n", ranges.alias("_ranges"))
+    if small_groups or (small_groups is None and not group_cols):
+        sketch = F.broadcast(sketch)
+    rows = base.join(sketch, g).select(*g, "_n", "_v", F.explode("_ranges").alias("_r")).select(*g, "_n", "_v", "_r.*")
+    side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
+    counts = (
+        rows.withColumn("_side", side)
+        .groupBy(*g, "_n", "p", "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_inside"))
+        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     )
-    stats = cut_lineage(order_statistics(df, value_col, targets, g, levels, fanout, small_groups), "qstats")
-    lo = stats.select(*g, F.col("r").alias("r_lo"), F.col("value").alias("x_lo"))
-    hi = stats.select(*g, F.col("r").alias("r_hi"), F.col("value").alias("x_hi"))
-    out = (
-        wanted.join(lo, [*g, "r_lo"])
-        .join(hi, [*g, "r_hi"])
-        .select(
-            *g,
-            "p",
-            (F.col("x_lo") + (F.col("h") - F.col("r_lo")) * (F.col("x_hi") - F.col("x_lo"))).alias("q"),
+    w = Window.partitionBy(*g, "_n", "p").orderBy("_side", "_inside")
+    counts = counts.withColumn("_upto", F.sum("_cnt").over(w)).withColumn("_before", F.col("_upto") - F.col("_cnt"))
+    h = (F.col("_n") - 1) * F.col("p")
+    r_lo = F.floor(h).cast("long")
+    r_hi = F.least(r_lo + 1, F.col("_n") - 1)
+
+    def value_at(rank):
+        """The value of a rank that falls into this row of counts."""
+        here = (F.col("_before") <= rank) & (rank < F.col("_upto"))
+        value = (
+            F.when(F.col("_side") == 0, F.col("_inside"))
+            .when((F.col("_side") < 0) & (rank == F.col("_upto") - 1), F.col("_most"))
+            .when((F.col("_side") > 0) & (rank == F.col("_before")), F.col("_least"))
+            .otherwise(F.raise_error(F.lit("quantile outside of its sketched range")).cast("double"))
         )
-    )
+        return F.max(F.when(here, value))
+
+    out = counts.groupBy(*g, "_n", "p").agg(value_at(r_lo).alias("_x_lo"), value_at(r_hi).alias("_x_hi"))
+    out = out.select(*g, "p", (F.col("_x_lo") + (h - r_lo) * (F.col("_x_hi") - F.col("_x_lo"))).alias("q"))
     return out if group_cols else out.drop(_G)
 
 

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeful.operators.quantiles import DIRECT_LIMIT, order_statistics
 from wakeful.session import cut_lineage
 
 
@@ -23,26 +22,29 @@ def user_hash(by: str, seed: int):
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
-def group_split(
-    df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed: int = 42, direct_limit: int = DIRECT_LIMIT
-) -> DataFrame:
+HASH_BITS, BUCKET_BITS = 52, 12
+
+
+def group_split(df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """M1: users (not rows) to train/test; test = the ceil(test_size * users) users
-    with the smallest seeded hash. The cut-off hash is found by exact distributed
-    selection (no sort of all users in one task). Returns (by, split)."""
-    users = df.select(by).distinct().withColumn("_h", user_hash(by, seed))
-    n = users.count()
-    k = math.ceil(test_size * n) if n else 0
-    if k == 0:
-        return users.select(by, F.lit("train").alias("split"))
-    if n <= direct_limit:
-        # the user table is within the checked bound: rank it in one window
-        rk = F.row_number().over(Window.orderBy("_h", by)) - 1
-        return users.select(by, F.when(rk < k, "test").otherwise("train").alias("split"))
-    users = cut_lineage(users, "users")
-    keyed = users.withColumn("_g", F.col("_h").isNull().cast("int"))  # one data-derived group
-    target = keyed.select("_g").distinct().withColumn("r", F.lit(k - 1).cast("long"))
-    cut_value = order_statistics(keyed, "_h", target, ["_g"], small_groups=True).first()["value"]
-    return users.select(by, F.when(F.col("_h") <= F.lit(cut_value), "test").otherwise("train").alias("split"))
+    that come first by (seeded hash, id). Users are counted per hash bucket (at most
+    4,096 counts reach the driver); only the bucket in which the test set ends is
+    ranked, so no task sorts all users. Returns (by, split)."""
+    users = cut_lineage(df.select(by).distinct().withColumn("_h", user_hash(by, seed)), "users")
+    bucket = F.shiftright("_h", HASH_BITS - BUCKET_BITS)
+    counts = users.groupBy(bucket.alias("b")).count().orderBy("b").collect()
+    k = math.ceil(test_size * sum(r["count"] for r in counts))
+    last, room = -1, 0  # buckets before ``last`` are test, ``room`` users of it are
+    for r in counts:
+        if k <= 0:
+            break
+        last, room = r["b"], min(k, r["count"])
+        k -= r["count"]
+    ranked = users.where(bucket == last).withColumn("_b", bucket)
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", by))
+    inside = ranked.select(by, F.when(rank <= room, "test").otherwise("train").alias("split"))
+    others = users.where(bucket != last).select(by, F.when(bucket < last, "test").otherwise("train").alias("split"))
+    return others.unionByName(inside)
 
 
 def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank") -> DataFrame:
@@ -64,18 +66,14 @@ def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank") -> Data
     )
 
 
-def group_kfold(df: DataFrame, n_splits: int = 5, by: str = "user_id", direct_limit: int = DIRECT_LIMIT) -> DataFrame:
+def group_kfold(df: DataFrame, n_splits: int = 5, by: str = "user_id") -> DataFrame:
     """M2: no user in two folds; users ordered by size (desc, then id) are dealt
     to folds in a snake (0..k-1, k-1..0, ...), which keeps folds balanced by rows.
     Returns (by, fold). (The original assigns greedily to the lightest fold; the
     snake is its order-free counterpart.)"""
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_cnt"))
     order = [F.col("_cnt").desc(), F.col(by).asc()]
-    if sizes.count() <= direct_limit:
-        # one row per user, within the checked bound: a single ordered window
-        ranked = sizes.withColumn("_r", F.row_number().over(Window.orderBy(*order)) - 1)
-    else:
-        ranked = global_rank(sizes, order, "_r")
+    ranked = global_rank(sizes, order, "_r")
     rnd = F.floor(F.col("_r") / n_splits)
     pos = F.col("_r") % n_splits
     fold = F.when(rnd % 2 == 0, pos).otherwise(n_splits - 1 - pos).cast("int")

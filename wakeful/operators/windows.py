@@ -8,8 +8,8 @@ operator partitions by ``user_id`` alone. Each series is cut into time buckets
   (a per-user running sum over the small bucket table);
 * the previous row (W6) comes from the same bucket or, for the first row of a
   bucket, from the last row of the previous non-empty bucket;
-* time-range frames (W1/W2/W7) see a halo: rows closer than the longest window
-  to the next bucket are copied into it and dropped again after the window.
+* time-range frames (W1/W2/W7) run in cells one window long; every row is copied
+  into the next cell and the copies are dropped again after the window.
 
 All of it is built-in window/aggregate expressions (whole-stage codegen).
 """
@@ -49,30 +49,36 @@ def hr_series_features(
     # -- phase A: expanding moments and previous row, per (user, bucket) -----
     per_bucket = x.groupBy(by, "b").agg(
         F.count("HR").alias("n_b"),
-        F.sum("HR").alias("s_b"),
-        F.sum(F.col("HR") * F.col("HR")).alias("q_b"),
+        F.avg("HR").alias("m_b"),
+        (F.var_pop("HR") * F.count("HR")).alias("v_b"),  # squared deviations from m_b
         F.max_by(F.struct("t", "HR"), "t").alias("last_b"),
     )
+    # Sums are taken of deviations from the series' first bucket mean, so that
+    # q - s * s / n loses no digits to the level of the series.
     wu = Window.partitionBy(by).orderBy("b")
     before = wu.rowsBetween(UNB, -1)
+    per_bucket = per_bucket.withColumn("ref", F.first("m_b", ignorenulls=True).over(wu.rowsBetween(UNB, Window.unboundedFollowing)))
+    off = F.col("m_b") - F.col("ref")
     carry = per_bucket.select(
         by,
         "b",
+        "ref",
         F.coalesce(F.sum("n_b").over(before), F.lit(0)).alias("n0"),
-        F.coalesce(F.sum("s_b").over(before), F.lit(0.0)).alias("s0"),
-        F.coalesce(F.sum("q_b").over(before), F.lit(0.0)).alias("q0"),
+        F.coalesce(F.sum(F.col("n_b") * off).over(before), F.lit(0.0)).alias("s0"),
+        F.coalesce(F.sum(F.col("v_b") + F.col("n_b") * off * off).over(before), F.lit(0.0)).alias("q0"),
         F.lag("last_b").over(wu).alias("prev_bucket_row"),
     )
     wa = Window.partitionBy(by, "b").orderBy("t")
     run = wa.rowsBetween(UNB, 0)
     a = x.join(carry, [by, "b"])
+    d = F.col("HR") - F.col("ref")
     n = F.col("n0") + F.count("HR").over(run)
-    sm = F.col("s0") + F.sum("HR").over(run)
-    sq = F.col("q0") + F.sum(F.col("HR") * F.col("HR")).over(run)
+    sm = F.col("s0") + F.sum(d).over(run)
+    sq = F.col("q0") + F.sum(d * d).over(run)
     prev = F.coalesce(F.lag(F.struct("t", "HR")).over(wa), F.col("prev_bucket_row"))
-    a = a.select(by, "t", "b", "HR", *pt, n.alias("_n"), sm.alias("_s"), sq.alias("_q"), prev.alias("_prev"))
+    a = a.select(by, "t", "b", "HR", *pt, "ref", n.alias("_n"), sm.alias("_s"), sq.alias("_q"), prev.alias("_prev"))
     var = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1)
-    mean_total = F.when(F.col("_n") >= mp, F.col("_s") / F.col("_n"))
+    mean_total = F.when(F.col("_n") >= mp, F.col("ref") + F.col("_s") / F.col("_n"))
     std_total = F.coalesce(
         F.when((F.col("_n") >= F.lit(max(mp, 2))), F.sqrt(F.greatest(var, F.lit(0.0)))), F.lit(1.0)
     )
@@ -91,15 +97,30 @@ def hr_series_features(
         diff.alias("hr_diff"),
     ).withColumn("hr_zscore", (F.col("HR") - F.col("hr_mean_total")) / (F.col("hr_std_total") + 0.1))
 
-    # -- phase B: time-range frames with a halo from the previous bucket -----
-    halo = max(s.window_us, s.jumpiness_window_us)
-    in_halo = F.col("t") > (F.col("b") + 1) * B - halo
-    copies = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    bx = a.withColumn("_shift", F.explode(copies)).withColumn("bb", F.col("b") + F.col("_shift"))
-    wb = Window.partitionBy(by, "bb").orderBy("t")
-    # A moving RANGE frame is re-aggregated row by row (O(rows x frame)); a running
-    # frame is incremental. Sums over (t - w, t] are therefore taken as the running
-    # sum up to t minus the running sum up to t - w (both O(rows)).
+    # -- phase B: time-range frames, per cell one window long -----------------
+    # Cells are counted from the bucket's start. A row is copied into the next cell and,
+    # near the end of its bucket, into the first one of the next bucket, so a cell holds
+    # every row that its own rows' windows reach back to. A moving RANGE frame is
+    # re-aggregated row by row (O(rows x frame)); a running frame is incremental, so
+    # sums over (t - w, t] are the running sum up to t minus the running sum up to
+    # t - w. Running sums start with the cell and are of deviations from its mean: they
+    # stay small, and their differences exact also for a flat stretch after noise.
+    cell_us = max(s.window_us, s.jumpiness_window_us)
+    cell = F.floor((F.col("t") - F.col("b") * B) / F.lit(cell_us)).cast("long")
+    nowhere = F.array().cast("array<struct<bb:bigint,_cell:bigint,_own:boolean>>")
+
+    def place(b, c, own):
+        return F.array(F.struct(b.alias("bb"), c.alias("_cell"), F.lit(own).alias("_own")))
+
+    places = F.concat(
+        place(F.col("b"), cell, True),
+        F.when((cell + 1) * cell_us < B, place(F.col("b"), cell + 1, False)).otherwise(nowhere),
+        F.when(F.col("t") > (F.col("b") + 1) * B - cell_us, place(F.col("b") + 1, F.lit(0).cast("long"), False)).otherwise(nowhere),
+    )
+    bx = a.withColumn("_at", F.explode(places)).select("*", "_at.*").drop("_at").repartition(by, "bb")
+    wb = Window.partitionBy(by, "bb", "_cell").orderBy("t")
+    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bx = bx.withColumn("_dev", F.col("HR") - F.avg("HR").over(whole))
     upto_now = wb.rangeBetween(Window.unboundedPreceding, 0)
 
     def in_window(expr, w_us):
@@ -108,19 +129,18 @@ def hr_series_features(
 
     hr_ok = F.col("HR").isNotNull().cast("long")
     n1 = in_window(hr_ok, s.window_us)
-    s1 = in_window(F.col("HR"), s.window_us)
-    q1 = in_window(F.col("HR") * F.col("HR"), s.window_us)
+    s1 = in_window(F.col("_dev"), s.window_us)
+    q1 = in_window(F.col("_dev") * F.col("_dev"), s.window_us)
     d_ok = F.col("hr_diff").isNotNull().cast("long")
     n2 = in_window(d_ok, s.jumpiness_window_us)
     q2 = in_window(F.col("hr_diff") * F.col("hr_diff"), s.jumpiness_window_us)
-    bx = bx.select("*", n1.alias("_n1"), s1.alias("_s1"), q1.alias("_q1"), n2.alias("_n2"), q2.alias("_q2")).where(
-        F.col("_shift") == 0
-    )
+    bx = bx.select(
+        "*", n1.alias("_n1"), s1.alias("_s1"), q1.alias("_q1"), n2.alias("_n2"), q2.alias("_q2"), (F.col("HR") - F.col("_dev")).alias("_mid")
+    ).where("_own")
     var1 = (F.col("_q1") - F.col("_s1") * F.col("_s1") / F.col("_n1")) / (F.col("_n1") - 1)
     out = bx.select(
-        *[c for c in bx.columns if not c.startswith("_n") and not c.startswith("_s") and not c.startswith("_q")],
-        "_shift",
-        F.when(F.col("_n1") >= mp, F.col("_s1") / F.col("_n1")).alias("mean_hr_5min"),
+        *[c for c in bx.columns if not c.startswith("_")],
+        F.when(F.col("_n1") >= mp, F.col("_mid") + F.col("_s1") / F.col("_n1")).alias("mean_hr_5min"),
         F.when((F.col("_n1") >= mp) & (F.col("_n1") >= 2), F.sqrt(F.greatest(var1, F.lit(0.0)))).alias(
             "hr_volatility_5min"
         ),
@@ -131,7 +151,7 @@ def hr_series_features(
     # keep the bucket (as ``b``): the rows stay hash-partitioned by (by, b) for the
     # next bucketed operator (the as-of join to sleep)
     out = out.withColumn("stress_cv", F.col("hr_volatility_5min") / (F.col("mean_hr_5min") + 0.1)).drop(
-        "_shift", "b"
+        "b"
     ).withColumnRenamed("bb", "b")
     if not keep_all:
         out = out.where(F.col("mean_hr_5min").isNotNull())
@@ -140,37 +160,31 @@ def hr_series_features(
 
 def sleep_features(sleep: DataFrame, s: FeatureSettings, by: str = "user_id") -> DataFrame:
     """F4 + W9: debt = need - duration; cum_sleep_debt = sum of the debts of the last
-    three sleeps (this one included) in (END, START) order.
+    ``debt_rows`` sleeps (this one included) in (END, START) order.
 
-    Computed per (user, time bucket of END): the two debts that precede a bucket
-    come from a per-bucket table (last and second-to-last debt of every non-empty
-    bucket, looked up with ``lag`` over the user's buckets), so no window runs over
-    all of one user's rows.
+    Computed per (user, time bucket of END): the debts that precede a bucket come from
+    a per-bucket table (the last debts of every non-empty bucket, looked up with
+    ``lag`` over the user's buckets), so no window runs over all of one user's rows.
     """
-    if s.debt_rows != 3:
-        raise ValueError("the bucketed rolling debt is written for the 3-sleep window")
+    k = s.debt_rows - 1  # earlier sleeps that count
     x = sleep.select(by, "START", "END", "duration").withColumn("_debt", sleep_debt("duration", s.sleep_need_hours))
     x = x.withColumn("_b", bucket_of_ts("END", s.bucket_us))
     w = Window.partitionBy(by, "_b").orderBy("END", "START")
-    x = x.withColumn("_rn", F.row_number().over(w)).withColumn("_d1", F.lag("_debt", 1).over(w)).withColumn(
-        "_d2", F.lag("_debt", 2).over(w)
-    )
-    per_bucket = x.groupBy(by, "_b").agg(
-        F.max_by("_debt", "_rn").alias("_last"),
-        F.max_by("_d1", "_rn").alias("_second"),
-    )
+    inside = F.sum("_debt").over(w.rowsBetween(-k, 0))
+    x = x.withColumn("_rn", F.row_number().over(w)).withColumn("_inside", inside)
+    if k == 0:
+        return x.select(by, "START", "END", "duration", F.col("_inside").alias("cum_sleep_debt"))
+    # the last k debts of every bucket, newest first (at most k values), and of the
+    # k buckets before it: together they hold the k debts that precede a bucket
+    newest = x.withColumn("_lasts", F.collect_list("_debt").over(w.rowsBetween(-(k - 1), 0)))
+    per_bucket = newest.groupBy(by, "_b").agg(F.reverse(F.max_by("_lasts", "_rn")).alias("_lasts"))
     wu = Window.partitionBy(by).orderBy("_b")
-    carry = per_bucket.select(
-        by,
-        "_b",
-        F.lag("_last", 1).over(wu).alias("_c1"),
-        F.coalesce(F.lag("_second", 1).over(wu), F.lag("_last", 2).over(wu)).alias("_c2"),
-    )
+    earlier = F.flatten(F.array(*[F.coalesce(F.lag("_lasts", i).over(wu), F.array().cast("array<double>")) for i in range(1, k + 1)]))
+    carry = per_bucket.select(by, "_b", earlier.alias("_earlier"))
     x = x.join(carry, [by, "_b"])
-    older = F.when(F.col("_rn") == 1, F.col("_c2")).when(F.col("_rn") == 2, F.col("_c1")).otherwise(F.col("_d2"))
-    prev = F.when(F.col("_rn") == 1, F.col("_c1")).otherwise(F.col("_d1"))
-    total = F.coalesce(older, F.lit(0.0)) + F.coalesce(prev, F.lit(0.0)) + F.col("_debt")
-    return x.select(by, "START", "END", "duration", total.alias("cum_sleep_debt"))
+    missing = F.greatest(F.lit(k + 1) - F.col("_rn"), F.lit(0))  # of the frame, before the bucket
+    before = F.aggregate(F.slice("_earlier", F.lit(1), missing), F.lit(0.0), lambda acc, d: acc + d)
+    return x.select(by, "START", "END", "duration", (before + F.col("_inside")).alias("cum_sleep_debt"))
 
 
 def bucket_of_ts(ts: str, bucket_us: int):
