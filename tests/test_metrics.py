@@ -70,3 +70,21 @@ def test_exact_quantiles(spark, kind):
     alone = exact_quantiles(spark.createDataFrame(pdf), "v", [0.5]).first()
     assert abs(alone.q - pdf["v"].median()) < 1e-9
 
+
+
+def test_running_totals_of_heavy_tails(spark):
+    """One value far outside must not send all others into one bucket."""
+    from pyspark.sql import functions as F
+
+    from wakeful.operators.prefix import SIDE, bucket_number, running_totals
+
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"v": np.concatenate((np.round(rng.normal(size=20_000), 3), [1e6])), "c": 1.0})
+    df = spark.createDataFrame(pdf)
+    got = running_totals(df, "v", ["c"]).toPandas().sort_values("v")
+    assert (got["cum_c"].to_numpy() == pdf["v"].sort_values().rank(method="max").to_numpy()).all()
+    down = running_totals(df, "v", ["c"], descending=True).toPandas().sort_values("v", ascending=False)
+    assert (down["cum_c"].to_numpy() == (-pdf["v"]).sort_values().rank(method="max").to_numpy()).all()
+    cuts = df.agg(F.percentile_approx("v", [k / SIDE**2 for k in range(1, SIDE**2)], 10_000).alias("cuts"))
+    sizes = df.join(F.broadcast(cuts), F.col("v").isNotNull()).groupBy(bucket_number(F.col("v"), F.col("cuts")).alias("b")).count().toPandas()
+    assert sizes["count"].max() < 0.05 * len(pdf) and sizes["b"].max() < SIDE**2
