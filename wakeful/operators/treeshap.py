@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 def compile_tree(nodes: list[dict], n_features: int):
     """Leaf paths of one tree as padded arrays.
 
-    Returns (feat, thr, go_left, ratio, valid, values, depth) where the first five are
-    (leaves, depth) arrays describing each path's splits and ``values`` the leaf values.
+    Returns (feat, thr, go_left, valid, slot, owner, ratio, values, depth): the first
+    four are (leaves, depth) arrays describing each path's splits, the next three its
+    players, and ``values`` the leaf values.
     """
     by_id = {n["id"]: n for n in nodes}
     root = min(by_id)  # MLlib numbers the root first
@@ -56,43 +57,52 @@ def compile_tree(nodes: list[dict], n_features: int):
     feat = np.zeros((L, depth), dtype=np.int64)
     thr = np.zeros((L, depth))
     left = np.zeros((L, depth), dtype=bool)
-    ratio = np.ones((L, depth))
     valid = np.zeros((L, depth), dtype=bool)
+    # a feature that a path splits on repeatedly is one player, in the slot of its
+    # first split
+    slot = np.zeros((L, depth), dtype=np.int64)
+    owner = np.full((L, depth), -1, dtype=np.int64)  # feature of each slot (-1: null player)
+    ratio = np.ones((L, depth))
     values = np.zeros(L)
     for i, (p, v) in enumerate(paths):
         values[i] = v
+        first: dict[int, int] = {}
         for j, (f, t, lft, r) in enumerate(p):
-            feat[i, j], thr[i, j], left[i, j], ratio[i, j], valid[i, j] = f, t, lft, r, True
-    return feat, thr, left, ratio, valid, values, depth
+            feat[i, j], thr[i, j], left[i, j], valid[i, j] = f, t, lft, True
+            k = first.setdefault(int(f), j)
+            slot[i, j], owner[i, k] = k, f
+            ratio[i, k] *= r
+    return feat, thr, left, valid, slot, owner, ratio, values, depth
 
 
 def _shapley_weights(d: int) -> np.ndarray:
     return np.array([math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)])
 
 
+CELLS = 1 << 20  # rows x leaves x depth handled at once
+
+
 def tree_shap(X: np.ndarray, compiled) -> tuple[np.ndarray, float]:
-    """SHAP values (n x p) and expected value of one compiled tree."""
-    feat, thr, left, ratio, valid, values, D = compiled
+    """SHAP values (n x p) and expected value of one compiled tree; rows are taken in
+    blocks, so memory doesn't grow with the tree's size times the batch."""
+    ratio, values, D = compiled[6:]
+    step = max(1, CELLS // (len(values) * D * D))
+    phi = np.concatenate([_block_shap(X[i : i + step], compiled) for i in range(0, len(X), step)] or [np.zeros(X.shape)])
+    return phi, float(np.sum(values * np.prod(ratio, axis=1)))
+
+
+def _block_shap(X: np.ndarray, compiled) -> np.ndarray:
+    feat, thr, left, valid, slot, owner, r, values, D = compiled
     n, p = X.shape
     L = len(values)
     # per path step: does x follow the path direction?
     xv = X[:, feat]  # (n, L, D)
     follows = np.where(left[None], xv <= thr[None], xv > thr[None])
     follows = np.where(valid[None], follows, True)
-    # merge repeated features on a path into one player: slot of first occurrence
     z = np.ones((n, L, D))
-    r = np.ones((L, D))
-    owner = np.full((L, D), -1, dtype=np.int64)  # feature index per player slot (-1 = null player)
-    for li in range(L):
-        seen: dict[int, int] = {}
-        for j in range(D):
-            if not valid[li, j]:
-                continue
-            f = int(feat[li, j])
-            slot = seen.setdefault(f, j)
-            owner[li, slot] = f
-            r[li, slot] *= ratio[li, j]
-            z[:, li, slot] *= follows[:, li, j]
+    leaves = np.arange(L)
+    for j in range(D):
+        z[:, leaves, slot[:, j]] *= np.where(valid[:, j], follows[:, :, j], True)
     w = _shapley_weights(D)
     phi = np.zeros((n, p))
     for i in range(D):
@@ -113,8 +123,7 @@ def tree_shap(X: np.ndarray, compiled) -> tuple[np.ndarray, float]:
         own = owner[:, i]
         for li in np.nonzero(own >= 0)[0]:
             phi[:, own[li]] += contrib[:, li]
-    expected = float(np.sum(values * np.prod(r, axis=1)))
-    return phi, expected
+    return phi
 
 
 def explain_samples(

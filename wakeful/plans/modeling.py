@@ -8,10 +8,13 @@ never zipped by position.
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import replace
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeful.operators import metrics as M
@@ -34,9 +37,10 @@ def train(samples: DataFrame, params: ForestParams = ForestParams(), target: str
 
 
 def batch_inference(
-    ff: FittedForest, features: DataFrame, threshold: float = 0.26, limit: int | None = 5000, keys: Sequence[str] = INFERENCE_KEY
+    ff: FittedForest, features: DataFrame, threshold: float = 0.26, limit: int | None = None, keys: Sequence[str] = INFERENCE_KEY
 ) -> DataFrame:
-    """M5: first ``limit`` rows by key -> score -> threshold -> status, keyed."""
+    """M5: rows -> score -> threshold -> status, keyed; with ``limit`` the first rows by
+    key only."""
     x = features.orderBy(*keys).limit(limit) if limit else features
     scored = ff.transform(x, "fatigue_probability")
     return M.score_outputs(scored, "fatigue_probability", threshold).select(
@@ -46,12 +50,13 @@ def batch_inference(
 
 def evaluate(ff: FittedForest, test: DataFrame, threshold: float = 0.26, target: str = "fatigue_score") -> dict[str, DataFrame]:
     """M8: score the test set once (materialised), then regression metrics,
-    the classification report and the PR curve."""
+    the classification report, the PR curve and the score statistics."""
     scored = cut_lineage(ff.transform(test, "prediction").select(F.col(target).alias("y_true"), F.col("prediction").alias("y_pred")))
     return {
         "regression": M.regression_metrics(scored),
         "report": M.classification_report(scored, "y_true", "y_pred", threshold),
         "pr_curve": M.pr_curve(scored, "y_true", "y_pred", threshold),
+        "stats": M.inference_stats(scored, "y_pred", threshold),
     }
 
 
@@ -62,31 +67,39 @@ def cross_validate(
     threshold: float = 0.26,
     target: str = "fatigue_score",
     folds: DataFrame | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
     """M6: group k-fold; per fold RMSE and recall at the threshold of a model fitted
-    on the other folds; returns one row per fold (fold, rmse, recall)."""
+    on the other folds, fitted side by side; one row per fold (fold, n_test, rmse,
+    recall)."""
     if folds is None:
         folds = group_kfold(samples, n_splits)
     data = cut_lineage(samples.join(folds, "user_id"))
-    rows = []
-    for k in range(n_splits):
-        train_k = data.where(F.col("fold") != k)
-        test_k = data.where(F.col("fold") == k)
-        ff = fit_forest(train_k, target, params)
-        sc = ff.transform(test_k, "prediction").select(F.col(target).alias("y_true"), F.col("prediction").alias("y_pred"))
-        err = F.col("y_pred") - F.col("y_true")
-        t = F.col("y_true") >= threshold
-        p = F.col("y_pred") >= threshold
+
+    def one(k: int) -> DataFrame:
+        ff = fit_forest(data.where(F.col("fold") != k), target, params)
+        sc = ff.transform(data.where(F.col("fold") == k), "prediction")
+        t, p = F.col(target) >= threshold, F.col("prediction") >= threshold
+        err = F.col("prediction") - F.col(target)
         m = sc.agg(
+            F.count(F.lit(1)).alias("n_test"),
             F.sqrt(F.avg(err * err)).alias("rmse"),
             F.count_if(t & p).alias("tp"),
             F.count_if(t & ~p).alias("fn"),
-        ).select(F.lit(k).alias("fold"), "rmse", F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(F.lit(0.0)).alias("recall"))
-        rows.append(m)
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        )
+        found = F.col("tp") + F.col("fn")
+        recall = F.when(found > 0, F.col("tp") / found).otherwise(F.lit(0.0))
+        return m.select(F.lit(k).alias("fold"), "n_test", "rmse", recall.alias("recall"))
+
+    jobs = [lambda k=k: one(k) for k in range(n_splits)]
+    return reduce(DataFrame.unionByName, side_by_side(samples.sparkSession, jobs, parallelism))
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], DataFrame]], parallelism: int) -> list[DataFrame]:
+    """Results of independent jobs, ``parallelism`` of them submitted at a time, so
+    that small fits fill a cluster together. Session properties reach the threads."""
+    with ThreadPool(max(1, parallelism)) as pool:
+        return pool.map(lambda f: f(), [inheritable_thread_target(spark)(j) for j in jobs])
 
 
 SEARCH_SPACE = {  # fixed ranges of the original search
@@ -118,13 +131,15 @@ def sample_params(n_trials: int, seed: int = 42, base: ForestParams = ForestPara
     return out
 
 
-def search_params(samples: DataFrame, n_trials: int = 50, n_splits: int = 5, threshold: float = 0.26, seed: int = 42) -> DataFrame:
+def search_params(
+    samples: DataFrame, n_trials: int = 50, n_splits: int = 5, threshold: float = 0.26, seed: int = 42, parallelism: int = 4
+) -> DataFrame:
     """M7: each trial is cross-validated; result table (trial, params, rmse, recall)
-    ordered by mean RMSE (best first)."""
+    ordered by mean RMSE (best first). All trials use the same folds."""
     folds = cut_lineage(group_kfold(samples, n_splits))
-    results = None
-    for i, p in enumerate(sample_params(n_trials, seed)):
-        cv = cross_validate(samples, p, n_splits, threshold, folds=folds)
+
+    def one(i: int, p: ForestParams) -> DataFrame:
+        cv = cross_validate(samples, p, n_splits, threshold, folds=folds, parallelism=parallelism)
         r = cv.agg(F.avg("rmse").alias("rmse"), F.avg("recall").alias("recall")).select(
             F.lit(i).alias("trial"),
             F.lit(p.n_estimators).alias("n_estimators"),
@@ -136,15 +151,22 @@ def search_params(samples: DataFrame, n_trials: int = 50, n_splits: int = 5, thr
             "rmse",
             "recall",
         )
-        r = cut_lineage(r)
-        results = r if results is None else results.unionByName(r)
-    return results.orderBy("rmse", "trial")
+        return cut_lineage(r)
+
+    results = [one(i, p) for i, p in enumerate(sample_params(n_trials, seed))]
+    return reduce(DataFrame.unionByName, results).orderBy("rmse", "trial")
+
+
+ROWS_PER_TASK = 256  # attributions cost leaves x depth steps a row, so rows are spread thin
 
 
-def explain(ff: FittedForest, rows: DataFrame, keys: Sequence[str], limit: int | None = 200) -> DataFrame:
-    """M9: SHAP values for the first ``limit`` rows by key (the explanation sample)."""
+def explain(ff: FittedForest, rows: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
+    """M9: SHAP values of every row, spread over many tasks; with ``limit`` of the
+    first rows by key only."""
     x = rows.orderBy(*keys).limit(limit) if limit else rows
-    prepared = ff.prepare(x.select(*keys, *ff.features))
+    x = cut_lineage(x.select(*keys, *ff.features), "explained")
+    x = x.repartition(max(1, min(100_000, -(-x.count() // ROWS_PER_TASK))))
+    prepared = ff.prepare(x)
     # explain on the values the trees see, named after the features
     prepared = prepared.select(*keys, *[F.col(i).alias(f) for i, f in zip(ff.model_inputs, ff.features)])
     return explain_samples(prepared, tree_nodes(ff), list(ff.features), keys)

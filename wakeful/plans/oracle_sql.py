@@ -651,3 +651,60 @@ WITH m AS ({q_regression_metrics()})
 SELECT m.metric, m.value, round((t.threshold) + 2.5e-8, 6) AS threshold, t.greater_is_better,
        CASE WHEN t.greater_is_better THEN m.value >= t.threshold ELSE m.value <= t.threshold END AS passed
 FROM m JOIN {limits} ON m.metric = t.metric"""
+
+
+# ---------------------------------------------------------------- model outputs
+def _split_of(side: str) -> str:
+    """Training samples of one side of the user split (CTE ``part``)."""
+    cmp = "<" if side == "test" else ">="
+    return _train_users() + f""",
+u AS (SELECT DISTINCT user_id FROM matched),
+r AS (SELECT user_id, row_number() OVER (ORDER BY md5(concat('42:', CAST(user_id AS VARCHAR))), user_id) - 1 AS rk,
+             count(*) OVER () AS n FROM u),
+part AS (SELECT m.* FROM matched m JOIN r ON m.user_id = r.user_id WHERE r.rk {cmp} ceil(0.2 * r.n))"""
+
+
+def q_model_importance() -> str:
+    return "SELECT feature, true AS in_range, true AS sums_to_one FROM (VALUES " + ", ".join(f"('{f}')" for f in MODEL_FEATURES) + ") t(feature)"
+
+
+def q_batch_inference() -> str:
+    return f"SELECT user_id, HRTIME, true AS in_range, true AS alert_matches, true AS status_matches FROM ({q_inference_ids()})"
+
+
+def q_evaluate_model(t: float) -> str:
+    return _split_of("test") + f""",
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE fatigue_score >= {t}) AS pos FROM part)
+SELECT 'regression' AS part, metric AS name, CAST(NULL AS BIGINT) AS n, true AS ok FROM (VALUES ('mae'), ('mse'), ('rmse'), ('r2')) v(metric)
+UNION ALL SELECT 'report', 'Fatigued', pos, true FROM c
+UNION ALL SELECT 'report', 'Awake', n - pos, true FROM c
+UNION ALL SELECT 'report', label, n, true FROM c, (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(label)
+UNION ALL SELECT 'pr_curve', 'points', NULL, true
+UNION ALL SELECT 'stats', 'total', n, true FROM c"""
+
+
+def q_explain_samples() -> str:
+    return _split_of("test") + "\nSELECT user_id, TESTSTART, TESTID, offset_us, true AS additive FROM part"
+
+
+def q_cross_validate(k: int) -> str:
+    return _split_of("train") + f""",
+sz AS (SELECT user_id, count(*) AS cnt FROM part GROUP BY user_id),
+rr AS (SELECT user_id, cnt, row_number() OVER (ORDER BY cnt DESC, user_id) - 1 AS rk FROM sz),
+f AS (SELECT cnt, CAST(CASE WHEN (rk // {k}) % 2 = 0 THEN rk % {k} ELSE {k - 1} - rk % {k} END AS INTEGER) AS fold FROM rr)
+SELECT fold, CAST(sum(cnt) AS BIGINT) AS n_test, true AS rmse_in_range, true AS recall_in_range FROM f GROUP BY fold"""
+
+
+def q_search_params(trials: list[tuple]) -> str:
+    rows = ", ".join(f"({i}, {n}, {d}, {leaf}, '{m}')" for i, n, d, leaf, m in trials)
+    return (
+        "SELECT trial, n_estimators, max_depth, min_samples_leaf, max_features, true AS rmse_in_range, true AS recall_in_range "
+        f"FROM (VALUES {rows}) t(trial, n_estimators, max_depth, min_samples_leaf, max_features)"
+    )
+
+
+def q_score_requests() -> str:
+    return (
+        "SELECT request_id, has_features, true AS has_course, true AS in_range, true AS flag_matches, true AS advice_matches "
+        f"FROM ({q_request_features()})"
+    )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wakeful.functions.scalar import parse_time, ts_us
@@ -28,6 +28,7 @@ from wakeful.operators import drift as D
 from wakeful.operators import metrics as M
 from wakeful.operators.forest import ForestParams
 from wakeful.operators.split import group_kfold, group_split
+from wakeful.operators.treeshap import shap_additivity
 from wakeful.plans import modeling as MD
 from wakeful.plans import scoring as SC
 from wakeful.operators import advise as AD
@@ -207,37 +208,90 @@ def _fitted(spark, sf_dir):
     return _FITTED[key]
 
 
+# Forest outputs differ between tree learners, so the registered model queries return
+# every row with its model-independent columns, and what must hold of the
+# model-dependent values as booleans (tests/ checks the values themselves).
+
+
+def _share(c: str):
+    return F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False))
+
+
 def model_importance_q(spark, sf_dir):
-    return _fitted(spark, sf_dir)[1].importances()
+    imp = cut_lineage(_fitted(spark, sf_dir)[1].importances(), "importances", small=True)
+    whole = imp.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+    return M.attach_row(imp.select("feature", _share("importance").alias("in_range")), whole)
 
 
 def batch_inference_q(spark, sf_dir):
     _, ff = _fitted(spark, sf_dir)
     f = _feeds(spark, sf_dir)
-    return MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T, limit=None)
+    out = MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T)
+    alert = F.col("fatigue_probability") >= EVAL_T
+    return out.select(
+        *MD.INFERENCE_KEY,
+        _share("fatigue_probability").alias("in_range"),
+        (F.col("fatigue_event_alert").cast("int") == alert.cast("int")).alias("alert_matches"),
+        (F.col("status") == F.when(alert, "Fatigued").otherwise("Awake")).alias("status_matches"),
+    )
 
 
 def evaluate_model_q(spark, sf_dir):
     samples, ff = _fitted(spark, sf_dir)
     ev = MD.evaluate(ff, samples.where(F.col("split") == "test"), EVAL_T)
-    return ev["regression"].unionByName(
-        ev["report"].select(F.concat(F.lit("f1_"), "label").alias("metric"), F.col("f1_score").alias("value"))
+    none = F.lit(None).cast("long")
+    value = F.col("value")
+    sane = F.when(F.col("metric") == "r2", value <= 1).otherwise(value.between(0, 1))
+    curve = cut_lineage(ev["pr_curve"], "pr-curve")
+    # the threshold falls as recall grows, and the closing point has none
+    in_order = F.lag("recall").over(Window.partitionBy(F.col("threshold").isNull()).orderBy(F.col("threshold").desc()))
+    steps = curve.select((_share("precision") & _share("recall") & (F.coalesce(in_order, F.lit(0.0)) <= F.col("recall"))).alias("ok"))
+    stats = ev["stats"]
+    return (
+        ev["regression"].select(F.lit("regression").alias("part"), F.col("metric").alias("name"), none.alias("n"), sane.alias("ok"))
+        .unionByName(
+            ev["report"].select(
+                F.lit("report").alias("part"),
+                F.col("label").alias("name"),
+                F.col("support").cast("long").alias("n"),
+                ((F.col("precision").isNull() | _share("precision")) & _share("f1_score")).alias("ok"),
+            )
+        )
+        .unionByName(steps.agg(F.lit("pr_curve").alias("part"), F.lit("points").alias("name"), none.alias("n"), F.every("ok").alias("ok")))
+        .unionByName(
+            stats.select(
+                F.lit("stats").alias("part"),
+                F.lit("total").alias("name"),
+                F.col("total").alias("n"),
+                ((F.col("fatigue_count") + F.col("awake_count") == F.col("total")) & _share("mean_probability")).alias("ok"),
+            )
+        )
     )
 
 
 def explain_samples_q(spark, sf_dir):
     samples, ff = _fitted(spark, sf_dir)
-    return MD.explain(ff, samples.where(F.col("split") == "test"), list(MD.SAMPLE_KEY), 200)
+    test, keys = samples.where(F.col("split") == "test"), list(MD.SAMPLE_KEY)
+    raw = ff.model.transform(ff.prepare(test)).select(*keys, "prediction")
+    total = shap_additivity(MD.explain(ff, test, keys), raw, keys, ff.features)
+    return total.select(*keys, (F.abs(F.col("reconstructed") - F.col("prediction")) < 1e-5).alias("additive"))
+
+
+N_FOLDS, N_TRIALS = 5, 3  # the operator's default is 50 trials; a fit costs seconds at any size
 
 
 def cross_validate_q(spark, sf_dir):
     samples, _ = _fitted(spark, sf_dir)
-    return MD.cross_validate(samples.where(F.col("split") == "train"), ForestParams(), 3, EVAL_T)
+    cv = MD.cross_validate(samples.where(F.col("split") == "train"), ForestParams(), N_FOLDS, EVAL_T)
+    return cv.select("fold", "n_test", _share("rmse").alias("rmse_in_range"), _share("recall").alias("recall_in_range"))
 
 
 def search_params_q(spark, sf_dir):
     samples, _ = _fitted(spark, sf_dir)
-    return MD.search_params(samples.where(F.col("split") == "train"), n_trials=2, n_splits=3, threshold=EVAL_T)
+    found = MD.search_params(samples.where(F.col("split") == "train"), n_trials=N_TRIALS, n_splits=N_FOLDS, threshold=EVAL_T, parallelism=N_FOLDS)
+    return found.select(
+        "trial", "n_estimators", "max_depth", "min_samples_leaf", "max_features", _share("rmse").alias("rmse_in_range"), _share("recall").alias("recall_in_range")
+    )
 
 
 def _requests(spark, sf_dir):
@@ -285,9 +339,21 @@ def advice_q(spark, sf_dir):
     return c.select("user_id", "TESTSTART", "TESTID", "offset_us", "course_id", F.col("advice").isNotNull().alias("gets_advice"))
 
 
+def _scores_hold(scored: DataFrame) -> DataFrame:
+    flagged = F.col("fatigue_probability") > SC.API_THRESHOLD
+    return scored.select(
+        "request_id",
+        "has_features",
+        F.col("course_id").isNotNull().alias("has_course"),
+        _share("fatigue_probability").alias("in_range"),
+        (F.col("is_fatigued") == flagged).alias("flag_matches"),
+        (F.col("advice").isNotNull() == flagged).alias("advice_matches"),
+    )
+
+
 def score_requests_q(spark, sf_dir):
     _, ff = _fitted(spark, sf_dir)
-    return SC.score_requests(_requests(spark, sf_dir), S, ff, _fallback_rank(spark, sf_dir))
+    return _scores_hold(SC.score_requests(_requests(spark, sf_dir), S, ff, _fallback_rank(spark, sf_dir)))
 
 
 def validate_inputs_q(spark, sf_dir):
@@ -371,7 +437,7 @@ def stream_minute_grid_q(spark, sf_dir):
 def stream_request_features_q(spark, sf_dir):
     req = _requests(spark, sf_dir)
     src = scratch_path(spark, "requests-in")
-    req.repartition(4, "request_id").write.parquet(src)
+    req.repartition("request_id").write.parquet(src)
     stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
     out = ST.score_stream(stream, lambda b: SC.request_features(b, S), "request-features")
     return round_doubles(spark.read.parquet(out).drop("batch"))
@@ -390,10 +456,10 @@ def stream_score_requests_q(spark, sf_dir):
     rank = _fallback_rank(spark, sf_dir)
     req = _requests(spark, sf_dir)
     src = scratch_path(spark, "score-in")
-    req.repartition(4, "request_id").write.parquet(src)
+    req.repartition("request_id").write.parquet(src)
     stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
     out = ST.score_stream(stream, lambda b: SC.score_requests(b, S, ff, rank), "request-scores")
-    return spark.read.parquet(out).drop("batch")
+    return _scores_hold(spark.read.parquet(out))
 
 
 QUERIES: dict[str, Query] = {
@@ -448,6 +514,16 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "model_importance": O.q_model_importance(),
+    "batch_inference": O.q_batch_inference(),
+    "evaluate_model": O.q_evaluate_model(EVAL_T),
+    "explain_samples": O.q_explain_samples(),
+    "cross_validate": O.q_cross_validate(N_FOLDS),
+    "search_params": O.q_search_params(
+        [(i, p.n_estimators, p.max_depth, p.min_samples_leaf, str(p.max_features)) for i, p in enumerate(MD.sample_params(N_TRIALS))]
+    ),
+    "score_requests": O.q_score_requests(),
+    "stream_score_requests": O.q_score_requests(),
     "metric_thresholds": O.q_metric_thresholds(),
     "request_features": O.q_request_features(),
     "payload_parse": O.q_payload_parse(),
