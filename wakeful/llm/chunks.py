@@ -33,6 +33,11 @@ class Ragged:
         self.starts[self.n : m] = self.used + np.cumsum(lengths) - lengths
         self.used, self.n = self.used + len(flat), m
 
+    def cut(self, n: int) -> None:
+        """Forget all but the first ``n`` rows."""
+        if n < self.n:
+            self.used, self.n = int(self.starts[n]), n
+
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the rows one after another, length of each row)"""
         lengths = self.lengths[rows]
@@ -44,34 +49,31 @@ class Ragged:
 
 
 class ChunkTable:
-    """chunk -> row of ids. It is emptied when it holds ``most`` chunks, which bounds
-    memory and only costs encoding some chunks anew."""
+    """chunk -> row of ids. It remembers the first ``most`` chunks, among them all
+    frequent ones; later ones are encoded when they come, which bounds memory."""
 
     def __init__(self, encode: Encode, most: int = 1 << 19):
         self.encode, self.most = encode, most
-        self.clear()
-
-    def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.ragged = Ragged()
 
     def rows_of(self, distinct: pa.Array) -> np.ndarray:
         """Rows of distinct chunks, valid until the next call."""
-        if len(self.rows) > self.most:
-            self.clear()
+        self.ragged.cut(len(self.rows))
         chunks = distinct.to_pylist()
         row = self.rows.get
         found = [row(c, -1) for c in chunks]
         missing = [c for c, r in zip(chunks, found) if r < 0]
+        rows = np.array(found, np.int64)
         if missing:
             lists = self.encode(missing)
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum()))
             n = self.ragged.n
             self.ragged.append(flat, lengths)
-            self.rows.update(zip(missing, range(n, n + len(missing))))
-            found = [self.rows[c] if r < 0 else r for c, r in zip(chunks, found)]
-        return np.array(found, np.int64)
+            rows[rows < 0] = np.arange(n, n + len(missing))
+            self.rows.update(zip(missing[: max(0, self.most - n)], range(n, n + len(missing))))
+        return rows
 
     def join(self, chunks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Lists of chunks -> (all ids in order, number of ids of each list)."""

@@ -24,11 +24,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeful.llm.chunks import ChunkTable, portions
+from wakeful.llm.chunks import ChunkTable, Ragged, cut, per_list, portions
 from wakeful.llm.common import cut_lineage, text_of
 from wakeful.llm.files import create, open_random, read_at, shared_folder
 
@@ -38,55 +39,72 @@ EVERY = 256
 SEGMENT_IDS = 1 << 20
 LEAST_USES = 8
 ROUNDS = 4
-PAIRS_A_ROUND = 4096
+PAIRS_A_ROUND = 4000
 
 
 # -- encoding ---------------------------------------------------------------------
 
-# White space that Python and the tokenizer may see differently; texts with it are
-# cut at ASCII white space only.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+# Letters and closing marks: the tokenizer splits the two before it merges.
+PLAIN = "^(?P<letters>[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
 
 
-PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-KNOWN = 1 << 18
+SMALL = re.compile("[a-zß-öø-ÿ]+")
+
+
+def byte_marks() -> dict[int, int]:
+    """Byte -> the character that stands for it in a byte-level vocabulary: itself if
+    it can be printed, else the next one from 256 on."""
+    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printed]
+    return {b: b for b in printed} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_MARKS = byte_marks()
 
 
 class WordEncoder:
     """A tokenizer that drops white space and merges within words only: a text's ids
-    are those of its words in order, and each distinct word of a task is encoded
-    once. Most words are letters and closing marks, which this tokenizer splits
-    before it merges; they share the ids of their lower-case letters."""
+    are those of its words in order. Each distinct word of a portion of texts is looked
+    up once; words of letters and closing marks share the ids of their lower-case
+    letters, and each distinct one of those is encoded once by a task."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {"": []}
-        self.table = ChunkTable(self._encode, 1 << 19)
+        self.merge = self.library.model.tokenize
+        self.table = ChunkTable(self._encode)
 
     def _encode(self, words: list[str]) -> list[list[int]]:
-        plain = map(PLAIN.fullmatch, words)
-        parts = [(m[1].lower(), m[2]) if m else (w, "") for w, m in zip(words, plain)]
-        if len(self.known) > KNOWN:
-            self.known = {"": []}
-        missing = list({x for part in parts for x in part if x not in self.known})
-        for x, found in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False)):
-            self.known[x] = found.ids
-        return [self.known[a] + self.known[b] if b else self.known[a] for a, b in parts]
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        return [w for w in ASCII_SPACE.split(text) if w] if ODD_SPACE.search(text) else text.split()
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Lower-case letters are one word to every step before the merges, so they go
+        to the merges at once, spelled in the characters that stand for bytes."""
+        plain = [SMALL.fullmatch(w) is not None for w in words]
+        rest = [w for w, p in zip(words, plain) if not p]
+        others = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [
+            [t.id for t in self.merge(w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_MARKS))] if p else next(others).ids
+            for w, p in zip(words, plain)
+        ]
+
+    def _of_words(self, words: pa.Array) -> Ragged:
+        """The ids of distinct words."""
+        parts = pc.extract_regex(words, PLAIN)
+        letters = pc.utf8_lower(parts.field("letters")).fill_null("")
+        letters = pc.if_else(parts.is_valid(), letters, words)
+        marks = pc.if_else(parts.is_valid(), parts.field("marks"), "")
+        coded = pa.concat_arrays([letters, marks]).dictionary_encode()
+        rows = self.table.rows_of(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        ids, lengths = self.table.ragged.take(rows.reshape(2, -1).T.ravel())
+        out = Ragged()
+        out.append(ids, lengths.reshape(-1, 2).sum(axis=1))
+        return out
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         for part in portions(texts):
-            ids, counts = self.table.join([self.words(t) for t in part])
-            at = 0
-            for n in counts:
-                yield ids[at : at + n]
-                at += n
+            words = pc.ascii_split_whitespace(part)
+            coded = words.flatten().dictionary_encode()
+            ids, lengths = self._of_words(coded.dictionary).take(coded.indices.to_numpy(zero_copy_only=False))
+            yield from cut(ids, per_list(words, lengths))
 
 
 @lru_cache(maxsize=2)
@@ -105,8 +123,18 @@ class Grammar:
     symbols: np.ndarray
 
 
+def _pairs(symbols: np.ndarray, top: int) -> np.ndarray:
+    """Adjacent symbols as one number each: 32 bits while symbols take 16."""
+    if top <= 1 << 16:
+        narrow = symbols.astype(np.uint32)
+        return narrow[:-1] << np.uint32(16) | narrow[1:]
+    return symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
+
+
 def _slot(pairs: np.ndarray) -> np.ndarray:
-    return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+    if pairs.dtype == np.uint32:
+        return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    return (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
 
 
 def repair(ids: np.ndarray, least: int = LEAST_USES, rounds: int = ROUNDS) -> Grammar:
@@ -121,7 +149,7 @@ def repair(ids: np.ndarray, least: int = LEAST_USES, rounds: int = ROUNDS) -> Gr
     for _ in range(rounds):
         if len(symbols) < 2:
             break
-        pairs = symbols[:-1] << 32 | symbols[1:]
+        pairs = _pairs(symbols, first + len(rules))
         ordered = np.sort(pairs)
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.concatenate((starts, [len(ordered)])))
@@ -130,21 +158,24 @@ def repair(ids: np.ndarray, least: int = LEAST_USES, rounds: int = ROUNDS) -> Gr
             break
         found, uses = ordered[starts[often]], counts[often]
         if len(found) > PAIRS_A_ROUND:
-            found = np.sort(found[np.argsort(-uses, kind="stable")[:PAIRS_A_ROUND]])
-        # a small hash table leaves few positions to be looked up exactly
-        maybe = np.zeros(1 << 16, bool)
-        maybe[_slot(found)] = True
-        hits = np.flatnonzero(maybe[_slot(pairs)])
-        at = np.minimum(np.searchsorted(found, pairs[hits]), len(found) - 1)
-        exact = found[at] == pairs[hits]
-        hits, at = hits[exact], at[exact]
+            most = np.sort(np.argsort(-uses, kind="stable")[:PAIRS_A_ROUND])
+            found, uses = found[most], uses[most]
+        # one slot holds one pair, the most frequent of those that fall there; the
+        # others wait for a later round
+        slots = np.zeros(1 << 16, np.int64)
+        by_use = np.argsort(uses, kind="stable")
+        slots[_slot(found[by_use])] = by_use
+        at = slots[_slot(pairs)]
+        hits = np.flatnonzero(found[at] == pairs)
+        at = at[hits]
         run = np.flatnonzero(np.concatenate(([True], np.diff(hits) != 1)))  # runs of overlapping occurrences
         place = np.arange(len(hits)) - np.repeat(run, np.diff(np.concatenate((run, [len(hits)]))))
         hits, at = hits[place % 2 == 0], at[place % 2 == 0]
         used = np.flatnonzero(np.bincount(at, minlength=len(found)))
         rank = np.zeros(len(found), np.int64)
         rank[used] = np.arange(len(used))
-        new = np.stack((found[used] >> 32, found[used] & 0xFFFFFFFF), axis=1)
+        half = np.array(4 * found.itemsize, found.dtype)
+        new = np.stack((found[used] >> half, found[used] & ((np.array(1, found.dtype) << half) - np.array(1, found.dtype))), axis=1).astype(np.int64)
         sizes = np.concatenate((np.ones(first, np.int64), lengths))
         lengths = np.concatenate((lengths, sizes[new[:, 0]] + sizes[new[:, 1]]))
         symbols[hits] = first + len(rules) + rank[at]
@@ -156,6 +187,7 @@ def repair(ids: np.ndarray, least: int = LEAST_USES, rounds: int = ROUNDS) -> Gr
 
 
 def expand(symbols: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
+    """The ids that symbols stand for, one level of rules after the other."""
     while True:
         open_ = symbols >= first
         if not open_.any():
@@ -168,6 +200,14 @@ def expand(symbols: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
         symbols = out
 
 
+def expansions(first: int, rules: np.ndarray, lengths: np.ndarray) -> Ragged:
+    """The ids of every symbol: the alphabet, then each rule's expansion."""
+    table = Ragged()
+    table.append(np.arange(first), np.ones(first, np.int64))
+    table.append(expand(first + np.arange(len(rules)), first, rules), lengths)
+    return table
+
+
 # -- files ------------------------------------------------------------------------
 
 
@@ -243,7 +283,10 @@ class SegmentReader:
         ends = self.index[low] + np.cumsum(sizes)
         i, j = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left")
         before = ends[i] - sizes[i]
-        out = expand(symbols[i : j + 1], self.first, self.rules)
+        if j - i < 1 << 12:
+            out = expand(symbols[i : j + 1], self.first, self.rules)
+        else:
+            out, _ = expansions(self.first, self.rules, self.lengths).take(symbols[i : j + 1])
         return out[start - before : stop - before]
 
     def document(self, k: int) -> np.ndarray:
@@ -283,7 +326,7 @@ def write_ids(docs: DataFrame, model: str, end_id: int, id_col: str = "doc_id",
             names, parts, held = [], [], 0
 
         for batch in batches:
-            for name, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1).to_pylist())):
+            for name, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1))):
                 names.append(name)
                 parts.append(np.concatenate((ids, end)))
                 held += len(parts[-1])
@@ -335,7 +378,7 @@ def read_ids(manifest: DataFrame, digest: bool = False) -> DataFrame:
                     found = SegmentReader(file, row["offset"])
                     ids = found.ids(0, found.n_ids)
                 cuts = [ids[s : s + n] for s, n in zip(found.starts.tolist(), found.counts.tolist())]
-                values = [zlib.crc32(c.astype("<u4").tobytes()) for c in cuts] if digest else cuts
+                values = [zlib.crc32(c.astype("<u4", copy=False).tobytes()) for c in cuts] if digest else cuts
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.names, pa.int64()), pa.array(row["start"] + found.starts), pa.array(found.counts), pa.array(values, last[1])],
                     ["doc_id", "start", "n_tokens", last[0]],
