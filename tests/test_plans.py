@@ -5,12 +5,14 @@ import re
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from wakeful.operators import drift as D
 from wakeful.operators import metrics as M
 from wakeful.operators.asof import asof_backward, asof_nearest
 from wakeful.operators.clean import clean_hr
 from wakeful.operators.windows import hr_series_features, sleep_features
+from wakeful.plans.registry import QUERIES
 from wakeful.settings import EVENTS_SCALE as S
 from wakeful.sources.feeds import events_feeds
 
@@ -86,3 +88,21 @@ def test_asof_and_running_totals_have_no_global_window(spark):
         assert all(s.strip() for s in _partition_specs(df))
     long = D.unpivot(sc.withColumn("side", (sc.y_true > 0).cast("int")), ["y_pred"], ["side"])
     assert all(s.strip() for s in _partition_specs(D.ks_two_sample(long)))
+
+
+# windows over a table that is bounded whatever the data: one row per partition
+BOUNDED_ORDER = ("_pid#",)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"search_params"}))
+def test_every_registered_plan(spark, name):
+    """No cartesian product or nested-loop join, no window over data without a
+    partition key, in the final plan of any registered query. (``search_params``
+    repeats the plans of ``cross_validate`` and takes a minute.)"""
+    df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    for line in _windows(df):
+        groups = _groups(line[line.index("Window [") + len("Window "):])
+        bounded = len(groups) == 2 and any(groups[1].startswith(b) for b in BOUNDED_ORDER)
+        assert len(groups) >= 3 or bounded or "sum(_t_" in groups[0], line

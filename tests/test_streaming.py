@@ -5,11 +5,39 @@ import time
 from datetime import datetime, timedelta
 
 from wakeful.settings import DEFAULTS
-from wakeful.streaming.telemetry import minute_grid_stream, run_to_table, table_stream
+from wakeful.streaming.telemetry import minute_grid_stream, run_to_table, score_stream, table_stream
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
+def test_repeated_times_count_as_their_mean(spark):
+    folder = tempfile.mkdtemp(prefix="wakeful-stream-test-")
+    t0 = datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(1, t0, 1, "click", 60.0, "{}"), (2, t0, 1, "click", 80.0, "{}"), (3, t0 + timedelta(seconds=9), 1, "click", 100.0, "{}")]
+    rows.append((9, t0 + timedelta(hours=1), 1, "click", 70.0, "{}"))  # moves the watermark past the window
+    _write(spark, folder, "a", rows)
+    src = table_stream(spark, f"{folder}/*", SCHEMA).selectExpr("user_id", "ts AS HRTIME", "value AS HR")
+    out = spark.read.parquet(run_to_table(minute_grid_stream(src, DEFAULTS), "mean-test"))
+    assert [(r.HR, r.n_readings) for r in out.collect()] == [(85.0, 3)]
+
+
+def test_restart_goes_on_without_double_rows(spark):
+    folder, state = tempfile.mkdtemp(prefix="wakeful-stream-test-"), tempfile.mkdtemp(prefix="wakeful-stream-state-")
+    rows = [(i, datetime(2024, 1, 1, 10, 0, 0), i, "click", 60.0, "{}") for i in range(4)]
+    where = {"out": f"{state}/out", "checkpoint": f"{state}/ckpt"}
+
+    def run():
+        src = table_stream(spark, f"{folder}/*", SCHEMA, max_files=1)
+        out = score_stream(src, lambda b: b.selectExpr("event_id", "value * 2 AS doubled"), "restart-test", **where)
+        return sorted(r.event_id for r in spark.read.parquet(out).collect())
+
+    _write(spark, folder, "a", rows[:2])
+    assert run() == [0, 1]
+    assert run() == [0, 1]  # nothing new
+    _write(spark, folder, "b", rows[2:])
+    assert run() == [0, 1, 2, 3]
+
+
 def _write(spark, folder, name, rows):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{folder}/{name}")
 

@@ -2,17 +2,20 @@
 
 A schema is a list of column rules; ``validate`` casts with ``try_cast`` (coercion
 never raises), checks strictness on the DataFrame's schema (metadata only), and
-counts violations of every rule in ONE aggregate pass. The result is a table
-(rule, n_bad), so rejects are reported instead of silently dropped.
+counts violations of every rule in ONE aggregate pass. NaN is a missing value. The
+result is a table (rule, n_bad), and :func:`rejects` lists the rows, so nothing is
+silently dropped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeful.functions.scalar import nan_to_null
 from wakeful.settings import MODEL_FEATURES
 
 
@@ -54,6 +57,7 @@ TARGETS = Schema("Targets", (ColumnRule("fatigue_score", "double", ge=0.0, le=1.
 OUTPUTS = Schema("Outputs", (ColumnRule("prediction", "double", ge=0.0, le=1.0), ColumnRule("user_id", "string", nullable=True), ColumnRule("timestamp", "timestamp_ntz", nullable=True)), optional=("user_id", "timestamp"))
 SHAP_VALUES = Schema("SHAPValues", tuple(ColumnRule(f, "float", nullable=True) for f in MODEL_FEATURES), strict=False, optional=MODEL_FEATURES)
 FEATURE_IMPORTANCES = Schema("FeatureImportances", (ColumnRule("Feature", "string"), ColumnRule("Importance", "double")))
+SCHEMAS = (HEART_RATE_RAW, SLEEP_RAW, PVT_RAW, MODEL_INPUTS, TARGETS, OUTPUTS, SHAP_VALUES, FEATURE_IMPORTANCES)
 
 
 def coerce(df: DataFrame, schema: Schema) -> DataFrame:
@@ -67,23 +71,19 @@ def coerce(df: DataFrame, schema: Schema) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def validate(df: DataFrame, schema: Schema) -> DataFrame:
-    """Violations per rule: (schema, rule, n_bad). Rules: missing/extra columns
-    (metadata), coercion failures, nulls, bounds."""
-    spark = df.sparkSession
-    meta = []
-    for c in schema.columns:
-        if c.name not in df.columns and c.name not in schema.optional:
-            meta.append((f"missing:{c.name}", 1))
-    if schema.strict:
-        allowed = {c.name for c in schema.columns}
-        meta += [(f"unexpected:{c}", 1) for c in df.columns if c not in allowed]
+def _checks(df: DataFrame, schema: Schema) -> list[tuple[str, Column]]:
+    """(rule, condition that a row violates it) of the columns that ``df`` has."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     checks = []
     for c in schema.columns:
         if c.name not in df.columns:
             continue
-        raw = F.col(c.name)
+        raw = F.col(f"`{c.name}`")
+        if kinds[c.name] in ("double", "float"):
+            raw = nan_to_null(raw)
         cast = F.expr(f"try_cast(`{c.name}` AS {c.dtype})")
+        if c.dtype in ("double", "float"):
+            cast = nan_to_null(cast)
         checks.append((f"coerce:{c.name}", raw.isNotNull() & cast.isNull()))
         if not c.nullable:
             checks.append((f"null:{c.name}", raw.isNull()))
@@ -92,6 +92,28 @@ def validate(df: DataFrame, schema: Schema) -> DataFrame:
                 continue
             ok = {"ge": cast >= bound, "gt": cast > bound, "le": cast <= bound, "lt": cast < bound}[op]
             checks.append((f"{op}:{c.name}", cast.isNotNull() & ~ok))
+    return checks
+
+
+def rejects(df: DataFrame, schema: Schema, keys: Sequence[str]) -> DataFrame:
+    """(schema, rule, keys...): a row per input row and rule that it violates, found in
+    one pass without a shuffle."""
+    broken = F.filter(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in _checks(df, schema)]), lambda r: r.isNotNull())
+    return df.select(F.lit(schema.name).alias("schema"), F.explode(broken).alias("rule"), *keys)
+
+
+def validate(df: DataFrame, schema: Schema) -> DataFrame:
+    """Violations per rule: (schema, rule, n_bad). Rules: missing/extra columns
+    (metadata), coercion failures, nulls, bounds."""
+    spark = df.sparkSession
+    meta = []
+    for c in schema.columns:
+        if c.name not in df.columns and c.name not in schema.optional:
+            meta.append((f"missing:{c.name}", 1))
+    if schema.strict:
+        allowed = {c.name for c in schema.columns}
+        meta += [(f"unexpected:{c}", 1) for c in df.columns if c not in allowed]
+    checks = _checks(df, schema)
     counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)]) if checks else None
     parts = []
     if counts is not None:

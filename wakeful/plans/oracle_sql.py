@@ -708,3 +708,40 @@ def q_score_requests() -> str:
         "SELECT request_id, has_features, true AS has_course, true AS in_range, true AS flag_matches, true AS advice_matches "
         f"FROM ({q_request_features()})"
     )
+
+
+# ---------------------------------------------------------------- validation
+_DIRTY_HR = """
+dirty AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 10 = 3 THEN 'u' || user_id ELSE CAST(user_id AS VARCHAR) END AS id,
+                 CAST(ts AS VARCHAR) AS HRTIME, CASE WHEN event_id % 13 = 0 THEN NULL ELSE value - 50 END AS HR FROM events)"""
+_HR_RULES = {
+    "coerce:id": "id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL",
+    "null:id": "id IS NULL",
+    "coerce:HRTIME": "false",
+    "null:HRTIME": "HRTIME IS NULL",
+    "coerce:HR": "false",
+    "gt:HR": "HR <= 0",
+}
+
+
+def q_validate_raw() -> str:
+    sleep = {
+        "coerce:id": "false", "null:id": "o_orderkey IS NULL", "coerce:START": "false", "null:START": "o_orderdate IS NULL",
+        "coerce:END": "false", "null:END": "o_orderdate IS NULL", "coerce:rating": "false",
+        "null:rating": "o_orderkey % 9 = 0 OR o_totalprice IS NULL", "gt:rating": "o_orderkey % 9 <> 0 AND o_totalprice - 100000 <= 0",
+        "coerce:comments": "false",
+    }
+    score = "(l_discount * 12 - 0.2)"
+    targets = {
+        "coerce:fatigue_score": "false", "null:fatigue_score": "l_discount IS NULL", "ge:fatigue_score": f"{score} < 0",
+        "le:fatigue_score": f"{score} > 1", "coerce:user_id": "false",
+    }
+    parts = []
+    for schema, source, rules in (("HeartRateRaw", "dirty", _HR_RULES), ("SleepRaw", "orders", sleep), ("Targets", "lineitem", targets)):
+        parts += [f"SELECT '{schema}' AS schema, '{r}' AS rule, count(*) FILTER (WHERE {c}) AS n_bad FROM {source}" for r, c in rules.items()]
+    return "WITH " + _DIRTY_HR.strip() + "\n" + "\nUNION ALL ".join(parts)
+
+
+def q_rejected_rows() -> str:
+    parts = [f"SELECT 'HeartRateRaw' AS schema, '{r}' AS rule, event_id FROM dirty WHERE {c}" for r, c in _HR_RULES.items()]
+    return "WITH " + _DIRTY_HR.strip() + "\n" + "\nUNION ALL ".join(parts)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeful.functions.scalar import parse_time, ts_us
@@ -242,10 +242,8 @@ def evaluate_model_q(spark, sf_dir):
     none = F.lit(None).cast("long")
     value = F.col("value")
     sane = F.when(F.col("metric") == "r2", value <= 1).otherwise(value.between(0, 1))
-    curve = cut_lineage(ev["pr_curve"], "pr-curve")
-    # the threshold falls as recall grows, and the closing point has none
-    in_order = F.lag("recall").over(Window.partitionBy(F.col("threshold").isNull()).orderBy(F.col("threshold").desc()))
-    steps = curve.select((_share("precision") & _share("recall") & (F.coalesce(in_order, F.lit(0.0)) <= F.col("recall"))).alias("ok"))
+    # every point a share, and the lowest threshold finds all
+    curve = ev["pr_curve"].agg((F.every(_share("precision") & _share("recall")) & (F.max("recall") == 1)).alias("ok"))
     stats = ev["stats"]
     return (
         ev["regression"].select(F.lit("regression").alias("part"), F.col("metric").alias("name"), none.alias("n"), sane.alias("ok"))
@@ -257,7 +255,7 @@ def evaluate_model_q(spark, sf_dir):
                 ((F.col("precision").isNull() | _share("precision")) & _share("f1_score")).alias("ok"),
             )
         )
-        .unionByName(steps.agg(F.lit("pr_curve").alias("part"), F.lit("points").alias("name"), none.alias("n"), F.every("ok").alias("ok")))
+        .unionByName(curve.select(F.lit("pr_curve").alias("part"), F.lit("points").alias("name"), none.alias("n"), "ok"))
         .unionByName(
             stats.select(
                 F.lit("stats").alias("part"),
@@ -392,14 +390,74 @@ def limit_rows_q(spark, sf_dir):
     return round_doubles(FS.read_parquet(spark, f"{sf_dir}/orders.parquet", limit=1000, order_by=["o_orderkey"]))
 
 
+RAW_FEEDS = {  # feed -> (file prefix, order of a file's rows, CSV schema)
+    "hr": ("HR", ["HRTIME"], "HRTIME string, HR double"),
+    "sleep": ("sleep", ["END", "START"], "START string, END string"),
+    "pvt": ("pvt", ["TESTSTART", "TESTID"], "TESTSTART string, TESTID long, TAPTIME double"),
+}
+
+
+def _raw_folder(spark, sf_dir) -> str:
+    """The feeds as the original's raw files: one CSV file per user and feed."""
+    folder = scratch_path(spark, "raw")
+    for name, feed in _feeds(spark, sf_dir).items():
+        prefix, order, schema = RAW_FEEDS[name]
+        texts = [F.col(c).cast("string").alias(c) if f"{c} string" in schema else F.col(c) for c in feed.columns]
+        cut_lineage(FS.write_user_files(feed.select(*texts), folder, prefix, order), "raw-files")
+    return folder
+
+
+def _read_raw(spark, folder) -> dict[str, DataFrame]:
+    return {n: FS.read_user_feed(spark, folder, schema, f"{prefix}_*.csv") for n, (prefix, _, schema) in RAW_FEEDS.items()}
+
+
+def raw_to_features_q(spark, sf_dir):
+    """Raw CSV files to the labelled table: read, validate readings, build features."""
+    f = _read_raw(spark, _raw_folder(spark, sf_dir))
+    f["hr"] = SCH.check(f["hr"].select(F.col("user_id").alias("id"), "HRTIME", "HR"), SCH.HEART_RATE_RAW).withColumnRenamed("id", "user_id")
+    lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
+    cols = ["user_id", "TESTSTART", "TESTID", "offset_us", "MATCH_TIME", "HRTIME", "pvt_mean_rt", "fatigue_score"]
+    return round_doubles(lab.select(*cols, *O.FEATURE_COLS))
+
+
 def discover_users_q(spark, sf_dir):
-    f = _feeds(spark, sf_dir)
-    path = scratch_path(spark, "hr-by-user")
-    f["hr"].write.partitionBy("user_id").csv(path)
-    users = FS.discover_users(spark, path, pattern=None)
+    """Users by the names of their raw heart-rate files."""
+    users = FS.discover_users(spark, _raw_folder(spark, sf_dir), "HR_*.csv")
     return users.select(F.col("user_id").cast("long"))
 
 
+def _dirty(spark, sf_dir) -> dict:
+    """Tables with violations of every kind, derived from ``events``, ``orders`` and
+    ``lineitem``: (schema, rows, keys)."""
+    configure(spark)
+    events, orders, items = (table(spark, sf_dir, t) for t in ("events", "orders", "lineitem"))
+    hr = events.selectExpr(
+        "event_id",
+        "CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 10 = 3 THEN concat('u', user_id) ELSE cast(user_id AS string) END AS id",
+        "cast(ts AS string) AS HRTIME",
+        "CASE WHEN event_id % 13 = 0 THEN double('NaN') ELSE value - 50 END AS HR",
+    )
+    sleep = orders.selectExpr(
+        "o_orderkey AS id",
+        "cast(o_orderdate AS string) AS START",
+        "cast(o_orderdate AS string) AS END",
+        "CASE WHEN o_orderkey % 9 = 0 THEN double('NaN') ELSE o_totalprice - 100000 END AS rating",
+        "cast(NULL AS string) AS comments",
+    )
+    targets = items.selectExpr("l_orderkey", "l_discount * 12 - 0.2 AS fatigue_score", "cast(l_suppkey AS string) AS user_id")
+    return {"hr": (SCH.HEART_RATE_RAW, hr, ["event_id"]), "sleep": (SCH.SLEEP_RAW, sleep, []), "targets": (SCH.TARGETS, targets, ["l_orderkey"])}
+
+
+def validate_raw_q(spark, sf_dir):
+    parts = [SCH.validate(df.drop(*keys), schema) for schema, df, keys in _dirty(spark, sf_dir).values()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def rejected_rows_q(spark, sf_dir):
+    schema, df, keys = _dirty(spark, sf_dir)["hr"]
+    return SCH.rejects(df, schema, keys)
+
+
 def users_with_all_feeds_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     return users_with_all_feeds([f["hr"], f["sleep"], f["pvt"]])
@@ -477,6 +535,9 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip_q,
     "limit_rows": limit_rows_q,
     "discover_users": discover_users_q,
+    "raw_to_features": raw_to_features_q,
+    "validate_raw": validate_raw_q,
+    "rejected_rows": rejected_rows_q,
     "users_with_all_feeds": users_with_all_feeds_q,
     "dataset_profile": dataset_profile_q,
     "split_outputs_test": split_outputs_test_q,
@@ -536,6 +597,9 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": O.q_csv_roundtrip(),
     "limit_rows": O.q_limit_rows(1000),
     "discover_users": O.q_discover_users(),
+    "raw_to_features": O.q_training_features(),
+    "validate_raw": O.q_validate_raw(),
+    "rejected_rows": O.q_rejected_rows(),
     "users_with_all_feeds": O.q_users_with_all_feeds(),
     "dataset_profile": O.q_dataset_profile(),
     "split_outputs_test": O.q_split_outputs_test(),

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import csv as pacsv
+from pyarrow import fs
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,20 +47,64 @@ def discover_users(spark: SparkSession, paths: str | Sequence[str], pattern: str
     """S4 + U3: distinct user ids taken from file names (``HR_<digits>.csv``), or,
     with ``pattern=None``, from ``user_id=<digits>`` folders of a partitioned table.
 
-    Reads only file metadata of a text scan (the distinct runs in Spark)."""
-    df = spark.read.format("text").load(paths if isinstance(paths, str) else list(paths))
+    Reads the files' listing only: their content column is never selected, so empty
+    files count and large ones cost nothing."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths if isinstance(paths, str) else list(paths)).select("path")
     if pattern is None:
-        uid = F.regexp_extract(F.col("_metadata.file_path"), r"user_id=(\d+)", 1)
+        uid = F.regexp_extract("path", r"user_id=(\d+)", 1)
     else:
-        uid = extract_id(F.col("_metadata.file_name"), pattern)
+        uid = extract_id(F.regexp_extract("path", r"([^/]+)$", 1), pattern)
     ids = df.select(uid.alias("user_id")).where(F.col("user_id") != "")
     return ids.distinct()
 
 
-def read_user_feed(spark: SparkSession, path_glob: str, schema: StructType | str, pattern: str) -> DataFrame:
-    """One glob read over all users' CSV files of a feed; ``user_id`` from the name."""
-    df = spark.read.csv(path_glob, schema=schema, header=True)
-    return df.withColumn("user_id", extract_id(F.col("_metadata.file_name"), pattern).cast("long"))
+def read_user_feed(spark: SparkSession, folder: str, schema: StructType | str, pattern: str, by: str = "user_id") -> DataFrame:
+    """One read over all users' CSV files of a feed (``pattern`` with ``*`` for the
+    digits); the user comes from the file's name."""
+    df = read_csv(spark, f"{folder}/{pattern}", schema)
+    return df.withColumn(by, extract_id(F.col("_metadata.file_name"), pattern).cast("long"))
+
+
+def write_user_files(df: DataFrame, folder: str, prefix: str, order: Sequence[str], by: str = "user_id") -> DataFrame:
+    """One CSV file ``<prefix>_<user>.csv`` per user, without the user column, rows in
+    ``order``. Users are dealt to shuffle partitions and each task writes its users'
+    files one after another, a batch at a time, so the number of tasks doesn't grow
+    with the users nor memory with a user's rows. Returns (user, path) of the files of
+    committed tasks; a repeated task overwrites its own files."""
+    columns = [c for c in df.columns if c != by]
+    base = re.sub(r"^file:/(?!/)", "file:///", folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(base) if "://" in base else (fs.LocalFileSystem(), base)
+        store.create_dir(root, recursive=True)
+        done, user, writer, out = [], None, None, None
+        for batch in batches:
+            users = batch.column(0).to_pylist()
+            start = 0
+            while start < len(users):
+                stop = start + 1
+                while stop < len(users) and users[stop] == users[start]:
+                    stop += 1
+                part = pa.Table.from_batches([batch.slice(start, stop - start).select(columns)])
+                if writer is None or users[start] != user:
+                    if writer is not None:
+                        writer.close()
+                        out.close()
+                    user = users[start]
+                    path = f"{root}/{prefix}_{user}.csv"
+                    out = store.open_output_stream(path)
+                    writer = pacsv.CSVWriter(out, part.schema)
+                    done.append((user, path))
+                writer.write_table(part)
+                start = stop
+        if writer is not None:
+            writer.close()
+            out.close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in done]), pa.array([p for _, p in done])], [by, "path"])
+
+    named = df.where(F.col(by).isNotNull()).select(by, *columns)
+    return named.repartition(by).sortWithinPartitions(by, *order).mapInArrow(run, f"{by} long, path string")
 
 
 def users_with_all_feeds(feeds: Sequence[DataFrame], by: str = "user_id") -> DataFrame:
@@ -79,7 +128,8 @@ def read_split(spark: SparkSession, path: str, split: str, cols: Sequence[str])
 def write_inference_outputs(features: DataFrame, base: str, keys: Sequence[str] = ("user_id", "HRTIME")) -> dict:
     """Features and ids tables (ids = the key projection)."""
     fpath = write_parquet(features, f"{base}/features")
-    ipath = write_parquet(features.select(*keys), f"{base}/ids")
+    # the keys are read back from the written features, not computed a second time
+    ipath = write_parquet(features.sparkSession.read.parquet(fpath).select(*keys), f"{base}/ids")
     return {"features": fpath, "ids": ipath}
 
 

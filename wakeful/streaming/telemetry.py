@@ -48,24 +48,40 @@ def minute_grid_stream(hr: DataFrame, s: FeatureSettings, window: str = "1 minut
     lo, hi = s.hr_limits
     x = hr.where((F.col("HR") > lo) & (F.col("HR") < hi)).withColumn("event_time", F.col("HRTIME").cast("timestamp"))
     x = x.withWatermark("event_time", delay)
+    # readings with the same time count as their mean, as in the batch grid; a
+    # window's readings are bounded by its length
     g = x.groupBy("user_id", F.window("event_time", window).alias("w")).agg(
-        F.avg("HR").alias("HR"), F.count(F.lit(1)).alias("n_readings")
+        F.sort_array(F.collect_list(F.struct(F.col("event_time").alias("at"), "HR"))).alias("readings")
+    )
+    times = F.array_distinct("readings.at")
+    means = F.transform(
+        times,
+        lambda at: F.aggregate(
+            F.filter("readings", lambda r: r["at"] == at),
+            F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
+            lambda acc, r: F.struct((acc["s"] + r["HR"]).alias("s"), (acc["n"] + 1).alias("n")),
+            lambda acc: acc["s"] / acc["n"],
+        ),
     )
     return g.select(
         "user_id",
         F.col("w.start").cast("timestamp_ntz").alias("HRTIME"),
-        "HR",
-        F.col("n_readings").cast("long"),
+        (F.aggregate(means, F.lit(0.0), lambda a, m: a + m) / F.size(times)).alias("HR"),
+        F.size("readings").cast("long").alias("n_readings"),
     )
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append", foreach: Callable | None = None) -> str:
+def run_to_table(
+    stream: DataFrame, name: str, mode: str = "append", foreach: Callable | None = None, out: str | None = None, checkpoint: str | None = None
+) -> str:
     """Run a stream until the available input is consumed (``availableNow``) into a
-    Parquet folder under the shared checkpoint folder; returns the folder."""
+    Parquet folder; returns the folder. With ``out`` and ``checkpoint`` of an earlier
+    run it goes on where that run ended; without, both are new folders under the
+    shared checkpoint folder."""
     spark = stream.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    w = stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+    out = out or scratch_path(spark, f"{name}-out")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach is None:
         q = w.outputMode(mode).format("parquet").option("path", out).start()
     else:
@@ -74,11 +90,18 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append", foreach: Ca
     return out
 
 
-def score_stream(requests: DataFrame, score_batch: Callable[[DataFrame], DataFrame], name: str = "requests") -> str:
-    """Apply the batch scorer to every micro-batch of requests."""
+def score_stream(
+    requests: DataFrame,
+    score_batch: Callable[[DataFrame], DataFrame],
+    name: str = "requests",
+    out: str | None = None,
+    checkpoint: str | None = None,
+) -> str:
+    """Apply the batch scorer to every micro-batch of requests; restarts as
+    :func:`run_to_table`."""
 
     def sink(batch: DataFrame, batch_id: int, out: str) -> None:
         # one folder per batch id: a replayed batch overwrites its own output
         score_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return run_to_table(requests, name, foreach=sink)
+    return run_to_table(requests, name, foreach=sink, out=out, checkpoint=checkpoint)
