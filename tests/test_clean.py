@@ -54,3 +54,25 @@ def test_vector_and_coerce(spark):
     c = spark.createDataFrame([("1.5", "x"), ("2", "3")], "a string, b string")
     assert coerce_numeric(c, ["a", "b"]).collect()[0].asDict() == {"a": 2.0, "b": 3.0}
     assert require_columns(df, ["hours_awake"]).count() == 0
+
+
+def test_monitored_columns(spark):
+    from wakeful.operators.clean import select_monitor_columns
+
+    ref = spark.createDataFrame([(1, 2.0, "x", 3.0)], "user_id long, a double, b string, c double")
+    cur = ref.drop("c")
+    assert select_monitor_columns(ref, cur, ["c", "a", "zz"]) == ["a"]
+    assert select_monitor_columns(ref, cur, None) == ["a", "c"]
+
+
+def test_nan_counts_as_missing(spark):
+    from wakeful.operators import schemas as SCH
+
+    df = spark.createDataFrame([(1, "a", "b", float("nan"), None), (2, "a", "b", -1.0, None), (3, "a", "b", 2.0, None)], "id long, START string, `END` string, rating double, comments string")
+    bad = {r.rule: r.n_bad for r in SCH.validate(df, SCH.SLEEP_RAW).collect()}
+    assert bad["null:rating"] == 1 and bad["gt:rating"] == 1 and sum(bad.values()) == 2
+    assert sorted((r.rule, r.id) for r in SCH.rejects(df, SCH.SLEEP_RAW, ["id"]).collect()) == [("gt:rating", 2), ("null:rating", 1)]
+    with pytest.raises(ValueError):
+        SCH.check(df, SCH.SLEEP_RAW)
+    assert SCH.check(df.where("id = 3"), SCH.SLEEP_RAW).count() == 1
+    assert len(SCH.SCHEMAS) == 8

@@ -74,3 +74,43 @@ def test_split_edges(spark):
     assert group_split(df, "user_id", 0.0).where("split = 'test'").count() == 0
     assert group_split(df, "user_id", 1.0).where("split = 'train'").count() == 0
     assert group_split(df.limit(0), "user_id").count() == 0
+
+
+def test_saved_forest_predicts_the_same(spark, tmp_path):
+    from wakeful.operators.forest import load_forest, save_forest
+
+    df = _samples(spark)
+    for params in (ForestParams(n_estimators=4, max_depth=3), ForestParams(n_estimators=4, max_depth=3, impute="constant", scale="robust")):
+        ff = fit_forest(df, "fatigue_score", params)
+        back = load_forest(spark, save_forest(ff, f"file://{tmp_path}/{params.scale}"), params)
+        a, b = ({r.k: r.prediction for r in m.transform(df).select("k", "prediction").collect()} for m in (ff, back))
+        assert a == b and len(a) == df.count()
+
+
+def test_attributions_are_additive_in_blocks(spark, monkeypatch):
+    """A deep tree whose rows are taken a few at a time."""
+    from wakeful.operators import treeshap
+
+    df = _samples(spark, n=120)
+    ff = fit_forest(df, "fatigue_score", ForestParams(n_estimators=2, max_depth=9, min_samples_leaf=1))
+    x = ff.prepare(df).select(*ff.model_inputs).toPandas().to_numpy(float)
+    x = np.where(np.isnan(x), 0.0, x)
+    trees = {}
+    for n in tree_nodes(ff):
+        trees.setdefault(n["treeID"], []).append(n)
+    for nodes in trees.values():
+        compiled = treeshap.compile_tree(nodes, x.shape[1])
+        whole, expected = treeshap.tree_shap(x, compiled)
+        monkeypatch.setattr(treeshap, "CELLS", 1)
+        single, _ = treeshap.tree_shap(x, compiled)
+        monkeypatch.undo()
+        assert np.allclose(whole, single)
+        by_id = {n["id"]: n for n in nodes}
+
+        def predict(row):
+            n = by_id[min(by_id)]
+            while n["left"] is not None and n["left"] >= 0:
+                n = by_id[n["left"] if row[n["feature"]] <= n["threshold"] else n["right"]]
+            return n["value"]
+
+        assert np.allclose(expected + whole.sum(axis=1), [predict(r) for r in x], atol=1e-9)

@@ -7,6 +7,8 @@ independently. Doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+from wakeful.operators.advise import ADVICE_PREFIX, COURSES, SAFETY_RULES  # fixed texts
+
 # test-scale constants (EVENTS_SCALE): window 3 d, min periods 3, gap 12 h,
 # grid 1 d, tolerance 2 d, offsets 0-4 h, HR bounds (1, 180)
 W_US = 3 * 86_400_000_000
@@ -516,7 +518,9 @@ SELECT concat_ws('-', user_id, day) AS request_id, round((total_sleep_h) + 2.5e-
             WHEN last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18 THEN 0.8871 END) + 2.5e-8, 6) AS override_probability,
        (total_sleep_h < 15 OR min_hr > 90 OR (last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18)) AS override_fatigued,
        CASE WHEN total_sleep_h < 15 THEN 'CRIT' WHEN min_hr > 90 THEN 'WARN'
-            WHEN last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18 THEN 'NIGHT' END AS override_rule
+            WHEN last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18 THEN 'NIGHT' END AS override_rule,
+       CASE WHEN total_sleep_h < 15 THEN '""" + SAFETY_RULES[0][1] + """' WHEN min_hr > 90 THEN '""" + SAFETY_RULES[1][1] + """'
+            WHEN last_hour BETWEEN 2 AND 5 AND total_sleep_h < 18 THEN '""" + SAFETY_RULES[2][1] + """' END AS override_advice
 FROM x"""
 
 
@@ -548,12 +552,14 @@ COURSE_IDS = ("acute_recovery", "sleep_debt", "stress_awareness", "circadian", "
 
 def q_advice() -> str:
     ids = ", ".join(f"'{c}'" for c in COURSE_IDS)
+    texts = ", ".join("'" + c[2].replace("'", "''") + "'" for c in COURSES)
     base = with_(FEEDS, TRAIN_USERS, HR_CLEAN, hr_features_sql(True), SLEEP_FEAT, CONTINUOUS, GRID, PVT_TARGETS, NEAREST, KB, FALLBACK)
     return base + f""",
 c AS (SELECT m.*, CASE WHEN coalesce(m.hours_awake, 0) > 14 THEN 0 WHEN coalesce(m.cum_sleep_debt, 0) > 3 THEN 1
                        WHEN coalesce(m.stress_cv, 0) > 0.15 THEN 2 ELSE (SELECT rk FROM fb) END AS rank
       FROM matched m)
-SELECT user_id, TESTSTART, TESTID, offset_us, ([{ids}])[rank + 1] AS course_id, fatigue_score > 0.3 AS gets_advice
+SELECT user_id, TESTSTART, TESTID, offset_us, ([{ids}])[rank + 1] AS course_id, fatigue_score > 0.3 AS gets_advice,
+  CASE WHEN fatigue_score > 0.3 THEN '{ADVICE_PREFIX}' || ([{texts}])[rank + 1] END AS advice
 FROM c"""
 
 
@@ -745,3 +751,16 @@ def q_validate_raw() -> str:
 def q_rejected_rows() -> str:
     parts = [f"SELECT 'HeartRateRaw' AS schema, '{r}' AS rule, event_id FROM dirty WHERE {c}" for r, c in _HR_RULES.items()]
     return "WITH " + _DIRTY_HR.strip() + "\n" + "\nUNION ALL ".join(parts)
+
+
+# ---------------------------------------------------------------- written outputs
+def q_split_outputs() -> str:
+    """All six outputs stacked: split x (inputs, targets, ids)."""
+    feats = ", ".join(f"CASE WHEN o.output = 'inputs' THEN {rnd('m.' + c)} END AS {c}" for c in MODEL_FEATURES)
+    return _train_users() + f""",
+u AS (SELECT DISTINCT user_id FROM matched),
+r AS (SELECT user_id, row_number() OVER (ORDER BY md5(concat('42:', CAST(user_id AS VARCHAR))), user_id) - 1 AS rk,
+             count(*) OVER () AS n FROM u)
+SELECT CASE WHEN r.rk < ceil(0.2 * r.n) THEN 'test' ELSE 'train' END AS split, o.output, m.user_id, m.TESTSTART, m.TESTID, m.offset_us,
+  {feats}, CASE WHEN o.output = 'targets' THEN m.fatigue_score END AS fatigue_score
+FROM matched m JOIN r ON m.user_id = r.user_id, (VALUES ('inputs'), ('targets'), ('ids')) o(output)"""

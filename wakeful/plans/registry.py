@@ -7,12 +7,13 @@ tables; the matching DuckDB statement lives in :mod:`wakeful.plans.oracle_sql`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeful.functions.scalar import parse_time, ts_us
-from wakeful.operators.clean import clean_hr, clean_pvt, clean_sleep
+from wakeful.operators.clean import clean_hr, clean_pvt, clean_sleep, select_monitor_columns
 from wakeful.operators.windows import hr_series_features, sleep_features
 from wakeful.plans import oracle_sql as O
 from wakeful.plans.features import (
@@ -39,7 +40,7 @@ from wakeful.sources.feeds import kb_feed
 from wakeful.sources.payload import build_requests, parse_payload, payload_hr, request_rows
 from wakeful.streaming import telemetry as ST
 from wakeful.session import scratch_path
-from wakeful.settings import MICROS_PER_DAY, MODEL_FEATURES
+from wakeful.settings import FEATURE_COLS, INFER_COLS, MICROS_PER_DAY, MODEL_FEATURES, MONITORED
 from wakeful.sources.feeds import events_feeds, scored_feed, table
 from wakeful.sources.files import users_with_all_feeds
 
@@ -84,26 +85,26 @@ def _train_feeds(spark, sf_dir):
 def continuous_features_q(spark, sf_dir):
     f = _train_feeds(spark, sf_dir)
     cont = continuous_features(f["hr"], f["sleep"], S)
-    return round_doubles(cont.select("user_id", "HRTIME", "START", "last_sleep_end", *O.FEATURE_COLS))
+    return round_doubles(cont.select("user_id", "HRTIME", "START", "last_sleep_end", *FEATURE_COLS))
 
 
 def feature_grid_q(spark, sf_dir):
     f = _train_feeds(spark, sf_dir)
     bins = feature_grid(continuous_features(f["hr"], f["sleep"], S), S)
-    return round_doubles(bins.select("user_id", "HRTIME", *O.FEATURE_COLS))
+    return round_doubles(bins.select("user_id", "HRTIME", *FEATURE_COLS))
 
 
 def training_features_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
     cols = ["user_id", "TESTSTART", "TESTID", "offset_us", "MATCH_TIME", "HRTIME", "pvt_mean_rt", "fatigue_score"]
-    return round_doubles(lab.select(*cols, *O.FEATURE_COLS))
+    return round_doubles(lab.select(*cols, *FEATURE_COLS))
 
 
 def inference_features_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     inf = inference_features(f["hr"], f["sleep"], S)
-    return round_doubles(inf.select("user_id", "HRTIME", *O.INFER_COLS))
+    return round_doubles(inf.select("user_id", "HRTIME", *INFER_COLS))
 
 
 def _scored(spark, sf_dir):
@@ -152,7 +153,7 @@ def _monitor_long(spark, sf_dir):
     inf = inference_features(f["hr"], f["sleep"], S)
     ref = inf.where(F.col("HRTIME") < F.lit(DRIFT_SPLIT).cast("timestamp_ntz"))
     cur = inf.where(F.col("HRTIME") >= F.lit(DRIFT_SPLIT).cast("timestamp_ntz"))
-    return cut_lineage(D.monitoring_long(ref, cur, O.MONITORED))
+    return cut_lineage(D.monitoring_long(ref, cur, select_monitor_columns(ref, cur, MONITORED)))
 
 
 def robust_scale_q(spark, sf_dir):
@@ -168,7 +169,7 @@ def ks_drift_q(spark, sf_dir):
 
 
 def drift_summary_q(spark, sf_dir):
-    return round_doubles(D.drift_summary(D.ks_two_sample(_scaled_long(spark, sf_dir)), len(O.MONITORED)))
+    return round_doubles(D.drift_summary(D.ks_two_sample(_scaled_long(spark, sf_dir)), len(MONITORED)))
 
 
 def density_histogram_q(spark, sf_dir):
@@ -178,7 +179,7 @@ def density_histogram_q(spark, sf_dir):
 def impute_scale_fit_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
-    return round_doubles(D.fit_impute_scale(cut_lineage(lab), O.MODEL_FEATURES))
+    return round_doubles(D.fit_impute_scale(cut_lineage(lab), MODEL_FEATURES))
 
 
 def _labelled(spark, sf_dir):
@@ -309,7 +310,7 @@ def payload_parse_q(spark, sf_dir):
 def safety_overrides_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     h, sl = request_rows(f["hr"], f["sleep"], MICROS_PER_DAY, 3)
-    return round_doubles(AD.safety_overrides(h, sl).drop("override_advice"))
+    return round_doubles(AD.safety_overrides(h, sl))
 
 
 def _kb(spark, sf_dir):
@@ -334,7 +335,7 @@ def advice_q(spark, sf_dir):
     lab = _labelled(spark, sf_dir)
     c = AD.select_course(lab, _fallback_rank(spark, sf_dir))
     c = AD.advice_text(c, "fatigue_score", 0.3)
-    return c.select("user_id", "TESTSTART", "TESTID", "offset_us", "course_id", F.col("advice").isNotNull().alias("gets_advice"))
+    return c.select("user_id", "TESTSTART", "TESTID", "offset_us", "course_id", F.col("advice").isNotNull().alias("gets_advice"), "advice")
 
 
 def _scores_hold(scored: DataFrame) -> DataFrame:
@@ -417,7 +418,7 @@ def raw_to_features_q(spark, sf_dir):
     f["hr"] = SCH.check(f["hr"].select(F.col("user_id").alias("id"), "HRTIME", "HR"), SCH.HEART_RATE_RAW).withColumnRenamed("id", "user_id")
     lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
     cols = ["user_id", "TESTSTART", "TESTID", "offset_us", "MATCH_TIME", "HRTIME", "pvt_mean_rt", "fatigue_score"]
-    return round_doubles(lab.select(*cols, *O.FEATURE_COLS))
+    return round_doubles(lab.select(*cols, *FEATURE_COLS))
 
 
 def discover_users_q(spark, sf_dir):
@@ -478,6 +479,27 @@ def split_outputs_test_q(spark, sf_dir):
     return round_doubles(FS.read_split(spark, info["samples"], "test", info["inputs"]))
 
 
+def split_outputs_q(spark, sf_dir):
+    """All six outputs of the split, read back and stacked."""
+    lab = cut_lineage(_labelled(spark, sf_dir), "samples")
+    samples = lab.join(group_split(lab, "user_id", S.test_size, S.split_seed), "user_id")
+    info = FS.write_split_outputs(samples, scratch_path(spark, "split"), MODEL_FEATURES, "fatigue_score", MD.SAMPLE_KEY)
+    parts = []
+    for split in ("train", "test"):
+        for output in ("inputs", "targets", "ids"):
+            part = FS.read_split(spark, info["samples"], split, info[output])
+            lacking = [F.lit(None).cast("double").alias(c) for c in (*MODEL_FEATURES, "fatigue_score") if c not in info[output]]
+            parts.append(part.select(F.lit(split).alias("split"), F.lit(output).alias("output"), "*", *lacking))
+    return round_doubles(reduce(DataFrame.unionByName, parts))
+
+
+def inference_outputs_q(spark, sf_dir):
+    """The features table of the inference outputs, read back."""
+    f = _feeds(spark, sf_dir)
+    info = FS.write_inference_outputs(inference_features(f["hr"], f["sleep"], S), scratch_path(spark, "inference"))
+    return round_doubles(spark.read.parquet(info["features"]).select("user_id", "HRTIME", *INFER_COLS))
+
+
 def inference_ids_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     inf = inference_features(f["hr"], f["sleep"], S)
@@ -542,6 +564,8 @@ QUERIES: dict[str, Query] = {
     "dataset_profile": dataset_profile_q,
     "split_outputs_test": split_outputs_test_q,
     "inference_ids": inference_ids_q,
+    "inference_outputs": inference_outputs_q,
+    "split_outputs": split_outputs_q,
     "stream_minute_grid": stream_minute_grid_q,
     "stream_request_features": stream_request_features_q,
     "group_split": group_split_q,
@@ -604,6 +628,8 @@ ORACLE: dict[str, str] = {
     "dataset_profile": O.q_dataset_profile(),
     "split_outputs_test": O.q_split_outputs_test(),
     "inference_ids": O.q_inference_ids(),
+    "inference_outputs": O.q_inference_features(),
+    "split_outputs": O.q_split_outputs(),
     "stream_minute_grid": O.q_stream_minute_grid(),
     "stream_request_features": O.q_request_features(),
     "group_split": O.q_group_split(),

@@ -83,3 +83,15 @@ MODEL_FEATURES = (
     "circadian_sin",
     "circadian_cos",
 )
+
+# Columns of the feature tables (training grid, inference rows) and those that drift
+# monitoring watches.
+FEATURE_COLS = (
+    "HR hr_diff hr_mean_total hr_std_total mean_hr_5min hr_volatility_5min hr_jumpiness_5min "
+    "hr_zscore stress_cv duration cum_sleep_debt hours_awake sleep_inertia_idx circadian_sin circadian_cos"
+).split()
+INFER_COLS = (
+    "mean_hr_5min hr_volatility_5min hr_mean_total hr_std_total hr_zscore hr_jumpiness_5min stress_cv "
+    "cum_sleep_debt hours_awake sleep_inertia_idx circadian_sin circadian_cos"
+).split()
+MONITORED = ("mean_hr_5min", "hr_volatility_5min", "hours_awake", "stress_cv")
