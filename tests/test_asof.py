@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 
 from wakeful.operators.asof import asof_backward, asof_nearest, nearest_grid_key
 from wakeful.settings import MICROS_PER_MINUTE
@@ -15,9 +16,11 @@ def _frames(seed):
     return left, right
 
 
-def test_backward_matches_merge_asof(spark):
+@pytest.mark.parametrize("bounded", [False, True])
+def test_backward_matches_merge_asof(spark, bounded):
     left, right = _frames(1)
-    got = asof_backward(spark.createDataFrame(left), spark.createDataFrame(right), ["user_id"], "t", "rt", ["v"], 500 * MICROS_PER_MINUTE).toPandas()
+    last = int(left["t"].max()) if bounded else None
+    got = asof_backward(spark.createDataFrame(left), spark.createDataFrame(right), ["user_id"], "t", "rt", ["v"], 500 * MICROS_PER_MINUTE, last_left_us=last).toPandas()
     want = pd.merge_asof(left.sort_values("t"), right.sort_values("rt"), left_on="t", right_on="rt", by="user_id", direction="backward")
     m = got.merge(want, on=["user_id", "t"], suffixes=("", "_w"))
     assert len(m) == len(left)

@@ -53,6 +53,11 @@ def clean_hr(raw: DataFrame, s: FeatureSettings, by: str = "user_id", bucketed:
     return out.withColumn("t", ts_us("HRTIME"))
 
 
+def last_reading_us(raw: DataFrame) -> int | None:
+    """Time of the latest reading in µs (one aggregate over the time column)."""
+    return _as_timestamp(raw.select("HRTIME"), "HRTIME").agg(F.max(ts_us("HRTIME"))).first()[0]
+
+
 def clean_sleep(raw: DataFrame, s: FeatureSettings, by: str = "user_id", dedupe: bool = True) -> DataFrame:
     """P4 + U4: parse, drop null START/END, drop duplicate (START, END) per user,
     duration in hours, keep durations strictly inside the bounds. The request path

@@ -20,6 +20,7 @@ from wakeful.operators.clean import (
     clean_hr,
     clean_pvt,
     clean_sleep,
+    last_reading_us,
     require_columns,
 )
 from wakeful.operators.windows import (
@@ -53,7 +54,9 @@ def continuous_features(
     feats = hr_series_features(hr, s, by, passthrough=("HRTIME",))
     sl = sleep_features(clean_sleep(sleep_raw, s, by, dedupe=dedupe_sleep), s, by)
     sl = sl.withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
-    j = asof_backward(feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"], bucket_col="b")
+    j = asof_backward(
+        feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"], bucket_col="b", last_left_us=last_reading_us(hr_raw)
+    )
     j = j.withColumnRenamed("END", "last_sleep_end").withColumn("hours_awake", hours_awake("t", "_end_us")).drop("b")
     if materialize:
         # stage boundary: the median imputation scans this table several times
@@ -72,8 +75,9 @@ def labelled_features(
 ) -> DataFrame:
     """Training samples: one row per (user, test, offset) matched to the nearest
     grid bin within the tolerance. Key: (user_id, TESTSTART, TESTID, offset_us)."""
-    users = users_with_all_feeds([hr_raw, sleep_raw, pvt_raw], by)
-    hr_raw, sleep_raw, pvt_raw = (f.join(users, by, "left_semi") for f in (hr_raw, sleep_raw, pvt_raw))
+    # users are independent of each other, so the rule that a user needs all feeds is
+    # applied to the tests, the smallest feed, and readings are not joined by user
+    pvt_raw = pvt_raw.join(users_with_all_feeds([hr_raw, sleep_raw, pvt_raw], by), by, "left_semi")
     cont = continuous_features(hr_raw, sleep_raw, s, by=by)
     bins = feature_grid(cont, s, by)
     extent = grid_extent(bins, by)
@@ -88,10 +92,9 @@ def inference_features(hr_raw: DataFrame, sleep_raw: DataFrame, s: FeatureSettin
     """Scoring rows: every non-empty grid bin of users with HR and sleep feeds,
     keyed by (user_id, HRTIME). The jumpiness diff is not gap-masked here."""
     s = s.with_(max_gap_us=None)
-    users = users_with_all_feeds([hr_raw, sleep_raw], by)
-    hr_raw, sleep_raw = (f.join(users, by, "left_semi") for f in (hr_raw, sleep_raw))
     cont = continuous_features(hr_raw, sleep_raw, s, by=by)
     bins = require_columns(feature_grid(cont, s, by), ["mean_hr_5min", "hours_awake"])
+    bins = bins.join(sleep_raw.select(by).distinct(), by, "left_semi")  # the grid, not the readings
     return bins.drop("grid_us", *INFERENCE_LEAKAGE)
 
 
