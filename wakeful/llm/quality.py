@@ -186,7 +186,8 @@ class Covering:
     """Learns a :class:`DecisionList` from rows of features and ``bad`` (0/1).
 
     ``held`` rows (a third, by hash of the id) prune and accept rules, the rest grow
-    them. ``cuts`` thresholds per feature are quantiles of all labelled rows. A rule
+    them. Thresholds lie half-way between neighbouring quantiles (``cuts`` of all
+    labelled rows and as many of the values above 0, as most shares are 0). A rule
     stays while it rejects ``least`` bad held-out documents and at least ``precision``
     of the held-out documents that it rejects are bad.
     """
@@ -195,8 +196,11 @@ class Covering:
         self.rows, self.precision, self.least = rows, precision, least
         self.max_rules, self.max_conditions = max_rules, max_conditions
         points = [k / (cuts + 1) for k in range(1, cuts + 1)]
-        found = rows.agg(*[F.percentile_approx(f, points, 2000).alias(f) for f in FEATURES]).first()
-        self.cuts = {f: sorted(set(found[f] or ())) for f in FEATURES}
+        above = [F.percentile_approx(F.when(F.col(f) > 0, F.col(f)), [0.01, *points], 2000).alias(f"{f}_above") for f in FEATURES]
+        found = rows.agg(*[F.percentile_approx(f, points, 2000).alias(f) for f in FEATURES], *above).first()
+        values = {f: sorted({*(found[f] or ()), *(found[f"{f}_above"] or ())}) for f in FEATURES}
+        # half-way between neighbours: a value a little off what was seen stays on its side
+        self.cuts = {f: [(a + b) / 2 for a, b in zip(v, v[1:])] for f, v in values.items()}
         bins = [
             reduce(lambda a, b: a + b, [(F.col(f) > c).cast("int") for c in self.cuts[f]], F.lit(0)).cast("int")
             for f in FEATURES
