@@ -88,3 +88,13 @@ def test_running_totals_of_heavy_tails(spark):
     cuts = df.agg(F.percentile_approx("v", [k / SIDE**2 for k in range(1, SIDE**2)], 10_000).alias("cuts"))
     sizes = df.join(F.broadcast(cuts), F.col("v").isNotNull()).groupBy(bucket_number(F.col("v"), F.col("cuts")).alias("b")).count().toPandas()
     assert sizes["count"].max() < 0.05 * len(pdf) and sizes["b"].max() < SIDE**2
+
+
+def test_scorer_ordering_and_limit(spark):
+    df = spark.createDataFrame([(3, 0.0, 0.1), (1, 1.0, 0.8), (2, 1.0, 0.4)], "k long, y_true double, y_pred double")
+    scorer = M.custom_scorer(M.binary_metrics, threshold=0.5, target_threshold=0.5)
+    got = {r.metric: r.value for r in scorer(df).collect()}
+    assert got["recall_at_0.5"] == 0.5 and got["precision_at_0.5"] == 1.0 and got["roc_auc"] == 1.0
+    assert [r.k for r in M.sort_by(df, ["k"]).collect()] == [1, 2, 3]
+    assert [r.k for r in M.sort_by(df, ["y_true", "k"], [False, False]).collect()] == [2, 1, 3]
+    assert [r.k for r in M.limit_rows(df, 2, ["k"]).collect()] == [1, 2]

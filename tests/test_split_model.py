@@ -114,3 +114,13 @@ def test_attributions_are_additive_in_blocks(spark, monkeypatch):
             return n["value"]
 
         assert np.allclose(expected + whole.sum(axis=1), [predict(r) for r in x], atol=1e-9)
+
+
+def test_row_folds_without_users(spark):
+    from wakeful.operators.split import row_kfold
+
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    folds = row_kfold(df, 4, ["k"]).groupBy("fold").count().toPandas()
+    assert sorted(folds["fold"]) == [0, 1, 2, 3] and folds["count"].min() > 180
+    again = row_kfold(df.repartition(3), 4, ["k"])
+    assert again.join(row_kfold(df, 4, ["k"]).withColumnRenamed("fold", "f"), "k").where("fold <> f").count() == 0

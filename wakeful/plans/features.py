@@ -20,6 +20,7 @@ from wakeful.operators.clean import (
     clean_hr,
     clean_pvt,
     clean_sleep,
+    drop_leakage_columns,
     last_reading_us,
     require_columns,
 )
@@ -95,7 +96,7 @@ def inference_features(hr_raw: DataFrame, sleep_raw: DataFrame, s: FeatureSettin
     cont = continuous_features(hr_raw, sleep_raw, s, by=by)
     bins = require_columns(feature_grid(cont, s, by), ["mean_hr_5min", "hours_awake"])
     bins = bins.join(sleep_raw.select(by).distinct(), by, "left_semi")  # the grid, not the readings
-    return bins.drop("grid_us", *INFERENCE_LEAKAGE)
+    return drop_leakage_columns(bins.drop("grid_us"), INFERENCE_LEAKAGE)
 
 
 ROUND_NUDGE = 2.5e-8  # fixed value, shared with the oracle SQL
