@@ -1,3 +1,4 @@
+import json
 import re
 from collections import Counter
 from fractions import Fraction
@@ -135,3 +136,53 @@ def test_mix_of_overlapping_sources(spark):
     assert {r["copies"] for r in rows if r["pattern"] == "[]"} == {0}
     total = sum(r["size"] * r["copies"] for r in rows)
     assert abs(total - sum(taken.targets.values())) <= 12
+
+
+def brute_ending(groups, rest, wanted):
+    """Taken hashes by the rule of ``mix``, one document after the other."""
+    taken, left = set(), rest
+    for u, size in groups:
+        if size > left:
+            break
+        taken.add(u)
+        left -= size
+
+    def nearest(taken, left):
+        near = min(((abs(left - s), s, u) for u, s in groups if u not in taken and 0 < s < 2 * left), default=None)
+        return (taken | {near[2]}, left - near[1]) if near else (taken, left)
+
+    def fill(taken, left):
+        for u, size in groups:
+            if u not in taken and 0 < size <= left:
+                taken, left = taken | {u}, left - size
+        return taken, left
+
+    first = nearest(*fill(*nearest(*nearest(taken, left))))
+    second = nearest(*fill(taken, left))
+    return second if abs(first[1]) - abs(second[1]) > 0.01 * wanted else first
+
+
+def test_mix_with_long_documents(spark):
+    plans = {f"{long}-{k}": [100] * 200 + [long] for long in (10_000, 20_000, 40_000) for k in range(8)}
+    plans |= {f"tail-{k}": [1 + (7919 * (i + k)) % 97 * 10 ** (i % 4) for i in range(60)] for k in range(8)}
+    table = [(s, i // 2 if s.startswith("tail") and i < 6 else i, n) for s, sizes in plans.items() for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame([(f"{s}:{i}", s, n) for s, i, n in table], "doc_id string, source string, n long")
+    taken = mixing.mix(docs, F.array("source"), quotas=lambda sizes: {s: 1.5 * n for s, n in sizes.items()}, size=F.col("n"))
+    by_source = {}
+    for r in taken.rows.collect():
+        by_source.setdefault(json.loads(r["pattern"])[0], []).append(r)
+    assert set(by_source) == set(plans)
+    for source, rows in by_source.items():
+        total, quota = taken.sizes[source], int(taken.targets[source] + 0.5)
+        groups = Counter()
+        for r in rows:
+            groups[r["u"]] += r["size"]
+        want, left = brute_ending(sorted(groups.items()), quota - total, quota)
+        assert {r["u"] for r in rows if r["copies"] == 2} == want and {r["copies"] for r in rows} <= {1, 2}
+        assert sum(r["size"] * r["copies"] for r in rows) == quota - left
+        untaken = [s for u, s in groups.items() if u not in want]
+        assert left <= 0 or not any(0 < s <= left for s in untaken)  # nothing that fits is left
+        if not source.startswith("tail"):
+            long = max(plans[source])
+            best = min(abs(quota - total - 100 * k - long * j) for k in range(201) for j in (0, 1))
+            assert abs(left) <= best + 0.01 * quota

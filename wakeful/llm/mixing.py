@@ -6,9 +6,10 @@ of a pattern's tokens costing k - 1, so nothing is repeated while fresh tokens c
 still reach an open quota. The network has one node per pattern and source, not per
 document, and is solved on the driver (at most ``max_patterns`` patterns). What the
 flow takes of a pattern is whole copies of it and a rest; the rest is filled with
-documents in the order of a seeded hash. Selection is distributed: sizes are summed
-per hash bucket, and only the bucket in which the rest ends is looked at row by row,
-so no source, however large, is sorted in one task.
+documents in the order of a seeded hash, going on past those that do not fit.
+Selection is distributed: sizes are summed per hash bucket, and only the bucket in
+which the rest ends is looked at row by row, so no source, however large, is sorted in
+one task; the same step is repeated over the untaken documents that still fit.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import json
 from collections import deque
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +27,8 @@ from wakeful.llm.common import cut_lineage, text_of, word_count
 
 SEED = 17
 DRAW_BITS, BUCKET_BITS = 52, 12
-TOP_UPS = 2
+TOP_UPS = 2  # nearest documents tried before the rest is filled with what fits
+NEAR = 0.01  # of what a pattern is to give: worth a fill in place of the nearest documents
 
 
 # -- quotas -----------------------------------------------------------------------
@@ -173,7 +175,10 @@ def mix(
     maps the sources' sizes to targets. ``size`` defaults to the number of words of
     ``text`` (null: 0). Of a pattern's rest, documents are taken in the order of the
     seeded hash while they fit; then, twice, the document whose size is nearest to
-    what is still open, where that brings the source nearer to its target. Rows of
+    what is still open, where that brings the source nearer to its target; then, in
+    the order of the hash, every document that still fits, until none does, and once
+    more the nearest. Where every fitting document in place of the two nearest ones
+    comes nearer by over 1 % of what the pattern is to give, that is taken. Rows of
     equal id are taken together. Empty tables give no rows. More than ``max_patterns``
     patterns is an error, as the network is held on the driver.
     """
@@ -203,7 +208,7 @@ def mix(
     targets = quotas(sizes)
     flow = route(tokens, members, targets, copies)
     plan = {p: (f // tokens[p], f % tokens[p]) if tokens[p] else (0, 0) for p, f in flow.items()}
-    return Mix(_taken(rows, cells, plan), sizes, targets, members)
+    return Mix(_taken(rows, cells, plan, flow), sizes, targets, members)
 
 
 def _small(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
@@ -211,7 +216,115 @@ def _small(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(like.sparkSession.createDataFrame(rows, schema))
 
 
-def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]]) -> DataFrame:
+@dataclass
+class Ending:
+    """Which documents fill the rest of a pattern: all up to ``bound`` in the order of
+    the hash, the picks, and of each step (limit, upto) those of a size up to limit
+    and a hash up to upto."""
+
+    bound: int
+    left: int  # words still open, negative if too many are taken
+    picks: tuple[int, ...] = ()
+    steps: tuple[tuple[int, int], ...] = ()
+
+
+def _endings(like: DataFrame, ends: dict[str, Ending], full: dict[str, int] | None = None) -> DataFrame:
+    return _small(
+        like,
+        [(p, e.bound, e.left, list(e.picks), list(e.steps), (full or {}).get(p, 0)) for p, e in ends.items()],
+        "pattern string, bound long, open long, picks array<long>, steps array<struct<limit: long, upto: long>>, full int",
+    )
+
+
+def _in_steps() -> Column:
+    return F.exists("steps", lambda s: (F.col("size") <= s["limit"]) & (F.col("u") <= s["upto"]))
+
+
+def _untaken(rows: DataFrame, ends: dict[str, Ending]) -> DataFrame:
+    """Documents behind the bound that may still be taken, rows of equal id as one."""
+    return cut_lineage(
+        rows.join(_endings(rows, {p: e for p, e in ends.items() if e.left > 0}), "pattern")
+        .where("u > bound")
+        .groupBy("pattern", "u", "open")
+        .agg(F.sum("size").alias("size"))
+        .where("size > 0 and size < 2 * open")
+        .select("pattern", "u", "size"),
+        "mix-untaken",
+    )
+
+
+def _nearest(groups: DataFrame, ends: dict[str, Ending]) -> dict[str, Ending]:
+    """The untaken document whose size is nearest to what is open is taken, where that
+    leaves less open or too much."""
+    state = {p: e for p, e in ends.items() if e.left > 0}
+    if not state:
+        return ends
+    best = (
+        groups.join(_endings(groups, state), "pattern")
+        .where("size < 2 * open and not array_contains(picks, u)")
+        .where(~_in_steps())
+        .groupBy("pattern")
+        .agg(F.min(F.struct(F.abs(F.col("open") - F.col("size")).alias("off"), "size", "u")).alias("pick"))
+        .collect()
+    )
+    return ends | {
+        r["pattern"]: replace(
+            ends[r["pattern"]], left=ends[r["pattern"]].left - r["pick"]["size"], picks=(*ends[r["pattern"]].picks, r["pick"]["u"])
+        )
+        for r in best
+    }
+
+
+def _filled(groups: DataFrame, ends: dict[str, Ending]) -> dict[str, Ending]:
+    """Goes on in the order of the hash past documents that do not fit, until none of
+    the untaken ones fits. A step ends at the first document larger than what the step
+    leaves open, so the next one has only smaller ones to look at."""
+    ends = dict(ends)
+    state = {p: e for p, e in ends.items() if e.left > 0}
+    if not state:
+        return ends
+    fitting = (
+        groups.join(_endings(groups, state), "pattern")
+        .where("size <= open and not array_contains(picks, u)")
+        .select("pattern", "u", "size", F.shiftright("u", DRAW_BITS - BUCKET_BITS).alias("bucket"))
+    )
+    last = {p: e.bound for p, e in state.items()}
+    while state:
+        at = _small(groups, [(p, last[p], ends[p].left) for p in state], "pattern string, last long, open long")
+        untaken = fitting.join(at, "pattern").where("u > last and size <= open")
+        upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("bucket"))
+        found = (
+            untaken.groupBy("pattern", "bucket", "open")
+            .agg(F.sum("size").alias("size"))
+            .select("pattern", "open", "bucket", upto.alias("upto"), (upto - F.col("size")).alias("before"))
+            .groupBy("pattern")
+            .agg(F.max("upto").alias("all"), F.min(F.when(F.col("upto") > F.col("open"), F.struct("bucket", "before"))).alias("crossed"))
+            .collect()
+        )
+        crossed = {r["pattern"]: r["crossed"] for r in found if r["crossed"] is not None}
+        taken = {r["pattern"]: ((1 << DRAW_BITS) - 1, r["all"]) for r in found}
+        taken |= {p: ((c["bucket"] << (DRAW_BITS - BUCKET_BITS)) - 1, c["before"]) for p, c in crossed.items()}
+        if crossed:
+            inside = _small(groups, [(p, c["bucket"], c["before"]) for p, c in crossed.items()], "pattern string, bucket long, before long")
+            running = F.col("before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("u"))
+            row_ends = (
+                untaken.join(inside, ["pattern", "bucket"])
+                .select("pattern", "u", "open", running.alias("upto"))
+                .where("upto <= open")
+                .groupBy("pattern")
+                .agg(F.max("u").alias("u"), F.max("upto").alias("size"))
+                .collect()
+            )
+            taken |= {r["pattern"]: (r["u"], r["size"]) for r in row_ends}
+        for p, (u, size) in taken.items():
+            e = ends[p]
+            ends[p] = replace(e, left=e.left - size, steps=(*e.steps, (e.left, u)))
+            last[p] = u
+        state = {p: ends[p] for p in crossed if ends[p].left > 0}
+    return ends
+
+
+def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]], wanted: dict[str, int]) -> DataFrame:
     rests = _small(rows, [(p, rest) for p, (_, rest) in plan.items()], "pattern string, rest long")
     upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("bucket"))
     crossed = (
@@ -240,31 +353,30 @@ def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]])
     for r in ends:
         bound[r["pattern"]] = r["u"]
         left[r["pattern"]] -= r["size"]
-    picks: dict[str, list[int]] = {p: [] for p in plan}
+    start = {p: Ending(bound[p], left[p]) for p in plan}
+    groups = _untaken(rows, start)
+    chosen = start
     for _ in range(TOP_UPS):
-        state = _small(
-            rows, [(p, bound[p], left[p], picks[p]) for p in plan if left[p] > 0], "pattern string, bound long, open long, picks array<long>"
+        chosen = _nearest(groups, chosen)
+    chosen = _nearest(groups, _filled(groups, chosen))
+    # a document nearest in size may be far off where smaller ones would fill the rest
+    far = {p: start[p] for p, e in chosen.items() if abs(e.left) > NEAR * wanted[p]}
+    for p, e in _nearest(groups, _filled(groups, far)).items():
+        if abs(chosen[p].left) - abs(e.left) > NEAR * wanted[p]:
+            chosen = chosen | {p: e}
+    extra = (F.col("u") <= F.col("bound")) | F.array_contains("picks", F.col("u"))
+    stepped = {p: e for p, e in chosen.items() if e.steps}
+    if stepped:
+        filled = (
+            groups.join(_endings(groups, stepped), "pattern")
+            .where(_in_steps())
+            .select("pattern", "u", F.lit(True).alias("filled"))
         )
-        best = (
-            rows.where("size > 0")
-            .join(state, "pattern")
-            .where("u > bound and size < 2 * open and not array_contains(picks, u)")
-            .groupBy("pattern", "u", "open")
-            .agg(F.sum("size").alias("size"))
-            .where("size < 2 * open")
-            .groupBy("pattern")
-            .agg(F.min(F.struct(F.abs(F.col("open") - F.col("size")).alias("off"), "size", "u")).alias("pick"))
-            .collect()
-        )
-        for r in best:
-            picks[r["pattern"]].append(r["pick"]["u"])
-            left[r["pattern"]] -= r["pick"]["size"]
-    state = _small(
-        rows, [(p, full, bound[p], picks[p]) for p, (full, _) in plan.items()], "pattern string, full int, bound long, picks array<long>"
-    )
-    extra = ((F.col("u") <= F.col("bound")) | F.array_contains("picks", F.col("u"))).cast("int")
+        rows = rows.join(filled, ["pattern", "u"], "left")
+        extra = extra | F.coalesce("filled", F.lit(False))
+    state = _endings(rows, chosen, {p: full for p, (full, _) in plan.items()})
     return rows.join(state, "pattern", "left").select(
-        "doc_id", "size", "pattern", "u", F.coalesce(F.col("full") + extra, F.lit(0)).alias("copies")
+        "doc_id", "size", "pattern", "u", F.coalesce(F.col("full") + extra.cast("int"), F.lit(0)).alias("copies")
     )
 
 
