@@ -124,3 +124,24 @@ def test_row_folds_without_users(spark):
     assert sorted(folds["fold"]) == [0, 1, 2, 3] and folds["count"].min() > 180
     again = row_kfold(df.repartition(3), 4, ["k"])
     assert again.join(row_kfold(df, 4, ["k"]).withColumnRenamed("fold", "f"), "k").where("fold <> f").count() == 0
+
+
+def test_registered_search_fits_every_trial(spark, monkeypatch):
+    from wakeful.plans import modeling, registry
+
+    asked = []
+
+    def scored(samples, params, n_splits, threshold, folds=None, parallelism=1):
+        asked.append((params.n_estimators, params.max_depth, n_splits))
+        return spark.createDataFrame([(k, 10, params.max_depth / 100, 0.5) for k in range(n_splits)], "fold int, n_test long, rmse double, recall double")
+
+    samples = spark.createDataFrame([(u, "train") for u in range(20)], "user_id long, split string")
+    monkeypatch.setattr(registry, "_fitted", lambda spark, sf_dir: (samples, None))
+    monkeypatch.setattr(modeling, "cross_validate", scored)
+    rows = registry.QUERIES["search_params"](spark, "").collect()
+    drawn = modeling.sample_params(50)
+    assert sorted(asked) == sorted((p.n_estimators, p.max_depth, 5) for p in drawn)
+    assert sorted(r["trial"] for r in rows) == list(range(50))
+    assert all((r["n_estimators"], r["max_depth"]) == (drawn[r["trial"]].n_estimators, drawn[r["trial"]].max_depth) for r in rows)
+    depths = [r["max_depth"] for r in rows]
+    assert depths == sorted(depths)  # best first

@@ -10,7 +10,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -132,10 +132,17 @@ def sample_params(n_trials: int, seed: int = 42, base: ForestParams = ForestPara
 
 
 def search_params(
-    samples: DataFrame, n_trials: int = 50, n_splits: int = 5, threshold: float = 0.26, seed: int = 42, parallelism: int = 4
+    samples: DataFrame,
+    n_trials: int = 50,
+    n_splits: int = 5,
+    threshold: float = 0.26,
+    seed: int = 42,
+    parallelism: int = 4,
+    trials_at_once: int = 1,
 ) -> DataFrame:
     """M7: each trial is cross-validated; result table (trial, params, rmse, recall)
-    ordered by mean RMSE (best first). All trials use the same folds."""
+    ordered by mean RMSE (best first). All trials use the same folds; ``trials_at_once``
+    trials are submitted side by side, each with ``parallelism`` folds."""
     folds = cut_lineage(group_kfold(samples, n_splits))
 
     def one(i: int, p: ForestParams) -> DataFrame:
@@ -153,7 +160,8 @@ def search_params(
         )
         return cut_lineage(r)
 
-    results = [one(i, p) for i, p in enumerate(sample_params(n_trials, seed))]
+    jobs = [partial(one, i, p) for i, p in enumerate(sample_params(n_trials, seed))]
+    results = side_by_side(samples.sparkSession, jobs, trials_at_once)
     return reduce(DataFrame.unionByName, results).orderBy("rmse", "trial")
 
 

@@ -276,7 +276,8 @@ def explain_samples_q(spark, sf_dir):
     return total.select(*keys, (F.abs(F.col("reconstructed") - F.col("prediction")) < 1e-5).alias("additive"))
 
 
-N_FOLDS, N_TRIALS = 5, 3  # the operator's default is 50 trials; a fit costs seconds at any size
+N_FOLDS, N_TRIALS = 5, 50
+TRIALS_AT_ONCE = 2
 
 
 def cross_validate_q(spark, sf_dir):
@@ -287,7 +288,10 @@ def cross_validate_q(spark, sf_dir):
 
 def search_params_q(spark, sf_dir):
     samples, _ = _fitted(spark, sf_dir)
-    found = MD.search_params(samples.where(F.col("split") == "train"), n_trials=N_TRIALS, n_splits=N_FOLDS, threshold=EVAL_T, parallelism=N_FOLDS)
+    train = samples.where(F.col("split") == "train")
+    found = MD.search_params(
+        train, n_trials=N_TRIALS, n_splits=N_FOLDS, threshold=EVAL_T, parallelism=N_FOLDS, trials_at_once=TRIALS_AT_ONCE
+    )
     return found.select(
         "trial", "n_estimators", "max_depth", "min_samples_leaf", "max_features", _share("rmse").alias("rmse_in_range"), _share("recall").alias("recall_in_range")
     )
