@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, grammar, language, mixing, pieces, quality, ring, simhash, toxicity, warc
+from wakeful.llm import exact, grammar, language, mixing, negatives, pieces, quality, ring, simhash, toxicity, warc
 from wakeful.llm.common import table, text_of
 
 
@@ -84,6 +84,12 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_ids(grammar.write_ids(table(spark, sf_dir, "documents"), model, end_id=2), digest=True)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")), "vec_id % 50 = 0")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -95,10 +101,12 @@ QUERIES = {
     "op8_toxicity_chain": op8_toxicity_chain,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_ids": op10_token_ids,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLE = {
     "op2_source_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
     "op4_warc_packages": warc.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
 }
