@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import exact, grammar, language, mixing, negatives, pieces, quality, ring, simhash, toxicity, warc
+from wakeful.llm import alignment, exact, grammar, language, mixing, negatives, pieces, quality, ring, simhash, toxicity, warc
 from wakeful.llm.common import table, text_of
 
 
@@ -90,6 +90,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")), "vec_id % 50 = 0")
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.cross_align(table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_ids": op10_token_ids,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
 }
 
 ORACLE = {
