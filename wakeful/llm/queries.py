@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.llm import alignment, exact, grammar, language, mixing, negatives, pieces, quality, ring, simhash, toxicity, warc
+from wakeful.llm import alignment, exact, grammar, language, mixing, negatives, pieces, pii, quality, ring, simhash, toxicity, warc
 from wakeful.llm.common import table, text_of
 
 
@@ -95,6 +95,10 @@ def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.cross_align(table(spark, sf_dir, "documents"), a, b)
 
 
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_private(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -108,6 +112,7 @@ QUERIES = {
     "op10_token_ids": op10_token_ids,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_cross_tokenizer": op12_cross_tokenizer,
+    "op13_private_data": op13_private_data,
 }
 
 ORACLE = {
