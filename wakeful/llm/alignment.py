@@ -24,6 +24,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,10 @@ from wakeful.llm.files import create, open_random, read_at, shared_folder
 from wakeful.llm.grammar import BYTE_MARKS
 from wakeful.llm.pieces import MARK
 
-BLOCK_BYTES = 8 << 20  # texts of a block, together (a longer document is one alone)
+BLOCK_BYTES = 4 << 20  # texts of a block, together (a longer document is one alone)
 BLOCK_DOCS = 1 << 16
-PART_BYTES = 2 << 20  # texts whose bitmaps are made at once
+PART_BYTES = 1 << 20  # texts whose bitmaps are made at once
+AT_ONCE = 1 << 13  # chunks
 DENSE = 16  # a bitmap's documents go as bits where more than one in so many has the pair
 LOW = 17  # bits of an id of B in a pair
 
@@ -93,21 +95,31 @@ class TwoTokenizers:
     def encode(self, chunks: list[str]):
         """(ids, byte lengths, tokens of each chunk) by A, the same by B, and whether
         both give the chunk's bytes back."""
-        a = [e.ids for e in self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)] if chunks else []
-        b = self.b.encode(chunks, num_threads=1) if chunks else []
-        whole = np.array(
-            [
-                b"".join([self.bytes_a[i] for i in x]) == (want := b" " + c.encode()) and b"".join([self.bytes_b[i] for i in y]) == want
-                for c, x, y in zip(chunks, a, b)
-            ],
-            bool,
-        )
-        return _flat(a, self.bytes_a), _flat(b, self.bytes_b), whole
+        marked = [" " + c for c in chunks]
+        a, b = [], []
+        for at in range(0, len(chunks), AT_ONCE):  # the library's results are large objects
+            a += [e.ids for e in self.a.encode_batch_fast(marked[at : at + AT_ONCE], add_special_tokens=False)]
+            b += self.b.encode(chunks[at : at + AT_ONCE], num_threads=1)
+        a, b = _flat(a, self.bytes_a), _flat(b, self.bytes_b)
+        want = [m.encode() for m in marked]
+        return a, b, self._spelled(a, self.bytes_a, want) & self._spelled(b, self.bytes_b, want)
+
+    def _spelled(self, found, spelled: list[bytes], want: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each chunk spell it."""
+        ids, sizes, n = found
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        long = np.fromiter(map(len, want), np.int64, len(want))
+        listed = b"".join(map(spelled.__getitem__, ids.tolist()))
+        if (np.diff(upto[bounds]) == long).all() and listed == b"".join(want):
+            return np.ones(len(want), bool)
+        at = upto[bounds].tolist()
+        return np.fromiter((listed[s:e] == w for s, e, w in zip(at[:-1], at[1:], want)), bool, len(want))
 
 
 def _flat(lists: list[list[int]], spelled: list[bytes]):
     n = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.fromiter((i for x in lists for i in x), np.int64, int(n.sum()))
+    ids = np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
     sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
     return ids, sizes[ids], n
 
@@ -159,15 +171,27 @@ def align(both: TwoTokenizers, chunks: list[str]) -> Aligned:
     return Aligned(n_a, n_b, per_chunk(closes_a, in_a), per_chunk(count, in_a), pairs, _group_texts(a, closes_a, in_a, b, closes_b, in_b), whole)
 
 
-def _group_texts(a, closes_a, in_a, b, closes_b, in_b) -> list[str]:
-    def groups(ids, closes):
-        ends = np.flatnonzero(closes) + 1
-        texts = ids.astype(str).tolist()
-        return [",".join(texts[s:e]) for s, e in zip([0, *ends[:-1].tolist()], ends.tolist())]
+@lru_cache(maxsize=1)
+def _marked_numbers(most: int) -> np.ndarray:
+    """Numbers as text with each of the marks that may follow."""
+    return np.array([f"{i}{mark}" for i in range(most) for mark in ",|;"], object)
 
-    both = [f"{x}|{y}" for x, y in zip(groups(a, closes_a), groups(b, closes_b))]
-    at = np.concatenate(([0], np.cumsum(closes_a)))[in_a].tolist()
-    return [";".join(both[s:e]) for s, e in zip(at[:-1], at[1:])]
+
+def _group_texts(a, closes_a, in_a, b, closes_b, in_b) -> list[str]:
+    """The groups of each chunk as text, every group closed by a semicolon: its tokens
+    of A, then its tokens of B."""
+    group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+    n = int(closes_a.sum())
+    before_a = np.concatenate(([0], np.cumsum(np.bincount(group_a, minlength=n))))
+    before_b = np.concatenate(([0], np.cumsum(np.bincount(group_b, minlength=n))))
+    last_a = np.zeros(len(a), np.int64)
+    last_a[before_a[1:] - 1] = 1  # followed by the group's tokens of B
+    text = np.empty(len(a) + len(b), object)
+    numbers = _marked_numbers(1 << LOW)
+    text[np.arange(len(a)) + before_b[group_a]] = numbers[3 * a + last_a]
+    text[np.arange(len(b)) + before_a[group_b + 1]] = numbers[3 * b + 2 * closes_b]
+    at, listed = (in_a + in_b).tolist(), text.tolist()
+    return ["".join(listed[s:e]) for s, e in zip(at[:-1], at[1:])]
 
 
 # -- inverted pair bitmaps --------------------------------------------------------
@@ -294,31 +318,32 @@ def part_postings(n_docs: int, doc: np.ndarray, chunk: np.ndarray, found: Aligne
 def _index_block(both: TwoTokenizers, names: pa.Array, texts: pa.Array):
     """(per-document columns, postings) of the documents of a block."""
     n = len(texts)
-    sums = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
-    digests: list[str] = []
-    parts: list[Postings] = []
-    at = 0
+    coded, sizes = [], []
     for part in portions(texts, PART_BYTES):
         lists = [both.chunks(t) for t in part.to_pylist()]
-        coded = pa.array([c for x in lists for c in x], pa.string()).dictionary_encode()
-        found = align(both, coded.dictionary.to_pylist())
-        chunk = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        doc = np.repeat(np.arange(len(lists)), sizes)
-        broken = np.zeros(len(lists), bool)
-        broken[doc[~found.whole[chunk]]] = True
-        kept = ~broken[doc]
-        upto = np.concatenate(([0], np.cumsum(sizes))).tolist()
-        listed = chunk.tolist()
-        for k in range(len(lists)):
-            own = listed[upto[k] : upto[k + 1]]
-            line = "" if broken[k] else ";".join([found.groups[c] for c in own])
-            digests.append(hashlib.sha256(line.encode()).hexdigest() if line else "")
-        doc, chunk = doc[kept] + at, chunk[kept]
-        for c, total in sums.items():
-            total += _sums(doc, getattr(found, c)[chunk], n)
-        parts.append(part_postings(n, doc, chunk, found))
-        at += len(lists)
+        sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        coded.append(pa.array(list(chain.from_iterable(lists)), pa.string()).dictionary_encode())
+        del lists
+    merged = pa.chunked_array(coded).unify_dictionaries()
+    chunk = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in merged.chunks]).astype(np.int64)
+    distinct = max((c.dictionary for c in merged.chunks), key=len).to_pylist()
+    del coded, merged
+    found = align(both, distinct)
+    upto = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    doc = np.repeat(np.arange(n), np.diff(upto))
+    broken = np.zeros(n, bool)
+    broken[doc[~found.whole[chunk]]] = True
+    sums = {c: np.bincount(doc, np.where(broken[doc], 0, getattr(found, c)[chunk]), n).astype(np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
+    digests = []
+    for k, (s, e) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist())):
+        line = "" if broken[k] else "".join([found.groups[c] for c in chunk[s:e].tolist()])
+        digests.append(hashlib.sha256(line[:-1].encode()).hexdigest() if line else "")
+    parts, first = [], 0
+    for part in portions(texts, PART_BYTES):  # bounds what the postings are made from at once
+        some = slice(upto[first], upto[first + len(part)])
+        kept = ~broken[doc[some]]
+        parts.append(part_postings(n, doc[some][kept], chunk[some][kept], found))
+        first += len(part)
     columns = {"doc_id": names, **{c: pa.array(v) for c, v in sums.items()}, "groups_sha256": pa.array(digests, pa.string())}
     return columns, Postings.merged(n, parts)
 
