@@ -19,8 +19,9 @@ def _frames(seed):
 @pytest.mark.parametrize("bounded", [False, True])
 def test_backward_matches_merge_asof(spark, bounded):
     left, right = _frames(1)
-    last = int(left["t"].max()) if bounded else None
-    got = asof_backward(spark.createDataFrame(left), spark.createDataFrame(right), ["user_id"], "t", "rt", ["v"], 500 * MICROS_PER_MINUTE, last_left_us=last).toPandas()
+    b = 500 * MICROS_PER_MINUTE
+    buckets = spark.createDataFrame(left).selectExpr("user_id", f"cast(floor(t / {b}) as long) AS _b").distinct() if bounded else None
+    got = asof_backward(spark.createDataFrame(left), spark.createDataFrame(right), ["user_id"], "t", "rt", ["v"], b, left_buckets=buckets).toPandas()
     want = pd.merge_asof(left.sort_values("t"), right.sort_values("rt"), left_on="t", right_on="rt", by="user_id", direction="backward")
     m = got.merge(want, on=["user_id", "t"], suffixes=("", "_w"))
     assert len(m) == len(left)
@@ -82,3 +83,20 @@ def test_backward_property(spark, lt, rt, bucket):
         cands = [(rtime, o) for uu, rtime, o in rt if uu == u and rtime <= t]
         want = max(cands)[1] if cands else None
         assert got[(u, t)] == want
+
+
+def test_a_stray_time_adds_one_bucket(spark):
+    """One reading in the year 9999: the carried rows stay as many as the buckets with
+    readings, and the stray reading still finds the last sleep before it."""
+    from wakeful.operators.clean import clean_hr, reading_buckets
+    from wakeful.plans.features import continuous_features
+    from wakeful.settings import DEFAULTS
+
+    hr = spark.sql("SELECT id % 5 AS user_id, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id % 50, 0) AS HRTIME, 60.0 + id % 7 AS HR FROM range(200)")
+    hr = hr.unionByName(spark.sql("SELECT 0L AS user_id, timestamp_ntz'9999-12-30 00:00:00' AS HRTIME, 61.0 AS HR"))
+    sleep = spark.sql("SELECT id AS user_id, timestamp_ntz'2023-12-31 22:00:00' AS START, timestamp_ntz'2024-01-01 00:10:00' AS END FROM range(5)")
+    assert reading_buckets(hr, DEFAULTS).count() == 6
+    rows = continuous_features(hr, sleep, DEFAULTS.with_(min_periods=1, jumpiness_min_periods=1)).select("user_id", "HRTIME", "hours_awake", "last_sleep_end").collect()
+    assert len(rows) == clean_hr(hr, DEFAULTS).count()
+    stray = [r for r in rows if r["HRTIME"].year == 9999]
+    assert len(stray) == 1 and stray[0]["last_sleep_end"].year == 2024 and stray[0]["hours_awake"] > 6e7

@@ -11,7 +11,7 @@ def test_ks_statistic_and_pvalue(spark):
     long = spark.createDataFrame(
         pd.DataFrame({"side": [0] * len(a) + [1] * len(b), "feature": "x", "value": np.concatenate([a, b])})
     )
-    r = D.ks_two_sample(long).first()
+    r = D.ks_two_sample(long, method="asymptotic").first()
     grid = np.unique(np.concatenate([a, b]))
     fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
     fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
@@ -66,3 +66,40 @@ def test_drift_pairs(spark):
     assert ref.statistic > 0.9 and ref.drift_detected
     reshaped = D.ks_two_sample(D.robust_scale_long(_long(spark, a, np.round(rng.exponential(1, 500), 3)), ("feature", "side"))).first()
     assert reshaped.drift_detected
+
+
+def _paths(n0, n1, top):
+    """P(max |i n1 - j n0| >= top) by counting every lattice path with whole numbers."""
+    from functools import lru_cache
+    from math import comb
+
+    @lru_cache(None)
+    def inside(i, j):
+        if abs(i * n1 - j * n0) >= top:
+            return 0
+        if i == n0 and j == n1:
+            return 1
+        return (inside(i + 1, j) if i < n0 else 0) + (inside(i, j + 1) if j < n1 else 0)
+
+    return 1 - inside(0, 0) / comb(n0 + n1, n0)
+
+
+def test_exact_p_values():
+    # tables of the two-sample statistic: n0 = n1 = 5, D = 3/5, 4/5, 1; n0 = 3, n1 = 4, D = 1
+    for n0, n1, top, want in ((5, 5, 15, 0.357143), (5, 5, 20, 0.079365), (5, 5, 25, 0.007937), (3, 4, 12, 0.057143)):
+        assert abs(D.ks_exact_p(n0, n1, top) - want) < 1e-6
+    for n0, n1 in ((1, 1), (1, 7), (6, 6), (9, 4), (12, 13), (20, 30)):
+        for top in range(0, n0 * n1 + 1, max(1, n0 * n1 // 7)):
+            assert abs(D.ks_exact_p(n0, n1, top) - (_paths(n0, n1, top) if top else 1.0)) < 1e-12
+    assert abs(D.ks_exact_p(40, 40, 1600) * 107507208733336176461620 - 2) < 1e-9  # both samples apart: 2 / C(80, 40)
+    large, limit = D.ks_exact_p(4000, 5000, 600_000), 2 * np.exp(-2 * (0.03**2) * 4000 * 5000 / 9000)
+    assert abs(large / limit - 1) < 0.1
+
+
+def test_exact_p_by_group(spark):
+    rows = [("a", 0, float(v)) for v in range(5)] + [("a", 1, float(v) + 2.5) for v in range(5)] + [("b", 0, 1.0), ("b", 1, 1.0), ("c", 0, 3.0)]
+    long = spark.createDataFrame(rows, "feature string, side int, value double")
+    got = {r.feature: r for r in D.ks_two_sample(long).collect()}
+    assert abs(got["a"].p_value - _paths(5, 5, 15)) < 1e-12 and abs(got["a"].statistic - 0.6) < 1e-12
+    assert got["b"].p_value == 1.0 and got["b"].statistic == 0.0 and not got["b"].drift_detected
+    assert got["c"].n_current == 0

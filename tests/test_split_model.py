@@ -1,10 +1,11 @@
+import itertools
 import math
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from wakeful.operators.forest import ForestParams, fit_forest, tree_nodes
+from wakeful.operators.forest import ForestParams, fit_forest
 from wakeful.operators.split import global_rank, group_kfold, group_split
 from wakeful.operators.treeshap import explain_samples
 from wakeful.settings import MODEL_FEATURES
@@ -50,9 +51,9 @@ def test_forest_importances_and_shap_additivity(spark):
     same = scored.join(df.select("k", F.col("hours_awake").alias("_raw")), "k")
     assert same.where(~F.col("hours_awake").eqNullSafe(F.col("_raw"))).count() == 0
     prepared = ff.prepare(df.select("k", *MODEL_FEATURES))
-    raw = ff.model.transform(prepared).select("k", "prediction").toPandas().set_index("k")["prediction"]
+    raw = ff.transform(df, clip=False).select("k", "prediction").toPandas().set_index("k")["prediction"]
     named = prepared.select("k", *[F.col(i).alias(f) for i, f in zip(ff.model_inputs, MODEL_FEATURES)])
-    shap = explain_samples(named, tree_nodes(ff), list(MODEL_FEATURES), ["k"]).toPandas().set_index("k")
+    shap = explain_samples(named, ff.trees, list(MODEL_FEATURES), ["k"]).toPandas().set_index("k")
     recon = shap["expected_value"] + shap[[f"shap_{f}" for f in MODEL_FEATURES]].astype(float).sum(axis=1)
     assert np.max(np.abs(recon - raw.loc[recon.index])) < 1e-5
 
@@ -87,33 +88,47 @@ def test_saved_forest_predicts_the_same(spark, tmp_path):
         assert a == b and len(a) == df.count()
 
 
-def test_attributions_are_additive_in_blocks(spark, monkeypatch):
-    """A deep tree whose rows are taken a few at a time."""
+def _shapley(trees, root, x):
+    """Shapley values of one tree by the definition, over all sets of features."""
+    flat = trees.flat
+
+    def value(at, known):
+        f = flat.feature[at]
+        if f < 0:
+            return trees.value[at]
+        left = flat.left[at]
+        if f in known:
+            return value(left + (x[f] > trees.threshold[at]), known)
+        return sum(flat.cover[c] / flat.cover[at] * value(c, known) for c in (left, left + 1))
+
+    p = len(x)
+    game = {known: value(root, known) for r in range(p + 1) for known in map(frozenset, itertools.combinations(range(p), r))}
+    out = np.zeros(p)
+    for known, v in game.items():
+        for i in set(range(p)) - known:
+            n = len(known)
+            out[i] += math.factorial(n) * math.factorial(p - n - 1) / math.factorial(p) * (game[known | {i}] - v)
+    return out, game[frozenset()]
+
+
+def test_attributions_equal_the_definition(spark, monkeypatch):
+    """Deep trees on few features (a path splits on one repeatedly), rows in blocks."""
     from wakeful.operators import treeshap
 
-    df = _samples(spark, n=120)
-    ff = fit_forest(df, "fatigue_score", ForestParams(n_estimators=2, max_depth=9, min_samples_leaf=1))
+    few = MODEL_FEATURES[:5]
+    df = _samples(spark, n=150).withColumn("fatigue_score", F.abs(F.sin(F.col(few[0]) * 9) * F.col(few[1]) + F.col(few[2]) - F.col(few[3]) * F.col(few[4])))
+    ff = fit_forest(df, "fatigue_score", ForestParams(n_estimators=2, max_depth=9, min_samples_leaf=1, min_samples_split=2, features=few))
     x = ff.prepare(df).select(*ff.model_inputs).toPandas().to_numpy(float)
-    x = np.where(np.isnan(x), 0.0, x)
-    trees = {}
-    for n in tree_nodes(ff):
-        trees.setdefault(n["treeID"], []).append(n)
-    for nodes in trees.values():
-        compiled = treeshap.compile_tree(nodes, x.shape[1])
-        whole, expected = treeshap.tree_shap(x, compiled)
+    raw = ff.trees.value[ff.trees.leaves(x)]
+    for k, leaves in enumerate(treeshap.leaves_of(ff.trees, len(few))):
+        whole, expected = treeshap.tree_shap(x, leaves)
         monkeypatch.setattr(treeshap, "CELLS", 1)
-        single, _ = treeshap.tree_shap(x, compiled)
+        single, _ = treeshap.tree_shap(x, leaves)
         monkeypatch.undo()
-        assert np.allclose(whole, single)
-        by_id = {n["id"]: n for n in nodes}
-
-        def predict(row):
-            n = by_id[min(by_id)]
-            while n["left"] is not None and n["left"] >= 0:
-                n = by_id[n["left"] if row[n["feature"]] <= n["threshold"] else n["right"]]
-            return n["value"]
-
-        assert np.allclose(expected + whole.sum(axis=1), [predict(r) for r in x], atol=1e-9)
+        assert np.allclose(whole, single, atol=1e-12) and np.allclose(expected + whole.sum(axis=1), raw[:, k], atol=1e-9)
+        for i in range(0, 150, 30):
+            want, base = _shapley(ff.trees, int(ff.trees.flat.roots[k]), x[i])
+            assert np.allclose(whole[i], want, atol=1e-9) and abs(base - expected) < 1e-9
 
 
 def test_row_folds_without_users(spark):
@@ -126,22 +141,40 @@ def test_row_folds_without_users(spark):
     assert again.join(row_kfold(df, 4, ["k"]).withColumnRenamed("fold", "f"), "k").where("fold <> f").count() == 0
 
 
-def test_registered_search_fits_every_trial(spark, monkeypatch):
-    from wakeful.plans import modeling, registry
-
-    asked = []
-
-    def scored(samples, params, n_splits, threshold, folds=None, parallelism=1):
-        asked.append((params.n_estimators, params.max_depth, n_splits))
-        return spark.createDataFrame([(k, 10, params.max_depth / 100, 0.5) for k in range(n_splits)], "fold int, n_test long, rmse double, recall double")
-
-    samples = spark.createDataFrame([(u, "train") for u in range(20)], "user_id long, split string")
-    monkeypatch.setattr(registry, "_fitted", lambda spark, sf_dir: (samples, None))
-    monkeypatch.setattr(modeling, "cross_validate", scored)
-    rows = registry.QUERIES["search_params"](spark, "").collect()
-    drawn = modeling.sample_params(50)
-    assert sorted(asked) == sorted((p.n_estimators, p.max_depth, 5) for p in drawn)
-    assert sorted(r["trial"] for r in rows) == list(range(50))
-    assert all((r["n_estimators"], r["max_depth"]) == (drawn[r["trial"]].n_estimators, drawn[r["trial"]].max_depth) for r in rows)
-    depths = [r["max_depth"] for r in rows]
-    assert depths == sorted(depths)  # best first
+def _one_by_one(sizes, k):
+    loads, out = [0] * k, {}
+    for user, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        f = loads.index(min(loads))
+        out[user] = f
+        loads[f] += n
+    return out, loads
+
+
+def test_turns_equal_one_by_one():
+    from wakeful.operators.split import _dealt
+
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        k = int(rng.integers(1, 7))
+        loads, size, count = [int(x) for x in rng.integers(0, 40, k)], int(rng.integers(1, 9)), int(rng.integers(1, 60))
+        turns, after = _dealt(loads, size, count)
+        want, now = [], list(loads)
+        for _ in range(count):
+            f = now.index(min(now))
+            want.append(f)
+            now[f] += size
+        got = []
+        for r in range(count):
+            since, folds = [t for t in turns if t[0] <= r][-1]
+            got.append(folds[(r - since) % len(folds)])
+        assert got == want and after == now and len(turns) <= k
+
+
+def test_folds_equal_the_greedy_rule(spark):
+    rng = np.random.default_rng(5)
+    for k, sizes in ((5, rng.integers(1, 6, 200)), (3, np.r_[[500], rng.integers(1, 4, 300)]), (4, [7, 7]), (2, [3, 3, 3, 3, 3])):
+        sizes = {u: int(n) for u, n in enumerate(sizes)}
+        df = spark.createDataFrame([(u,) for u, n in sizes.items() for _ in range(n)], "user_id long")
+        got = {r["user_id"]: r["fold"] for r in group_kfold(df, k).collect()}
+        assert got == _one_by_one(sizes, k)[0]
+    assert group_kfold(spark.createDataFrame([], "user_id long"), 3).count() == 0

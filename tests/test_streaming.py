@@ -61,3 +61,29 @@ def test_minute_grid_emits_closed_windows_only(spark):
     # (within the 15-minute delay) included in its window
     assert got["10:00"] == (60.0, 1) and got["10:30"] == (90.0, 1) and got["10:20"] == ((80.0 + 90.0) / 2, 2)
     assert len(got) == 31
+
+
+def test_state_does_not_grow_with_readings_of_a_time(spark):
+    """Many readings share few times: the state holds a row for each time and window,
+    and the result is that of the batch de-duplication and grid."""
+    from pyspark.sql import functions as F
+
+    from wakeful.operators.clean import clean_hr
+
+    folder = tempfile.mkdtemp(prefix="wakeful-stream-test-")
+    t0 = datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(i, t0 + timedelta(seconds=20 * (i % 12)), i % 2, "click", 60.0 + i % 29, "{}") for i in range(6000)]
+    _write(spark, folder, "a", rows)
+    src = table_stream(spark, f"{folder}/*", SCHEMA).selectExpr("user_id", "ts AS HRTIME", "value AS HR")
+    stream = minute_grid_stream(src, DEFAULTS)
+    query = stream.writeStream.format("memory").queryName("open_state").trigger(availableNow=True).option("checkpointLocation", tempfile.mkdtemp()).start()
+    query.awaitTermination()
+    held = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert held and max(held) <= 12  # times (6 for each user), windows (4 for each)
+    _write(spark, folder, "b", [(9999, t0 + timedelta(hours=2), 5, "click", 70.0, "{}")])
+    out = spark.read.parquet(run_to_table(minute_grid_stream(src, DEFAULTS), "state-test")).collect()
+    hr = clean_hr(spark.createDataFrame(rows, SCHEMA).selectExpr("user_id", "ts AS HRTIME", "value AS HR"), DEFAULTS)
+    grid = hr.groupBy("user_id", F.date_trunc("minute", "HRTIME").alias("m")).agg(F.avg("HR").alias("HR")).collect()
+    want = {(r["user_id"], r["m"]): r["HR"] for r in grid}
+    assert len(out) == len(want) == 8
+    assert all(abs(want[r["user_id"], r["HRTIME"]] - r["HR"]) < 1e-9 for r in out) and sum(r["n_readings"] for r in out) == 6000

@@ -31,7 +31,7 @@ def asof_backward(
     right_order: Sequence[str] = (),
     prefix: str = "",
     bucket_col: str | None = None,
-    last_left_us: int | None = None,
+    left_buckets: DataFrame | None = None,
 ) -> DataFrame:
     """Left as-of join: for each left row the right row with the largest
     (right_t, *right_order) such that right_t <= left_t (exact matches allowed).
@@ -41,9 +41,10 @@ def asof_backward(
     ``bucket_col``: the left side already carries floor(left_t / bucket_us) under this
     name and is hash-partitioned by (by, bucket_col); the right side is then
     partitioned the same way, so the union keeps that partitioning and the left
-    side is not shuffled again. ``last_left_us``: a time that no left row exceeds; with
-    it the rows carried into later buckets come from the right side alone and the left
-    side is evaluated once.
+    side is not shuffled again. ``left_buckets``: (by, ``_b``) of all buckets that may
+    hold left rows, where the caller has them from a cheaper source; the left side is
+    then evaluated once. Rows are carried into these buckets only, so a stray time far
+    off adds one bucket and not all those on the way.
     """
     by = list(by)
     payload = [right_t, *[c for c in right_cols if c != right_t]]
@@ -59,16 +60,10 @@ def asof_backward(
 
     # carry: last right row of every earlier bucket
     rb = R.groupBy(*by, "_b").agg(F.max_by(rstruct, order_key).alias("_last"))
-    if last_left_us is None:
-        keys = L.select(*by, "_b").distinct().join(rb, [*by, "_b"], "full")
-        wk = Window.partitionBy(*by).orderBy("_b").rowsBetween(UNB, -1)
-        carry = keys.select(*by, "_b", F.last("_last", ignorenulls=True).over(wk).alias("_carry"))
-    else:
-        # a bucket's last row serves the buckets up to the next one with right rows
-        wk = Window.partitionBy(*by).orderBy("_b")
-        until = F.coalesce(F.lead("_b").over(wk), F.greatest(F.lit(last_left_us // bucket_us), F.col("_b")))
-        spans = rb.select(*by, "_b", F.col("_last").alias("_carry"), until.alias("_until")).where("_until > _b")
-        carry = spans.select(*by, F.explode(F.sequence(F.col("_b") + 1, F.col("_until"))).alias("_b"), "_carry")
+    keys = L.select(*by, "_b").distinct() if left_buckets is None else left_buckets
+    keys = keys.join(rb, [*by, "_b"], "full")
+    wk = Window.partitionBy(*by).orderBy("_b").rowsBetween(UNB, -1)
+    carry = keys.select(*by, "_b", F.last("_last", ignorenulls=True).over(wk).alias("_carry"))
 
     lt = L.withColumn("_side", F.lit(1)).withColumn("_t", F.col(left_t))
     rt = R.select(

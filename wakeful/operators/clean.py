@@ -53,9 +53,13 @@ def clean_hr(raw: DataFrame, s: FeatureSettings, by: str = "user_id", bucketed:
     return out.withColumn("t", ts_us("HRTIME"))
 
 
-def last_reading_us(raw: DataFrame) -> int | None:
-    """Time of the latest reading in µs (one aggregate over the time column)."""
-    return _as_timestamp(raw.select("HRTIME"), "HRTIME").agg(F.max(ts_us("HRTIME"))).first()[0]
+def reading_buckets(raw: DataFrame, s: FeatureSettings, by: str = "user_id") -> DataFrame:
+    """(by, ``_b``): the time buckets that hold readings within the bounds. A scan of
+    three columns with partial aggregation; a row per user and bucket leaves it."""
+    lo, hi = s.hr_limits
+    df = _as_timestamp(raw.select(by, "HRTIME", "HR"), "HRTIME").withColumn("HR", F.col("HR").cast("double"))
+    df = df.where(F.col("HRTIME").isNotNull() & (F.col("HR") > lo) & (F.col("HR") < hi))
+    return df.select(by, F.floor(ts_us("HRTIME") / F.lit(s.bucket_us)).cast("long").alias("_b")).distinct()
 
 
 def clean_sleep(raw: DataFrame, s: FeatureSettings, by: str = "user_id", dedupe: bool = True) -> DataFrame:

@@ -10,8 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeful.functions.scalar import nan_to_null
 from wakeful.operators.clean import coerce_numeric
@@ -83,27 +86,67 @@ def kolmogorov_sf(lam) -> F.Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
 
 
-def ks_two_sample(long: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Per feature, D = max |F_ref - F_cur| over all values, and the asymptotic
-    p-value at lam = sqrt(n1 n2 / (n1 + n2)) * D. Returns feature, statistic,
-    p_value, drift_detected, n_reference, n_current."""
-    per = long.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == 0).alias("c0"), F.count_if(F.col("side") == 1).alias("c1")
-    )
-    cum = running_totals(per, "value", ["c0", "c1"], group_cols=["feature"])
+EXACT_MOST = 10_000  # fixed value: both samples of at most so many rows get exact p-values
+
+
+def ks_exact_p(n0: int, n1: int, top: int) -> float:
+    """P(max |F0 - F1| >= top / (n0 n1)) for two samples of one continuous distribution.
+
+    The pooled sample in order is a walk over lattice points (i, j): from (i, j) the next
+    value is of the first sample with probability (n0 - i) / (n0 + n1 - i - j). The
+    p-value is the mass that leaves the band |i n1 - j n0| < top; it is added up where it
+    leaves, so small values keep their digits."""
+    if top <= 0:
+        return 1.0
+    n, p = n0 + n1, 0.0
+    i = np.arange(n0 + 1)
+    mass = np.zeros(n0 + 1)
+    mass[0] = 1.0
+    for t in range(n):  # from t to t + 1 values
+        lo, hi = max(0, t - n1), min(n0, t)
+        at = slice(lo, hi + 1)
+        ahead = mass[at] * ((n0 - i[at]) / (n - t))
+        mass[at] -= ahead
+        mass[lo + 1 : hi + 2] += ahead[: n0 - lo]
+        j = t + 1 - i
+        out = (np.abs(i * n1 - j * n0) >= top) & (mass > 0)
+        if out.any():
+            p += float(mass[out].sum())
+            mass[out] = 0.0
+    return min(1.0, p)
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p(n0: pd.Series, n1: pd.Series, top: pd.Series) -> pd.Series:
+    return pd.Series([ks_exact_p(int(a), int(b), int(k)) if max(a, b) <= EXACT_MOST else None for a, b, k in zip(n0, n1, top)], dtype="float64")
+
+
+def ks_two_sample(long: DataFrame, alpha: float = 0.05, group_cols: Sequence[str] = ("feature",), method: str = "auto") -> DataFrame:
+    """Per group, D = max |F_ref - F_cur| over all values, and its two-sided p-value:
+    exact where both samples have at most :data:`EXACT_MOST` rows, else that of the
+    Kolmogorov distribution at sqrt(n1 n2 / (n1 + n2)) * D; ``method`` "asymptotic" takes
+    the latter always. Returns the group columns, statistic, p_value, drift_detected,
+    n_reference, n_current. D is compared as a whole number of 1 / (n1 n2). A group with
+    one side only has no statistic and counts as not drifted."""
+    g = list(group_cols)
+    per = long.groupBy(*g, "value").agg(F.count_if(F.col("side") == 0).alias("c0"), F.count_if(F.col("side") == 1).alias("c1"))
+    cum = running_totals(per, "value", ["c0", "c1"], group_cols=g)
     cum = cum.withColumnRenamed("tot_c0", "n0").withColumnRenamed("tot_c1", "n1")
-    d = cum.groupBy("feature", "n0", "n1").agg(
-        F.max(F.abs(F.col("cum_c0") / F.col("n0") - F.col("cum_c1") / F.col("n1"))).alias("statistic")
+    apart = F.abs(F.col("cum_c0").cast("decimal(38,0)") * F.col("n1").cast("decimal(19,0)") - F.col("cum_c1").cast("decimal(38,0)") * F.col("n0").cast("decimal(19,0)"))
+    d = cum.groupBy(*g, "n0", "n1").agg(
+        F.max(F.abs(F.try_divide("cum_c0", "n0") - F.try_divide("cum_c1", "n1"))).alias("statistic"), F.max(apart).alias("top")
     )
     n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
-    en = n0 * n1 / (n0 + n1)
-    d = d.withColumn("lam", F.sqrt(en) * F.col("statistic"))
-    d = d.withColumn("p_value", kolmogorov_sf("lam"))
+    d = d.withColumn("lam", F.sqrt(F.try_divide(n0 * n1, n0 + n1)) * F.col("statistic")).withColumn("p_value", kolmogorov_sf("lam"))
+    if method == "auto":
+        small = F.greatest("n0", "n1") <= EXACT_MOST
+        exact = _exact_p(F.col("n0").cast("long"), F.col("n1").cast("long"), F.when(small, F.col("top").cast("long")).otherwise(F.lit(0)))
+        d = d.withColumn("p_value", F.when(F.col("statistic").isNull(), F.lit(None)).when(small, exact).otherwise(F.col("p_value")))
     return d.select(
-        "feature",
+        *g,
         "statistic",
         "p_value",
-        (F.col("p_value") < alpha).alias("drift_detected"),
+        F.coalesce(F.col("p_value") < alpha, F.lit(False)).alias("drift_detected"),
         F.col("n0").cast("long").alias("n_reference"),
         F.col("n1").cast("long").alias("n_current"),
     )

@@ -1,29 +1,30 @@
-"""Random-forest regression with MLlib.
+"""Random-forest regression.
 
 Preprocessing mirrors the original pipeline: fill (exact median learned on the
 training table, or 0) then scale (population mean/std, or median/IQR). The fitted
-parameters are one row per feature; MLlib trains the trees.
+parameters are one row per feature; trees are grown from histograms by
+:mod:`wakeful.operators.grower`.
 
-MLlib differences (stated once): there is no ``min_samples_split`` (only
-``minInstancesPerNode`` = min_samples_leaf); "log2"/"sqrt" round up in MLlib, so
-the feature count per split is passed explicitly with scikit-learn's rule
-(floor); continuous splits are binned (``maxBins``). Forest outputs therefore get
-property tests, not value equality.
+A fitted forest is its nodes in flat arrays (a row per node when saved). It is held by
+the driver and broadcast to the tasks that score: its size is bounded by its
+parameters, ``n_estimators`` * 2^(``max_depth`` + 1) nodes, and checked against
+:data:`MOST_NODES`.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeful.operators.drift import apply_impute_scale, fit_impute_scale
-from wakeful.session import cut_lineage, scratch_path
+from wakeful.operators.grower import NODE, Compiled, Forest, bin_samples, compile_nodes, grow, nodes_of
+from wakeful.session import cut_lineage
 from wakeful.settings import MODEL_FEATURES
 
 
@@ -32,7 +33,7 @@ class ForestParams:
     # fixed defaults of the tuned forest
     n_estimators: int = 105
     max_depth: int = 7
-    min_samples_split: int = 18  # no MLlib counterpart (kept for the record)
+    min_samples_split: int = 18
     min_samples_leaf: int = 2
     max_features: str | float = "log2"
     bootstrap: bool = True
@@ -43,26 +44,79 @@ class ForestParams:
     features: tuple[str, ...] = field(default=MODEL_FEATURES)
 
 
-def subset_strategy(max_features, n_features: int) -> str:
+def subset_size(max_features, n_features: int) -> int:
+    """Candidate features of a node: rounded down, one at least."""
     if max_features == "log2":
-        return str(max(1, int(math.log2(n_features))))
+        return max(1, int(math.log2(n_features)))
     if max_features == "sqrt":
-        return str(max(1, int(math.sqrt(n_features))))
-    if isinstance(max_features, float) and max_features >= 1.0:
-        return "all"
+        return max(1, int(math.sqrt(n_features)))
     if isinstance(max_features, float):
-        return str(max(1, int(max_features * n_features)))
-    return str(max_features)
+        return max(1, min(n_features, int(max_features * n_features)))
+    return int(max_features)
+
+
+def forest_of(params: ForestParams, fold: int | None = None, fill: tuple[int, ...] = ()) -> Forest:
+    return Forest(
+        trees=params.n_estimators,
+        max_depth=params.max_depth,
+        min_samples_split=params.min_samples_split,
+        min_samples_leaf=params.min_samples_leaf,
+        features=subset_size(params.max_features, len(params.features)),
+        bootstrap=params.bootstrap,
+        seed=params.seed,
+        fold=fold,
+        fill=fill,
+    )
 
 
 PREP = "_in_"  # prefix of the prepared model inputs
+MOST_NODES = 1 << 24
+
+
+@dataclass
+class Trees:
+    """A forest's nodes with thresholds in the units of the prepared inputs."""
+
+    flat: Compiled
+    threshold: np.ndarray
+    value: np.ndarray
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """(rows, trees): the leaf of each row of inputs."""
+        f = self.flat
+        at = np.broadcast_to(f.roots, (len(x), len(f.roots))).copy()
+        rows = np.arange(len(x))[:, None]
+        for _ in range(f.depth):
+            feature = f.feature[at]
+            right = x[rows, np.maximum(feature, 0)] > self.threshold[at]
+            at = np.where(feature >= 0, f.left[at] + right, at)
+        return at
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Mean of the trees, rows taken in blocks of bounded memory."""
+        out = np.empty(len(x))
+        step = max(1, (1 << 21) // max(1, len(self.flat.roots)))
+        for i in range(0, len(x), step):
+            out[i : i + step] = self.value[self.leaves(x[i : i + step])].mean(axis=1)
+        return out
+
+
+def trees_of(nodes: np.ndarray, unit: float, cuts: list[list[float]]) -> Trees:
+    flat = compile_nodes(nodes)
+    width = max([1, *map(len, cuts)])
+    table = np.zeros((len(cuts), width))
+    for k, c in enumerate(cuts):
+        table[k, : len(c)] = c
+    inner = flat.feature >= 0
+    threshold = np.where(inner, table[np.maximum(flat.feature, 0), np.where(inner, flat.bin, 0)], 0.0)
+    return Trees(flat, threshold, flat.value * unit)
 
 
 @dataclass
 class FittedForest:
     params: ForestParams
     prep: DataFrame  # (feature, fill, center, scale), one row per feature
-    model: PipelineModel
+    trees: Trees
 
     @property
     def features(self) -> list[str]:
@@ -77,24 +131,30 @@ class FittedForest:
         feature columns stay untouched (rules downstream read raw values)."""
         return apply_impute_scale(df, self.prep, self.features, prefix=PREP)
 
-    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+    def transform(self, df: DataFrame, out: str = "prediction", clip: bool = True) -> DataFrame:
         """M4: score; prediction clipped to [0, 1] (targets live there)."""
-        scored = self.model.transform(self.prepare(df)).drop("features", *self.model_inputs)
-        return scored.withColumn(out, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction")))).drop(
-            *(["prediction"] if out != "prediction" else [])
-        )
+        held = df.sparkSession.sparkContext.broadcast(self.trees)
+
+        @F.pandas_udf("double")
+        def predict(x: pd.DataFrame) -> pd.Series:
+            return pd.Series(held.value.predict(x.to_numpy(float)))
+
+        score = predict(F.struct(*self.model_inputs))
+        scored = self.prepare(df).withColumn(out, F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)) if clip else score)
+        return scored.drop(*self.model_inputs)
 
     def importances(self) -> DataFrame:
-        """Impurity importances (sum 1), sorted descending. One row per feature."""
-        rf = self.model.stages[-1]
-        vals = rf.featureImportances.toArray().tolist()
-        spark = self.prep.sparkSession
-        df = spark.createDataFrame(list(zip(self.features, [float(v) for v in vals])), "feature string, importance double")
+        """Impurity importances (each tree's fall of squared error by feature, as a
+        share; their mean; sum 1), sorted descending. One row per feature."""
+        flat, p = self.trees.flat, len(self.features)
+        tree = np.searchsorted(flat.roots, np.arange(len(flat.ids)), "right") - 1
+        inner = flat.feature >= 0
+        fall = np.bincount(tree[inner] * p + flat.feature[inner], flat.gain[inner], len(flat.roots) * p).reshape(-1, p)
+        share = fall / np.where(fall.sum(axis=1, keepdims=True) > 0, fall.sum(axis=1, keepdims=True), 1)
+        share = share.sum(axis=0) / max(1, int((fall.sum(axis=1) > 0).sum()))
+        df = self.prep.sparkSession.createDataFrame(list(zip(self.features, share.tolist())), "feature string, importance double")
         return df.orderBy(F.col("importance").desc(), "feature")
 
-    def forest(self):
-        return self.model.stages[-1]
-
 
 def fit_forest(samples: DataFrame, target: str, params: ForestParams = ForestParams()) -> FittedForest:
     """M3: fill + scale learned on ``samples``, then the forest. ``user_id`` and keys
@@ -103,50 +163,52 @@ def fit_forest(samples: DataFrame, target: str, params: ForestParams = ForestPar
     base = cut_lineage(samples.select(*feats, F.col(target).cast("double").alias("label")), "train")
     prep = cut_lineage(fit_impute_scale(base, feats, params.impute, params.scale), "prep", small=True)
     x = apply_impute_scale(base, prep, feats, prefix=PREP)
-    rf = RandomForestRegressor(
-        featuresCol="features",
-        labelCol="label",
-        numTrees=params.n_estimators,
-        maxDepth=params.max_depth,
-        minInstancesPerNode=params.min_samples_leaf,
-        featureSubsetStrategy=subset_strategy(params.max_features, len(feats)),
-        bootstrap=params.bootstrap,
-        seed=params.seed,
-        maxBins=params.max_bins,
-    )
-    inputs = [PREP + f for f in feats]
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"), rf])
-    model = pipe.fit(x)
-    return FittedForest(params, prep, model)
+    binned = bin_samples(x, [PREP + f for f in feats], "label", bins=params.max_bins)
+    grown = grow(binned, [forest_of(params)])
+    nodes = nodes_of(grown, 0)
+    if len(nodes) > MOST_NODES:
+        raise ValueError(f"a forest of {len(nodes)} nodes; lower max_depth or n_estimators")
+    return FittedForest(params, prep, trees_of(nodes, binned.unit, binned.cuts))
 
 
-def save_forest(ff: FittedForest, path: str) -> str:
-    ff.model.write().overwrite().save(f"{path}/pipeline")
-    ff.prep.write.mode("overwrite").parquet(f"{path}/prep")
-    return path
+# -- saved forests ----------------------------------------------------------------
 
+FORMAT = 1
 
-def load_forest(spark, path: str, params: ForestParams = ForestParams()) -> FittedForest:
-    """Any saved pipeline whose last stage predicts ``prediction``."""
-    return FittedForest(params, spark.read.parquet(f"{path}/prep"), PipelineModel.load(f"{path}/pipeline"))
 
+def node_rows(ff: FittedForest) -> pd.DataFrame:
+    """A row per node: tree, id (root 1, children 2 id and 2 id + 1), feature (-1: a
+    leaf), threshold, value, cover, gain."""
+    flat = ff.trees.flat
+    tree = np.searchsorted(flat.roots, np.arange(len(flat.ids)), "right") - 1
+    columns = {"tree": tree, "id": flat.ids, "feature": flat.feature, "threshold": ff.trees.threshold, "value": ff.trees.value, "cover": flat.cover, "gain": flat.gain}
+    return pd.DataFrame(columns)
 
-def tree_nodes(ff: FittedForest) -> list[dict]:
-    """Node tables of all trees, read from the saved model's Parquet data.
-    Size is bounded by n_estimators * 2^(max_depth + 1) rows, independent of data."""
+
+def save_forest(ff: FittedForest, path: str) -> str:
     spark = ff.prep.sparkSession
-    path = scratch_path(spark, "forest")
-    ff.forest().write().overwrite().save(path)
-    data = spark.read.parquet(f"{path}/data")
-    rows = data.select(
-        "treeID",
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.prediction").alias("value"),
-        F.get(F.col("nodeData.impurityStats"), 0).alias("cover"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("threshold"),
-    ).collect()
-    return [r.asDict() for r in rows]
+    spark.createDataFrame(node_rows(ff)).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    ff.prep.write.mode("overwrite").parquet(f"{path}/prep")
+    head = json.dumps({"format": FORMAT, "params": asdict(ff.params)})
+    spark.createDataFrame([(head,)], "head string").coalesce(1).write.mode("overwrite").text(f"{path}/head")
+    return path
+
 
+def load_forest(spark, path: str, params: ForestParams | None = None) -> FittedForest:
+    """A forest as :func:`save_forest` writes it; ``params`` replaces the saved ones.
+    Another format, or other features than those saved, are errors."""
+    head = json.loads(spark.read.text(f"{path}/head").first()[0])
+    if head["format"] != FORMAT:
+        raise ValueError(f"forest format {head['format']}, {FORMAT} is read")
+    saved = ForestParams(**{**head["params"], "features": tuple(head["params"]["features"])})
+    if params and params.features != saved.features:
+        raise ValueError("the saved forest has other features")
+    rows = spark.read.parquet(f"{path}/nodes").toPandas()
+    nodes = np.zeros(len(rows), NODE)
+    for c in ("tree", "id", "feature", "gain"):
+        nodes[c] = rows[c]
+    nodes["n"], nodes["s"] = rows["cover"], rows["value"] * np.maximum(rows["cover"], 1)
+    rows = rows.sort_values(["tree", "id"])
+    flat = compile_nodes(nodes)
+    trees = Trees(flat, rows["threshold"].to_numpy(), rows["value"].to_numpy())
+    return FittedForest(replace(params or saved), spark.read.parquet(f"{path}/prep"), trees)

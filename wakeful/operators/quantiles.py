@@ -44,6 +44,7 @@ def exact_quantiles(
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
     small_groups: bool | None = None,
+    spread: str | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group.
 
@@ -53,7 +54,8 @@ def exact_quantiles(
     """
     df, g = _with_group_key(df, group_cols, value_col)
     v = F.col(value_col).cast("double")
-    base = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    s = [spread] if spread else []
+    base = df.select(*g, *s, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     low = [max(0.0, float(p) - MARGIN) for p in probs]
     high = [min(1.0, float(p) + MARGIN) for p in probs]
     sketch = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", [*low, *high], ACCURACY).alias("_at"))
@@ -66,7 +68,9 @@ def exact_quantiles(
     sketch = sketch.select(*g, "_n", ranges.alias("_ranges"))
     if small_groups or (small_groups is None and not group_cols):
         sketch = F.broadcast(sketch)
-    rows = base.join(sketch, g).select(*g, "_n", "_v", F.explode("_ranges").alias("_r")).select(*g, "_n", "_v", "_r.*")
+    if spread:
+        sketch = base.select(*g, *s).distinct().join(sketch, g)
+    rows = base.join(sketch, [*g, *s]).select(*g, "_n", "_v", F.explode("_ranges").alias("_r")).select(*g, "_n", "_v", "_r.*")
     side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
     counts = (
         rows.withColumn("_side", side)

@@ -66,18 +66,54 @@ def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank") -> Data
     )
 
 
+def _dealt(loads: list[int], size: int, count: int) -> tuple[list[tuple[int, list[int]]], list[int]]:
+    """``count`` groups of one ``size`` dealt one by one to the lightest fold (of equally
+    light ones the first): (from which group on, the folds that take turns) and the loads
+    afterwards.
+
+    Fold f takes its j-th group at load L_f + j size, so the deal is the merge of these
+    rows by (load, fold): level by level of whole sizes, in the order of the remainders.
+    A fold joins in at its own level, so there are at most as many turns as folds."""
+    order = sorted(range(len(loads)), key=lambda f: (loads[f] % size, f))
+    level = [x // size for x in loads]
+    turns, at, now = [], 0, min(level)
+    loads = list(loads)
+    while at < count:
+        active = [f for f in order if level[f] <= now]
+        later = [x for x in level if x > now]
+        rounds = min(later) - now if later else None
+        n = count - at if rounds is None else min(count - at, rounds * len(active))
+        turns.append((at, active))
+        for k, f in enumerate(active):
+            loads[f] += size * (n // len(active) + (k < n % len(active)))
+        at += n
+        now = min(later) if later else now
+    return turns, loads
+
+
 def group_kfold(df: DataFrame, n_splits: int = 5, by: str = "user_id") -> DataFrame:
-    """M2: no user in two folds; users ordered by size (desc, then id) are dealt
-    to folds in a snake (0..k-1, k-1..0, ...), which keeps folds balanced by rows.
-    Returns (by, fold). (The original assigns greedily to the lightest fold; the
-    snake is its order-free counterpart.)"""
+    """M2: no user in two folds; users ordered by size (largest first, then id) go one by
+    one to the fold with the fewest rows. Returns (by, fold).
+
+    The greedy runs over distinct sizes, not users: the driver sees (size, number of
+    users), of which there are at most sqrt(2 rows), and tells for each size whose turn it
+    is from which user on; users look their fold up by their rank within the size."""
+    spark = df.sparkSession
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_cnt"))
-    order = [F.col("_cnt").desc(), F.col(by).asc()]
-    ranked = global_rank(sizes, order, "_r")
-    rnd = F.floor(F.col("_r") / n_splits)
-    pos = F.col("_r") % n_splits
-    fold = F.when(rnd % 2 == 0, pos).otherwise(n_splits - 1 - pos).cast("int")
-    return ranked.select(by, fold.alias("fold"))
+    ranked = cut_lineage(global_rank(sizes, [F.col("_cnt").desc(), F.col(by).asc()], "_r"), "ranked")
+    runs = ranked.groupBy("_cnt").agg(F.count(F.lit(1)).alias("n"), F.min("_r").alias("first")).orderBy(F.desc("_cnt")).collect()
+    loads, rows = [0] * n_splits, []
+    for r in runs:
+        turns, loads = _dealt(loads, r["_cnt"], r["n"])
+        rows.append((r["_cnt"], r["first"], turns))
+    table = spark.createDataFrame(rows, "_cnt long, _first long, _turns array<struct<since: long, folds: array<int>>>")
+    x = ranked.join(F.broadcast(table) if len(rows) <= MOST_SIZES else table, "_cnt").withColumn("_k", F.col("_r") - F.col("_first"))
+    turn = F.element_at(F.filter("_turns", lambda t: t["since"] <= F.col("_k")), -1)
+    x = x.withColumn("_t", turn)
+    return x.select(by, F.get(F.col("_t.folds"), ((F.col("_k") - F.col("_t.since")) % F.size("_t.folds")).cast("int")).alias("fold"))
+
+
+MOST_SIZES = 10_000  # distinct group sizes whose table is broadcast
 
 
 def row_kfold(df: DataFrame, n_splits: int, key: Sequence[str]) -> DataFrame:

@@ -202,15 +202,22 @@ def add_time_features(df: DataFrame, ts: str = "HRTIME") -> DataFrame:
     )
 
 
-def impute_awake(df: DataFrame, s: FeatureSettings, mode: str = "user_median", by: str = "user_id") -> DataFrame:
+def impute_awake(df: DataFrame, s: FeatureSettings, mode: str = "user_median", by: str = "user_id", bucket: str | None = None) -> DataFrame:
     """A4: null hours_awake -> exact median of the user's hours_awake, else the default;
     null cum_sleep_debt -> 0 ("user_median"). "constant" (the request path) fills the
-    default only and leaves the debt for the final feature vector."""
+    default only and leaves the debt for the final feature vector.
+
+    ``bucket``: a column that spreads a user's rows. The readings then meet the user's
+    sketch and median by (user, bucket), over a small table of the buckets, so that no
+    join brings all of a user's readings together."""
     if mode == "constant":
         return df.withColumn("hours_awake", F.coalesce("hours_awake", F.lit(s.default_hours_awake)))
-    med = exact_median(df, "hours_awake", [by]).withColumnRenamed("median", "_med")
+    med, keys = exact_median(df, "hours_awake", [by], spread=bucket).withColumnRenamed("median", "_med"), [by]
+    if bucket:  # only buckets with something to fill
+        keys = [by, bucket]
+        med = df.where(F.col("hours_awake").isNull()).select(*keys).distinct().join(med, by)
     return (
-        df.join(med, by, "left")
+        df.join(med, keys, "left")
         .withColumn("hours_awake", F.coalesce("hours_awake", "_med", F.lit(s.default_hours_awake)))
         .withColumn("cum_sleep_debt", F.coalesce("cum_sleep_debt", F.lit(0.0)))
         .drop("_med")

@@ -21,7 +21,7 @@ from wakeful.operators.clean import (
     clean_pvt,
     clean_sleep,
     drop_leakage_columns,
-    last_reading_us,
+    reading_buckets,
     require_columns,
 )
 from wakeful.operators.windows import (
@@ -56,13 +56,13 @@ def continuous_features(
     sl = sleep_features(clean_sleep(sleep_raw, s, by, dedupe=dedupe_sleep), s, by)
     sl = sl.withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
     j = asof_backward(
-        feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"], bucket_col="b", last_left_us=last_reading_us(hr_raw)
+        feats, sl, [by], "t", "_end_us", SLEEP_COLS, s.bucket_us, right_order=["_start_us"], bucket_col="b", left_buckets=reading_buckets(hr_raw, s, by)
     )
-    j = j.withColumnRenamed("END", "last_sleep_end").withColumn("hours_awake", hours_awake("t", "_end_us")).drop("b")
+    j = j.withColumnRenamed("END", "last_sleep_end").withColumn("hours_awake", hours_awake("t", "_end_us"))
     if materialize:
         # stage boundary: the median imputation scans this table several times
         j = cut_lineage(j, "continuous")
-    j = impute_awake(j, s, "user_median" if impute == "user_median" else "constant", by)
+    j = impute_awake(j, s, "user_median" if impute == "user_median" else "constant", by, bucket="b").drop("b")
     return add_time_features(j, "HRTIME")
 
 

@@ -8,17 +8,19 @@ never zipped by position.
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from bisect import bisect_left
+from collections.abc import Sequence
 from dataclasses import replace
-from functools import partial, reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeful.functions.scalar import nan_to_null
 from wakeful.operators import metrics as M
-from wakeful.operators.forest import FittedForest, ForestParams, fit_forest, tree_nodes
+from wakeful.operators.drift import unpivot
+from wakeful.operators.forest import FittedForest, ForestParams, fit_forest, forest_of
+from wakeful.operators.grower import bin_samples, grow, held_out_scores
+from wakeful.operators.quantiles import exact_quantiles
 from wakeful.operators.split import group_kfold, group_split
 from wakeful.operators.treeshap import explain_samples
 from wakeful.session import cut_lineage
@@ -48,6 +50,15 @@ def batch_inference(
     )
 
 
+def stitch(ids: DataFrame, parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Ids with the other tables' columns, joined by key (never by position). Rows
+    that a table lacks are kept with nulls."""
+    out = ids
+    for p in parts:
+        out = out.join(p, list(keys), "left")
+    return out
+
+
 def evaluate(ff: FittedForest, test: DataFrame, threshold: float = 0.26, target: str = "fatigue_score") -> dict[str, DataFrame]:
     """M8: score the test set once (materialised), then regression metrics,
     the classification report, the PR curve and the score statistics."""
@@ -60,6 +71,36 @@ def evaluate(ff: FittedForest, test: DataFrame, threshold: float = 0.26, target:
     }
 
 
+def fold_scores(samples: DataFrame, trials: Sequence[ForestParams], folds: DataFrame, n_splits: int, threshold: float, target: str = "fatigue_score") -> DataFrame:
+    """(trial, fold, n_test, rmse, recall) of every trial on every fold: all forests are
+    grown from one binned table, each without its fold. Missing values take the median of
+    the fold's training rows; scaling can't change a split and is left out."""
+    features = list(trials[0].features)
+    data = cut_lineage(samples.select("user_id", target, *features).join(folds, "user_id").drop("user_id"), "folds")
+    others = F.explode(F.array_except(F.array(*[F.lit(k) for k in range(n_splits)]), F.array("fold")))
+    lacking = data.agg(*[F.count_if(nan_to_null(F.col(f).cast("double")).isNull()).alias(f) for f in features]).first()
+    lacking = [f for f in features if lacking[f]]
+    fills: dict[tuple[int, str], float] = {}
+    if lacking:
+        long = unpivot(data.withColumn("without", others), lacking, ["without"])
+        fills = {(r["without"], r["feature"]): r["q"] for r in exact_quantiles(long, "value", [0.5], ["without", "feature"], small_groups=True).collect()}
+    binned = bin_samples(data, features, target, "fold", trials[0].max_bins)
+
+    def fill(k: int) -> tuple[int, ...]:
+        return tuple(bisect_left(c, fills.get((k, f), 0.0)) for f, c in zip(features, binned.cuts))
+
+    forests = [forest_of(p, k, fill(k)) for p in trials for k in range(n_splits)]
+    found = held_out_scores(binned, grow(binned, forests), threshold)
+    hits = F.col("tp") + F.col("fn")
+    return found.select(
+        F.floor(F.col("forest") / n_splits).cast("int").alias("trial"),
+        (F.col("forest") % n_splits).cast("int").alias("fold"),
+        "n_test",
+        F.sqrt(F.col("sse") / F.col("n_test")).alias("rmse"),
+        F.when(hits > 0, F.col("tp") / hits).otherwise(F.lit(0.0)).alias("recall"),
+    )
+
+
 def cross_validate(
     samples: DataFrame,
     params: ForestParams,
@@ -67,39 +108,12 @@ def cross_validate(
     threshold: float = 0.26,
     target: str = "fatigue_score",
     folds: DataFrame | None = None,
-    parallelism: int = 4,
 ) -> DataFrame:
     """M6: group k-fold; per fold RMSE and recall at the threshold of a model fitted
-    on the other folds, fitted side by side; one row per fold (fold, n_test, rmse,
-    recall)."""
+    on the other folds; one row per fold (fold, n_test, rmse, recall)."""
     if folds is None:
         folds = group_kfold(samples, n_splits)
-    data = cut_lineage(samples.join(folds, "user_id"))
-
-    def one(k: int) -> DataFrame:
-        ff = fit_forest(data.where(F.col("fold") != k), target, params)
-        sc = ff.transform(data.where(F.col("fold") == k), "prediction")
-        t, p = F.col(target) >= threshold, F.col("prediction") >= threshold
-        err = F.col("prediction") - F.col(target)
-        m = sc.agg(
-            F.count(F.lit(1)).alias("n_test"),
-            F.sqrt(F.avg(err * err)).alias("rmse"),
-            F.count_if(t & p).alias("tp"),
-            F.count_if(t & ~p).alias("fn"),
-        )
-        found = F.col("tp") + F.col("fn")
-        recall = F.when(found > 0, F.col("tp") / found).otherwise(F.lit(0.0))
-        return m.select(F.lit(k).alias("fold"), "n_test", "rmse", recall.alias("recall"))
-
-    jobs = [lambda k=k: one(k) for k in range(n_splits)]
-    return reduce(DataFrame.unionByName, side_by_side(samples.sparkSession, jobs, parallelism))
-
-
-def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], DataFrame]], parallelism: int) -> list[DataFrame]:
-    """Results of independent jobs, ``parallelism`` of them submitted at a time, so
-    that small fits fill a cluster together. Session properties reach the threads."""
-    with ThreadPool(max(1, parallelism)) as pool:
-        return pool.map(lambda f: f(), [inheritable_thread_target(spark)(j) for j in jobs])
+    return fold_scores(samples, [params], folds, n_splits, threshold, target).drop("trial")
 
 
 SEARCH_SPACE = {  # fixed ranges of the original search
@@ -131,41 +145,21 @@ def sample_params(n_trials: int, seed: int = 42, base: ForestParams = ForestPara
     return out
 
 
-def search_params(
-    samples: DataFrame,
-    n_trials: int = 50,
-    n_splits: int = 5,
-    threshold: float = 0.26,
-    seed: int = 42,
-    parallelism: int = 4,
-    trials_at_once: int = 1,
-) -> DataFrame:
-    """M7: each trial is cross-validated; result table (trial, params, rmse, recall)
-    ordered by mean RMSE (best first). All trials use the same folds; ``trials_at_once``
-    trials are submitted side by side, each with ``parallelism`` folds."""
-    folds = cut_lineage(group_kfold(samples, n_splits))
-
-    def one(i: int, p: ForestParams) -> DataFrame:
-        cv = cross_validate(samples, p, n_splits, threshold, folds=folds, parallelism=parallelism)
-        r = cv.agg(F.avg("rmse").alias("rmse"), F.avg("recall").alias("recall")).select(
-            F.lit(i).alias("trial"),
-            F.lit(p.n_estimators).alias("n_estimators"),
-            F.lit(p.max_depth).alias("max_depth"),
-            F.lit(p.min_samples_split).alias("min_samples_split"),
-            F.lit(p.min_samples_leaf).alias("min_samples_leaf"),
-            F.lit(str(p.max_features)).alias("max_features"),
-            F.lit(p.bootstrap).alias("bootstrap"),
-            "rmse",
-            "recall",
-        )
-        return cut_lineage(r)
-
-    jobs = [partial(one, i, p) for i, p in enumerate(sample_params(n_trials, seed))]
-    results = side_by_side(samples.sparkSession, jobs, trials_at_once)
-    return reduce(DataFrame.unionByName, results).orderBy("rmse", "trial")
+def search_params(samples: DataFrame, n_trials: int = 50, n_splits: int = 5, threshold: float = 0.26, seed: int = 42) -> DataFrame:
+    """M7: all trials are cross-validated on the same folds at once; result table (trial,
+    params, rmse, recall: means over the folds) ordered by RMSE (best first)."""
+    trials = sample_params(n_trials, seed)
+    scores = fold_scores(samples, trials, cut_lineage(group_kfold(samples, n_splits)), n_splits, threshold)
+    names = ["n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "bootstrap"]
+    rows = [(i, *[str(getattr(p, c)) if c == "max_features" else getattr(p, c) for c in names]) for i, p in enumerate(trials)]
+    drawn = samples.sparkSession.createDataFrame(
+        rows, "trial int, n_estimators int, max_depth int, min_samples_split int, min_samples_leaf int, max_features string, bootstrap boolean"
+    )
+    means = scores.groupBy("trial").agg(F.avg("rmse").alias("rmse"), F.avg("recall").alias("recall"))
+    return drawn.join(F.broadcast(means), "trial").orderBy("rmse", "trial")  # a row per trial
 
 
-ROWS_PER_TASK = 256  # attributions cost leaves x depth steps a row, so rows are spread thin
+ROWS_PER_TASK = 1024  # attributions cost leaves x depth steps a row, so rows are spread thin
 
 
 def explain(ff: FittedForest, rows: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
@@ -177,4 +171,4 @@ def explain(ff: FittedForest, rows: DataFrame, keys: Sequence[str], limit: int |
     prepared = ff.prepare(x)
     # explain on the values the trees see, named after the features
     prepared = prepared.select(*keys, *[F.col(i).alias(f) for i, f in zip(ff.model_inputs, ff.features)])
-    return explain_samples(prepared, tree_nodes(ff), list(ff.features), keys)
+    return explain_samples(prepared, ff.trees, list(ff.features), keys)

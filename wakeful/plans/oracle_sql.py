@@ -348,16 +348,33 @@ per AS (SELECT feature, value, count(*) FILTER (WHERE side = 0) AS c0, count(*)
 cum AS (SELECT *, sum(c0) OVER w AS k0, sum(c1) OVER w AS k1,
                sum(c0) OVER (PARTITION BY feature) AS n0, sum(c1) OVER (PARTITION BY feature) AS n1
         FROM per WINDOW w AS (PARTITION BY feature ORDER BY value)),
-ks0 AS (SELECT feature, max(abs(k0 / n0 - k1 / n1)) AS statistic, any_value(n0) AS n0, any_value(n1) AS n1
+ks0 AS (SELECT feature, max(abs(k0 / n0 - k1 / n1)) AS statistic, CAST(any_value(n0) AS BIGINT) AS n0, CAST(any_value(n1) AS BIGINT) AS n1,
+               CAST(max(abs(k0 * n1 - k1 * n0)) AS BIGINT) AS top
         FROM cum GROUP BY feature),
 ks1 AS (SELECT *, sqrt(CAST(n0 AS DOUBLE) * n1 / (CAST(n0 AS DOUBLE) + n1)) * statistic AS lam FROM ks0),
-ks AS (SELECT feature, statistic, n0, n1, greatest(0.0, least(1.0,
+limit_p AS (SELECT *, greatest(0.0, least(1.0,
           CASE WHEN lam <= 0 THEN 1.0
                WHEN lam < 1 THEN 1 - {2.5066282746310002} / lam * list_sum(list_transform(range(1, 21),
                     lambda k: exp(-pow(2 * k - 1, 2) * {PI2} / (8 * lam * lam))))
                ELSE 2 * list_sum(list_transform(range(1, 21),
-                    lambda k: pow(-1, k - 1) * exp(-2 * k * k * lam * lam))) END)) AS p_value
-       FROM ks1)
+                    lambda k: pow(-1, k - 1) * exp(-2 * k * k * lam * lam))) END)) AS p_limit
+       FROM ks1),
+-- samples of at most 10,000 rows: the walk over (values of one, values of the other) of the
+-- pooled sample, kept while it stays in the band around equal shares
+walk AS (
+  SELECT feature, n0, n1, n0 + n1 AS n, top, CAST(0 AS BIGINT) AS t, CAST(0 AS BIGINT) AS lo, [CAST(1 AS DOUBLE)] AS mass
+  FROM ks1 WHERE top > 0 AND greatest(n0, n1) <= 10000
+  UNION ALL
+  SELECT feature, n0, n1, n, top, t + 1, lo2,
+         list_transform(range(lo2, hi2 + 1), lambda i:
+           CASE WHEN i - lo + 1 BETWEEN 1 AND len(mass) THEN mass[i - lo + 1] * (1 - CAST(n0 - i AS DOUBLE) / (n - t)) ELSE 0 END +
+           CASE WHEN i - lo BETWEEN 1 AND len(mass) THEN mass[i - lo] * (n0 - i + 1) / (n - t) ELSE 0 END)
+  FROM (SELECT *, greatest(0, t + 1 - n1, CAST(floor(((t + 1) * n0 - top) / n) AS BIGINT) + 1) AS lo2,
+               least(n0, t + 1, CAST(ceil(((t + 1) * n0 + top) / n) AS BIGINT) - 1) AS hi2 FROM walk WHERE t < n)),
+ks AS (SELECT l.feature, l.statistic, l.n0, l.n1,
+              CASE WHEN greatest(l.n0, l.n1) > 10000 THEN l.p_limit WHEN l.top = 0 THEN 1.0
+                   ELSE greatest(0.0, 1 - coalesce(w.mass[1], 0)) END AS p_value
+       FROM limit_p l LEFT JOIN walk w ON w.feature = l.feature AND w.t = w.n)
 """
 
 
@@ -368,14 +385,14 @@ FROM rparams"""
 
 
 def q_ks_drift() -> str:
-    return _drift_base() + "," + KS + f"""
+    return _drift_base().replace("WITH", "WITH RECURSIVE", 1) + "," + KS + f"""
 SELECT feature, {rnd("statistic")} AS statistic, {rnd("p_value")} AS p_value, p_value < 0.05 AS drift_detected,
        CAST(n0 AS BIGINT) AS n_reference, CAST(n1 AS BIGINT) AS n_current FROM ks"""
 
 
 def q_drift_summary() -> str:
     n = len(MONITORED)
-    return _drift_base() + "," + KS + f"""
+    return _drift_base().replace("WITH", "WITH RECURSIVE", 1) + "," + KS + f"""
 SELECT CAST({n} AS BIGINT) AS n_features, CAST(count(*) FILTER (WHERE p_value < 0.05) AS BIGINT) AS n_drifted,
        {rnd(f"count(*) FILTER (WHERE p_value < 0.05) / {float(n)}")} AS drift_share,
        count(*) FILTER (WHERE p_value < 0.05) / {float(n)} < 0.3 AS drift_passed
@@ -431,11 +448,24 @@ r AS (SELECT user_id, row_number() OVER (ORDER BY md5(concat('{seed}:', CAST(use
 SELECT user_id, CASE WHEN rk < ceil({test_size} * n) THEN 'test' ELSE 'train' END AS split FROM r"""
 
 
+def _greedy(k: int) -> str:
+    """CTE ``dealt`` (user_id, cnt, fold): users of ``sz`` one by one to the lightest fold."""
+    zeros = ", ".join(["0"] * k)
+    return f"""
+rr AS (SELECT user_id, cnt, row_number() OVER (ORDER BY cnt DESC, user_id) AS i FROM sz),
+step AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([{zeros}] AS BIGINT[]) AS loads, CAST(0 AS BIGINT) AS f
+  UNION ALL
+  SELECT i, list_transform(loads, lambda x, j: x + CASE WHEN j = f THEN cnt ELSE 0 END), f
+  FROM (SELECT rr.i, rr.cnt, s.loads, list_position(s.loads, list_min(s.loads)) AS f FROM step s JOIN rr ON rr.i = s.i + 1)),
+dealt AS (SELECT rr.user_id, rr.cnt, CAST(s.f - 1 AS INTEGER) AS fold FROM rr JOIN step s ON s.i = rr.i)"""
+
+
 def q_group_kfold(k: int = 5) -> str:
-    return _train_users() + f""",
+    return _train_users().replace("WITH", "WITH RECURSIVE", 1) + f""",
 sz AS (SELECT user_id, count(*) AS cnt FROM matched GROUP BY user_id),
-r AS (SELECT user_id, row_number() OVER (ORDER BY cnt DESC, user_id) - 1 AS rk FROM sz)
-SELECT user_id, CAST(CASE WHEN (rk // {k}) % 2 = 0 THEN rk % {k} ELSE {k - 1} - rk % {k} END AS INTEGER) AS fold FROM r"""
+{_greedy(k).strip()}
+SELECT user_id, fold FROM dealt"""
 
 
 # ---------------------------------------------------------------- requests / advice
@@ -660,6 +690,78 @@ FROM m JOIN {limits} ON m.metric = t.metric"""
 
 
 # ---------------------------------------------------------------- model outputs
+def _small_tree(least_split: int = 18, least_leaf: int = 2, bins: int = 32) -> str:
+    """One tree of depth 2 on the training side of the user split, without a bootstrap and
+    over all features: cuts at quantiles, the split whose squared error falls most (ties:
+    first feature, lowest cut). Targets count in units of 2^-24 of the largest, as the
+    grower adds them. CTEs: ``parts`` (samples with split and rid), ``x`` (rid, fi,
+    value: filled), ``leaf`` (rid, node), ``node`` (id, feature, threshold, n, value)."""
+    names = ", ".join(f"({i}, '{f}')" for i, f in enumerate(MODEL_FEATURES))
+    probs = ", ".join(str(k / bins) for k in range(1, bins))
+    whole = "s::DOUBLE * s / n"
+
+    def best(source: str, out: str) -> str:
+        return f"""
+{out}_all AS (
+  SELECT t.node, c.fi, c.cut, t.n, t.s, count(*) FILTER (WHERE x.value <= c.cut) AS ln,
+         coalesce(sum(r.y) FILTER (WHERE x.value <= c.cut), 0)::DOUBLE AS ls
+  FROM {source} r JOIN x ON x.rid = r.rid JOIN cuts c ON c.fi = x.fi
+  JOIN (SELECT node, count(*) AS n, sum(y)::DOUBLE AS s FROM {source} GROUP BY node) t ON t.node = r.node
+  GROUP BY ALL),
+{out} AS (
+  SELECT * FROM (
+    SELECT *, ls * ls / nullif(ln, 0) + (s - ls) * (s - ls) / nullif(n - ln, 0) - {whole} AS gain FROM {out}_all
+    WHERE n >= {least_split} AND ln >= {least_leaf} AND n - ln >= {least_leaf})
+  WHERE gain > 1e-9 * greatest({whole}, 1)
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, fi, cut) = 1)"""
+
+    def child(source: str, split: str) -> str:
+        return f"""
+  SELECT r.rid, r.y, CASE WHEN b.node IS NULL THEN r.node WHEN x.value <= b.cut THEN 2 * r.node ELSE 2 * r.node + 1 END AS node, b.node IS NULL AS done
+  FROM {source} r LEFT JOIN {split} b ON b.node = r.node LEFT JOIN x ON x.rid = r.rid AND x.fi = b.fi"""
+
+    return _train_users() + f""",
+u AS (SELECT DISTINCT user_id FROM matched),
+rk AS (SELECT user_id, row_number() OVER (ORDER BY md5(concat('42:', CAST(user_id AS VARCHAR))), user_id) - 1 AS rk,
+              count(*) OVER () AS n FROM u),
+parts AS MATERIALIZED (SELECT m.*, CASE WHEN r.rk < ceil(0.2 * r.n) THEN 'test' ELSE 'train' END AS split,
+                 row_number() OVER (ORDER BY m.user_id, m.TESTSTART, m.TESTID, m.offset_us) AS rid
+          FROM matched m JOIN rk r ON m.user_id = r.user_id),
+names AS (SELECT * FROM (VALUES {names}) t(fi, feature)),
+lng AS (SELECT rid, split, feature, value FROM (SELECT rid, split, {", ".join(MODEL_FEATURES)} FROM parts)
+        UNPIVOT INCLUDE NULLS (value FOR feature IN ({", ".join(MODEL_FEATURES)}))),
+fill AS (SELECT feature, quantile_cont(value, 0.5) AS fill FROM lng WHERE split = 'train' GROUP BY feature),
+x AS MATERIALIZED (SELECT l.rid, l.split, n.fi, coalesce(l.value, f.fill, 0) AS value FROM lng l JOIN names n ON n.feature = l.feature JOIN fill f ON f.feature = l.feature),
+cuts AS MATERIALIZED (SELECT DISTINCT fi, unnest(q) AS cut FROM (SELECT fi, quantile_disc(value, [{probs}]) AS q FROM x WHERE split = 'train' GROUP BY fi)),
+unit AS (SELECT max(abs(fatigue_score)) / 16777216 AS u FROM parts WHERE split = 'train'),
+all1 AS MATERIALIZED (SELECT rid, CAST(round(fatigue_score / u) AS BIGINT) AS y, 1 AS node, split FROM parts, unit),
+row1 AS (SELECT * FROM all1 WHERE split = 'train'),
+{best("row1", "split1").strip()},
+row2 AS MATERIALIZED (SELECT * FROM ({child("row1", "split1")}) WHERE NOT done),
+{best("row2", "split2").strip()},
+all2 AS ({child("all1", "split1")}),
+leaf AS MATERIALIZED ({child("all2", "split2")}),
+seen AS (SELECT node, y FROM row1 UNION ALL SELECT node, y FROM row2
+         UNION ALL SELECT l.node, l.y FROM leaf l JOIN parts p ON p.rid = l.rid WHERE p.split = 'train' AND NOT l.done),
+splits AS (SELECT * FROM split1 UNION ALL SELECT * FROM split2),
+node AS (SELECT v.node AS id, n.feature, b.cut AS threshold, v.n, v.s * (SELECT u FROM unit) / v.n AS value
+         FROM (SELECT node, count(*) AS n, sum(y)::DOUBLE AS s FROM seen GROUP BY node) v
+         LEFT JOIN splits b ON b.node = v.node LEFT JOIN names n ON n.fi = b.fi)"""
+
+
+def q_small_tree() -> str:
+    return _small_tree() + f"""
+SELECT CAST(id AS BIGINT) AS id, feature, {rnd("threshold")} AS threshold, CAST(n AS BIGINT) AS n, {rnd("value")} AS value FROM node"""
+
+
+def q_stitched_predictions(t: float) -> str:
+    feats = ", ".join("p." + c for c in MODEL_FEATURES)
+    return _small_tree() + f"""
+SELECT p.user_id, p.TESTSTART, p.TESTID, p.offset_us, {feats}, {rnd("p.fatigue_score")} AS fatigue_score, {rnd("n.value")} AS prediction,
+  CAST(n.value >= {t} AS INTEGER) AS fatigue_event_alert, CASE WHEN n.value >= {t} THEN 'Fatigued' ELSE 'Awake' END AS status
+FROM parts p JOIN leaf l ON l.rid = p.rid JOIN node n ON n.id = l.node WHERE p.split = 'test'"""
+
+
 def _split_of(side: str) -> str:
     """Training samples of one side of the user split (CTE ``part``)."""
     cmp = "<" if side == "test" else ">="
@@ -694,19 +796,10 @@ def q_explain_samples() -> str:
 
 
 def q_cross_validate(k: int) -> str:
-    return _split_of("train") + f""",
+    return _split_of("train").replace("WITH", "WITH RECURSIVE", 1) + f""",
 sz AS (SELECT user_id, count(*) AS cnt FROM part GROUP BY user_id),
-rr AS (SELECT user_id, cnt, row_number() OVER (ORDER BY cnt DESC, user_id) - 1 AS rk FROM sz),
-f AS (SELECT cnt, CAST(CASE WHEN (rk // {k}) % 2 = 0 THEN rk % {k} ELSE {k - 1} - rk % {k} END AS INTEGER) AS fold FROM rr)
-SELECT fold, CAST(sum(cnt) AS BIGINT) AS n_test, true AS rmse_in_range, true AS recall_in_range FROM f GROUP BY fold"""
-
-
-def q_search_params(trials: list[tuple]) -> str:
-    rows = ", ".join(f"({i}, {n}, {d}, {leaf}, '{m}')" for i, n, d, leaf, m in trials)
-    return (
-        "SELECT trial, n_estimators, max_depth, min_samples_leaf, max_features, true AS rmse_in_range, true AS recall_in_range "
-        f"FROM (VALUES {rows}) t(trial, n_estimators, max_depth, min_samples_leaf, max_features)"
-    )
+{_greedy(k).strip()}
+SELECT fold, CAST(sum(cnt) AS BIGINT) AS n_test, true AS rmse_in_range, true AS recall_in_range FROM dealt GROUP BY fold"""
 
 
 def q_score_requests() -> str:

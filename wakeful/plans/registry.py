@@ -27,7 +27,7 @@ from wakeful.session import configure, cut_lineage
 from wakeful.settings import EVENTS_SCALE as S
 from wakeful.operators import drift as D
 from wakeful.operators import metrics as M
-from wakeful.operators.forest import ForestParams
+from wakeful.operators.forest import ForestParams, fit_forest, node_rows
 from wakeful.operators.split import group_kfold, group_split
 from wakeful.operators.treeshap import shap_additivity
 from wakeful.plans import modeling as MD
@@ -209,27 +209,39 @@ def _fitted(spark, sf_dir):
     return _FITTED[key]
 
 
-# Forest outputs differ between tree learners, so the registered model queries return
-# every row with its model-independent columns, and what must hold of the
-# model-dependent values as booleans (tests/ checks the values themselves).
+# Values of the full forest have no SQL twin (its draws are hashes of rows); tests hold
+# them against brute force. Beside them, ``holds_*`` queries state what must be true of
+# every row, and ``small_tree`` / ``stitched_predictions`` put a forest of one tree of
+# depth 2, which SQL can grow, under an oracle with all its values.
+
+
+def model_importance_q(spark, sf_dir):
+    return round_doubles(_fitted(spark, sf_dir)[1].importances())
 
 
 def _share(c: str):
     return F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False))
 
 
-def model_importance_q(spark, sf_dir):
+def holds_importance_q(spark, sf_dir):
     imp = cut_lineage(_fitted(spark, sf_dir)[1].importances(), "importances", small=True)
     whole = imp.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
     return M.attach_row(imp.select("feature", _share("importance").alias("in_range")), whole)
 
 
-def batch_inference_q(spark, sf_dir):
+def _batch_inference(spark, sf_dir):
     _, ff = _fitted(spark, sf_dir)
     f = _feeds(spark, sf_dir)
-    out = MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T)
+    return MD.batch_inference(ff, inference_features(f["hr"], f["sleep"], S), EVAL_T)
+
+
+def batch_inference_q(spark, sf_dir):
+    return round_doubles(_batch_inference(spark, sf_dir))
+
+
+def holds_inference_q(spark, sf_dir):
     alert = F.col("fatigue_probability") >= EVAL_T
-    return out.select(
+    return _batch_inference(spark, sf_dir).select(
         *MD.INFERENCE_KEY,
         _share("fatigue_probability").alias("in_range"),
         (F.col("fatigue_event_alert").cast("int") == alert.cast("int")).alias("alert_matches"),
@@ -237,9 +249,32 @@ def batch_inference_q(spark, sf_dir):
     )
 
 
-def evaluate_model_q(spark, sf_dir):
+def _evaluation(spark, sf_dir):
     samples, ff = _fitted(spark, sf_dir)
-    ev = MD.evaluate(ff, samples.where(F.col("split") == "test"), EVAL_T)
+    return MD.evaluate(ff, samples.where(F.col("split") == "test"), EVAL_T)
+
+
+def evaluate_model_q(spark, sf_dir):
+    """Every value of the evaluation as (part, name, metric, value)."""
+
+    def long(df: DataFrame, part: str, name) -> DataFrame:
+        values = [c for c, t in df.dtypes if t in ("double", "float", "bigint", "int")]
+        pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])
+        return df.select(F.lit(part).alias("part"), name.alias("name"), F.explode(pairs).alias("m")).select("part", "name", "m.*")
+
+    ev = _evaluation(spark, sf_dir)
+    point = F.coalesce(F.round("threshold", 9).cast("string"), F.lit("end"))
+    parts = [
+        long(ev["regression"], "regression", F.col("metric")),
+        long(ev["report"], "report", F.col("label")),
+        long(ev["pr_curve"], "pr_curve", point),
+        long(ev["stats"], "stats", F.lit("total")),
+    ]
+    return round_doubles(reduce(DataFrame.unionByName, parts))
+
+
+def holds_evaluation_q(spark, sf_dir):
+    ev = _evaluation(spark, sf_dir)
     none = F.lit(None).cast("long")
     value = F.col("value")
     sane = F.when(F.col("metric") == "r2", value <= 1).otherwise(value.between(0, 1))
@@ -269,32 +304,72 @@ def evaluate_model_q(spark, sf_dir):
 
 
 def explain_samples_q(spark, sf_dir):
+    samples, ff = _fitted(spark, sf_dir)
+    return round_doubles(MD.explain(ff, samples.where(F.col("split") == "test"), list(MD.SAMPLE_KEY)))
+
+
+def holds_attributions_q(spark, sf_dir):
     samples, ff = _fitted(spark, sf_dir)
     test, keys = samples.where(F.col("split") == "test"), list(MD.SAMPLE_KEY)
-    raw = ff.model.transform(ff.prepare(test)).select(*keys, "prediction")
+    raw = ff.transform(test, clip=False).select(*keys, "prediction")
     total = shap_additivity(MD.explain(ff, test, keys), raw, keys, ff.features)
     return total.select(*keys, (F.abs(F.col("reconstructed") - F.col("prediction")) < 1e-5).alias("additive"))
 
 
 N_FOLDS, N_TRIALS = 5, 50
-TRIALS_AT_ONCE = 2
 
 
-def cross_validate_q(spark, sf_dir):
+def _cross_validation(spark, sf_dir):
     samples, _ = _fitted(spark, sf_dir)
-    cv = MD.cross_validate(samples.where(F.col("split") == "train"), ForestParams(), N_FOLDS, EVAL_T)
+    return MD.cross_validate(samples.where(F.col("split") == "train"), ForestParams(), N_FOLDS, EVAL_T)
+
+
+def cross_validate_q(spark, sf_dir):
+    return round_doubles(_cross_validation(spark, sf_dir))
+
+
+def holds_folds_q(spark, sf_dir):
+    cv = _cross_validation(spark, sf_dir)
     return cv.select("fold", "n_test", _share("rmse").alias("rmse_in_range"), _share("recall").alias("recall_in_range"))
 
 
 def search_params_q(spark, sf_dir):
     samples, _ = _fitted(spark, sf_dir)
     train = samples.where(F.col("split") == "train")
-    found = MD.search_params(
-        train, n_trials=N_TRIALS, n_splits=N_FOLDS, threshold=EVAL_T, parallelism=N_FOLDS, trials_at_once=TRIALS_AT_ONCE
-    )
-    return found.select(
-        "trial", "n_estimators", "max_depth", "min_samples_leaf", "max_features", _share("rmse").alias("rmse_in_range"), _share("recall").alias("recall_in_range")
-    )
+    return round_doubles(MD.search_params(train, n_trials=N_TRIALS, n_splits=N_FOLDS, threshold=EVAL_T))
+
+
+SMALL_TREE = ForestParams(n_estimators=1, max_depth=2, max_features=1.0, bootstrap=False)
+
+
+def _small_tree(spark, sf_dir):
+    """Samples (features as the oracle rounds them) with their split, and the tree."""
+    lab = _labelled(spark, sf_dir)
+    rounded = round_doubles(lab.select(*MD.SAMPLE_KEY, *MODEL_FEATURES)).join(lab.select(*MD.SAMPLE_KEY, "fatigue_score"), list(MD.SAMPLE_KEY))
+    samples = cut_lineage(MD.split_samples(cut_lineage(rounded, "rounded"), S.test_size, S.split_seed), "split")
+    return samples, fit_forest(samples.where(F.col("split") == "train"), "fatigue_score", SMALL_TREE)
+
+
+def small_tree_q(spark, sf_dir):
+    """The tree's nodes, thresholds in the features' own units."""
+    _, ff = _small_tree(spark, sf_dir)
+    names = spark.createDataFrame(list(enumerate(ff.features)), "feature int, name string")
+    nodes = spark.createDataFrame(node_rows(ff)).join(F.broadcast(names), "feature", "left").withColumnRenamed("name", "f")
+    units = ff.prep.select(F.col("feature").alias("f"), "center", "scale")
+    raw = F.col("threshold") * F.col("scale") + F.col("center")
+    return round_doubles(nodes.join(F.broadcast(units), "f", "left").select("id", F.col("f").alias("feature"), raw.alias("threshold"), F.col("cover").cast("long").alias("n"), "value"))
+
+
+def stitched_predictions_q(spark, sf_dir):
+    """The written ids, inputs, targets and predictions of the test side, by key."""
+    samples, ff = _small_tree(spark, sf_dir)
+    base, keys = scratch_path(spark, "stitch"), list(MD.SAMPLE_KEY)
+    info = FS.write_split_outputs(samples, base, MODEL_FEATURES, "fatigue_score", keys)
+    ids, inputs, targets = (FS.read_split(spark, info["samples"], "test", info[c]) for c in ("ids", "inputs", "targets"))
+    scored = M.score_outputs(ff.transform(inputs), "prediction", EVAL_T).select(*keys, "prediction", "fatigue_event_alert", "status")
+    FS.write_parquet(scored, f"{base}/predictions")
+    whole = MD.stitch(ids, [inputs, targets, spark.read.parquet(f"{base}/predictions")], keys)
+    return round_doubles(whole.withColumn("fatigue_event_alert", F.col("fatigue_event_alert").cast("int")))
 
 
 def _requests(spark, sf_dir):
@@ -354,9 +429,17 @@ def _scores_hold(scored: DataFrame) -> DataFrame:
     )
 
 
-def score_requests_q(spark, sf_dir):
+def _score_requests(spark, sf_dir):
     _, ff = _fitted(spark, sf_dir)
-    return _scores_hold(SC.score_requests(_requests(spark, sf_dir), S, ff, _fallback_rank(spark, sf_dir)))
+    return SC.score_requests(_requests(spark, sf_dir), S, ff, _fallback_rank(spark, sf_dir))
+
+
+def score_requests_q(spark, sf_dir):
+    return round_doubles(_score_requests(spark, sf_dir))
+
+
+def holds_scores_q(spark, sf_dir):
+    return _scores_hold(_score_requests(spark, sf_dir))
 
 
 def validate_inputs_q(spark, sf_dir):
@@ -534,7 +617,7 @@ def metric_thresholds_q(spark, sf_dir):
     return round_doubles(M.metric_thresholds(M.regression_metrics(_scored(spark, sf_dir)), METRIC_LIMITS))
 
 
-def stream_score_requests_q(spark, sf_dir):
+def _stream_score_requests(spark, sf_dir):
     """T2 with the model: every micro-batch of requests is scored by the forest."""
     _, ff = _fitted(spark, sf_dir)
     rank = _fallback_rank(spark, sf_dir)
@@ -543,11 +626,28 @@ def stream_score_requests_q(spark, sf_dir):
     req.repartition("request_id").write.parquet(src)
     stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
     out = ST.score_stream(stream, lambda b: SC.score_requests(b, S, ff, rank), "request-scores")
-    return _scores_hold(spark.read.parquet(out))
+    return spark.read.parquet(out).drop("batch")
+
+
+def stream_score_requests_q(spark, sf_dir):
+    return round_doubles(_stream_score_requests(spark, sf_dir))
+
+
+def holds_stream_scores_q(spark, sf_dir):
+    return _scores_hold(_stream_score_requests(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "stream_score_requests": stream_score_requests_q,
+    "holds_importance": holds_importance_q,
+    "holds_inference": holds_inference_q,
+    "holds_evaluation": holds_evaluation_q,
+    "holds_attributions": holds_attributions_q,
+    "holds_folds": holds_folds_q,
+    "holds_scores": holds_scores_q,
+    "holds_stream_scores": holds_stream_scores_q,
+    "small_tree": small_tree_q,
+    "stitched_predictions": stitched_predictions_q,
     "metric_thresholds": metric_thresholds_q,
     "request_features": request_features_q,
     "payload_parse": payload_parse_q,
@@ -603,16 +703,15 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
-    "model_importance": O.q_model_importance(),
-    "batch_inference": O.q_batch_inference(),
-    "evaluate_model": O.q_evaluate_model(EVAL_T),
-    "explain_samples": O.q_explain_samples(),
-    "cross_validate": O.q_cross_validate(N_FOLDS),
-    "search_params": O.q_search_params(
-        [(i, p.n_estimators, p.max_depth, p.min_samples_leaf, str(p.max_features)) for i, p in enumerate(MD.sample_params(N_TRIALS))]
-    ),
-    "score_requests": O.q_score_requests(),
-    "stream_score_requests": O.q_score_requests(),
+    "holds_importance": O.q_model_importance(),
+    "holds_inference": O.q_batch_inference(),
+    "holds_evaluation": O.q_evaluate_model(EVAL_T),
+    "holds_attributions": O.q_explain_samples(),
+    "holds_folds": O.q_cross_validate(N_FOLDS),
+    "holds_scores": O.q_score_requests(),
+    "holds_stream_scores": O.q_score_requests(),
+    "small_tree": O.q_small_tree(),
+    "stitched_predictions": O.q_stitched_predictions(EVAL_T),
     "metric_thresholds": O.q_metric_thresholds(),
     "request_features": O.q_request_features(),
     "payload_parse": O.q_payload_parse(),

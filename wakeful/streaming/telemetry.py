@@ -48,27 +48,12 @@ def minute_grid_stream(hr: DataFrame, s: FeatureSettings, window: str = "1 minut
     lo, hi = s.hr_limits
     x = hr.where((F.col("HR") > lo) & (F.col("HR") < hi)).withColumn("event_time", F.col("HRTIME").cast("timestamp"))
     x = x.withWatermark("event_time", delay)
-    # readings with the same time count as their mean, as in the batch grid; a
-    # window's readings are bounded by its length
-    g = x.groupBy("user_id", F.window("event_time", window).alias("w")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("event_time").alias("at"), "HR"))).alias("readings")
-    )
-    times = F.array_distinct("readings.at")
-    means = F.transform(
-        times,
-        lambda at: F.aggregate(
-            F.filter("readings", lambda r: r["at"] == at),
-            F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
-            lambda acc, r: F.struct((acc["s"] + r["HR"]).alias("s"), (acc["n"] + 1).alias("n")),
-            lambda acc: acc["s"] / acc["n"],
-        ),
-    )
-    return g.select(
-        "user_id",
-        F.col("w.start").cast("timestamp_ntz").alias("HRTIME"),
-        (F.aggregate(means, F.lit(0.0), lambda a, m: a + m) / F.size(times)).alias("HR"),
-        F.size("readings").cast("long").alias("n_readings"),
-    )
+    # Two aggregations in a row: readings with the same time count as their mean, as in
+    # the batch grid. State is a sum and a count for each time the watermark hasn't
+    # passed, then for each open window, however many readings share a time.
+    per_time = x.groupBy("user_id", "event_time").agg(F.avg("HR").alias("HR"), F.count(F.lit(1)).alias("n"))
+    g = per_time.groupBy("user_id", F.window("event_time", window).alias("w")).agg(F.avg("HR").alias("HR"), F.sum("n").alias("n_readings"))
+    return g.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("HRTIME"), "HR", "n_readings")
 
 
 def run_to_table(
