@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeful.functions.scalar import nan_to_null
@@ -66,21 +66,6 @@ class Forest:
 # -- binning ----------------------------------------------------------------------
 
 
-def feature_cuts(samples: DataFrame, columns: Sequence[str], bins: int = BINS) -> list[list[float]]:
-    """Cuts of each feature: its distinct quantiles k / bins, from sketches of fixed size
-    (exact up to their accuracy of 10,000 rows)."""
-    p = [k / bins for k in range(1, bins)]
-    found = samples.agg(*[F.percentile_approx(nan_to_null(F.col(c).cast("double")), p, 10_000).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    return [sorted(set(found[i] or [])) for i in range(len(columns))]
-
-
-def code_of(column: str, cuts: Sequence[float]) -> Column:
-    """Number of cuts below the value; missing values get :data:`MISSING`."""
-    x = nan_to_null(F.col(column).cast("double"))
-    below = [F.when(x > F.lit(c), 1).otherwise(0) for c in cuts]
-    return F.when(x.isNull(), F.lit(MISSING)).otherwise(sum(below, F.lit(0)))
-
-
 @dataclass
 class Binned:
     blocks: DataFrame  # (block, fold, rows, codes, part): packed rows
@@ -90,15 +75,30 @@ class Binned:
     rows: dict[int, int]  # rows by fold
 
 
-def bin_samples(samples: DataFrame, columns: Sequence[str], target: str, fold: str | None = None, bins: int = BINS, cuts: list[list[float]] | None = None) -> Binned:
-    """Pack the samples; rows without a target are left out."""
-    columns, known = list(columns), samples.where(nan_to_null(F.col(target).cast("double")).isNotNull())
-    cuts = cuts or feature_cuts(known, columns, bins)
-    unit = (known.agg(F.max(F.abs(F.col(target).cast("double")))).first()[0] or 1.0) / (1 << UNIT_BITS)
-    hexed = F.concat(*[F.lpad(F.hex(code_of(c, x)), 2, "0") for c, x in zip(columns, cuts)])
-    rows = known.select(
-        (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"), F.unhex(hexed).alias("codes"), F.round(F.col(target).cast("double") / unit).cast("long").alias("y")
+def bin_samples(samples: DataFrame, columns: Sequence[str], target: str, fold: str | None = None, bins: int = BINS) -> Binned:
+    """Pack the samples; rows without a target are left out. Cuts of a feature are its
+    distinct quantiles k / bins, from a sketch of fixed size (exact up to its accuracy of
+    10,000 rows)."""
+    columns, p = list(columns), [k / bins for k in range(1, bins)]
+    y = nan_to_null(F.col(target).cast("double"))
+    known = samples.where(y.isNotNull()).select(
+        (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"), y.alias("y"), *[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)]
     )
+    seen = known.agg(F.max(F.abs("y")).alias("top"), *[F.percentile_approx(f"c{i}", p, 10_000).alias(f"c{i}") for i in range(len(columns))]).first()
+    cuts = [sorted(set(seen[f"c{i}"] or [])) for i in range(len(columns))]
+    unit = (seen["top"] or 1.0) / (1 << UNIT_BITS)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A value's code: the number of cuts below it."""
+        for batch in batches:
+            codes = np.empty((len(batch), len(cuts)), np.uint8)
+            for i, c in enumerate(cuts):
+                x = batch.column(2 + i).to_numpy(zero_copy_only=False)  # nulls as NaN
+                codes[:, i] = np.where(np.isnan(x), MISSING, np.searchsorted(np.array(c, float), x))
+            whole = np.floor(batch.column(1).to_numpy() / unit + 0.5).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(whole)], ["fold", "codes", "y"])
+
+    rows = known.mapInArrow(encode, "fold int, codes binary, y long")
     rows = rows.groupBy("fold", "codes", "y").agg(F.count(F.lit(1)).alias("n")).withColumn("rid", F.xxhash64("codes", "y", "fold"))
     width = len(columns)
 

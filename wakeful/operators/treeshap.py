@@ -121,15 +121,15 @@ def explain_samples(df: DataFrame, trees: Trees, features: Sequence[str], keys:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         laid = leaves_of(held.value, p)
         for pdf in batches:
-            x = np.nan_to_num(pdf[features].to_numpy(dtype=float), nan=0.0)
-            total, expected = np.zeros((len(pdf), p)), 0.0
+            x, back = np.unique(np.nan_to_num(pdf[features].to_numpy(dtype=float), nan=0.0), axis=0, return_inverse=True)
+            total, expected = np.zeros((len(x), p)), 0.0
             for leaves in laid:
                 phi, e = tree_shap(x, leaves)
                 total += phi / len(laid)
                 expected += e / len(laid)
             out = pdf[keys].copy()
             for j, f in enumerate(features):
-                out[f"{prefix}{f}"] = total[:, j].astype(np.float32)
+                out[f"{prefix}{f}"] = total[back.ravel(), j].astype(np.float32)
             out["expected_value"] = expected
             yield out
 

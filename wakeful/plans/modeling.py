@@ -167,7 +167,8 @@ def explain(ff: FittedForest, rows: DataFrame, keys: Sequence[str], limit: int |
     first rows by key only."""
     x = rows.orderBy(*keys).limit(limit) if limit else rows
     x = cut_lineage(x.select(*keys, *ff.features), "explained")
-    x = x.repartition(max(1, min(100_000, -(-x.count() // ROWS_PER_TASK))))
+    # equal inputs meet in one task, which explains them once
+    x = x.repartition(max(1, min(100_000, -(-x.count() // ROWS_PER_TASK))), *ff.features)
     prepared = ff.prepare(x)
     # explain on the values the trees see, named after the features
     prepared = prepared.select(*keys, *[F.col(i).alias(f) for i, f in zip(ff.model_inputs, ff.features)])

@@ -203,7 +203,7 @@ def _fitted(spark, sf_dir):
     session and folder: several queries share one model)."""
     key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _FITTED:
-        samples = cut_lineage(MD.split_samples(_labelled(spark, sf_dir), S.test_size, S.split_seed))
+        samples = cut_lineage(MD.split_samples(cut_lineage(_labelled(spark, sf_dir), "labelled"), S.test_size, S.split_seed))
         ff = MD.train(samples.where(F.col("split") == "train"), ForestParams())
         _FITTED[key] = (samples, ff)
     return _FITTED[key]
@@ -344,7 +344,7 @@ SMALL_TREE = ForestParams(n_estimators=1, max_depth=2, max_features=1.0, bootstr
 
 def _small_tree(spark, sf_dir):
     """Samples (features as the oracle rounds them) with their split, and the tree."""
-    lab = _labelled(spark, sf_dir)
+    lab = cut_lineage(_labelled(spark, sf_dir), "labelled")
     rounded = round_doubles(lab.select(*MD.SAMPLE_KEY, *MODEL_FEATURES)).join(lab.select(*MD.SAMPLE_KEY, "fatigue_score"), list(MD.SAMPLE_KEY))
     samples = cut_lineage(MD.split_samples(cut_lineage(rounded, "rounded"), S.test_size, S.split_seed), "split")
     return samples, fit_forest(samples.where(F.col("split") == "train"), "fatigue_score", SMALL_TREE)
