@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wakeful.functions.scalar import nan_to_null
@@ -139,3 +139,38 @@ def check(df: DataFrame, schema: Schema) -> DataFrame:
     if bad:
         raise ValueError(f"{schema.name} violations: " + ", ".join(f"{r.rule}={r.n_bad}" for r in bad))
     return coerce(df, schema)
+
+
+@dataclass
+class Checked:
+    """What :func:`quarantine` wrote: ``valid`` rows (coerced), ``rejected`` rows (the
+    rules they break and the row as JSON), and ``counts`` (schema, rule, n_bad)."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    counts: DataFrame
+
+
+def quarantine(df: DataFrame, schema: Schema, path: str) -> Checked:
+    """Validate in one pass: the same job writes valid rows and rejected ones and counts
+    the violations of every rule while they go by. ``rows:valid`` and ``rows:rejected``
+    are among the counts; missing and unexpected columns are found without reading."""
+    spark, checks = df.sparkSession, _checks(df, schema)
+    names = {c.name for c in schema.columns}
+    meta = [(f"missing:{c.name}", 1) for c in schema.columns if c.name not in df.columns and c.name not in schema.optional]
+    if schema.strict:
+        meta += [(f"unexpected:{c}", 1) for c in df.columns if c not in names]
+    broken = F.filter(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in checks]), lambda r: r.isNotNull()) if checks else F.array().cast("array<string>")
+    raw = F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+    rows = df.withColumn("_rules", broken).withColumn("_row", F.when(F.size("_rules") > 0, F.to_json(raw))).withColumn("_ok", F.size("_rules") == 0)
+    seen = Observation()
+    counts = [F.count_if(bad).alias(f"c{i}") for i, (_, bad) in enumerate(checks)]
+    rows = rows.observe(seen, F.count_if(F.col("_ok")).alias("valid"), F.count_if(~F.col("_ok")).alias("rejected"), *counts)
+    fixed = coerce(rows, schema)
+    fixed.write.mode("overwrite").partitionBy("_ok").parquet(path)
+    n = seen.get
+    found = [(rule, n[f"c{i}"]) for i, (rule, _) in enumerate(checks)] + meta + [("rows:valid", n["valid"]), ("rows:rejected", n["rejected"])]
+    back = spark.read.schema(fixed.schema).parquet(path)
+    table = spark.createDataFrame(found, "rule string, n_bad long").select(F.lit(schema.name).alias("schema"), "rule", "n_bad")
+    kept = [c for c in fixed.columns if c not in ("_rules", "_row", "_ok")]
+    return Checked(back.where("_ok").select(*kept), back.where("not _ok").select(F.lit(schema.name).alias("schema"), F.col("_rules").alias("rules"), F.col("_row").alias("row")), table)

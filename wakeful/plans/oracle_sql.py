@@ -634,11 +634,11 @@ SELECT user_id FROM users"""
 
 
 def q_dataset_profile() -> str:
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
-    return f"""
-SELECT 'orders' AS name, CAST(count(*) AS BIGINT) AS num_rows, CAST({len(cols)} AS BIGINT) AS num_columns,
-       CAST({nulls} AS BIGINT) AS null_cells FROM orders"""
+    return """
+SELECT 'importances' AS name, 'orders' AS source, CAST(count(*) AS BIGINT) AS num_rows, CAST(2 AS BIGINT) AS num_columns,
+       'Feature:string,Importance:double' AS columns,
+       '{"Feature":' || count(*) FILTER (WHERE o_orderkey % 5 = 0 OR o_orderpriority IS NULL) || ',"Importance":' ||
+       count(*) FILTER (WHERE o_orderkey % 8 = 0 OR o_totalprice IS NULL) || '}' AS null_counts, true AS has_digest FROM orders"""
 
 
 def q_split_outputs_test() -> str:
@@ -841,6 +841,80 @@ def q_validate_raw() -> str:
     return "WITH " + _DIRTY_HR.strip() + "\n" + "\nUNION ALL ".join(parts)
 
 
+def _all_rules() -> dict[str, tuple[str, dict[str, str]]]:
+    """schema -> (source, rule -> condition that breaks it)."""
+    pvt = {
+        "coerce:id": "l_orderkey % 13 = 0", "null:id": "l_orderkey IS NULL", "coerce:TESTID": "false", "null:TESTID": "l_linenumber IS NULL",
+        "coerce:TESTSTART": "false", "null:TESTSTART": "l_orderkey % 17 = 0 OR l_shipdate IS NULL", "coerce:TRIALID": "false", "null:TRIALID": "l_partkey IS NULL",
+        "coerce:TRIALNAME": "false", "null:TRIALNAME": "l_returnflag IS NULL", "coerce:TRIALSTART": "false", "null:TRIALSTART": "l_shipdate IS NULL",
+        "coerce:TAPTIME": "false", "null:TAPTIME": "l_quantity IS NULL", "ge:TAPTIME": "l_quantity * 10 - 50 < 0",
+    }
+    score = "(l_discount * 12 - 0.2)"
+    outputs = {"coerce:prediction": "false", "null:prediction": "l_discount IS NULL", "ge:prediction": f"{score} < 0", "le:prediction": f"{score} > 1", "coerce:user_id": "false"}
+    shap = {"coerce:mean_hr_5min": "event_id % 7 = 0", "coerce:stress_cv": "false"}
+    importances = {
+        "coerce:Feature": "false", "null:Feature": "o_orderkey % 5 = 0 OR o_orderpriority IS NULL", "coerce:Importance": "false",
+        "null:Importance": "o_orderkey % 8 = 0 OR o_totalprice IS NULL",
+    }
+    inputs = {}
+    for f in MODEL_FEATURES:
+        inputs[f"coerce:{f}"] = "false"
+        if f.startswith("circadian"):
+            v = "(value / 50 - 1)" if f.endswith("sin") else "(value / 60 - 1.5)"
+            inputs |= {f"null:{f}": "value IS NULL", f"ge:{f}": f"{v} < -1", f"le:{f}": f"{v} > 1"}
+        elif f != "hr_jumpiness_5min":
+            inputs[f"null:{f}"] = "event_id % 9 = 0 OR value IS NULL"
+    inputs["coerce:user_id"] = "false"
+    sleep = {
+        "coerce:id": "false", "null:id": "o_orderkey IS NULL", "coerce:START": "false", "null:START": "o_orderdate IS NULL",
+        "coerce:END": "false", "null:END": "o_orderdate IS NULL", "coerce:rating": "false",
+        "null:rating": "o_orderkey % 9 = 0 OR o_totalprice IS NULL", "gt:rating": "o_orderkey % 9 <> 0 AND o_totalprice - 100000 <= 0",
+        "coerce:comments": "false",
+    }
+    targets = {
+        "coerce:fatigue_score": "false", "null:fatigue_score": "l_discount IS NULL", "ge:fatigue_score": f"{score} < 0",
+        "le:fatigue_score": f"{score} > 1", "coerce:user_id": "false",
+    }
+    return {
+        "HeartRateRaw": ("dirty", _HR_RULES), "SleepRaw": ("orders", sleep), "Targets": ("lineitem", targets), "PVTRaw": ("lineitem", pvt), "Outputs": ("lineitem", outputs),
+        "SHAPValues": ("events", shap), "FeatureImportances": ("orders", importances), "ModelInputs": ("events", inputs),
+    }
+
+
+def q_validate_all() -> str:
+    parts = []
+    for schema, (source, rules) in _all_rules().items():
+        bad = " OR ".join(f"coalesce({c}, false)" for c in rules.values())
+        rules = rules | {"rows:rejected": bad, "rows:valid": f"NOT ({bad})"}
+        parts += [f"SELECT '{schema}' AS schema, '{r}' AS rule, count(*) FILTER (WHERE {c}) AS n_bad FROM {source}" for r, c in rules.items()]
+    return "WITH " + _DIRTY_HR.strip() + "\n" + "\nUNION ALL ".join(parts)
+
+
+def q_rejected_pvt() -> str:
+    _, rules = _all_rules()["PVTRaw"]
+    broken = ", ".join(f"CASE WHEN {c} THEN '{r}' END" for r, c in rules.items() if c != "false")
+    return f"""
+SELECT concat_ws(',', {broken}) AS rules, CASE WHEN l_orderkey % 13 = 0 THEN 'u' ELSE '' END || l_orderkey AS id,
+       CAST(l_linenumber AS BIGINT) AS test_id, {rnd("l_quantity * 10 - 50")} AS tap
+FROM lineitem WHERE {" OR ".join(f"coalesce({c}, false)" for c in rules.values())}"""
+
+
+def q_csv_rejects() -> str:
+    return """
+SELECT CASE event_id % 10 WHEN 3 THEN event_id || ',' || user_id WHEN 5 THEN event_id || ',u,' || user_id
+            WHEN 7 THEN event_id || ',' || user_id || ',1,2' ELSE event_id || ':' || user_id || ':' || event_id % 100 END AS line
+FROM events"""
+
+
+def q_adapter_inference(rule: dict[str, float], constant: float, t: float) -> str:
+    score = " + ".join([str(constant), *[f"coalesce({f}, 0) * {w}" for f, w in rule.items()]])
+    return with_(FEEDS, INFER_USERS, HR_CLEAN, hr_features_sql(False), SLEEP_FEAT, CONTINUOUS, GRID) + f""",
+s AS (SELECT user_id, make_timestamp(bin) AS HRTIME, greatest(0.0, least(1.0, {score})) AS p
+      FROM bins WHERE mean_hr_5min IS NOT NULL AND hours_awake IS NOT NULL)
+SELECT user_id, HRTIME, {rnd("p")} AS fatigue_probability, CAST(p >= {t} AS INTEGER) AS fatigue_event_alert,
+       CASE WHEN p >= {t} THEN 'Fatigued' ELSE 'Awake' END AS status FROM s"""
+
+
 def q_rejected_rows() -> str:
     parts = [f"SELECT 'HeartRateRaw' AS schema, '{r}' AS rule, event_id FROM dirty WHERE {c}" for r, c in _HR_RULES.items()]
     return "WITH " + _DIRTY_HR.strip() + "\n" + "\nUNION ALL ".join(parts)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeful.functions.scalar import parse_time, ts_us
+from wakeful.functions.scalar import nan_to_null, parse_time, ts_us
 from wakeful.operators.clean import clean_hr, clean_pvt, clean_sleep, select_monitor_columns
 from wakeful.operators.windows import hr_series_features, sleep_features
 from wakeful.plans import oracle_sql as O
@@ -33,6 +33,7 @@ from wakeful.operators.treeshap import shap_additivity
 from wakeful.plans import modeling as MD
 from wakeful.plans import scoring as SC
 from wakeful.operators import advise as AD
+from wakeful.operators import predictors as PR
 from wakeful.operators import schemas as SCH
 from wakeful.operators.asof import asof_backward, asof_nearest
 from wakeful.sources import files as FS
@@ -500,9 +501,10 @@ def _read_raw(spark, folder) -> dict[str, DataFrame]:
 
 
 def raw_to_features_q(spark, sf_dir):
-    """Raw CSV files to the labelled table: read, validate readings, build features."""
+    """Raw CSV files to the labelled table: read, set invalid readings apart, build features."""
     f = _read_raw(spark, _raw_folder(spark, sf_dir))
-    f["hr"] = SCH.check(f["hr"].select(F.col("user_id").alias("id"), "HRTIME", "HR"), SCH.HEART_RATE_RAW).withColumnRenamed("id", "user_id")
+    checked = SCH.quarantine(f["hr"].select(F.col("user_id").alias("id"), "HRTIME", "HR"), SCH.HEART_RATE_RAW, scratch_path(spark, "checked-hr"))
+    f["hr"] = checked.valid.withColumnRenamed("id", "user_id")  # valid rows go on, the others stay in quarantine
     lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
     cols = ["user_id", "TESTSTART", "TESTID", "offset_us", "MATCH_TIME", "HRTIME", "pvt_mean_rt", "fatigue_score"]
     return round_doubles(lab.select(*cols, *FEATURE_COLS))
@@ -546,6 +548,86 @@ def rejected_rows_q(spark, sf_dir):
     return SCH.rejects(df, schema, keys)
 
 
+def _dirty_all(spark, sf_dir) -> dict[str, tuple]:
+    """A table with violations for each of the eight schemas."""
+    events, orders, items = (table(spark, sf_dir, t) for t in ("events", "orders", "lineitem"))
+    dirty = _dirty(spark, sf_dir)
+    pvt = items.selectExpr(
+        "CASE WHEN l_orderkey % 13 = 0 THEN concat('u', l_orderkey) ELSE cast(l_orderkey AS string) END AS id",
+        "l_linenumber AS TESTID", "CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE cast(l_shipdate AS string) END AS TESTSTART",
+        "l_partkey AS TRIALID", "l_returnflag AS TRIALNAME", "cast(l_shipdate AS string) AS TRIALSTART", "l_quantity * 10 - 50 AS TAPTIME",
+    )
+    outputs = items.selectExpr("l_discount * 12 - 0.2 AS prediction", "cast(l_suppkey AS string) AS user_id")
+    shap = events.selectExpr("CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE cast(value AS string) END AS mean_hr_5min", "value / 100 AS stress_cv")
+    importances = orders.selectExpr("CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS Feature", "CASE WHEN o_orderkey % 8 = 0 THEN double('NaN') ELSE o_totalprice END AS Importance")
+    plain = [f"CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS {c}" for c in MODEL_FEATURES if not c.startswith("circadian")]
+    inputs = events.selectExpr(*plain, "value / 50 - 1 AS circadian_sin", "value / 60 - 1.5 AS circadian_cos", "cast(user_id AS string) AS user_id")
+    rows = {k: (s, df.drop(*keys)) for k, (s, df, keys) in dirty.items()}
+    return rows | {"pvt": (SCH.PVT_RAW, pvt), "outputs": (SCH.OUTPUTS, outputs), "shap": (SCH.SHAP_VALUES, shap), "importances": (SCH.FEATURE_IMPORTANCES, importances), "inputs": (SCH.MODEL_INPUTS, inputs)}
+
+
+def validate_all_q(spark, sf_dir):
+    """P10 on all eight schemas: violations by rule, valid and rejected rows, counted
+    while both are written."""
+    found = [SCH.quarantine(df, schema, scratch_path(spark, f"checked-{k}")) for k, (schema, df) in _dirty_all(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, [c.counts for c in found])
+
+
+def rejected_pvt_q(spark, sf_dir):
+    """The rejected rows of one table, with the rules they break."""
+    schema, df = _dirty_all(spark, sf_dir)["pvt"]
+    bad = SCH.quarantine(df, schema, scratch_path(spark, "checked-pvt")).rejected
+    row = F.from_json("row", "id string, TESTID long, TAPTIME double")
+    return round_doubles(bad.select(F.concat_ws(",", "rules").alias("rules"), row["id"].alias("id"), row["TESTID"].alias("test_id"), row["TAPTIME"].alias("tap")))
+
+
+def csv_rejects_q(spark, sf_dir):
+    """S1 over damaged files written from ``events``: lines cut short, cells of another
+    type, cells too many; the rejected lines with their files."""
+    configure(spark)
+    ev = table(spark, sf_dir, "events")
+    text = F.expr(
+        "CASE WHEN event_id % 10 = 3 THEN concat_ws(',', event_id, user_id) WHEN event_id % 10 = 5 THEN concat_ws(',', event_id, 'u', user_id) "
+        "WHEN event_id % 10 = 7 THEN concat_ws(',', event_id, user_id, 1, 2) ELSE concat_ws(',', event_id, user_id, event_id % 100) END"
+    )
+    folder = scratch_path(spark, "damaged")
+    ev.select(text.alias("value")).repartition(3, "value").write.text(f"{folder}/a")
+    good, bad = FS.read_csv_checked(spark, f"{folder}/a", "event_id long, user_id long, n long", header=False)
+    return bad.select("line").unionByName(good.select(F.concat_ws(":", "event_id", "user_id", "n").alias("line")))
+
+
+def pvt_variants_q(spark, sf_dir):
+    """Raw test files of three kinds of headers (as they are, in lower case,
+    and with a time stamp and mean reaction times) read into one targets table."""
+    pvt, folder = _feeds(spark, sf_dir)["pvt"], scratch_path(spark, "pvt-variants")
+    tests = pvt.where(F.col("TAPTIME") > S.pvt_artifact_ms).groupBy("user_id", "TESTSTART", "TESTID").agg(F.avg("TAPTIME").alias("MEAN_RT"))
+    parts = [
+        pvt.where("user_id % 3 = 0"),
+        pvt.where("user_id % 3 = 1").select("user_id", F.col("TESTSTART").alias("teststart"), F.col("TESTID").alias("testid"), F.col("TAPTIME").alias("taptime")),
+        tests.where("user_id % 3 = 2").withColumnRenamed("TESTSTART", "TIMESTAMP"),
+    ]
+    fmt, out = "yyyy-MM-dd HH:mm:ss.SSSSSS", []
+    for k, df in enumerate(parts):
+        df.write.option("header", True).option("timestampNTZFormat", fmt).csv(f"{folder}/{k}")
+        raw = spark.read.csv(f"{folder}/{k}", header=True).withColumn("user_id", F.col("user_id").cast("long"))
+        found = clean_pvt(raw, S, min_year=S.pvt_min_year)
+        out.append(found.select("user_id", "TESTSTART", F.col("TESTID").cast("long").alias("TESTID"), "pvt_mean_rt", "fatigue_score"))
+    return round_doubles(reduce(DataFrame.unionByName, out))
+
+
+RULE = {"hours_awake": 0.01, "stress_cv": 0.2, "cum_sleep_debt": -0.005}
+
+
+def adapter_inference_q(spark, sf_dir):
+    """X1 through M5: a predictor that is no forest, saved, loaded and checked."""
+    path = scratch_path(spark, "predictor")
+    for version, constant in ((1, 0.9), (2, 0.05)):
+        PR.save_predictor(spark, PR.Predictor(PR.LinearRule(RULE, constant), list(MODEL_FEATURES), "rule", version), path)
+    model = PR.load_predictor(spark, path, features=MODEL_FEATURES)
+    f = _feeds(spark, sf_dir)
+    return round_doubles(MD.batch_inference(model, inference_features(f["hr"], f["sleep"], S), EVAL_T).withColumn("fatigue_event_alert", F.col("fatigue_event_alert").cast("int")))
+
+
 def users_with_all_feeds_q(spark, sf_dir):
     f = _feeds(spark, sf_dir)
     return users_with_all_feeds([f["hr"], f["sleep"], f["pvt"]])
@@ -553,9 +635,11 @@ def users_with_all_feeds_q(spark, sf_dir):
 
 def dataset_profile_q(spark, sf_dir):
     configure(spark)
-    prof = FS.dataset_profile(table(spark, sf_dir, "orders"), "orders")
-    nulls = F.aggregate(F.map_values(F.from_json("null_counts", "map<string,long>")), F.lit(0).cast("long"), lambda a, b: a + b)
-    return prof.select("name", "num_rows", "num_columns", nulls.alias("null_cells"))
+    dirty = _dirty_all(spark, sf_dir)["importances"][1]
+    prof = FS.dataset_profile(dirty.withColumn("Importance", nan_to_null(F.col("Importance"))), "importances", "orders")
+    fields = F.from_json(F.get_json_object("schema_json", "$.fields"), "array<struct<name: string, type: string>>")
+    columns = F.concat_ws(",", F.transform(fields, lambda x: F.concat_ws(":", x["name"], x["type"])))
+    return prof.select("name", "source", "num_rows", "num_columns", columns.alias("columns"), "null_counts", (F.col("digest_xor") != 0).alias("has_digest"))
 
 
 def split_outputs_test_q(spark, sf_dir):
@@ -663,6 +747,11 @@ QUERIES: dict[str, Query] = {
     "discover_users": discover_users_q,
     "raw_to_features": raw_to_features_q,
     "validate_raw": validate_raw_q,
+    "validate_all": validate_all_q,
+    "rejected_pvt": rejected_pvt_q,
+    "csv_rejects": csv_rejects_q,
+    "pvt_variants": pvt_variants_q,
+    "adapter_inference": adapter_inference_q,
     "rejected_rows": rejected_rows_q,
     "users_with_all_feeds": users_with_all_feeds_q,
     "dataset_profile": dataset_profile_q,
@@ -726,6 +815,11 @@ ORACLE: dict[str, str] = {
     "discover_users": O.q_discover_users(),
     "raw_to_features": O.q_training_features(),
     "validate_raw": O.q_validate_raw(),
+    "validate_all": O.q_validate_all(),
+    "rejected_pvt": O.q_rejected_pvt(),
+    "csv_rejects": O.q_csv_rejects(),
+    "pvt_variants": O.q_pvt_targets(),
+    "adapter_inference": O.q_adapter_inference(RULE, 0.05, EVAL_T),
     "rejected_rows": O.q_rejected_rows(),
     "users_with_all_feeds": O.q_users_with_all_feeds(),
     "dataset_profile": O.q_dataset_profile(),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wakeful.functions.scalar import extract_id
+from wakeful.session import cut_lineage
 
 
 def read_csv(
@@ -25,6 +26,32 @@ def read_csv(
     return df.limit(limit) if limit else df
 
 
+CORRUPT = "_corrupt"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with bad rows kept apart: (rows, rejects), both with their ``file``. A line with
+    too few or too many cells, or with a cell that isn't of its column's type, is a reject
+    (file, line), the line as it stands. With ``header``, a file's first line must name the
+    schema's columns, in any letter case; where it doesn't, the columns can't be trusted
+    and all lines of the file are rejects. Files are split as usual; the headers come from
+    one more scan of the files' first blocks."""
+    names = [f.name for f in StructType.fromDDL(schema).fields]
+    read = spark.read.csv(path, schema=f"{schema}, {CORRUPT} string", sep=sep, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    rows = read.withColumn("file", F.col("_metadata.file_name"))
+    good = F.col(CORRUPT).isNull()
+    if header:
+        first = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+        first = first.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("first"))
+        fits = F.upper(F.regexp_replace("first", '["\\s]', "")) == F.lit(sep.join(names).upper())
+        rows = rows.join(first.select("file", fits.alias("_fits")), "file")
+        good = good & F.col("_fits")
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.col(f"`{c}`").cast("string") for c in names]))
+    # parsed once; both results are read from what is written
+    parsed = cut_lineage(rows.select("file", *names, F.when(~good, line).alias(CORRUPT)), "csv")
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), parsed.where(F.col(CORRUPT).isNotNull()).select("file", F.col(CORRUPT).alias("line"))
+
+
 def read_parquet(spark: SparkSession, path: str, limit: int | None = None, order_by: Sequence[str] = ()) -> DataFrame:
     """Parquet scan; a limit is pushed into the scan. With ``order_by`` the first
     rows are deterministic (TakeOrdered) rather than whichever arrive first."""
