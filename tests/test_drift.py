@@ -103,3 +103,27 @@ def test_exact_p_by_group(spark):
     assert abs(got["a"].p_value - _paths(5, 5, 15)) < 1e-12 and abs(got["a"].statistic - 0.6) < 1e-12
     assert got["b"].p_value == 1.0 and got["b"].statistic == 0.0 and not got["b"].drift_detected
     assert got["c"].n_current == 0
+
+
+def test_label_and_zscore_drift(spark):
+    rows = [("a", 0)] * 8 + [("b", 0)] * 2 + [("a", 1)] * 5 + [("b", 1)] * 3 + [("c", 1)] * 2
+    got = {r.label: r for r in D.label_drift(spark.createDataFrame(rows, "l string, side int"), "l").collect()}
+    assert [round(got[x].change, 6) for x in "abc"] == [-0.3, 0.1, 0.2] and [got[x].alert for x in "abc"] == [True, False, True]
+    one = D.label_drift(spark.createDataFrame(rows[:10], "l string, side int"), "l").collect()
+    assert sorted(r.share_current for r in one) == [0.0, 0.0]
+    long = [("x", 0, float(v)) for v in (1, 2, 3, 4, 5)] + [("x", 1, v) for v in (3.0, 30.0, 3.0, 3.0)] + [("k", 0, 7.0), ("k", 1, 7.5), ("n", 1, 1.0)]
+    z = {r.feature: r for r in D.zscore_drift(spark.createDataFrame(long, "feature string, side int, value double")).collect()}
+    assert abs(z["x"].z_mean - 6.75 / 2**0.5) < 1e-9 and z["x"].share_outside == 0.25 and z["x"].alert
+    assert z["k"].z_mean == 0.5 and not z["k"].alert and z["n"].z_mean is None and not z["n"].alert
+
+
+def test_stratified_sample_is_exact(spark):
+    from wakeful.operators.split import stratified_sample
+
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'big' WHEN id % 50 = 1 THEN NULL WHEN id % 7 = 1 THEN 'mid' ELSE concat('s', id % 4) END AS s")
+    n = {r["s"]: r["count"] for r in df.groupBy("s").count().collect()}
+    got = stratified_sample(df, "s", ["id"], 0.13)
+    assert {r["s"]: r["count"] for r in got.groupBy("s").count().collect()} == {s: int(np.ceil(0.13 * c)) for s, c in n.items()}
+    again = stratified_sample(df.repartition(7), "s", ["id"], 0.13)
+    assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in again.collect())
+    assert stratified_sample(df, "s", ["id"], 0.0).count() == 0 and stratified_sample(df, "s", ["id"], 1.0).count() == 3000

@@ -164,6 +164,36 @@ def drift_summary(ks: DataFrame, n_features: int, max_share: float = 0.3) -> Dat
     )
 
 
+DRIFT_GATE = 0.15  # fixed value: an alert when a share moves by more
+
+
+def label_drift(rows: DataFrame, label: str, side: str = "side", gate: float = DRIFT_GATE) -> DataFrame:
+    """Shares of each label on both sides (0 reference, 1 current) and by how much they
+    moved: (label, share_reference, share_current, change, alert). One partial aggregate;
+    a label that a side lacks has share 0 there, null labels count as a label."""
+    counts = rows.groupBy(F.col(label).alias("label")).agg(F.count_if(F.col(side) == 0).alias("n0"), F.count_if(F.col(side) == 1).alias("n1"))
+    whole = counts.agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
+    share = {i: F.coalesce(F.try_divide(f"n{i}", f"t{i}"), F.lit(0.0)) for i in (0, 1)}
+    out = attach_row(counts, whole).select("label", share[0].alias("share_reference"), share[1].alias("share_current"))
+    change = F.col("share_current") - F.col("share_reference")
+    return out.select("*", change.alias("change"), (F.abs(change) > gate).alias("alert"))
+
+
+def zscore_drift(long: DataFrame, limit: float = 3.0, gate: float = DRIFT_GATE) -> DataFrame:
+    """Current values against the reference side's mean and spread: (feature, mean, std,
+    z_mean, share_outside, alert), where z_mean is the current mean's z-score and
+    share_outside the share of current values more than ``limit`` spreads away; an alert
+    where that share passes ``gate``. A feature without reference values has nulls and no
+    alert; a spread of 0 counts as 1."""
+    fit = long.where(F.col("side") == 0).groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    fit = fit.withColumn("std", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
+    z = (F.col("value") - F.col("mean")) / F.col("std")
+    # one row per monitored feature: bounded by the number of columns
+    current = long.where(F.col("side") == 1).join(F.broadcast(fit), "feature", "left")
+    out = current.groupBy("feature", "mean", "std").agg(F.avg(z).alias("z_mean"), F.avg((F.abs(z) > limit).cast("double")).alias("share_outside"))
+    return out.withColumn("alert", F.coalesce(F.col("share_outside") > gate, F.lit(False)))
+
+
 def density_histogram(long: DataFrame, bins: int = 20) -> DataFrame:
     """Equal-width bins over the joint [min, max] of each feature, density =
     count / (n_side * width) per side. Returns feature, side, bin, lo, hi, density."""

@@ -47,6 +47,27 @@ def group_split(df: DataFrame, by: str = "user_id", test_size: float = 0.2, seed
     return others.unionByName(inside)
 
 
+def stratified_sample(df: DataFrame, stratum: str, key: Sequence[str], share: float, seed: int = 42) -> DataFrame:
+    """Exactly ceil(share * n) rows of every stratum of n rows: those that come first by a
+    seeded hash of their key (ties by the key). Rows are counted per (stratum, hash
+    bucket); whole buckets are taken, and only the bucket in which a stratum's sample ends
+    is ranked, so a stratum that holds a third of all rows is spread over its buckets.
+    Null strata are a stratum. Rows equal in stratum and key are told apart by no rule, so
+    pass a key that is unique."""
+    name = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    h = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("long")
+    x = df.withColumn("_h", h).withColumn("_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)).withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit("\0")))
+    counts = x.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_s").orderBy("_b")  # at most 4,096 buckets in a stratum
+    counts = counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n")).withColumn("_want", F.ceil(F.sum("_n").over(Window.partitionBy("_s")) * F.lit(share)))
+    room = counts.select("_s", "_b", F.greatest(F.lit(0), F.least("_n", F.col("_want") - F.col("_before"))).cast("long").alias("_room"), "_n").where("_room > 0")
+    x = x.join(room, ["_s", "_b"])
+    whole, ends = x.where("_room = _n"), x.where("_room < _n")
+    rank = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", *key))
+    ends = ends.withColumn("_rank", rank).where("_rank <= _room")
+    return whole.select(*df.columns).unionByName(ends.select(*df.columns))
+
+
 def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank") -> DataFrame:
     """0-based position of each row in a total order, computed without a
     single-partition window: range-partitioned sort, materialised (so partition

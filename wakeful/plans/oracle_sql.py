@@ -399,6 +399,30 @@ SELECT CAST({n} AS BIGINT) AS n_features, CAST(count(*) FILTER (WHERE p_value <
 FROM ks"""
 
 
+def q_zscore_drift() -> str:
+    return _drift_base() + f""",
+fit AS (SELECT feature, avg(value) AS mean, CASE WHEN stddev_pop(value) = 0 THEN 1.0 ELSE stddev_pop(value) END AS std FROM lng WHERE side = 0 GROUP BY feature)
+SELECT c.feature, {rnd("any_value(f.mean)")} AS mean, {rnd("any_value(f.std)")} AS std, {rnd("avg((c.value - f.mean) / f.std)")} AS z_mean,
+       {rnd("avg(CAST(abs((c.value - f.mean) / f.std) > 3 AS DOUBLE))")} AS share_outside, avg(CAST(abs((c.value - f.mean) / f.std) > 3 AS DOUBLE)) > 0.15 AS alert
+FROM lng c JOIN fit f ON f.feature = c.feature WHERE c.side = 1 GROUP BY c.feature"""
+
+
+def q_label_drift(t: float, split: str) -> str:
+    return _train_users() + f""",
+l AS (SELECT CASE WHEN fatigue_score >= {t} THEN 'Fatigued' ELSE 'Awake' END AS label, TESTSTART >= TIMESTAMP '{split}' AS cur FROM matched),
+s AS (SELECT label, count(*) FILTER (WHERE NOT cur) / (SELECT count(*) FROM l WHERE NOT cur) AS a,
+             count(*) FILTER (WHERE cur) / (SELECT count(*) FROM l WHERE cur) AS b FROM l GROUP BY label)
+SELECT label, {rnd("a")} AS share_reference, {rnd("b")} AS share_current, {rnd("b - a")} AS change, abs(b - a) > 0.15 AS alert FROM s"""
+
+
+def q_stratified_sample(share: float, seed: int = 42) -> str:
+    return f"""
+SELECT l_returnflag, l_orderkey, l_linenumber FROM (
+  SELECT l_returnflag, l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_returnflag) AS n,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('{seed}:' || l_orderkey || ':' || l_linenumber), l_orderkey, l_linenumber) AS r FROM lineitem)
+WHERE r <= ceil({share} * n)"""
+
+
 def q_density_histogram(nbins: int = 20) -> str:
     return _drift_base() + f""",
 ext AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM scaled GROUP BY feature),

@@ -28,7 +28,7 @@ from wakeful.settings import EVENTS_SCALE as S
 from wakeful.operators import drift as D
 from wakeful.operators import metrics as M
 from wakeful.operators.forest import ForestParams, fit_forest, node_rows
-from wakeful.operators.split import group_kfold, group_split
+from wakeful.operators.split import group_kfold, group_split, stratified_sample
 from wakeful.operators.treeshap import shap_additivity
 from wakeful.plans import modeling as MD
 from wakeful.plans import scoring as SC
@@ -173,6 +173,24 @@ def drift_summary_q(spark, sf_dir):
     return round_doubles(D.drift_summary(D.ks_two_sample(_scaled_long(spark, sf_dir)), len(MONITORED)))
 
 
+def zscore_drift_q(spark, sf_dir):
+    return round_doubles(D.zscore_drift(_monitor_long(spark, sf_dir)))
+
+
+def label_drift_q(spark, sf_dir):
+    """Shares of the fatigue labels among the tests before and from the split date."""
+    lab = _labelled(spark, sf_dir)
+    label = F.when(F.col("fatigue_score") >= EVAL_T, "Fatigued").otherwise("Awake")
+    side = (F.col("TESTSTART") >= F.lit(DRIFT_SPLIT).cast("timestamp_ntz")).cast("int")
+    return round_doubles(D.label_drift(lab.select(label.alias("status"), side.alias("side")), "status"))
+
+
+def stratified_sample_q(spark, sf_dir):
+    """A quarter of the order lines of each return flag, exactly."""
+    configure(spark)
+    return stratified_sample(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber"), "l_returnflag", ["l_orderkey", "l_linenumber"], 0.25)
+
+
 def density_histogram_q(spark, sf_dir):
     return round_doubles(D.density_histogram(_scaled_long(spark, sf_dir), 20))
 
@@ -403,11 +421,12 @@ def kb_match_q(spark, sf_dir):
     return round_doubles(AD.kb_match(emb, _kb(spark, sf_dir)).drop("embedding"))
 
 
+QUERY_VEC_ID = 5  # stands in for the encoded query text: the first embedding that is no course
+
+
 def _fallback_rank(spark, sf_dir) -> int:
-    """Semantic fallback course: the KB course nearest to the query vector (the
-    embedding ranked right after the KB, standing in for the encoded query text)."""
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    q = emb.orderBy("vec_id").limit(6).orderBy(F.col("vec_id").desc()).limit(1)
+    """Semantic fallback course: the KB course nearest to the query vector."""
+    q = table(spark, sf_dir, "embeddings").select("vec_id", "embedding").where(F.col("vec_id") >= QUERY_VEC_ID).orderBy("vec_id").limit(1)
     return int(AD.kb_match(q, _kb(spark, sf_dir)).select("kb_rank").first()[0])
 
 
@@ -773,6 +792,9 @@ QUERIES: dict[str, Query] = {
     "ks_drift": ks_drift_q,
     "drift_summary": drift_summary_q,
     "density_histogram": density_histogram_q,
+    "zscore_drift": zscore_drift_q,
+    "label_drift": label_drift_q,
+    "stratified_sample": stratified_sample_q,
     "impute_scale_fit": impute_scale_fit_q,
     "regression_metrics": regression_metrics_q,
     "binary_metrics": binary_metrics_q,
@@ -835,6 +857,9 @@ ORACLE: dict[str, str] = {
     "ks_drift": O.q_ks_drift(),
     "drift_summary": O.q_drift_summary(),
     "density_histogram": O.q_density_histogram(20),
+    "zscore_drift": O.q_zscore_drift(),
+    "label_drift": O.q_label_drift(EVAL_T, DRIFT_SPLIT),
+    "stratified_sample": O.q_stratified_sample(0.25),
     "impute_scale_fit": O.q_impute_scale_fit(),
     "regression_metrics": O.q_regression_metrics(),
     "binary_metrics": O.q_binary_metrics(0.5, 0.5),
