@@ -47,3 +47,29 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def without_rows(docs: DataFrame, key: Column, id_col: str, goes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (id, key) is a row (``_id``, ``_key``) of
+    ``goes``; of the rows whose (id, key) is in ``repeated`` one stays. Null ids are
+    equal to each other. Columns as given; the joins carry ids and keys only, and a
+    second pass over ``docs`` is made only where something is repeated."""
+    own = free_name(docs, "row_key")
+    keyed = docs.withColumn(own, key)
+
+    def same(other: DataFrame) -> Column:
+        return keyed[f"`{id_col}`"].eqNullSafe(other["_id"]) & (keyed[own] == other["_key"])
+
+    if repeated.isEmpty():
+        return keyed.join(goes, same(goes), "left_anti").drop(own)
+    out = goes.select("_id", "_key").union(repeated.select("_id", "_key"))
+    rest = keyed.join(out, same(out), "left_anti").drop(own)
+    row = free_name(docs, "whole_row")
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = (
+        keyed.join(repeated, same(repeated), "left_semi")
+        .groupBy(F.col(f"`{id_col}`"), F.col(own))
+        .agg(F.first(held).alias(row))
+        .select(*[F.col(row)[c].alias(c) for c in docs.columns])
+    )
+    return rest.union(one)

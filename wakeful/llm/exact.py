@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeful.llm.common import WHITE_SPACE, cut_lineage, text_of
+from wakeful.llm.common import WHITE_SPACE, cut_lineage, text_of, without_rows
 
 
 def normalised(text: str | Column) -> Column:
@@ -79,19 +79,20 @@ def _kept(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that repeat the text of one with a smaller id;
-    columns as given. Rows with a null id can't be named by the decision and stay
-    unless a named row has their text; of rows equal in id and text one stays."""
-    groups = exact_groups(docs, id_col, text_col)
-    dropped = groups.where("not kept and (doc_id <> keep_id)").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    unnamed = groups.where("doc_id is null and keep_id is not null").select(F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(normalised(docs[text_col]), 256)
-    named = docs.join(dropped, (docs[id_col] == dropped["_id"]) & (sha == dropped["_sha"]), "left_anti").where(
-        F.col(id_col).isNotNull()
+    """``docs`` with one row of each group of equal texts, that of the smallest id;
+    columns as given. A null id is larger than all others. Where the smallest id is
+    repeated within a group (or all its ids are null), one of those rows stays, which
+    one isn't defined.
+
+    The decision is carried by (id, hash of the text), so that rows which share their
+    id but not their text are told apart."""
+    groups = exact_groups(docs, id_col, text_col).select(
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_key"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("least"), "kept"
     )
-    rest = docs.where(F.col(id_col).isNull())
-    rest = rest.join(unnamed, F.sha2(normalised(rest[text_col]), 256) == unnamed["_sha"], "left_anti")
-    return named.dropDuplicates([id_col, text_col]).unionByName(rest)
+    decided = cut_lineage(groups.where("not kept"), "dropped")
+    goes = decided.where("not least").select("_id", "_key")
+    repeated = decided.where("least").select("_id", "_key").distinct()
+    return without_rows(docs, F.sha2(normalised(F.col(f"`{text_col}`")), 256), id_col, goes, repeated)
 
 
 ORACLE = r"""

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeful.llm.common import cut_lineage, text_of
+from wakeful.llm.common import cut_lineage, text_of, without_rows
 from wakeful.llm.components import connected_components
 
 HASH_SEED = 42
@@ -61,20 +61,23 @@ def simhash(text: bytes, words: int = 3) -> int:
     return int(np.packbits(counts * 2 > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, key: Column | None = None
+) -> DataFrame:
     """(``doc_id``, ``fp``): a row per input row, null text read as empty, ``fp`` the
-    fingerprint's 64 bits as a signed long."""
+    fingerprint's 64 bits as a signed long. With ``key`` (a text) that as well, as
+    ``key``."""
+    names = ["doc_id", "fp"] if key is None else ["doc_id", "fp", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             found = np.array([simhash(t.as_py(), words) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, fp long"
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *([] if key is None else [key.alias("key")]))
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long" + ("" if key is None else ", key string"))
 
 
 # -- the tree ---------------------------------------------------------------------
@@ -232,7 +235,12 @@ def near_duplicates(
     component_id null. Repeated rows are each returned. An empty table gives no rows.
     Other columns of ``docs`` are not looked at, whatever their names.
     """
-    prints = cut_lineage(fingerprints(docs, id_col, text_col, words), "fp")
+    return _grouped(cut_lineage(fingerprints(docs, id_col, text_col, words), "fp"), bits).select("doc_id", "fp", "component_id")
+
+
+def _grouped(prints: DataFrame, bits: int) -> DataFrame:
+    """The written table ``prints`` (``doc_id``, ``fp``, ...) with ``component_id`` and
+    ``root``, a fingerprint that names the row's component."""
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "fps")
     roots = connected_components(near_links(classes, bits))
     # every fingerprint that shares a component or is shared by rows
@@ -241,9 +249,11 @@ def near_duplicates(
         "fp", "least", F.coalesce("root", "fp").alias("root"), ((F.col("n") > 1) | F.col("root").isNotNull()).alias("shared")
     ).where("shared")
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = member.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    found = member.join(least, "root").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), "component_id")
     return prints.join(found, prints.fp == F.col("_fp"), "left").select(
-        "doc_id", "fp", F.when(F.col("_fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        *prints.columns,
+        F.when(F.col("_fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("_root", "fp").alias("root"),
     )
 
 
@@ -252,11 +262,23 @@ def fingerprint_hex(fp: str = "fp"):
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 2) -> DataFrame:
-    """``docs`` without the rows whose id is not their component's smallest: one
-    document of each near-duplicate group stays. Rows with a null id can't be named
-    by the decision and stay; of rows equal in id and text one stays. Columns as
-    given."""
-    dup = near_duplicates(docs, id_col, text_col, words, bits)
-    keep = dup.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    named = docs.join(keep, docs[id_col] == keep["_keep"], "left_semi").dropDuplicates([id_col, text_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each component of near-duplicates, that of the smallest
+    id; columns as given. A null id is larger than all others. Where the smallest id
+    is repeated within a component, the row of the smaller SHA-256 of its text stays;
+    of rows equal in id and text one stays, which one isn't defined.
+
+    The decision is carried by (id, hash of the text), so that rows which share their
+    id but not their text are told apart."""
+    key = F.sha2(text_of(F.col(f"`{text_col}`")), 256)
+    rows = _grouped(cut_lineage(fingerprints(docs, id_col, text_col, words, key), "fp"), bits)
+    # rows equal in id and text are one row here, before any of them meet
+    rows = cut_lineage(rows.groupBy("root", "doc_id", "key").agg(F.count("*").alias("n")), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    first = rows.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("several")).where("several > 1").drop("several")
+    named = first.select(F.col("root").alias("_root"), F.col("first.doc_id").alias("_first_id"), F.col("first.key").alias("_first_key"))
+    stays = F.col("doc_id").eqNullSafe(F.col("_first_id")) & (F.col("key") == F.col("_first_key"))
+    goes = rows.join(named, rows["root"] == named["_root"]).where(~stays).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    goes = cut_lineage(goes, "dropped")
+    repeated = rows.where("n > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    repeated = repeated.join(goes, repeated["_id"].eqNullSafe(goes["_id"]) & (repeated["_key"] == goes["_key"]), "left_anti")
+    return without_rows(docs, key, id_col, goes, repeated)
