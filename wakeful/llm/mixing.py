@@ -6,10 +6,12 @@ of a pattern's tokens costing k - 1, so nothing is repeated while fresh tokens c
 still reach an open quota. The network has one node per pattern and source, not per
 document, and is solved on the driver (at most ``max_patterns`` patterns). What the
 flow takes of a pattern is whole copies of it and a rest; the rest is filled with
-documents in the order of a seeded hash, going on past those that do not fit.
-Selection is distributed: sizes are summed per hash bucket, and only the bucket in
-which the rest ends is looked at row by row, so no source, however large, is sorted in
-one task; the same step is repeated over the untaken documents that still fit.
+documents in the order of a seeded hash, going on past those that do not fit, and
+then by the one nearest in size to what is still open.
+Selection is distributed: sizes are summed per hash bucket, so no source, however
+large, is sorted in one task. Up to the first document that does not fit only one
+bucket is looked at row by row; from there on every step takes at least half of what
+is open, so there are at most log2(open) + 1 of them.
 """
 
 from __future__ import annotations
@@ -27,8 +29,6 @@ from wakeful.llm.common import cut_lineage, text_of, word_count
 
 SEED = 17
 DRAW_BITS, BUCKET_BITS = 52, 12
-TOP_UPS = 2  # nearest documents tried before the rest is filled with what fits
-NEAR = 0.01  # of what a pattern is to give: worth a fill in place of the nearest documents
 
 
 # -- quotas -----------------------------------------------------------------------
@@ -174,11 +174,9 @@ def mix(
     of its own; a null or empty array belongs to none and is never taken). ``quotas``
     maps the sources' sizes to targets. ``size`` defaults to the number of words of
     ``text`` (null: 0). Of a pattern's rest, documents are taken in the order of the
-    seeded hash while they fit; then, twice, the document whose size is nearest to
-    what is still open, where that brings the source nearer to its target; then, in
-    the order of the hash, every document that still fits, until none does, and once
-    more the nearest. Where every fitting document in place of the two nearest ones
-    comes nearer by over 1 % of what the pattern is to give, that is taken. Rows of
+    seeded hash, each that fits into what is still open, until none does; then the
+    one whose size is nearest to what is still open, where taking it brings the source
+    nearer to its target (ties: the smaller, then the earlier in hash order). Rows of
     equal id are taken together. Empty tables give no rows. More than ``max_patterns``
     patterns is an error, as the network is held on the driver.
     """
@@ -208,7 +206,7 @@ def mix(
     targets = quotas(sizes)
     flow = route(tokens, members, targets, copies)
     plan = {p: (f // tokens[p], f % tokens[p]) if tokens[p] else (0, 0) for p, f in flow.items()}
-    return Mix(_taken(rows, cells, plan, flow), sizes, targets, members)
+    return Mix(_taken(rows, cells, plan), sizes, targets, members)
 
 
 def _small(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
@@ -248,7 +246,7 @@ def _untaken(rows: DataFrame, ends: dict[str, Ending]) -> DataFrame:
         .groupBy("pattern", "u", "open")
         .agg(F.sum("size").alias("size"))
         .where("size > 0 and size < 2 * open")
-        .select("pattern", "u", "size"),
+        .select("pattern", "u", "size", F.shiftright("u", DRAW_BITS - BUCKET_BITS).alias("bucket")),
         "mix-untaken",
     )
 
@@ -276,55 +274,56 @@ def _nearest(groups: DataFrame, ends: dict[str, Ending]) -> dict[str, Ending]:
 
 
 def _filled(groups: DataFrame, ends: dict[str, Ending]) -> dict[str, Ending]:
-    """Goes on in the order of the hash past documents that do not fit, until none of
-    the untaken ones fits. A step ends at the first document larger than what the step
-    leaves open, so the next one has only smaller ones to look at."""
+    """Every document that fits, in the order of the hash, until none does.
+
+    Documents of at most half of what is open all fit until they have taken half of
+    it; the larger ones fit where their size is left. A step ends where either event
+    comes first: the small documents up to it are taken and, if it is a large one,
+    that. At least half of what was open is then gone, and every document passed over
+    is larger than what is left."""
     ends = dict(ends)
-    state = {p: e for p, e in ends.items() if e.left > 0}
-    if not state:
-        return ends
-    fitting = (
-        groups.join(_endings(groups, state), "pattern")
-        .where("size <= open and not array_contains(picks, u)")
-        .select("pattern", "u", "size", F.shiftright("u", DRAW_BITS - BUCKET_BITS).alias("bucket"))
-    )
-    last = {p: e.bound for p, e in state.items()}
-    while state:
-        at = _small(groups, [(p, last[p], ends[p].left) for p in state], "pattern string, last long, open long")
-        untaken = fitting.join(at, "pattern").where("u > last and size <= open")
-        upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("bucket"))
+    last = {p: e.bound for p, e in ends.items() if e.left > 0}
+    while last:
+        at = _small(groups, [(p, u, ends[p].left) for p, u in last.items()], "pattern string, last long, open long")
+        fitting = groups.join(at, "pattern").where("u > last and size <= open")
+        small = F.when(2 * F.col("size") <= F.col("open"), F.col("size")).otherwise(0)
+        # sums of whole buckets (at most 2 ** BUCKET_BITS a pattern), then within each
+        cells = fitting.groupBy("pattern", "bucket").agg(F.sum(small).alias("small"))
+        upto = F.sum("small").over(Window.partitionBy("pattern").orderBy("bucket"))
+        cells = cells.select("pattern", "bucket", (upto - F.col("small")).alias("before"))
+        inside = F.sum(small).over(Window.partitionBy("pattern", "bucket").orderBy("u"))
+        event = (small > 0) & (2 * F.col("taken") > F.col("open")) | (small == 0) & (F.col("taken") + F.col("size") <= F.col("open"))
         found = (
-            untaken.groupBy("pattern", "bucket", "open")
-            .agg(F.sum("size").alias("size"))
-            .select("pattern", "open", "bucket", upto.alias("upto"), (upto - F.col("size")).alias("before"))
+            fitting.withColumn("inside", inside)
+            .join(cells, ["pattern", "bucket"])
+            .withColumn("taken", F.col("before") + F.col("inside"))
             .groupBy("pattern")
-            .agg(F.max("upto").alias("all"), F.min(F.when(F.col("upto") > F.col("open"), F.struct("bucket", "before"))).alias("crossed"))
+            .agg(
+                F.min(F.when(event, F.struct("u", "size", "taken", (small == 0).alias("large")))).alias("event"),
+                F.max("taken").alias("all"),
+            )
             .collect()
         )
-        crossed = {r["pattern"]: r["crossed"] for r in found if r["crossed"] is not None}
-        taken = {r["pattern"]: ((1 << DRAW_BITS) - 1, r["all"]) for r in found}
-        taken |= {p: ((c["bucket"] << (DRAW_BITS - BUCKET_BITS)) - 1, c["before"]) for p, c in crossed.items()}
-        if crossed:
-            inside = _small(groups, [(p, c["bucket"], c["before"]) for p, c in crossed.items()], "pattern string, bucket long, before long")
-            running = F.col("before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("u"))
-            row_ends = (
-                untaken.join(inside, ["pattern", "bucket"])
-                .select("pattern", "u", "open", running.alias("upto"))
-                .where("upto <= open")
-                .groupBy("pattern")
-                .agg(F.max("u").alias("u"), F.max("upto").alias("size"))
-                .collect()
-            )
-            taken |= {r["pattern"]: (r["u"], r["size"]) for r in row_ends}
-        for p, (u, size) in taken.items():
-            e = ends[p]
-            ends[p] = replace(e, left=e.left - size, steps=(*e.steps, (e.left, u)))
-            last[p] = u
-        state = {p: ends[p] for p in crossed if ends[p].left > 0}
+        state = {r["pattern"]: r for r in found}
+        for p in list(last):
+            e, r = ends[p], state.get(p)
+            if r is None:  # none fits
+                del last[p]
+                continue
+            stop = r["event"]
+            step = (e.left // 2, (1 << DRAW_BITS) - 1 if stop is None else stop["u"])
+            taken, picks = (r["all"], e.picks) if stop is None else (stop["taken"], e.picks)
+            if stop is not None and stop["large"]:
+                taken, picks = taken + stop["size"], (*picks, stop["u"])
+            ends[p] = replace(e, left=e.left - taken, picks=picks, steps=(*e.steps, step))
+            if stop is None or not ends[p].left:
+                del last[p]
+            else:
+                last[p] = stop["u"]
     return ends
 
 
-def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]], wanted: dict[str, int]) -> DataFrame:
+def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]]) -> DataFrame:
     rests = _small(rows, [(p, rest) for p, (_, rest) in plan.items()], "pattern string, rest long")
     upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("bucket"))
     crossed = (
@@ -355,15 +354,7 @@ def _taken(rows: DataFrame, cells: DataFrame, plan: dict[str, tuple[int, int]],
         left[r["pattern"]] -= r["size"]
     start = {p: Ending(bound[p], left[p]) for p in plan}
     groups = _untaken(rows, start)
-    chosen = start
-    for _ in range(TOP_UPS):
-        chosen = _nearest(groups, chosen)
-    chosen = _nearest(groups, _filled(groups, chosen))
-    # a document nearest in size may be far off where smaller ones would fill the rest
-    far = {p: start[p] for p, e in chosen.items() if abs(e.left) > NEAR * wanted[p]}
-    for p, e in _nearest(groups, _filled(groups, far)).items():
-        if abs(chosen[p].left) - abs(e.left) > NEAR * wanted[p]:
-            chosen = chosen | {p: e}
+    chosen = _nearest(groups, _filled(groups, start))
     extra = (F.col("u") <= F.col("bound")) | F.array_contains("picks", F.col("u"))
     stepped = {p: e for p, e in chosen.items() if e.steps}
     if stepped:
@@ -440,16 +431,25 @@ WITH RECURSIVE d AS (
   SELECT *, upto <= rest AS prefix FROM r
 ), r1 AS (
   SELECT *, rest - coalesce(sum(size) FILTER (WHERE prefix) OVER (PARTITION BY source), 0) AS open1 FROM r0
-), r2 AS (
-  SELECT *, NOT prefix AND size > 0 AND size < 2 * open1 AND row_number() OVER (
-    PARTITION BY source, NOT prefix AND size > 0 AND size < 2 * open1 ORDER BY abs(open1 - size), size, u) = 1 AS pick1 FROM r1
-), r3 AS (
-  SELECT *, open1 - coalesce(sum(size) FILTER (WHERE pick1) OVER (PARTITION BY source), 0) AS open2 FROM r2
-), r4 AS (
-  SELECT *, NOT prefix AND NOT pick1 AND size > 0 AND size < 2 * open2 AND row_number() OVER (
-    PARTITION BY source, NOT prefix AND NOT pick1 AND size > 0 AND size < 2 * open2 ORDER BY abs(open2 - size), size, u) = 1 AS pick2 FROM r3
+), g AS (
+  SELECT source, u, sum(size)::BIGINT AS size, any_value(open1) AS open1 FROM r1 WHERE NOT prefix AND size > 0 GROUP BY source, u
+), f AS (
+  SELECT DISTINCT source, (-1)::BIGINT AS u, open1 AS open FROM r1 WHERE open1 > 0
+  UNION ALL
+  SELECT f.source, min(g.u), f.open - arg_min(g.size, g.u)
+  FROM f JOIN g ON f.source IS NOT DISTINCT FROM g.source AND g.u > f.u AND g.size <= f.open
+  GROUP BY f.source, f.u, f.open
+), e2 AS (
+  SELECT source, min(open) AS open2 FROM f GROUP BY source
+), n AS (
+  SELECT g.source, min({{'off': abs(open2 - size), 'size': size, 'u': g.u}}).u AS u
+  FROM g JOIN e2 ON g.source IS NOT DISTINCT FROM e2.source
+  WHERE size < 2 * open2 AND NOT EXISTS (SELECT 1 FROM f WHERE f.source IS NOT DISTINCT FROM g.source AND f.u = g.u)
+  GROUP BY g.source
+), extra AS (
+  SELECT source, u FROM f WHERE u >= 0 UNION SELECT source, u FROM n
 )
-SELECT doc_id, size, source_size, target,
-  (size * (whole + CASE WHEN prefix OR pick1 OR pick2 THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM r4
+SELECT r1.doc_id, r1.size, r1.source_size, r1.target,
+  (r1.size * (r1.whole + CASE WHEN r1.prefix OR extra.u IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r1 LEFT JOIN extra ON r1.source IS NOT DISTINCT FROM extra.source AND r1.u = extra.u
 """
