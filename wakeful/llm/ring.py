@@ -8,9 +8,10 @@ node of a shard with room. With no slack the bounds add up to the number of rows
 all shards are exactly full: counts differ by one at most, whatever the keys.
 
 Only the rows per cell (a fixed number of counts) reach the driver, where the overflow
-is settled for runs of keys at once; rows then find their run by cell and by their rank
-within it. Ranks are windows per cell, so a shard or source of any size is spread over
-many tasks.
+is settled for runs of keys at once; rows then find their run by their rank on the
+ring. Ranks come from a range partitioning in ring order, which parts even rows of one
+key: a rank is the number of rows in earlier ranges and the place within the range, so
+a key, cell, shard or source of any size is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -130,14 +131,27 @@ def assign_shards(
             (F.octet_length(text) + 8).cast("long").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
             position(id_col, text).alias("h"),
+            F.monotonically_increasing_id().alias("rid"),
         ).withColumn("cell", F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int")),
         "ring",
     )
+    spark = rows.sparkSession
     counts = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}  # at most 65,536
-    runs = [(r.cell, r.low, r.high, r.shard, r.slot) for r in settle(counts, shards, each, slack)]
-    table = rows.sparkSession.createDataFrame(runs, "cell int, low long, high long, shard int, first long")
-    order = Window.partitionBy("cell").orderBy("h", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", F.row_number().over(order) - 1)
+    before, start = 0, {}
+    for cell in sorted(counts):
+        start[cell] = before
+        before += counts[cell]
+    runs = [(r.cell, start[r.cell] + r.low, start[r.cell] + r.high, r.shard, r.slot) for r in settle(counts, shards, each, slack)]
+    table = spark.createDataFrame(runs, "cell int, low long, high long, shard int, first long")
+    order = ["cell", "h", "doc_id", "text_crc32", "size", "rid"]
+    ranged = cut_lineage(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ring-ranges")
+    before, ranges = 0, []
+    for r in sorted(ranged.groupBy("part").count().collect()):  # a row per range
+        ranges.append((r["part"], before))
+        before += r["count"]
+    ranges = F.broadcast(spark.createDataFrame(ranges, "part int, before long"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    ranked = ranged.withColumn("place", place).join(ranges, "part").withColumn("rank", F.col("before") + F.col("place"))
     # at most a run per cell, arc and overflow: bounded by the ring, not by the rows
     found = ranked.join(
         F.broadcast(table), (ranked["cell"] == table["cell"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
