@@ -12,6 +12,7 @@ from wakeful.llm.common import cut_lineage, table
 
 SF = "/root/testdata/sf0.01"
 LANGUAGES = ["de", "en", "es", "fr"]
+KEYS = ["q", "q0", "said", "count", "prior", "posterior", "domain", "suffix", "domain_share", "suffix_ll", "said_ll", "known_host", "_host"]
 
 
 # -- language ---------------------------------------------------------------------
@@ -91,9 +92,9 @@ def test_languages_of_held_out_documents(spark):
 
 
 def test_language_edge_cases(spark, edge, none):
-    cast = lambda d: d.select("doc_id", "text", F.col("source").alias("host"), F.lit(None).cast("string").alias("declared"), "rank", "size")
+    cast = lambda d: d.select("doc_id", "text", F.col("source").alias("host"), F.lit(None).cast("string").alias("declared"), "rank", "size", *[F.col("doc_id").alias(c) for c in KEYS])
     found = language.identify(cast(edge), edge, LANGUAGES).collect()
-    assert len(found) == edge.count()
+    assert len(found) == edge.count() and all(r[c] == r["doc_id"] for r in found for c in KEYS)
     assert all(r["lang_found"] in LANGUAGES and 0 < r["confidence"] <= 1 for r in found)
     assert {r["text_lang"] for r in found if r["n_words"] == 0} == {None}
     assert language.identify(cast(none), edge, LANGUAGES).count() == 0

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeful.llm.chunks import portions
-from wakeful.llm.common import cut_lineage, let, text_of
+from wakeful.llm.common import cut_lineage, free_name, let, text_of
 
 SAMPLE_ROWS = 20_000  # labelled texts that the trigram model is fitted on, at most about
 TRIGRAMS = 50_000
@@ -183,17 +183,23 @@ def _shares(counts: Column, parent: Column) -> Column:
 
 def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     """``rows`` with ``host``, ``declared``, ``ll``, ``n_words`` -> the same rows with
-    ``text_lang``, ``lang_found`` and ``confidence``."""
+    ``text_lang``, ``lang_found`` and ``confidence`` in place of ``ll``. A host without
+    a dot (a source's name) has no domain and no suffix: its prior is smoothed towards
+    that of all hosts."""
     k = len(languages)
+    q_, said_, host_, count_, share_, suffix_ll_, prior_, said_ll_, posterior_ = (
+        free_name(rows, c) for c in ("q", "said", "known_host", "count", "domain_share", "suffix_ll", "prior", "said_ll", "posterior")
+    )
     q = F.when(F.col("n_words") > 0, _softmax(F.col("ll"))).otherwise(F.array(*[F.lit(0.0)] * k))
     rows = cut_lineage(
-        rows.withColumn("q", q).withColumn(
-            "said", F.when(F.col("declared").isNull(), F.lit(None)).when(F.col("declared").isin(languages), F.col("declared")).otherwise("other")
+        rows.withColumn(q_, q).withColumn(
+            said_, F.when(F.col("declared").isNull(), F.lit(None)).when(F.col("declared").isin(languages), F.col("declared")).otherwise("other")
         ),
         "language",
     )
-    sums = [F.sum(F.col("q")[i]).alias(f"q{i}") for i in range(k)]
+    sums = [F.sum(F.col(q_)[i]).alias(f"q{i}") for i in range(k)]
     counts = F.array(*[F.col(f"q{i}") for i in range(k)])
+    none = F.array(*[F.lit(0.0)] * k)
 
     everywhere = rows.agg(*sums).first()
     total = [everywhere[i] or 0.0 for i in range(k)]
@@ -201,49 +207,54 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     whole = F.array(*map(F.lit, world))
 
     # markup: P(said | language), a table of k + 1 rows at most
-    said = rows.where("said is not null").groupBy("said").agg(*sums).collect()
+    said = rows.where(F.col(said_).isNotNull()).groupBy(F.col(said_).alias("said")).agg(*sums).collect()
     named = {r["said"]: [r[f"q{i}"] for i in range(k)] for r in said}
     mass = [sum(v[i] for v in named.values()) for i in range(k)]
-    markup_ll: Column = F.array(*[F.lit(0.0)] * k)
+    markup_ll: Column = none
     for name, v in named.items():
         logs = [float(np.log((v[i] + 1) / (mass[i] + len(named) + 1))) for i in range(k)]
-        markup_ll = F.when(F.col("said") == name, F.array(*map(F.lit, logs))).otherwise(markup_ll)
+        markup_ll = F.when(F.col(said_) == name, F.array(*map(F.lit, logs))).otherwise(markup_ll)
 
     # hosts: counts, then their domain's shares and their suffix's likelihood
-    hosts = cut_lineage(rows.where("host is not null").groupBy("host").agg(*sums).select("host", counts.alias("count")), "hosts")
+    hosts = cut_lineage(
+        rows.where("host is not null").groupBy(F.col("host").alias("host")).agg(*sums).select("host", counts.alias("count")), "hosts"
+    )
     by = [F.sum(F.col("count")[i]).alias(f"q{i}") for i in range(k)]
     host = F.col("host")
-    domains = hosts.groupBy(domain_of(host).alias("domain")).agg(*by).select("domain", _shares(counts, whole).alias("domain_share"))
-    suffixes = hosts.groupBy(suffix_of(host).alias("suffix")).agg(*by)
-    mass_of = hosts.agg(*by).first()
+    addresses = hosts.where(F.contains(host, F.lit(".")))
+    domains = addresses.groupBy(domain_of(host).alias("domain")).agg(*by).select("domain", _shares(counts, whole).alias("domain_share"))
+    suffixes = addresses.groupBy(suffix_of(host).alias("suffix")).agg(*by)
+    mass_of = addresses.agg(*by).first()
     suffix_ll = F.array(*[F.log((F.col(f"q{i}") + world[i]) / ((mass_of[i] or 0.0) + 1.0)) for i in range(k)])
     suffixes = suffixes.select("suffix", F.transform(suffix_ll, lambda x: x - F.array_max(suffix_ll)).alias("suffix_ll"))
+    dotted = F.contains(host, F.lit("."))
     level = (
-        hosts.withColumn("domain", domain_of(host))
-        .withColumn("suffix", suffix_of(host))
-        .join(domains, "domain")
-        .join(suffixes, "suffix")
-        .select(host.alias("_host"), "count", "domain_share", "suffix_ll")
+        hosts.withColumn("domain", F.when(dotted, domain_of(host)))
+        .withColumn("suffix", F.when(dotted, suffix_of(host)))
+        .join(domains, "domain", "left")
+        .join(suffixes, "suffix", "left")
+        .select(
+            host.alias(host_), F.col("count").alias(count_), F.coalesce("domain_share", whole).alias(share_), F.coalesce("suffix_ll", none).alias(suffix_ll_)
+        )
     )
-    joined = rows.join(level, rows["host"] == level["_host"], "left")
-    own = F.zip_with("count", "q", lambda c, mine: F.greatest(c - mine, F.lit(0.0)))
-    prior = F.coalesce(_shares(own, F.col("domain_share")), whole)
-    none = F.array(*[F.lit(0.0)] * k)
-    joined = joined.withColumn("prior", prior).withColumn("said_ll", markup_ll)
+    joined = rows.join(level, rows["host"] == level[host_], "left")
+    own = F.zip_with(count_, q_, lambda c, mine: F.greatest(c - mine, F.lit(0.0)))
+    prior = F.coalesce(_shares(own, F.col(share_)), whole)
+    joined = joined.withColumn(prior_, prior).withColumn(said_ll_, markup_ll)
     scores = F.transform(
         F.arrays_zip(
-            F.col("ll").alias("a"), F.col("prior").alias("b"), F.col("said_ll").alias("c"), F.coalesce("suffix_ll", none).alias("d")
+            F.col("ll").alias("a"), F.col(prior_).alias("b"), F.col(said_ll_).alias("c"), F.coalesce(suffix_ll_, none).alias("d")
         ),
         lambda x: x["a"] + F.log(x["b"]) + x["c"] + x["d"],
     )
     names = F.array(*map(F.lit, languages))
-    best = F.array_max("posterior")
+    best = F.array_max(posterior_)
     return (
-        joined.withColumn("posterior", _softmax(scores))
-        .withColumn("lang_found", F.element_at(names, F.array_position("posterior", best).cast("int")))
+        joined.withColumn(posterior_, _softmax(scores))
+        .withColumn("lang_found", F.element_at(names, F.array_position(posterior_, best).cast("int")))
         .withColumn("confidence", best)
-        .withColumn("text_lang", F.when(F.col("n_words") > 0, F.element_at(names, F.array_position("q", F.array_max("q")).cast("int"))))
-        .drop("_host", "count", "domain_share", "suffix_ll", "prior", "said_ll", "posterior", "q", "said", "ll")
+        .withColumn("text_lang", F.when(F.col("n_words") > 0, F.element_at(names, F.array_position(q_, F.array_max(q_)).cast("int"))))
+        .drop(host_, count_, share_, suffix_ll_, prior_, said_ll_, posterior_, q_, said_, "ll")
     )
 
 
@@ -257,8 +268,8 @@ def identify(rows: DataFrame, labelled: DataFrame, languages: list[str]) -> Data
     texts without letters, are judged by the other evidence; a null host takes the
     prior of all hosts, a null or unknown declaration says nothing or ``other``.
     Without any evidence the most frequent language is given. Repeated rows are each
-    returned; empty tables give no rows; key columns may have any names but those
-    this operator adds.
+    returned; empty tables give no rows; key columns may have any names but ``ll`` and
+    the four of the result.
     """
     known = labelled.where(F.col("lang").isin(languages) & F.col("text").isNotNull())
     share = max(1, -(-known.select("lang").count() // SAMPLE_ROWS))

@@ -38,11 +38,12 @@ LANGUAGES = ["de", "en", "es", "fr"]
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents (host: their source; declared: their lang column) and pages (host,
-    suffix and markup as they are) in one result: ``doc_id`` or ``page_id`` is set."""
+    """Documents (host: their source; they declare nothing, their lang column is what
+    the text model learns) and pages (host, suffix and markup as they are) in one
+    result: ``doc_id`` or ``page_id`` is set."""
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     none = F.lit(None).cast("long")
-    rows = docs.select("doc_id", none.alias("page_id"), "text", F.col("source").alias("host"), F.col("lang").alias("declared")).union(
+    rows = docs.select("doc_id", none.alias("page_id"), "text", F.col("source").alias("host"), F.lit(None).cast("string").alias("declared")).union(
         pages.select(
             none.alias("doc_id"), "page_id", language.visible_text(text_of("html")), language.host_of(F.col("url")), language.declared_in(F.col("html"))
         )
