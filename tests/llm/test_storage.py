@@ -203,3 +203,16 @@ def test_ring_edge_cases(edge, none):
     assert ring.assign_shards(none, 24).count() == 0
     one = ring.assign_shards(edge.repartition(3), 24).collect()
     assert sorted(map(str, one)) == sorted(map(str, rows))
+
+
+def test_ring_spreads_a_repeated_id(spark):
+    """A third of the rows under one id: in ring order, no two on one slot, counts even."""
+    rows = [(7 if i % 3 == 0 else i, f"t{i % 50}" if i % 6 else "same") for i in range(3000)]
+    found = ring.assign_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 24).collect()
+    slots = {}
+    for r in found:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(map(len, slots.values())) == [125] * 24
+    assert all(sorted(s) == list(range(125)) for s in slots.values())
+    again = ring.assign_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 24).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
