@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -54,6 +55,18 @@ def test_full_tables_are_emptied():
         assert ids.tolist() == [i for w in "abcda" for i in own.library.encode(w)] and len(counts) == 3 and counts[1] == 0
 
 
+def test_digests_hold_little_at_once():
+    """Numbers of many texts' ids are not held together."""
+    own = pieces.codec(PIECES)
+    texts = pa.array([" ".join(f"word{(i * k) % 97} and" for k in range(400)) for i in range(900)], pa.string())
+    list(pieces._digests(own, texts.slice(0, 100), True))  # the chunk table
+    tracemalloc.start()
+    rows = sum(len(c[0]) for c in pieces._digests(own, texts, True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert texts.nbytes > 3 << 20 and rows == len(texts) and peak < 40 << 20
+
+
 def test_vocabulary_whose_pieces_cross_words(tmp_path):
     from sentencepiece import sentencepiece_model_pb2 as spec
 

@@ -30,6 +30,7 @@ from wakeful.llm.chunks import ChunkTable, cut, portions
 from wakeful.llm.common import text_of
 
 MARK = "▁"
+PORTION = 1 << 19  # bytes of text whose ids are Python numbers at once: some 60 bytes for each byte of text
 RUNS = re.compile(r" *[^ ]+| +\Z")
 
 
@@ -127,6 +128,18 @@ def decode_pieces(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_co
     return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def _digests(own: PieceCodec, texts: pa.Array, with_ids: bool) -> Iterator[list[pa.Array]]:
+    """Columns of :func:`round_trip` but the first, a portion of the texts at a time."""
+    for part in portions(texts, PORTION):
+        listed = [ids.tolist() for ids in own.encode(part)]
+        yield [
+            pa.array(list(map(len, listed)), pa.int64()),
+            pa.array([hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in listed], pa.string()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in own.decode(listed)], pa.string()),
+            *[pa.array(listed, pa.list_(pa.int32()))] * with_ids,
+        ]
+
+
 def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``): digests of the
     ids (decimal, joined by commas) and of their decoding, made where the ids are, so
@@ -137,17 +150,9 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
         own = codec(model)
         for batch in batches:
             at = 0
-            for part in portions(batch.column(1), 4 << 20):
-                listed = [ids.tolist() for ids in own.encode(part)]
-                columns = [
-                    batch.column(0).slice(at, len(part)),
-                    pa.array(list(map(len, listed)), pa.int64()),
-                    pa.array([hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in listed], pa.string()),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in own.decode(listed)], pa.string()),
-                    *[pa.array(listed, pa.list_(pa.int32()))] * with_ids,
-                ]
-                at += len(part)
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for columns in _digests(own, batch.column(1), with_ids):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(columns[0])), *columns], names)
+                at += len(columns[0])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
