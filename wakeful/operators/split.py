@@ -59,7 +59,8 @@ def stratified_sample(df: DataFrame, stratum: str, key: Sequence[str], share: fl
     x = df.withColumn("_h", h).withColumn("_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)).withColumn("_s", F.coalesce(F.col(stratum).cast("string"), F.lit("\0")))
     counts = x.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("_s").orderBy("_b")  # at most 4,096 buckets in a stratum
-    counts = counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n")).withColumn("_want", F.ceil(F.sum("_n").over(Window.partitionBy("_s")) * F.lit(share)))
+    all_ = upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n")).withColumn("_want", F.ceil(F.sum("_n").over(all_) * F.lit(share)))
     room = counts.select("_s", "_b", F.greatest(F.lit(0), F.least("_n", F.col("_want") - F.col("_before"))).cast("long").alias("_room"), "_n").where("_room > 0")
     x = x.join(room, ["_s", "_b"])
     whole, ends = x.where("_room = _n"), x.where("_room < _n")
