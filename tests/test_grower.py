@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wakeful.operators import grower
 from wakeful.operators.forest import ForestParams, fit_forest, forest_of, load_forest, save_forest
-from wakeful.operators.grower import NODE, Forest, bin_samples, compile_nodes, grow, held_out_scores, nodes_of
+from wakeful.operators.grower import NODE, Forest, bin_samples, compile_nodes, cross_scores, grow, held_out_scores, nodes_of
 from wakeful.plans import modeling
 from wakeful.settings import MODEL_FEATURES
 
@@ -130,6 +130,41 @@ def test_held_out_scores_equal_brute_force(packed):
         assert tp == part["n"][(y >= 0.3) & (p >= 0.3)].sum() and fn == part["n"][(y >= 0.3) & (p < 0.3)].sum()
 
 
+@pytest.mark.parametrize("local, pack", [(10**6, 10**6), (10**6, 1), (350, 60), (20, 60)])
+def test_scores_at_once_equal_those_of_the_nodes(packed, local, pack):
+    """Of whole trees (in one group or many), of levels alone, of levels and packs."""
+    a, b = sorted(map(tuple, held_out_scores(packed, grow(packed, FORESTS), 0.3).collect())), sorted(map(tuple, cross_scores(packed, FORESTS, 0.3, local, pack).collect()))
+    assert [x[0] for x in b] == [0, 1] and np.allclose(np.array(a, float), np.array(b, float), rtol=1e-12)
+
+
+def test_rows_are_sent_to_groups_not_to_trees(packed, monkeypatch):
+    """Sixty times the trees: no more groups than allowed, each tree in one of them, and
+    shallow trees of many rows are grown without sending any row."""
+    monkeypatch.setattr(grower, "GROUPS", 3)
+    many = [Forest(**{**f.__dict__, "trees": 60 * f.trees}) for f in FORESTS]
+    groups = grower._groups(packed, many, [0, 1, 2], 1, 3)
+    assert len(groups) == 3
+    for i, f in enumerate(many):
+        assert sorted(t for g in groups for s in g if s.forest == i for t in s.trees.tolist()) == list(range(f.trees))
+    shallow = grow(packed, [FORESTS[0]], local=20, pack_rows=60)
+    assert shallow.packs.count() == 0 and not (shallow.tops[0]["feature"] == -2).any()
+
+
+def test_draws_equal_inversion_by_steps():
+    rng = np.random.default_rng(1)
+    rid, n = rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.integers(1, 90, 5000)
+    u = (grower._mix(rid ^ grower._key(3, 5)) >> np.uint64(11)).astype(float) / (1 << 53)
+    w = grower.poisson(rid, n, 3, 5)
+    for k in np.flatnonzero(n <= 64).tolist()[:500]:
+        term = upto = np.exp(-float(n[k]))
+        found = 0
+        while u[k] >= upto:
+            found += 1
+            term = term * n[k] / found
+            upto += term
+        assert w[k] == found
+
+
 def test_bootstrap_draws():
     rid = np.random.default_rng(0).integers(0, 1 << 63, 40_000).astype(np.uint64)
     for mean in (1, 5, 60, 5000):
