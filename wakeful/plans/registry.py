@@ -506,17 +506,18 @@ RAW_FEEDS = {  # feed -> (file prefix, order of a file's rows, CSV schema)
 
 
 def _raw_folder(spark, sf_dir) -> str:
-    """The feeds as the original's raw files: one CSV file per user and feed."""
+    """The feeds as the original's raw files: one CSV file per user and feed, a folder
+    per feed."""
     folder = scratch_path(spark, "raw")
     for name, feed in _feeds(spark, sf_dir).items():
         prefix, order, schema = RAW_FEEDS[name]
         texts = [F.col(c).cast("string").alias(c) if f"{c} string" in schema else F.col(c) for c in feed.columns]
-        cut_lineage(FS.write_user_files(feed.select(*texts), folder, prefix, order), "raw-files")
+        cut_lineage(FS.write_user_files(feed.select(*texts), f"{folder}/{name}", prefix, order), "raw-files")
     return folder
 
 
 def _read_raw(spark, folder) -> dict[str, DataFrame]:
-    return {n: FS.read_user_feed(spark, folder, schema, f"{prefix}_*.csv") for n, (prefix, _, schema) in RAW_FEEDS.items()}
+    return {n: FS.read_user_feed(spark, f"{folder}/{n}", schema, f"{prefix}_*.csv") for n, (prefix, _, schema) in RAW_FEEDS.items()}
 
 
 def raw_to_features_q(spark, sf_dir):
@@ -524,6 +525,7 @@ def raw_to_features_q(spark, sf_dir):
     f = _read_raw(spark, _raw_folder(spark, sf_dir))
     checked = SCH.quarantine(f["hr"].select(F.col("user_id").alias("id"), "HRTIME", "HR"), SCH.HEART_RATE_RAW, scratch_path(spark, "checked-hr"))
     f["hr"] = checked.valid.withColumnRenamed("id", "user_id")  # valid rows go on, the others stay in quarantine
+    f |= {n: cut_lineage(f[n], f"raw-{n}") for n in ("sleep", "pvt")}  # the files are opened once, the feeds used twice
     lab = labelled_features(f["hr"], f["sleep"], f["pvt"], S)
     cols = ["user_id", "TESTSTART", "TESTID", "offset_us", "MATCH_TIME", "HRTIME", "pvt_mean_rt", "fatigue_score"]
     return round_doubles(lab.select(*cols, *FEATURE_COLS))

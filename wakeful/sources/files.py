@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -85,11 +86,77 @@ def discover_users(spark: SparkSession, paths: str | Sequence[str], pattern: str
     return ids.distinct()
 
 
+def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    base = re.sub(r"^file:/(?!/)", "file:///", folder)
+    return fs.FileSystem.from_uri(base) if "://" in base else (fs.LocalFileSystem(), base)
+
+
+def _range_lines(f, start: int, stop: int) -> list[bytes]:
+    """The lines of a file that begin in [start, stop), the last one read to its end."""
+    f.seek(max(start - 1, 0))
+    data = f.read(stop - max(start - 1, 0))
+    if start:  # what comes before the first line end belongs to the range before
+        data = data[(data.find(b"\n") + 1) or len(data):]
+    if data and not data.endswith(b"\n"):
+        parts = [data]
+        while (more := f.read(65_536)) and b"\n" not in more:
+            parts.append(more)
+        data = b"".join([*parts, more[: more.find(b"\n") + 1]])
+    return data.splitlines()
+
+
+BLANK = bytes(range(33))  # lines of these only are skipped, as in Spark's CSV scan
+RANGE_BYTES = 8 * 1024 * 1024  # of a file that are read at once
+FILES_PER_TASK, BYTES_PER_TASK, LINES_PER_BATCH = 2_000, 64 * 1024 * 1024, 20_000
+
+
 def read_user_feed(spark: SparkSession, folder: str, schema: StructType | str, pattern: str, by: str = "user_id") -> DataFrame:
     """One read over all users' CSV files of a feed (``pattern`` with ``*`` for the
-    digits); the user comes from the file's name."""
-    df = read_csv(spark, f"{folder}/{pattern}", schema)
-    return df.withColumn(by, extract_id(F.col("_metadata.file_name"), pattern).cast("long"))
+    digits), first line a header; the user comes from the file's name.
+
+    With a file per user, a Spark scan pays for a listing task and a reader per file. Here
+    one task lists the folder, files are cut into ranges of lines (so a long one is
+    shared out) and dealt to tasks that open many each. Lines are parsed by Spark, as
+    in :func:`read_csv`."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            store, root = _file_system(folder)
+            found = [i for i in store.get_file_info(fs.FileSelector(root)) if i.is_file and fnmatch.fnmatchcase(i.base_name, pattern)]
+            for k in range(0, len(found), LINES_PER_BATCH):
+                some = found[k : k + LINES_PER_BATCH]
+                yield pa.RecordBatch.from_arrays([pa.array([i.base_name for i in some]), pa.array([i.size for i in some], pa.int64())], ["file", "length"])
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _file_system(folder)
+        files, texts = [], []
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(texts, pa.string())], ["file", "line"])
+
+        for ranges in batches:
+            for name, length, start in zip(*(c.to_pylist() for c in ranges.columns)):
+                with store.open_input_file(f"{root}/{name}") as f:
+                    found = [x for x in _range_lines(f, start, min(start + RANGE_BYTES, length)) if x.strip(BLANK)]
+                found = found[0 if start else 1 :]
+                files += [name] * len(found)
+                texts += [x.decode("utf-8", "replace") for x in found]
+                if len(texts) >= LINES_PER_BATCH:
+                    yield batch()
+                    files, texts = [], []
+        if texts:
+            yield batch()
+
+    listed = cut_lineage(spark.range(0, 1, 1, 1).mapInArrow(names, "file string, length long"), "listing")
+    n, size = listed.agg(F.count(F.lit(1)), F.sum("length")).first()
+    if not n:
+        raise FileNotFoundError(f"{folder}/{pattern}")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(RANGE_BYTES).cast("long"))
+    tasks = max(min(n, spark.sparkContext.defaultParallelism), n // FILES_PER_TASK, size // BYTES_PER_TASK)
+    ranges = listed.select("file", "length", F.explode(starts).alias("start")).repartition(tasks)
+    rows = ranges.mapInArrow(lines, "file string, line string")
+    ddl = schema if isinstance(schema, str) else schema.toDDL()
+    return rows.select(F.from_csv("line", ddl).alias("_r"), extract_id(F.col("file"), pattern).cast("long").alias(by)).select("_r.*", by)
 
 
 def write_user_files(df: DataFrame, folder: str, prefix: str, order: Sequence[str], by: str = "user_id") -> DataFrame:
@@ -99,10 +166,9 @@ def write_user_files(df: DataFrame, folder: str, prefix: str, order: Sequence[st
     with the users nor memory with a user's rows. Returns (user, path) of the files of
     committed tasks; a repeated task overwrites its own files."""
     columns = [c for c in df.columns if c != by]
-    base = re.sub(r"^file:/(?!/)", "file:///", folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(base) if "://" in base else (fs.LocalFileSystem(), base)
+        store, root = _file_system(folder)
         store.create_dir(root, recursive=True)
         done, user, writer, out = [], None, None, None
         for batch in batches:
