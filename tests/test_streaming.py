@@ -87,3 +87,29 @@ def test_state_does_not_grow_with_readings_of_a_time(spark):
     want = {(r["user_id"], r["m"]): r["HR"] for r in grid}
     assert len(out) == len(want) == 8
     assert all(abs(want[r["user_id"], r["HRTIME"]] - r["HR"]) < 1e-9 for r in out) and sum(r["n_readings"] for r in out) == 6000
+
+
+def test_request_batches_take_a_file_for_each_core(spark, tmp_path, monkeypatch):
+    """A batch took one file, so batches grew with the files and one task read each."""
+    from wakeful.plans import registry as R
+
+    t0 = datetime(2024, 1, 1, 8, 0, 0)
+    kinds = ("click", "view", "error", "purchase")
+    rows = [(100 * u + i, t0 + timedelta(hours=5 * i, minutes=u), u, kinds[(u + i) % 4], 40.0 + (7 * u + 11 * i) % 60, "{}") for u in range(30) for i in range(16)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/events.parquet")
+    outs, score = [], R.ST.score_stream
+
+    def kept(*args, **kw):
+        outs.append(score(*args, **kw))
+        return outs[-1]
+
+    monkeypatch.setattr(R.ST, "score_stream", kept)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a file for each of 8 partitions
+    try:
+        got = R.stream_request_features_q(spark, f"file://{tmp_path}").collect()
+        folders = spark.read.parquet(outs[0]).select("batch").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = R.request_features_q(spark, f"file://{tmp_path}").collect()
+    assert len(want) > 60 and sorted(map(str, got)) == sorted(map(str, want))
+    assert folders <= -(-8 // spark.sparkContext.defaultParallelism)

@@ -706,12 +706,16 @@ def stream_minute_grid_q(spark, sf_dir):
     return round_doubles(spark.read.parquet(out))
 
 
+def _request_stream(spark, sf_dir, name):
+    """Requests from files. A micro-batch takes some files for each core: the scorer's
+    plan has a price per batch, and a batch of one file is read by one task."""
+    src = scratch_path(spark, name)
+    _requests(spark, sf_dir).repartition("request_id").write.parquet(src)
+    return ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=4 * spark.sparkContext.defaultParallelism)
+
+
 def stream_request_features_q(spark, sf_dir):
-    req = _requests(spark, sf_dir)
-    src = scratch_path(spark, "requests-in")
-    req.repartition("request_id").write.parquet(src)
-    stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
-    out = ST.score_stream(stream, lambda b: SC.request_features(b, S), "request-features")
+    out = ST.score_stream(_request_stream(spark, sf_dir, "requests-in"), lambda b: SC.request_features(b, S), "request-features")
     return round_doubles(spark.read.parquet(out).drop("batch"))
 
 
@@ -726,11 +730,7 @@ def _stream_score_requests(spark, sf_dir):
     """T2 with the model: every micro-batch of requests is scored by the forest."""
     _, ff = _fitted(spark, sf_dir)
     rank = _fallback_rank(spark, sf_dir)
-    req = _requests(spark, sf_dir)
-    src = scratch_path(spark, "score-in")
-    req.repartition("request_id").write.parquet(src)
-    stream = ST.table_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
-    out = ST.score_stream(stream, lambda b: SC.score_requests(b, S, ff, rank), "request-scores")
+    out = ST.score_stream(_request_stream(spark, sf_dir, "score-in"), lambda b: SC.score_requests(b, S, ff, rank), "request-scores")
     return spark.read.parquet(out).drop("batch")
 
 

@@ -16,6 +16,7 @@ from wakeful.operators.asof import asof_backward
 from wakeful.operators.clean import clean_hr, clean_sleep, fallback_vector, feature_vector
 from wakeful.operators.forest import FittedForest
 from wakeful.operators.windows import add_time_features, hours_awake, hr_series_features, impute_awake, latest_row, sleep_features
+from wakeful.session import cut_lineage
 from wakeful.settings import MODEL_FEATURES, FeatureSettings
 from wakeful.sources.payload import parse_payload, payload_hr, payload_sleep
 
@@ -27,11 +28,15 @@ def request_features(requests: DataFrame, s: FeatureSettings) -> DataFrame:
     """Feature vector of the latest moment of every request (or the fallback)."""
     s = s.with_(max_gap_us=None)
     parsed = parse_payload(requests, "payload", KEY)
-    hr = clean_hr(payload_hr(parsed, KEY), s, KEY, bucketed=True)
-    sleep = clean_sleep(payload_sleep(parsed, KEY), s, KEY, dedupe=False)
+    # stage boundary: both feeds are used several times, the payloads parsed once for each
+    hr = cut_lineage(clean_hr(payload_hr(parsed, KEY), s, KEY, bucketed=True), "request-hr")
+    sleep = cut_lineage(clean_sleep(payload_sleep(parsed, KEY), s, KEY, dedupe=False), "request-sleep")
     feats = hr_series_features(hr, s, KEY, passthrough=("HRTIME",))
     sl = sleep_features(sleep, s, KEY).withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
-    j = asof_backward(feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us"], bucket_col="b")
+    buckets = hr.select(KEY, F.col("b").alias("_b")).distinct()  # the windows aren't computed a second time for them
+    j = asof_backward(
+        feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us"], bucket_col="b", left_buckets=buckets
+    )
     j = j.withColumn("hours_awake", hours_awake("t", "_end_us")).drop("b")
     j = add_time_features(impute_awake(j, s, "constant", KEY), "HRTIME")
     last = latest_row(j.select(KEY, "t", *[c for c in MODEL_FEATURES if c in j.columns]), KEY, "t")
