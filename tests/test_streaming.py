@@ -113,3 +113,16 @@ def test_request_batches_take_a_file_for_each_core(spark, tmp_path, monkeypatch)
     want = R.request_features_q(spark, f"file://{tmp_path}").collect()
     assert len(want) > 60 and sorted(map(str, got)) == sorted(map(str, want))
     assert folders <= -(-8 // spark.sparkContext.defaultParallelism)
+
+
+def test_repeated_sleeps_of_a_request_all_count(spark):
+    """Sleeps of a request aren't de-duplicated: the reading meets the last of equal ones."""
+    from wakeful.plans.scoring import request_features
+    from wakeful.settings import EVENTS_SCALE
+
+    readings = ",".join('{"HRTIME": "2024-01-02 %02d:00:00", "HR": 6%d.0}' % (9 + i, i) for i in range(4))
+    sleep = '{"START": "2024-01-02 01:00:00", "END": "2024-01-02 0%d:00:00"}'
+    rows = [(f"r{k}", '{"hr_history": [%s], "sleep_history": [%s]}' % (readings, ",".join([sleep % 6] * k + [sleep % 3] * 2))) for k in (1, 2, 3)]
+    got = request_features(spark.createDataFrame(rows, "request_id string, payload string"), EVENTS_SCALE).collect()
+    # debts of 3 hours (of 5 slept) and 6 hours, over the last three sleeps
+    assert {r["request_id"]: r["cum_sleep_debt"] for r in got} == {"r1": 15.0, "r2": 12.0, "r3": 9.0}

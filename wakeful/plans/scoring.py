@@ -32,10 +32,10 @@ def request_features(requests: DataFrame, s: FeatureSettings) -> DataFrame:
     hr = cut_lineage(clean_hr(payload_hr(parsed, KEY), s, KEY, bucketed=True), "request-hr")
     sleep = cut_lineage(clean_sleep(payload_sleep(parsed, KEY), s, KEY, dedupe=False), "request-sleep")
     feats = hr_series_features(hr, s, KEY, passthrough=("HRTIME",))
-    sl = sleep_features(sleep, s, KEY).withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
+    sl = sleep_features(sleep, s, KEY, nth="_nth").withColumn("_end_us", ts_us("END")).withColumn("_start_us", ts_us("START"))
     buckets = hr.select(KEY, F.col("b").alias("_b")).distinct()  # the windows aren't computed a second time for them
     j = asof_backward(
-        feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us"], bucket_col="b", left_buckets=buckets
+        feats, sl, [KEY], "t", "_end_us", ["END", "cum_sleep_debt"], s.bucket_us, right_order=["_start_us", "_nth"], bucket_col="b", left_buckets=buckets
     )
     j = j.withColumn("hours_awake", hours_awake("t", "_end_us")).drop("b")
     j = add_time_features(impute_awake(j, s, "constant", KEY), "HRTIME")
