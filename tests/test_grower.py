@@ -150,6 +150,72 @@ def test_rows_are_sent_to_groups_not_to_trees(packed, monkeypatch):
     assert shallow.packs.count() == 0 and not (shallow.tops[0]["feature"] == -2).any()
 
 
+def kin(bootstrap, features):
+    stops = [(4, 2, 1), (9, 2, 1), (9, 12, 1), (9, 2, 3), (6, 5, 3), (9, 2, 20), (3, 60, 7), (9, 2, 400)]
+    return [Forest(trees=2 + i % 3, max_depth=d, min_samples_split=n, min_samples_leaf=m, features=features, bootstrap=bootstrap, seed=5, fold=1, fill=(0, 0, 0, 15, 0)) for i, (d, n, m) in enumerate(stops)]
+
+
+@pytest.mark.parametrize("at_once", [1 << 18, 200])
+@pytest.mark.parametrize("bootstrap, features", [(True, 2), (False, 2), (True, 5), (False, 5)])
+def test_forests_that_stop_elsewhere_share_their_trees(packed, monkeypatch, bootstrap, features, at_once):
+    """Values of each forest's own trees, from less than half of the work of growing each alone."""
+    monkeypatch.setattr(grower, "AT_ONCE", at_once)
+    forests = kin(bootstrap, features)
+    other = Forest(**{**forests[0].__dict__, "seed": 6})
+    (family, alone) = grower.families([*forests, other], range(9), 5)
+    assert sorted(family.forests) == list(range(8)) and alone.forests == [8]
+    codes, part = rows_of(packed, forests[0])
+    tried, _ = rows_of(packed, Forest(**{**forests[0].__dict__, "fold": None}))
+    trees = grower.FamilyTrees(codes, part, tried, family, forests)
+    trees.add(np.arange(family.lead.trees))
+    pairs = 0
+    for i, total in zip(family.forests, trees.total):
+        f, want = forests[i], np.zeros(len(tried))
+        for t in range(f.trees):
+            w = grower._draws(f, part, t)
+            some = np.flatnonzero(w > 0)
+            nodes = grower.grow_subtrees(codes, some, np.full(len(some), t), np.ones(len(some), np.int64), part["y"][some], w[some], f)
+            grower._add_values(want, compile_nodes(nodes), tried)
+        assert np.allclose(total, want, rtol=1e-12)
+        own = grower.FamilyTrees(codes, part, tried, grower.families(forests, [i], 5)[0], forests)
+        own.add(np.arange(1 if own.alike else f.trees))
+        pairs += own.pairs
+    assert 2 * trees.pairs < pairs
+
+
+def test_large_families_are_split_and_many_scores_stay_right(packed, monkeypatch):
+    """Families of at most three forests, trees in many groups: the scores of the nodes."""
+    forests = [Forest(**{**f.__dict__, "fold": k}) for b, m in ((True, 2), (False, 5)) for f in kin(b, m) for k in (0, 2)]
+    assert len(grower.families(forests, range(32), 5)) == 4
+    monkeypatch.setattr(grower, "FAMILY", 3)
+    assert len(grower.families(forests, range(32), 5)) == 12
+    a = sorted(map(tuple, held_out_scores(packed, grow(packed, forests), 0.3).collect()))
+    b = sorted(map(tuple, cross_scores(packed, forests, 0.3, 10**6, 1).collect()))
+    assert [x[0] for x in b] == list(range(32)) and np.allclose(np.array(a, float), np.array(b, float), rtol=1e-12)
+
+
+@pytest.mark.parametrize("top", [3, 10**6])
+def test_sums_of_cells_by_bins_and_by_sorting(top):
+    rng = np.random.default_rng(2)
+    w, y = rng.integers(1, top, 300).astype(float), rng.integers(-(1 << 24), 1 << 24, 300)
+    key = rng.integers(0, 500, (3, 300))
+    n, s = (np.bincount(key.ravel(), np.tile(x, 3), 500) for x in (w, w * y))
+    for cells in (500, 10**6):
+        at, a, b = grower._cells(key, cells, w, w * y, n.max())
+        assert at.tolist() == np.flatnonzero(n).tolist() and (a == n[at]).all() and (b == s[at]).all()
+
+
+def test_features_of_a_node_are_those_of_least_hash():
+    tree, ids = np.repeat(np.arange(40), 50), np.tile(np.arange(1, 51), 40)
+    for width, most in ((12, 3), (5, 2), (16, 4), (2, 1)):
+        with np.errstate(over="ignore"):
+            base = grower._mix(np.uint64(9) + grower._mix(tree.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7)))
+            base = grower._mix(base + ids.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+            h = grower._mix(base[:, None] + np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        want = [sorted(sorted(range(width), key=lambda k: r[k])[:most]) for r in h.tolist()]
+        assert grower.node_features(9, tree, ids, width, most).tolist() == want
+
+
 def test_draws_equal_inversion_by_steps():
     rng = np.random.default_rng(1)
     rid, n = rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.integers(1, 90, 5000)
