@@ -194,13 +194,14 @@ def test_large_families_are_split_and_many_scores_stay_right(packed, monkeypatch
     assert [x[0] for x in b] == list(range(32)) and np.allclose(np.array(a, float), np.array(b, float), rtol=1e-12)
 
 
+@pytest.mark.parametrize("used", [100, 500])
 @pytest.mark.parametrize("top", [3, 10**6])
-def test_sums_of_cells_by_bins_and_by_sorting(top):
+def test_sums_of_cells_by_bins_and_by_sorting(top, used):
     rng = np.random.default_rng(2)
     w, y = rng.integers(1, top, 300).astype(float), rng.integers(-(1 << 24), 1 << 24, 300)
-    key = rng.integers(0, 500, (3, 300))
-    n, s = (np.bincount(key.ravel(), np.tile(x, 3), 500) for x in (w, w * y))
-    for cells in (500, 10**6):
+    key = rng.integers(0, used, (3, 300))
+    n, s = (np.bincount(key.ravel(), np.tile(x, 3), used) for x in (w, w * y))
+    for cells in (used, 10**6):
         at, a, b = grower._cells(key, cells, w, w * y, n.max())
         assert at.tolist() == np.flatnonzero(n).tolist() and (a == n[at]).all() and (b == s[at]).all()
 
